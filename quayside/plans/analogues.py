@@ -11,6 +11,7 @@ Dates and timestamps leave as ISO text, so both engines render them alike.
 from __future__ import annotations
 
 import datetime as _dt
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +27,24 @@ QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
 
 
+_TABLE_REF = re.compile(r"\{([a-z_]+)\}")
+
+
+def src(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
+    """Run an input-mapping SQL text on Spark; ``{table}`` names a driver table.
+
+    The mappings use only SQL that Spark and DuckDB read the same way, so the
+    oracle can start from the very same rows (``duck``)."""
+    t = Tables(spark, sf_dir)
+    return spark.sql(sql, **{n: t(n) for n in set(_TABLE_REF.findall(sql))})
+
+
+def duck(sql: str) -> str:
+    """The same mapping text for DuckDB (driver tables are views there)."""
+    out = _TABLE_REF.sub(lambda m: m.group(1), sql).replace("`", '"')
+    return out.replace("{{", "{").replace("}}", "}")
+
+
 def register(name: str, sql: str | None):
     def deco(fn):
         QUERIES[name] = fn
@@ -44,43 +63,20 @@ ROLLUP_VALUES = ("Bookingnumber", "POnumber", "Vesselname", "Containernumber",
                  "GrossWeight", "SKU+Description", "DateDocumentSent")
 
 
-def shipment_rows(t: Tables) -> DataFrame:
-    li = t("lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
-                              "l_quantity", "l_returnflag", "l_linestatus", "l_shipdate")
-    o = t("orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
-    p = t("part").select("p_partkey", "p_brand")
-    j = li.join(o, li.l_orderkey == o.o_orderkey).join(p, li.l_partkey == p.p_partkey)
-    return j.select(
-        F.when((F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "5-LOW"), F.lit(None))
-         .otherwise(F.col("o_custkey").cast("string")).alias("ShiptoID"),
-        F.when((F.col("o_orderpriority") == "4-NOT SPECIFIED") & (F.col("o_orderstatus") == "F"), F.lit("  "))
-         .when((F.col("o_orderpriority") == "4-NOT SPECIFIED") & (F.col("o_orderstatus") == "O"), F.lit(None))
-         .otherwise(F.col("o_orderkey").cast("string")).alias("UniqueID"),
-        F.col("l_returnflag").alias("Bookingnumber"),
-        F.col("l_linestatus").alias("POnumber"),
-        F.col("l_suppkey").cast("string").alias("Vesselname"),
-        F.when(F.col("l_linenumber") == 1, F.lit(None))
-         .otherwise(F.col("l_linenumber").cast("string")).alias("Containernumber"),
-        F.col("l_quantity").cast("decimal(18,2)").cast("string").alias("GrossWeight"),
-        F.col("p_brand").alias("SKU+Description"),
-        F.date_format("l_shipdate", "yyyy-MM-dd").alias("DateDocumentSent"),
-    )
-
-
 SHIPMENT_ROWS_SQL = """
   SELECT CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '5-LOW' THEN NULL
-              ELSE CAST(o_custkey AS VARCHAR) END AS ShiptoID,
+              ELSE CAST(o_custkey AS STRING) END AS ShiptoID,
          CASE WHEN o_orderpriority = '4-NOT SPECIFIED' AND o_orderstatus = 'F' THEN '  '
               WHEN o_orderpriority = '4-NOT SPECIFIED' AND o_orderstatus = 'O' THEN NULL
-              ELSE CAST(o_orderkey AS VARCHAR) END AS UniqueID,
+              ELSE CAST(o_orderkey AS STRING) END AS UniqueID,
          l_returnflag AS Bookingnumber,
          l_linestatus AS POnumber,
-         CAST(l_suppkey AS VARCHAR) AS Vesselname,
-         CASE WHEN l_linenumber = 1 THEN NULL ELSE CAST(l_linenumber AS VARCHAR) END AS Containernumber,
-         CAST(CAST(l_quantity AS DECIMAL(18,2)) AS VARCHAR) AS GrossWeight,
-         p_brand AS "SKU+Description",
-         strftime(l_shipdate, '%Y-%m-%d') AS DateDocumentSent
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey
+         CAST(l_suppkey AS STRING) AS Vesselname,
+         CASE WHEN l_linenumber = 1 THEN NULL ELSE CAST(l_linenumber AS STRING) END AS Containernumber,
+         CAST(CAST(l_quantity AS DECIMAL(18,2)) AS STRING) AS GrossWeight,
+         p_brand AS `SKU+Description`,
+         CAST(CAST(l_shipdate AS DATE) AS STRING) AS DateDocumentSent
+  FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey JOIN {part} ON l_partkey = p_partkey
 """
 
 
@@ -90,7 +86,7 @@ def _sql_rollup_col(c: str) -> str:
 
 
 @register("shipment_rollup", f"""
-WITH src AS ({SHIPMENT_ROWS_SQL})
+WITH src AS ({duck(SHIPMENT_ROWS_SQL)})
 SELECT coalesce(ShiptoID, '') AS ShiptoID, coalesce(UniqueID, '') AS UniqueID,
        {", ".join(_sql_rollup_col(c) for c in ROLLUP_VALUES)}
 FROM src
@@ -99,6 +95,204 @@ HAVING length(trim(coalesce(UniqueID, ''))) > 0
 """)
 def q_shipment_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AG-1 + SCL-L1 + FLT-3 + SRT-3: the D0 alert table."""
-    t = Tables(spark, sf_dir)
-    rolled = aggs.distinct_rollup(shipment_rows(t), ["ShiptoID", "UniqueID"], ROLLUP_VALUES)
+    rolled = aggs.distinct_rollup(src(spark, sf_dir, SHIPMENT_ROWS_SQL), ["ShiptoID", "UniqueID"],
+                                  ROLLUP_VALUES)
     return filters.non_blank(rolled, "UniqueID")
+
+
+# ---------------------------------------------------------------------------
+# AG-2: certificate list, sales organisations joined in order (FIXTURES §4).
+# ---------------------------------------------------------------------------
+CERT_ROWS_SQL = """
+  SELECT CAST(o_custkey AS STRING) AS ShipTo,
+         CASE WHEN o_orderpriority = '1-URGENT' AND o_orderstatus = 'P' THEN NULL
+              ELSE o_orderstatus END AS Status,
+         substr(o_orderpriority, 3) AS sales_organization,
+         o_orderkey
+  FROM {orders}
+"""
+
+
+@register("cert_concat", f"""
+SELECT ShipTo, Status,
+       string_agg(sales_organization, ';' ORDER BY o_orderkey, sales_organization) AS sales_organization
+FROM ({duck(CERT_ROWS_SQL)}) s
+WHERE ShipTo IS NOT NULL AND Status IS NOT NULL
+GROUP BY ShipTo, Status
+""")
+def q_cert_concat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AG-2: null keys dropped, values joined in order, duplicates kept."""
+    rows = src(spark, sf_dir, CERT_ROWS_SQL)
+    return aggs.ordered_concat(rows, ["ShipTo", "Status"], "sales_organization", order_by=["o_orderkey"])
+
+
+# ---------------------------------------------------------------------------
+# JN-5 + SNK-6: snapshot compare of yesterday's and today's alert table.
+# Today's copy changes urgent orders' status, nulls some priorities and
+# drops a slice of keys (removed keys are not reported).
+# ---------------------------------------------------------------------------
+HIST_SQL = """
+  SELECT CAST(o_custkey AS STRING) AS ShiptoID, CAST(o_orderkey AS STRING) AS UniqueID,
+         o_orderstatus AS Status, o_orderpriority AS Priority,
+         CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS STRING) AS Total
+  FROM {orders}
+"""
+D0_SQL = """
+  SELECT CAST(o_custkey AS STRING) AS ShiptoID, CAST(o_orderkey AS STRING) AS UniqueID,
+         CASE WHEN o_orderpriority = '1-URGENT' THEN 'X' ELSE o_orderstatus END AS Status,
+         CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '2-HIGH' THEN NULL
+              ELSE o_orderpriority END AS Priority,
+         CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS STRING) AS Total
+  FROM {orders}
+  WHERE NOT (o_orderpriority = '5-LOW' AND o_orderstatus = 'F')
+"""
+SNAPSHOT_COLS = ("Status", "Priority", "Total")
+
+
+def _changes_sql(cols) -> str:
+    parts = [f"""SELECT h.ShiptoID, h.UniqueID, '{c}' AS ChangedColumn, h.{c} AS OldValue, d.{c} AS NewValue
+    FROM d JOIN h ON d.ShiptoID = h.ShiptoID AND d.UniqueID = h.UniqueID
+    WHERE h.{c} IS DISTINCT FROM d.{c}""" for c in cols]
+    return "\n  UNION ALL\n  ".join(parts)
+
+
+@register("snapshot_changes", f"""
+WITH h AS ({duck(HIST_SQL)}), d AS ({duck(D0_SQL)})
+{_changes_sql(SNAPSHOT_COLS)}
+""")
+def q_snapshot_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JN-5 then SNK-6 (append to the changes table only when non-empty)."""
+    from quayside.operators import joins
+    from quayside.sinks.state import TableStore
+    changes = joins.snapshot_changes(src(spark, sf_dir, D0_SQL), src(spark, sf_dir, HIST_SQL),
+                                     ["ShiptoID", "UniqueID"], SNAPSHOT_COLS)
+    return TableStore(spark).append("alert_changes", changes, only_if_rows=True)
+
+
+# ---------------------------------------------------------------------------
+# SNK-5 + SNK-4: two all-text versions of the customer table; the rotation
+# makes version 1 the "hist" snapshot of version 2.
+# ---------------------------------------------------------------------------
+CUSTOMER_V1_SQL = """
+  SELECT c_custkey, c_name, c_nationkey, CAST(c_acctbal AS DECIMAL(18,2)) AS c_acctbal, c_mktsegment
+  FROM {customer}
+"""
+CUSTOMER_V2_SQL = """
+  SELECT c_custkey, c_name, c_nationkey, CAST(c_acctbal AS DECIMAL(18,2)) AS c_acctbal,
+         CASE WHEN c_mktsegment = 'BUILDING' THEN 'CONSTRUCTION' ELSE c_mktsegment END AS c_mktsegment
+  FROM {customer}
+"""
+
+
+def _all_text_sql(inner: str, tag: str) -> str:
+    return (f"SELECT '{tag}' AS snapshot, CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, "
+            f"CAST(c_nationkey AS VARCHAR) AS c_nationkey, CAST(c_acctbal AS VARCHAR) AS c_acctbal, "
+            f"c_mktsegment FROM ({duck(inner)}) x")
+
+
+@register("snapshot_rotate", f"""
+{_all_text_sql(CUSTOMER_V1_SQL, 'hist')}
+UNION ALL
+{_all_text_sql(CUSTOMER_V2_SQL, 'D0')}
+""")
+def q_snapshot_rotate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quayside.operators.projections import all_text
+    from quayside.sinks.state import TableStore
+    store = TableStore(spark)
+    store.replace("alert_D0", all_text(src(spark, sf_dir, CUSTOMER_V1_SQL)))
+    d0 = store.replace("alert_D0", all_text(src(spark, sf_dir, CUSTOMER_V2_SQL)))
+    hist = store.previous("alert_D0")
+    return (hist.select(F.lit("hist").alias("snapshot"), "*")
+            .unionByName(d0.select(F.lit("D0").alias("snapshot"), "*")))
+
+
+# ---------------------------------------------------------------------------
+# FLT-6 + FLT-7: alert search over the changes table (FIXTURES §2).
+# ---------------------------------------------------------------------------
+ALERT_CHANGES_SQL = """
+  SELECT CAST(c_custkey AS STRING) AS ShiptoID, CAST(o_orderkey AS STRING) AS UniqueID,
+         'Status' AS ChangedColumn, o_orderstatus AS OldValue, o_orderpriority AS NewValue,
+         CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '3-MEDIUM' THEN NULL
+              WHEN o_orderstatus = 'F' THEN 'Completed'
+              WHEN o_orderstatus = 'O' THEN 'In Progress'
+              ELSE 'Not Started' END AS Status,
+         r_name AS Region, c_mktsegment AS SISentStatus, n_name AS shiptocountry,
+         CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN ''
+              WHEN o_orderpriority = '5-LOW' THEN NULL
+              ELSE CAST(CAST(o_orderdate AS DATE) AS STRING) END AS DateDocumentSent
+  FROM {orders} JOIN {customer} ON o_custkey = c_custkey
+       JOIN {nation} ON c_nationkey = n_nationkey JOIN {region} ON n_regionkey = r_regionkey
+"""
+ALERT_FACETS = {"regions": ["AMERICA", "ASIA", "EUROPE"],
+                "statuses": ["BUILDING", "MACHINERY", "AUTOMOBILE"],
+                "countries": [], "customers": []}
+ALERT_MODES = {"both": ["Active", "Archived"], "active": ["Active"],
+               "archived": ["Archived"], "none": []}
+ALERT_OUT = ("ShiptoID", "UniqueID", "ChangedColumn", "OldValue", "NewValue", "Status")
+_MODE_SQL = {
+    "both": "(DateDocumentSent = '' OR DateDocumentSent <> '')",
+    "active": "DateDocumentSent = ''",
+    "archived": "DateDocumentSent <> ''",
+    "none": "TRUE",
+}
+
+
+def _alert_search_sql(mode: str) -> str:
+    return f"""
+SELECT {", ".join(ALERT_OUT)} FROM ({duck(ALERT_CHANGES_SQL)}) a
+WHERE Region IN ('AMERICA', 'ASIA', 'EUROPE')
+  AND SISentStatus IN ('BUILDING', 'MACHINERY', 'AUTOMOBILE')
+  AND {_MODE_SQL[mode]} AND Status IN ('Not Started', 'In Progress')
+"""
+
+
+def _alert_search_query(mode: str):
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        rows = src(spark, sf_dir, ALERT_CHANGES_SQL)
+        return filters.alert_search(rows, ALERT_FACETS["regions"], ALERT_FACETS["statuses"],
+                                    ALERT_FACETS["countries"], ALERT_FACETS["customers"],
+                                    ALERT_MODES[mode]).select(*ALERT_OUT)
+    q.__doc__ = f"FLT-6 + FLT-7 in mode {mode!r}."
+    return q
+
+
+for _mode in ALERT_MODES:
+    register(f"alert_search_{_mode}", _alert_search_sql(_mode))(_alert_search_query(_mode))
+
+
+# ---------------------------------------------------------------------------
+# FLT-8: certificate alerts whose status is not Completed (null kept).
+# ---------------------------------------------------------------------------
+@register("not_completed", f"""
+SELECT ShiptoID, UniqueID, Status FROM ({duck(ALERT_CHANGES_SQL)}) a
+WHERE Status IS DISTINCT FROM 'Completed'
+""")
+def q_not_completed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = src(spark, sf_dir, ALERT_CHANGES_SQL).select("ShiptoID", "UniqueID", "Status")
+    return filters.drop_value_keep_null(rows, "Status", "Completed")
+
+
+# ---------------------------------------------------------------------------
+# FLT-9 + SRC-3 + SCL-N2: stored booking query + bound point lookup.
+# ---------------------------------------------------------------------------
+BOOKING_QUERY_TEXT = """
+SELECT H.o_orderkey AS booking_number, H.o_custkey AS customer, H.o_orderstatus AS status,
+       CAST(H.o_totalprice AS DECIMAL(18,2)) AS amount
+FROM booking_orders H
+"""
+BOOKING_PARAM = 42  # the booking asked for (the request parameter)
+
+
+@register("point_lookup", f"""
+SELECT o_orderkey AS booking_number, o_custkey AS customer, o_orderstatus AS status,
+       CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) AS amount
+FROM orders WHERE o_custkey = {BOOKING_PARAM}
+""")
+def q_point_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored text gets ``WHERE H.o_custkey = :booking`` with a bound
+    parameter; the filter reaches the Parquet scan."""
+    from quayside.sources.tables import run_stored_sql
+    text = BOOKING_QUERY_TEXT + " WHERE H.o_custkey = :booking"
+    out = run_stored_sql(spark, text, {"booking": BOOKING_PARAM},
+                         views={"booking_orders": Tables(spark, sf_dir)("orders")})
+    return out.withColumn("amount", F.col("amount").cast("double"))
