@@ -296,3 +296,187 @@ def q_point_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = run_stored_sql(spark, text, {"booking": BOOKING_PARAM},
                          views={"booking_orders": Tables(spark, sf_dir)("orders")})
     return out.withColumn("amount", F.col("amount").cast("double"))
+
+
+# ---------------------------------------------------------------------------
+# Mail queue (FIXTURES §5) from lineitem ⋈ orders ⋈ customer: one queue row
+# per line item, so whole-row duplicates exist and DISTINCT (AG-3) matters.
+# ---------------------------------------------------------------------------
+MAIL_QUEUE_SQL = """
+  SELECT CAST(o_orderkey AS STRING) AS sales_order_number,
+         'M' || CAST(o_orderkey AS STRING) AS unique_item_id,
+         c_mktsegment AS export_zone_flow,
+         o_orderpriority AS shipping_conditions,
+         'Documents for order ' || CAST(o_orderkey AS STRING) AS subject,
+         c_name AS documentation_agent,
+         CASE WHEN o_orderpriority = '1-URGENT' THEN ' a' || CAST(o_custkey AS STRING) || '@x.y; b@x.y;'
+              WHEN o_orderpriority = '2-HIGH' THEN 'c' || CAST(o_custkey AS STRING) || '@x.y;;'
+              WHEN o_orderpriority = '3-MEDIUM' THEN 'd@x.y ;e' || CAST(o_custkey AS STRING) || '@x.y'
+              WHEN o_orderpriority = '5-LOW' AND o_orderstatus = 'O' THEN '-'
+              WHEN o_orderpriority = '5-LOW' THEN NULL
+              ELSE 'f' || CAST(o_custkey AS STRING) || '@x.y' END AS customer_contact,
+         CASE WHEN o_orderpriority = '3-MEDIUM' AND o_orderstatus = 'F' THEN NULL
+              ELSE 'R/Shipments/' || CAST(c_nationkey AS STRING) || '/' || CAST(o_custkey AS STRING) END AS folder_path,
+         CASE WHEN o_orderstatus = 'O' THEN 'retry' ELSE NULL END AS send_email_comment,
+         CASE WHEN o_orderstatus IN ('F', 'O') THEN 'Ready' ELSE 'Completed' END AS send_email_status,
+         CAST(NULL AS STRING) AS date_send_email
+  FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey JOIN {customer} ON o_custkey = c_custkey
+"""
+# Shipping-condition lookup (a master-data table of a handful of codes).
+SHIPPING_LOOKUP = [("1-URGENT", "Ocean"), ("2-HIGH", "Truck"), ("3-MEDIUM", "Ocean"),
+                   ("4-NOT SPECIFIED", "Air")]
+_LOOKUP_SQL = "(VALUES " + ", ".join(f"('{a}', '{b}')" for a, b in SHIPPING_LOOKUP) + \
+    ") AS H(shipping_condition, shipping)"
+MAIL_OUT = ("sales_order_number", "unique_item_id", "Booking/PO_name", "export_zone_flow",
+            "shipping", "subject", "documentation_agent", "customer_contact", "folder_path",
+            "send_email_comment")
+
+
+def shipping_lookup(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(SHIPPING_LOOKUP, "shipping_condition string, shipping string")
+
+
+MAIL_READY_SQL = f"""
+SELECT DISTINCT sales_order_number, unique_item_id,
+       CASE WHEN H.shipping = 'Ocean' THEN 'Booking number'
+            WHEN H.shipping = 'Truck' THEN 'PO number' END AS "Booking/PO_name",
+       export_zone_flow, H.shipping, subject, documentation_agent,
+       CASE WHEN right(replace(customer_contact, ' ', ''), 1) = ';'
+            THEN left(replace(customer_contact, ' ', ''), length(replace(customer_contact, ' ', '')) - 1)
+            ELSE replace(customer_contact, ' ', '') END AS customer_contact,
+       concat('Shared%20Documents', '/', coalesce(folder_path, '')) AS folder_path,
+       send_email_comment
+FROM ({duck(MAIL_QUEUE_SQL)}) V
+LEFT JOIN {_LOOKUP_SQL} ON H.shipping_condition = V.shipping_conditions
+WHERE send_email_status = 'Ready' AND customer_contact <> '-'
+"""
+
+
+def mail_ready_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quayside.plans import jobs
+    return jobs.mail_ready(src(spark, sf_dir, MAIL_QUEUE_SQL), shipping_lookup(spark))
+
+
+@register("mail_ready", MAIL_READY_SQL)
+def q_mail_ready(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JN-1 + FLT-5 + PRJ-6 + SCL-C1 + SCL-S3 + SCL-S4 + AG-3."""
+    return mail_ready_rows(spark, sf_dir)
+
+
+@register("mail_recipients", f"""
+SELECT unique_item_id, unnest(string_split(customer_contact, ';')) AS recipient
+FROM ({MAIL_READY_SQL}) m
+""")
+def q_mail_recipients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SCL-S5: one row per recipient of each ready mail."""
+    from quayside.functions.strings import split_recipients
+    m = mail_ready_rows(spark, sf_dir)
+    return m.select("unique_item_id", F.explode(split_recipients("customer_contact")).alias("recipient"))
+
+
+MAIL_TABLE_SQL = """
+  SELECT DISTINCT 'M' || CAST(o_orderkey AS STRING) AS unique_item_id,
+         CASE WHEN o_orderstatus IN ('F', 'O') THEN 'Ready' ELSE 'Completed' END AS send_email_status,
+         CASE WHEN o_orderstatus = 'O' THEN 'retry' ELSE NULL END AS send_email_comment,
+         CAST(NULL AS STRING) AS date_send_email
+  FROM {orders}
+"""
+MAIL_OUTCOME_SQL = """
+  SELECT 'M' || CAST(o_orderkey AS STRING) AS unique_item_id, o_orderstatus = 'F' AS ok,
+         CASE WHEN o_orderstatus = 'F' THEN NULL
+              ELSE 'Recipient''s mailbox is full (' || CAST(o_custkey AS STRING) || ')' END AS error_message
+  FROM {orders} WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')
+"""
+
+
+@register("mail_outcomes", f"""
+SELECT t.unique_item_id,
+       CASE WHEN o.unique_item_id IS NULL THEN t.send_email_status
+            WHEN o.ok THEN 'Completed' ELSE 'Error' END AS send_email_status,
+       CASE WHEN o.unique_item_id IS NOT NULL AND NOT o.ok THEN o.error_message
+            ELSE t.send_email_comment END AS send_email_comment,
+       CASE WHEN o.unique_item_id IS NULL THEN t.date_send_email
+            ELSE '{RUN_TS:%d/%m/%Y}' END AS date_send_email
+FROM ({duck(MAIL_TABLE_SQL)}) t LEFT JOIN ({duck(MAIL_OUTCOME_SQL)}) o ON t.unique_item_id = o.unique_item_id
+""")
+def q_mail_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-13 + SCL-D4: the mail table after writing back send outcomes."""
+    from quayside.sinks import transitions
+    return transitions.mail_outcomes(src(spark, sf_dir, MAIL_TABLE_SQL),
+                                     src(spark, sf_dir, MAIL_OUTCOME_SQL), RUN_TS)
+
+
+# ---------------------------------------------------------------------------
+# WN-1 + WN-3 (+ SRC-6 defaults): invoice rows from orders, one batch.
+# ---------------------------------------------------------------------------
+INVOICE_FIELDS = ("Sales_Document", "Date_Created", "Date_Download", "File_Name", "Invoice_Amount",
+                  "Invoice_Number", "Invoice_Quantity", "PO_Number", "Sales_Organization",
+                  "Ship_To_Id", "Delivery", "Material", "Output", "Shipment_Number")
+INVOICE_ROWS_SQL = """
+  SELECT CAST(o_custkey AS STRING) AS Sales_Document,
+         CAST(CAST(o_orderdate AS DATE) AS STRING) AS Date_Created,
+         'INV' || CAST(o_orderkey AS STRING) || '.pdf' AS File_Name,
+         CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS STRING) AS Invoice_Amount,
+         o_orderpriority AS Sales_Organization,
+         o_orderkey AS pos
+  FROM {orders}
+"""
+_STAMP = f"{BATCH_TS:%d%m%H%M%S}"
+
+
+def _dup_sql(inner: str, doc: str, cols: str) -> str:
+    return f"""
+WITH r AS (SELECT *, row_number() OVER (PARTITION BY {doc} ORDER BY pos) AS rn FROM ({inner}) x),
+t AS (SELECT *, CAST(CASE WHEN rn > 1 THEN 1 + sum(CASE WHEN rn > 1 THEN 1 ELSE 0 END)
+                      OVER (ORDER BY pos ROWS UNBOUNDED PRECEDING) ELSE 1 END AS BIGINT) AS Dup_Value
+      FROM r)
+SELECT {cols}, Dup_Value, {doc} || '-{_STAMP}-' || CAST(Dup_Value AS VARCHAR) AS UniqueValue FROM t
+"""
+
+
+INVOICE_SQL = _dup_sql(duck(INVOICE_ROWS_SQL), "Sales_Document",
+                       ", ".join(["pos"] + [f"{c}" if c in ("Sales_Document", "Date_Created", "File_Name",
+                                                            "Invoice_Amount", "Sales_Organization")
+                                            else f"CAST(NULL AS VARCHAR) AS {c}" for c in INVOICE_FIELDS]))
+
+
+@register("invoice_dup_tags", INVOICE_SQL)
+def q_invoice_dup_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quayside.plans import jobs
+    return jobs.tag_invoices(src(spark, sf_dir, INVOICE_ROWS_SQL), BATCH_TS)
+
+
+# ---------------------------------------------------------------------------
+# WN-2 + WN-3: system-log posts built from events as raw JSON lines. Purchases
+# carry a document; errors carry a null document and signups no id at all
+# (both go to quarantine); the rest fall back to the shipment id.
+# ---------------------------------------------------------------------------
+SYSLOG_RAW_SQL = """
+  SELECT event_id AS pos,
+         CASE WHEN event_type = 'purchase'
+                THEN '{{"Sales_Document": "' || CAST(user_id AS STRING) || '", "Sales_Area": "' || event_type
+                     || '", "SAP_Shipment": "S' || CAST(event_id AS STRING) || '"}}'
+              WHEN event_type = 'error'
+                THEN '{{"Sales_Document": null, "SAP_Shipment": "S' || CAST(user_id AS STRING)
+                     || '", "Error_Message": "code ' || CAST(event_id AS STRING) || '"}}'
+              WHEN event_type = 'signup' THEN '{{"Error_Message": "no id"}}'
+              ELSE '{{"SAP_Shipment": "S' || CAST(user_id AS STRING) || '", "Sales_Area": "' || event_type || '"}}'
+         END AS raw
+  FROM {events}
+"""
+SYSLOG_SQL = _dup_sql(f"""
+  SELECT pos, CASE WHEN list_contains(json_keys(raw), 'Sales_Document') THEN raw ->> '$.Sales_Document'
+                   ELSE raw ->> '$.SAP_Shipment' END AS log_id,
+         raw ->> '$.Sales_Area' AS Sales_Area, raw ->> '$.SAP_Shipment' AS SAP_Shipment,
+         raw ->> '$.Error_Message' AS Error_Message, raw ->> '$.TimeStamp' AS TimeStamp
+  FROM ({duck(SYSLOG_RAW_SQL)}) e
+  WHERE (CASE WHEN list_contains(json_keys(raw), 'Sales_Document') THEN raw ->> '$.Sales_Document'
+              ELSE raw ->> '$.SAP_Shipment' END) IS NOT NULL
+""", "log_id", "pos, log_id, Sales_Area, SAP_Shipment, Error_Message, TimeStamp")
+
+
+@register("syslog_dup_tags", SYSLOG_SQL)
+def q_syslog_dup_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quayside.plans import jobs
+    good, _quarantine = jobs.tag_syslog_lines(src(spark, sf_dir, SYSLOG_RAW_SQL), BATCH_TS)
+    return good
