@@ -480,3 +480,245 @@ def q_syslog_dup_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quayside.plans import jobs
     good, _quarantine = jobs.tag_syslog_lines(src(spark, sf_dir, SYSLOG_RAW_SQL), BATCH_TS)
     return good
+
+
+# ---------------------------------------------------------------------------
+# Folder paths (FIXTURES §8) from orders ⋈ customer ⋈ nation ⋈ region.
+# ---------------------------------------------------------------------------
+FOLDER_ROWS_SQL = """
+  SELECT CAST(o_orderkey AS STRING) AS sales_order_number,
+         'BK' || CAST(o_orderkey AS STRING) AS booking_number,
+         'PO' || CAST(o_custkey AS STRING) AS po_number,
+         CASE WHEN o_orderpriority IN ('1-URGENT', '3-MEDIUM') THEN 'Ocean' ELSE 'Truck' END AS shipp_condition,
+         CAST(c_custkey AS STRING) AS shipto_number,
+         c_name || ' – ' || c_mktsegment || ' (' || n_name || ') & é/' || CAST(c_nationkey AS STRING) AS shipto_name,
+         n_name || '.' AS shipto_country,
+         CASE WHEN r_name = 'AFRICA' AND o_orderstatus = 'P' THEN NULL ELSE r_name END AS region,
+         'OT-' || CAST(o_orderkey AS STRING) || '_' || o_orderstatus || ';' AS OTdata,
+         CAST(NULL AS STRING) AS status
+  FROM {orders} JOIN {customer} ON o_custkey = c_custkey
+       JOIN {nation} ON c_nationkey = n_nationkey JOIN {region} ON n_regionkey = r_regionkey
+"""
+_STRIP_SQL = r"""regexp_replace(COL, '[~!@#$%^*"''?,.|_{}\[\]/–\-:;]', '', 'g')"""
+
+
+def _strip(c: str) -> str:
+    return _STRIP_SQL.replace("COL", c)
+
+
+FOLDER_PATHS_SQL = f"""
+SELECT sales_order_number, booking_number, po_number, shipp_condition, shipto_number,
+       {_strip('shipto_name')} AS shipto_name, {_strip('shipto_country')} AS shipto_country, region,
+       region || '/Shipments/' || {_strip('shipto_country')} || '/' || shipto_number || '-'
+         || {_strip('shipto_name')} || '/' || shipp_condition || '/' || {_strip('OTdata')} AS folder_path,
+       status
+FROM ({duck(FOLDER_ROWS_SQL)}) f
+WHERE region IS NOT NULL
+"""
+
+
+@register("folder_paths", FOLDER_PATHS_SQL)
+def q_folder_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SCL-S1 + SCL-S2 + FLT-4 + PRJ-2 + PRJ-4."""
+    from quayside.plans import jobs
+    return jobs.folder_paths(src(spark, sf_dir, FOLDER_ROWS_SQL))
+
+
+_OLD_FOLDERS_SQL = f"""
+  SELECT sales_order_number, booking_number, po_number, shipp_condition, shipto_number, shipto_name,
+         shipto_country, region, folder_path,
+         CASE WHEN shipp_condition = 'Ocean' THEN 'Done' ELSE NULL END AS status
+  FROM ({FOLDER_PATHS_SQL}) p
+"""
+FOLDER_STATE_SQL = f"""
+SELECT * FROM ({_OLD_FOLDERS_SQL}) o WHERE status IS NOT NULL
+UNION ALL
+SELECT * FROM ({FOLDER_PATHS_SQL}) n
+"""
+
+
+def _folder_state(spark: SparkSession, sf_dir: str):
+    from quayside.plans import jobs
+    from quayside.sinks.state import TableStore
+    store = TableStore(spark)
+    new = jobs.folder_paths(src(spark, sf_dir, FOLDER_ROWS_SQL))
+    old = new.withColumn("status", F.when(F.col("shipp_condition") == "Ocean", F.lit("Done")))
+    store.replace("folder_paths", old)
+    return store, jobs.folder_state(store, new)
+
+
+@register("folder_state", FOLDER_STATE_SQL)
+def q_folder_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-7 + SNK-8: the next folder table version."""
+    return _folder_state(spark, sf_dir)[1]
+
+
+@register("folder_done", f"""
+WITH s AS ({FOLDER_STATE_SQL}),
+created AS (SELECT DISTINCT 'Shared%20Documents/' || folder_path AS site_path FROM s
+            WHERE status IS NULL AND region <> 'ASIA')
+SELECT sales_order_number, booking_number, po_number, shipp_condition, shipto_number, shipto_name,
+       shipto_country, region, s.folder_path,
+       CASE WHEN c.site_path IS NOT NULL THEN 'Done' ELSE s.status END AS status
+FROM s LEFT JOIN created c ON replace(c.site_path, 'Shared%20Documents/', '') = s.folder_path
+""")
+def q_folder_done(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AG-4 + SCL-S13 + SNK-12: folders created (all but Asian ones, which
+    "fail") are marked Done."""
+    from quayside.plans import jobs
+    _store, state = _folder_state(spark, sf_dir)
+    todo = jobs.folders_to_create(state)
+    created = todo.filter(~F.col("site_path").startswith("Shared%20Documents/ASIA/"))
+    return jobs.folders_done(state, created)
+
+
+# ---------------------------------------------------------------------------
+# J14 state: prefix replace (SNK-9, JN-6, FLT-11, SCL-S8). The report table
+# holds every order under "custkey-orderkey"; one workbook per automobile
+# customer arrives ("<custkey>-x.xlsx"), its stem deletes that customer's
+# rows and its rows (status N) are appended.
+# ---------------------------------------------------------------------------
+REPORT_OLD_SQL = """
+  SELECT CAST(o_custkey AS STRING) || '-' || CAST(o_orderkey AS STRING) AS SalesDocno,
+         o_orderstatus AS Status, o_orderpriority AS Priority
+  FROM {orders}
+"""
+REPORT_FILES_SQL = """
+  SELECT CAST(c_custkey AS STRING) || '-x.xlsx' AS file_name FROM {customer} WHERE c_mktsegment = 'AUTOMOBILE'
+"""
+REPORT_NEW_SQL = """
+  SELECT CAST(o_custkey AS STRING) || '-' || CAST(o_orderkey AS STRING) AS SalesDocno,
+         'N' AS Status, o_orderpriority AS Priority
+  FROM {orders} JOIN {customer} ON o_custkey = c_custkey WHERE c_mktsegment = 'AUTOMOBILE'
+"""
+
+
+@register("prefix_replace", f"""
+WITH stems AS (SELECT substr(file_name, 1, length(file_name) - 6) AS stem FROM ({duck(REPORT_FILES_SQL)}) f)
+SELECT * FROM ({duck(REPORT_OLD_SQL)}) o
+WHERE NOT EXISTS (SELECT 1 FROM stems WHERE starts_with(o.SalesDocno, stems.stem))
+UNION ALL
+SELECT * FROM ({duck(REPORT_NEW_SQL)}) n
+""")
+def q_prefix_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quayside.functions.strings import drop_last_chars
+    from quayside.plans import jobs
+    stems = src(spark, sf_dir, REPORT_FILES_SQL).select(drop_last_chars("file_name", 6).alias("stem"))
+    return jobs.delivery_report_state(src(spark, sf_dir, REPORT_OLD_SQL), src(spark, sf_dir, REPORT_NEW_SQL),
+                                      stems)
+
+
+# ---------------------------------------------------------------------------
+# SNK-10: alert status updates; several requests per key (last line wins),
+# and requests for a column that has no alert (no match).
+# ---------------------------------------------------------------------------
+ALERT_TABLE_SQL = """
+  SELECT CAST(o_custkey AS STRING) AS ShiptoID, CAST(o_orderkey AS STRING) AS UniqueID,
+         'Status' AS ChangedColumn, 'Not Started' AS Status
+  FROM {orders}
+"""
+ALERT_REQUESTS_SQL = """
+  SELECT CAST(o_custkey AS STRING) AS ShiptoID, CAST(o_orderkey AS STRING) AS UniqueID,
+         CASE WHEN l_returnflag = 'R' THEN 'Priority' ELSE 'Status' END AS ChangedColumn,
+         'Line ' || CAST(l_linenumber AS STRING) AS Status, l_linenumber AS seq
+  FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey WHERE o_orderpriority = '1-URGENT'
+"""
+
+
+@register("keyed_update", f"""
+WITH r AS ({duck(ALERT_REQUESTS_SQL)}),
+last AS (SELECT ShiptoID, UniqueID, ChangedColumn, arg_max(Status, seq) AS Status
+         FROM r GROUP BY ShiptoID, UniqueID, ChangedColumn)
+SELECT t.ShiptoID, t.UniqueID, t.ChangedColumn,
+       CASE WHEN l.ShiptoID IS NOT NULL THEN l.Status ELSE t.Status END AS Status
+FROM ({duck(ALERT_TABLE_SQL)}) t LEFT JOIN last l
+  ON t.ShiptoID = l.ShiptoID AND t.UniqueID = l.UniqueID AND t.ChangedColumn = l.ChangedColumn
+""")
+def q_keyed_update(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quayside.plans import jobs
+    return jobs.alert_status_update(src(spark, sf_dir, ALERT_TABLE_SQL), src(spark, sf_dir, ALERT_REQUESTS_SQL),
+                                    order_col="seq")
+
+
+# ---------------------------------------------------------------------------
+# SNK-11 / SNK-14: the certificate table (from orders) updated by requests
+# keyed on ID (from events) and extended by insert requests (signups).
+# ---------------------------------------------------------------------------
+CERT_TABLE_SQL = """
+  SELECT o_orderkey AS ID, o_orderpriority AS Country, CAST(o_custkey AS STRING) AS ShipTo,
+         'Cert ' || o_orderstatus AS DocumentName, CAST(NULL AS STRING) AS DocumentDescription,
+         'No' AS Legalization, CAST(o_orderdate AS DATE) AS LatestDocumentDate,
+         CAST(o_orderdate AS DATE) + 365 AS ExpirationDate, CAST(o_orderdate AS DATE) + 335 AS AlertDate,
+         'Not Started' AS Status, CAST(NULL AS STRING) AS Comment
+  FROM {orders}
+"""
+CERT_REQUESTS_SQL = """
+  SELECT event_id AS ID, 'Renewed ' || event_type AS DocumentName, 'event ' || event_type AS DocumentDescription,
+         'Yes' AS Legalization,
+         CASE WHEN event_type = 'view' THEN '' WHEN event_type = 'click' THEN NULL
+              ELSE CAST(CAST(ts AS DATE) AS STRING) END AS LatestDocumentDate,
+         CAST(CAST(ts AS DATE) + 365 AS STRING) AS ExpirationDate,
+         CASE WHEN event_type = 'purchase' THEN '' ELSE CAST(CAST(ts AS DATE) + 300 AS STRING) END AS AlertDate,
+         'In Progress' AS Status, props AS Comment
+  FROM {events}
+"""
+CERT_INSERT_SQL = """
+  SELECT 'C' || CAST(user_id AS STRING) AS Country, CAST(user_id AS STRING) AS ShipToID,
+         'Cert request' AS DocumentName, 'event ' || CAST(event_id AS STRING) AS DOcumentDescrption,
+         'No' AS Legalization, CAST(CAST(ts AS DATE) AS STRING) AS LastDocumentDate,
+         '' AS ExpirationDate, CAST(NULL AS STRING) AS AlertDate, 'Not Started' AS Status, props AS Comment
+  FROM {events} WHERE event_type = 'signup'
+"""
+CERT_OUT = ("ID", "Country", "ShipTo", "DocumentName", "DocumentDescription", "Legalization",
+            "LatestDocumentDate", "ExpirationDate", "AlertDate", "Status", "Comment")
+_CERT_DATES = ("LatestDocumentDate", "ExpirationDate", "AlertDate")
+
+
+def _cert_out(df: DataFrame) -> DataFrame:
+    return df.select(*[F.col(c).cast("string").alias(c) if c in _CERT_DATES else F.col(c) for c in CERT_OUT])
+
+
+def _cert_out_sql(alias: str) -> str:
+    return ", ".join(f"CAST({alias}.{c} AS VARCHAR) AS {c}" if c in _CERT_DATES else f"{alias}.{c}"
+                     for c in CERT_OUT)
+
+
+def _date_sql(c: str) -> str:
+    return f"CAST(strptime(nullif({c}, ''), '%Y-%m-%d') AS DATE)"
+
+
+@register("cert_update", f"""
+WITH t AS ({duck(CERT_TABLE_SQL)}), r AS ({duck(CERT_REQUESTS_SQL)}),
+u AS (
+  SELECT t.ID, t.Country, t.ShipTo,
+         CASE WHEN r.ID IS NULL THEN t.DocumentName ELSE r.DocumentName END AS DocumentName,
+         CASE WHEN r.ID IS NULL THEN t.DocumentDescription ELSE r.DocumentDescription END AS DocumentDescription,
+         CASE WHEN r.ID IS NULL THEN t.Legalization ELSE r.Legalization END AS Legalization,
+         CASE WHEN r.ID IS NULL THEN t.LatestDocumentDate ELSE {_date_sql('r.LatestDocumentDate')} END AS LatestDocumentDate,
+         CASE WHEN r.ID IS NULL THEN t.ExpirationDate ELSE {_date_sql('r.ExpirationDate')} END AS ExpirationDate,
+         CASE WHEN r.ID IS NULL THEN t.AlertDate ELSE {_date_sql('r.AlertDate')} END AS AlertDate,
+         CASE WHEN r.ID IS NULL THEN t.Status ELSE r.Status END AS Status,
+         CASE WHEN r.ID IS NULL THEN t.Comment ELSE r.Comment END AS Comment
+  FROM t LEFT JOIN r ON t.ID = r.ID)
+SELECT {_cert_out_sql('u')} FROM u
+""")
+def q_cert_update(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quayside.plans import jobs
+    return _cert_out(jobs.cert_update(src(spark, sf_dir, CERT_TABLE_SQL), src(spark, sf_dir, CERT_REQUESTS_SQL)))
+
+
+@register("cert_insert", f"""
+WITH t AS ({duck(CERT_TABLE_SQL)}), r AS ({duck(CERT_INSERT_SQL)}),
+u AS (
+  SELECT * FROM t
+  UNION ALL BY NAME
+  SELECT CAST(NULL AS BIGINT) AS ID, Country, ShipToID AS ShipTo, DocumentName,
+         DOcumentDescrption AS DocumentDescription, Legalization,
+         {_date_sql('LastDocumentDate')} AS LatestDocumentDate, {_date_sql('ExpirationDate')} AS ExpirationDate,
+         {_date_sql('AlertDate')} AS AlertDate, Status, Comment
+  FROM r)
+SELECT {_cert_out_sql('u')} FROM u
+""")
+def q_cert_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quayside.plans import jobs
+    return _cert_out(jobs.cert_insert(src(spark, sf_dir, CERT_TABLE_SQL), src(spark, sf_dir, CERT_INSERT_SQL)))
