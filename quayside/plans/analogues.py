@@ -722,3 +722,164 @@ SELECT {_cert_out_sql('u')} FROM u
 def q_cert_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quayside.plans import jobs
     return _cert_out(jobs.cert_insert(src(spark, sf_dir, CERT_TABLE_SQL), src(spark, sf_dir, CERT_INSERT_SQL)))
+
+
+# ---------------------------------------------------------------------------
+# Invoice routing. Blobs are named after pages (some .PDF, some
+# .PDF.pdf, some not PDFs); invoice files are "inv_<cust>_<order>.pdf", so a
+# stem like inv_12 also prefixes inv_120_… (literal prefix semantics).
+# ---------------------------------------------------------------------------
+BLOBS_SQL = """
+  SELECT 'Inv_' || CAST(page_id AS STRING) ||
+         CASE WHEN url LIKE '%#top' THEN '.txt' WHEN url LIKE '%?page%' THEN '.PDF.pdf'
+              WHEN url LIKE 'https%' THEN '.pdf' ELSE '.PDF' END AS name
+  FROM {pages}
+"""
+INVOICE_FILES_SQL = """
+  SELECT 'inv_' || CAST(o_custkey AS STRING) || '_' || CAST(o_orderkey AS STRING) || '.pdf' AS file_name,
+         CASE WHEN o_orderpriority = '1-URGENT' THEN '00' || lpad(CAST(o_orderkey AS STRING), 8, '0')
+              WHEN o_orderpriority = '2-HIGH' THEN '45' || lpad(CAST(o_orderkey AS STRING), 8, '0')
+              ELSE lpad(CAST(o_orderkey AS STRING), 8, '0') END AS Sales_Document
+  FROM {orders}
+"""
+ORDER_FOLDERS_SQL = """
+  SELECT lpad(CAST(o_orderkey AS STRING), 8, '0') AS sales_order_number,
+         CASE WHEN o_orderstatus = 'P' THEN NULL
+              ELSE 'R/Shipments/' || CAST(o_custkey AS STRING) || '/' || CAST(o_orderkey AS STRING) END AS folder_path
+  FROM {orders}
+"""
+
+
+@register("file_routing", f"""
+WITH pdf AS (SELECT name, list_extract(string_split(name, '/'), -1) AS file,
+                    replace(lower(name), '.pdf', '') AS stem
+             FROM ({duck(BLOBS_SQL)}) b WHERE lower(name) LIKE '%.pdf'),
+hits AS (SELECT p.name, p.file, i.Sales_Document FROM pdf p
+         JOIN ({duck(INVOICE_FILES_SQL)}) i ON starts_with(i.file_name, p.stem)),
+routed AS (SELECT DISTINCT h.name, h.file, 'folder' AS route, f.folder_path AS target
+           FROM hits h JOIN ({duck(ORDER_FOLDERS_SQL)}) f
+             ON (CASE WHEN left(h.Sales_Document, 2) = '00' THEN right(h.Sales_Document, 8)
+                      ELSE h.Sales_Document END) = f.sales_order_number
+           WHERE f.folder_path IS NOT NULL)
+SELECT name, file, 'dated' AS route, 'TEST/INV_PLTesting/Prod{RUN_TS:%d%m%Y}/' AS target FROM pdf
+UNION ALL SELECT * FROM routed
+UNION ALL SELECT name, file, 'unrouted' AS route, CAST(NULL AS VARCHAR) AS target FROM pdf
+          WHERE name NOT IN (SELECT name FROM routed)
+""")
+def q_file_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-5 (suffix) + SCL-S7 + JN-4 + JN-2/SCL-S12/SCL-C2 + SCL-S14 + SCL-S17."""
+    from quayside.plans import jobs
+    return jobs.file_routing(src(spark, sf_dir, BLOBS_SQL), src(spark, sf_dir, INVOICE_FILES_SQL),
+                             src(spark, sf_dir, ORDER_FOLDERS_SQL), RUN_TS.date())
+
+
+# ---------------------------------------------------------------------------
+# Zip bundles. Folder paths by priority exercise the token rules: Ocean
+# then a booking, Truck then a PO, a path ending in Ocean, a path with both.
+# ---------------------------------------------------------------------------
+_BUNDLE_FOLDER = """CASE o_orderpriority
+    WHEN '1-URGENT' THEN 'R/Shipments/' || CAST(o_custkey AS STRING) || '/1-N/Ocean/BK' || CAST(o_orderkey AS STRING)
+    WHEN '2-HIGH' THEN 'R/Shipments/' || CAST(o_custkey AS STRING) || '/Truck/PO' || CAST(o_orderkey AS STRING)
+    WHEN '3-MEDIUM' THEN 'R/Shipments/' || CAST(o_custkey AS STRING) || '/Ocean'
+    WHEN '4-NOT SPECIFIED' THEN 'R/Truck/' || CAST(o_custkey AS STRING) || '/Ocean/BK' || CAST(o_orderkey AS STRING)
+    ELSE 'R/Shipments/' || CAST(o_custkey AS STRING) || '/Air/' || CAST(o_orderkey AS STRING) END"""
+TICKETS_SQL = f"""
+  SELECT CAST(o_orderkey AS STRING) AS sales_order_number, 'BK' || CAST(o_orderkey AS STRING) AS booking_number,
+         'PO' || CAST(o_custkey AS STRING) AS customer_purchase_order_number,
+         o_orderpriority AS shipping_conditions, {_BUNDLE_FOLDER} AS folder_path,
+         CASE WHEN o_orderstatus IN ('F', 'O') THEN 'Ready' ELSE 'Done' END AS ticket_upload_status
+  FROM {{orders}} WHERE o_orderpriority <> '5-LOW'
+"""
+SEND_MAIL_SQL = f"""
+  SELECT CAST(o_orderkey AS STRING) AS sales_order_number, 'BK' || CAST(o_orderkey AS STRING) AS booking_number,
+         'PO' || CAST(o_custkey AS STRING) AS customer_purchase_order_number,
+         o_orderpriority AS shipping_conditions, {_BUNDLE_FOLDER} AS folder_path,
+         CASE WHEN o_orderstatus = 'F' THEN 'Ready' ELSE 'Completed' END AS send_email_status
+  FROM {{orders}} WHERE o_orderpriority IN ('2-HIGH', '3-MEDIUM', '5-LOW')
+"""
+LISTING_SQL = f"""
+  SELECT {_BUNDLE_FOLDER} AS folder_path,
+         'doc' || CAST(l_linenumber AS STRING) ||
+         CASE WHEN l_returnflag = 'R' THEN '.PDF' WHEN l_returnflag = 'A' THEN '.pdf' ELSE '.txt' END AS file_name
+  FROM {{lineitem}} JOIN {{orders}} ON l_orderkey = o_orderkey
+  UNION ALL
+  SELECT {_BUNDLE_FOLDER} AS folder_path, 'PO' || CAST(o_orderkey AS STRING) || '.zip' AS file_name
+  FROM {{orders}} WHERE o_orderstatus = 'O' AND o_orderpriority = '2-HIGH'
+"""
+
+
+def _token_sql(tok: str) -> str:
+    return f"""SELECT folder_path, list_extract(parts, list_position(parts, '{tok}') + 1) || '.zip' AS zip_name,
+       pdf_names FROM tok WHERE list_extract(parts, list_position(parts, '{tok}') + 1) IS NOT NULL"""
+
+
+@register("zip_bundles", f"""
+WITH H AS (SELECT * FROM {_LOOKUP_SQL}),
+ready AS (
+  SELECT DISTINCT folder_path FROM (
+    SELECT t.sales_order_number, t.booking_number, t.customer_purchase_order_number, H.shipping, t.folder_path
+    FROM ({duck(TICKETS_SQL)}) t LEFT JOIN H ON H.shipping_condition = t.shipping_conditions
+    WHERE ticket_upload_status = 'Ready'
+    UNION
+    SELECT s.sales_order_number, s.booking_number, s.customer_purchase_order_number, H.shipping, s.folder_path
+    FROM ({duck(SEND_MAIL_SQL)}) s LEFT JOIN H ON H.shipping_condition = s.shipping_conditions
+    WHERE send_email_status = 'Ready') u),
+pf AS (SELECT folder_path, bool_or(lower(file_name) LIKE '%.pdf') AS has_pdf,
+              bool_or(lower(file_name) LIKE '%.zip') AS has_zip,
+              string_agg(file_name, ';' ORDER BY file_name) FILTER (WHERE lower(file_name) LIKE '%.pdf') AS pdf_names
+       FROM ({duck(LISTING_SQL)}) l WHERE folder_path IN (SELECT folder_path FROM ready) GROUP BY folder_path),
+tok AS (SELECT folder_path, pdf_names, string_split(folder_path, '/') AS parts FROM pf WHERE has_pdf AND NOT has_zip)
+{_token_sql('Truck')}
+UNION ALL
+{_token_sql('Ocean')}
+""")
+def q_zip_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JN-1 + FLT-12 + SET-1 + AG-4 + FLT-13 + SCL-S6 + AG-9 (names)."""
+    from quayside.plans import jobs
+    b = jobs.zip_bundles(src(spark, sf_dir, TICKETS_SQL), src(spark, sf_dir, SEND_MAIL_SQL),
+                         shipping_lookup(spark), src(spark, sf_dir, LISTING_SQL))
+    return b.withColumn("pdf_names", F.array_join("pdf_names", ";"))
+
+
+# ---------------------------------------------------------------------------
+# Drop-down options (FIXTURES §9). Country codes are the first two
+# letters of the nation name, so several countries share a code (fan-out).
+# ---------------------------------------------------------------------------
+CUSTOMER_LIST_SQL = """
+  SELECT CAST(c_custkey AS STRING) AS ship_to,
+         CASE WHEN c_mktsegment = 'MACHINERY' THEN c_name || '--"M"'
+              WHEN c_mktsegment = 'AUTOMOBILE' AND c_acctbal < 0 THEN NULL ELSE c_name END AS ship_to_name,
+         upper(substr(n_name, 1, 2)) AS ship_to_country,
+         CASE c_mktsegment WHEN 'BUILDING' THEN 'Blocked' WHEN 'HOUSEHOLD' THEN 'Inactive'
+              WHEN 'FURNITURE' THEN NULL ELSE 'Active' END AS customer_status
+  FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey
+"""
+UN_LOCODE_SQL = """
+  SELECT upper(substr(n_name, 1, 2)) AS alpha_2code,
+         CASE WHEN n_regionkey = 4 THEN n_name || '//' ELSE n_name END AS country_name
+  FROM {nation}
+"""
+_OPTION_JOIN = f"""
+  FROM ({duck(CUSTOMER_LIST_SQL)}) CL JOIN ({duck(UN_LOCODE_SQL)}) UN ON CL.ship_to_country = UN.alpha_2code
+  WHERE customer_status = 'Active' OR customer_status = 'Inactive'"""
+
+
+@register("destination_options", f"""
+SELECT value, value AS label, to_json({{'value': value, 'label': value}}) AS option
+FROM (SELECT DISTINCT replace(UN.country_name, '//', '') AS value {_OPTION_JOIN}) d
+""")
+def q_destination_options(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quayside.plans import jobs
+    return jobs.destination_options(src(spark, sf_dir, CUSTOMER_LIST_SQL), src(spark, sf_dir, UN_LOCODE_SQL))
+
+
+@register("shipto_options", f"""
+WITH o AS (SELECT DISTINCT UN.country_name AS country,
+                  replace(replace(CL.ship_to_name || '-' || CL.ship_to, '"', ''), '--', '-') AS value
+           {_OPTION_JOIN})
+SELECT country, to_json(list({{'value': value, 'label': value}} ORDER BY value DESC)) AS options
+FROM o WHERE value IS NOT NULL GROUP BY country
+""")
+def q_shipto_options(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quayside.plans import jobs
+    return jobs.shipto_options(src(spark, sf_dir, CUSTOMER_LIST_SQL), src(spark, sf_dir, UN_LOCODE_SQL))
