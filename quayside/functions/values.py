@@ -19,7 +19,7 @@ def strict_cast(c, to: str) -> Column:
 
 def lenient_cast(c, to: str) -> Column:
     """SCL-N1 lenient form: bad text becomes null (used with a quarantine)."""
-    return F.try_cast(col_of(c), to) if hasattr(F, "try_cast") else col_of(c).try_cast(to)
+    return col_of(c).try_cast(to)
 
 
 def decimal_to_double(c) -> Column:

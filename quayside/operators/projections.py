@@ -43,7 +43,7 @@ def cast_to_types(df: DataFrame, types: Mapping[str, str], default: str = "strin
     """PRJ-5: each column to its declared type (default text)."""
     def cast(c):
         t = types.get(c, default)
-        return (F.try_cast(col_of(c), t) if lenient else col_of(c).cast(t)).alias(c)
+        return (col_of(c).try_cast(t) if lenient else col_of(c).cast(t)).alias(c)
     return df.select(*[cast(c) for c in df.columns])
 
 

@@ -25,7 +25,7 @@ def _problems(df: DataFrame, types: Mapping[str, str], max_lengths: Mapping[str,
     for c in df.columns:
         t = types.get(c)
         if t and t != "string":
-            bad = col_of(c).isNotNull() & F.try_cast(col_of(c), t).isNull()
+            bad = col_of(c).isNotNull() & col_of(c).try_cast(t).isNull()
             checks.append(F.when(bad, F.lit(f"{c}: not {t}")))
         n = max_lengths.get(c)
         if n:

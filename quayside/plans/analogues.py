@@ -883,3 +883,268 @@ FROM o WHERE value IS NOT NULL GROUP BY country
 def q_shipto_options(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quayside.plans import jobs
     return jobs.shipto_options(src(spark, sf_dir, CUSTOMER_LIST_SQL), src(spark, sf_dir, UN_LOCODE_SQL))
+
+
+# ---------------------------------------------------------------------------
+# J14 body: the delivery report sheet (FIXTURES §15), 27 named columns built
+# from lineitem as the spreadsheet would hold them (numbers as float text).
+# ---------------------------------------------------------------------------
+REPORT_SHEET_SQL = """
+  SELECT CAST(l_orderkey AS STRING) AS `SalesDocno.`,
+         l_quantity AS `Qty Delivered`,
+         CAST(CAST(l_partkey AS DOUBLE) AS STRING) AS Material,
+         CAST(CAST(l_suppkey * 10 AS DOUBLE) AS STRING) AS `S-PONo`,
+         CAST(o_custkey AS STRING) AS `Sold-to`,
+         l_returnflag AS `Del Blk`,
+         CAST(l_suppkey AS STRING) AS `Bill-to`,
+         CAST(o_custkey AS STRING) AS `Ship-to`,
+         CASE WHEN l_linenumber = 1 THEN NULL
+              ELSE CAST(CAST(l_orderkey * 10 + l_linenumber AS DOUBLE) AS STRING) END AS Invoice,
+         CASE WHEN l_linestatus = 'F' THEN NULL ELSE l_linestatus END AS `Cred Blk`,
+         'USD' AS `Invoice Currency`,
+         CASE WHEN l_linenumber = 7 THEN NULL ELSE l_linenumber END AS `Number of Pallets`,
+         'MXN' AS `Doc Curr`,
+         'POL' || CAST(l_suppkey AS STRING) AS `Port of loading`,
+         o_orderpriority AS `Port of Destination`,
+         l_quantity AS `S-PO-GR-TotQty`, l_discount AS `S-PO-IR-TotQty`,
+         l_extendedprice AS `Gross Wt From Del.`,
+         CASE WHEN l_returnflag = 'R' THEN 'not a date' ELSE CAST(CAST(l_shipdate AS DATE) AS STRING) END AS `PO Date`,
+         CAST(CAST(l_shipdate AS DATE) + 3 AS STRING) AS `Pr Date in SO`,
+         CASE WHEN l_linestatus = 'O' THEN '03/04/2024' ELSE CAST(CAST(l_shipdate AS DATE) AS STRING) END AS `Billing Date`,
+         CAST(CAST(o_orderdate AS DATE) AS STRING) AS `Invoice Creation Date`,
+         l_tax AS `Invoice Value`,
+         CAST(CAST(o_orderdate AS DATE) - 2 AS STRING) AS `Ord Cr Date`,
+         CAST(CAST(l_shipdate AS DATE) - 1 AS STRING) AS `Cargo Cut off date`,
+         CAST(CAST(l_shipdate AS DATE) + 10 AS STRING) AS `Del Date in SO`,
+         l_extendedprice AS `Gross Value/Order`
+  FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey
+"""
+_REPORT_TEXT = ("SalesDocno.", "Material", "S-PONo", "Sold-to", "Del Blk", "Bill-to", "Ship-to", "Invoice",
+                "Cred Blk", "Invoice Currency", "Doc Curr", "Port of loading", "Port of Destination")
+_REPORT_RSTRIP = ("Material", "S-PONo", "Invoice")
+_REPORT_DATES = ("PO Date", "Pr Date in SO", "Billing Date", "Invoice Creation Date", "Ord Cr Date",
+                 "Cargo Cut off date", "Del Date in SO")
+_REPORT_ORDER = (
+    "SalesDocno.", "Qty Delivered", "Material", "S-PONo", "Sold-to", "Del Blk", "Bill-to", "Ship-to",
+    "Invoice", "Cred Blk", "Invoice Currency", "Number of Pallets", "Doc Curr", "Port of loading",
+    "Port of Destination", "S-PO-GR-TotQty", "S-PO-IR-TotQty", "Gross Wt From Del.", "PO Date",
+    "Pr Date in SO", "Billing Date", "Invoice Creation Date", "Invoice Value", "Ord Cr Date",
+    "Cargo Cut off date", "Del Date in SO", "Gross Value/Order")
+
+
+def _report_sql(mode: str) -> str:
+    out = []
+    for c in _REPORT_ORDER:
+        q = f'"{c}"'
+        name = '"' + c.rstrip(".") + '"'
+        if c in _REPORT_TEXT:
+            if mode == "compat":
+                x = f"coalesce({q}, 'nan')"
+                if c in _REPORT_RSTRIP:
+                    x = f"rtrim({x}, '.0')"
+                out.append(f"CASE WHEN {x} = 'nan' THEN '' ELSE {x} END AS {name}")
+            elif c in _REPORT_RSTRIP:
+                out.append(f"CASE WHEN {q} LIKE '%.0' THEN left({q}, length({q}) - 2) ELSE {q} END AS {name}")
+            else:
+                out.append(f"{q} AS {name}")
+        elif c in _REPORT_DATES:
+            out.append(f"strftime(try_strptime({q}, '%Y-%m-%d'), '%Y-%m-%d') AS {name}")
+        elif c == "Number of Pallets":
+            out.append(f"CAST(try_cast({q} AS DOUBLE) AS INTEGER) AS {name}")
+        else:
+            out.append(f"try_cast({q} AS DOUBLE) AS {name}")
+    return (f"SELECT {', '.join(out)} FROM ({duck(REPORT_SHEET_SQL)}) s "
+            f"WHERE \"Number of Pallets\" IS NOT NULL")
+
+
+def _report_query(mode: str):
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from quayside.plans import jobs
+        good, _quarantine = jobs.delivery_report(src(spark, sf_dir, REPORT_SHEET_SQL), mode)
+        return good
+    q.__doc__ = f"SCL-N1 + SCL-S9 + SCL-D2 + SCL-L2 + PRJ-2, {mode} mode (good rows)."
+    return q
+
+
+for _m in ("exact", "compat"):
+    register(f"report_clean_{_m}", _report_sql(_m))(_report_query(_m))
+
+
+@register("report_quarantine", f"""
+SELECT {", ".join('"' + c.rstrip(".") + '"' for c in _REPORT_ORDER)}, 'Number of Pallets: not int' AS reject_reason
+FROM ({_report_sql('exact').replace('WHERE "Number of Pallets" IS NOT NULL', 'WHERE "Number of Pallets" IS NULL')}) q
+""")
+def q_report_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q4: rows whose number cells do not parse, set aside with a reason."""
+    from quayside.plans import jobs
+    _good, bad = jobs.delivery_report(src(spark, sf_dir, REPORT_SHEET_SQL), "exact")
+    return bad
+
+
+# ---------------------------------------------------------------------------
+# J13 body: the proforma sheet (FIXTURES §14) with a serial-number date.
+# ---------------------------------------------------------------------------
+PROFORMA_SHEET_SQL = """
+  SELECT __SERIAL__ + l_discount AS `Fecha facturacion`,
+         CAST(l_suppkey AS STRING) AS Centro,
+         'F' || CAST(l_orderkey AS STRING) AS `Folio de Referencia`,
+         'FF' || CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) AS `Folio Fiscal`,
+         'D' || CAST(l_partkey AS STRING) AS Distribuidor,
+         CAST(l_tax AS STRING) AS Marca,
+         l_returnflag || '/' || l_linestatus AS `Descripción del material`,
+         l_linenumber AS Cartones,
+         l_extendedprice AS `Importe Neto`,
+         CAST(l_quantity AS STRING) AS Caja,
+         'S' || CAST(l_orderkey AS STRING) AS `Sello transporte`,
+         'BK' || CAST(l_orderkey AS STRING) AS Booking,
+         l_quantity AS kilos,
+         l_quantity + l_tax AS `Peso bruto`,
+         'ignored' AS Extra
+  FROM {lineitem}
+"""
+_SERIAL_SPARK = "datediff(CAST(l_shipdate AS DATE), DATE '1899-12-30')"
+_SERIAL_DUCK = "date_diff('day', DATE '1899-12-30', CAST(l_shipdate AS DATE))"
+
+
+def _proforma_sql(mode: str) -> str:
+    marca = ("replace(Marca, '.0', '')" if mode == "compat"
+             else "CASE WHEN Marca LIKE '%.0' THEN left(Marca, length(Marca) - 2) ELSE Marca END")
+    return f"""
+SELECT CAST(DATE '1899-12-30' + CAST(floor("Fecha facturacion") AS INTEGER) AS VARCHAR) AS Fecha_facturacion,
+       Centro, "Folio de Referencia" AS Folio_de_Referencia, "Folio Fiscal" AS Folio_Fiscal, Distribuidor,
+       {marca} AS Marca, "Descripción del material" AS Descripcion_del_material, Cartones,
+       CAST(CAST("Importe Neto" AS DECIMAL(18,2)) AS VARCHAR) AS Importe_Neto, Caja,
+       "Sello transporte" AS Sello_transporte, Booking,
+       CAST(CAST(kilos AS DECIMAL(18,2)) AS VARCHAR) AS kilos,
+       CAST(CAST("Peso bruto" AS DECIMAL(18,2)) AS VARCHAR) AS Peso_bruto
+FROM ({duck(PROFORMA_SHEET_SQL).replace('__SERIAL__', _SERIAL_DUCK)}) s
+"""
+
+
+def _proforma_query(mode: str):
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from quayside.plans import jobs
+        sheet = src(spark, sf_dir, PROFORMA_SHEET_SQL.replace("__SERIAL__", _SERIAL_SPARK))
+        out = jobs.proforma(sheet, mode)
+        return out.select(*[F.col(c).cast("string").alias(c) if c in
+                            ("Fecha_facturacion", "Importe_Neto", "kilos", "Peso_bruto") else F.col(c)
+                            for c in out.columns])
+    q.__doc__ = f"SCL-D1 + SCL-S10 + PRJ-2 + PRJ-5 ({mode})."
+    return q
+
+
+register("proforma_clean", _proforma_sql("exact"))(_proforma_query("exact"))
+register("proforma_clean_compat", _proforma_sql("compat"))(_proforma_query("compat"))
+
+
+# ---------------------------------------------------------------------------
+# J11 body: the "Documents" sheet (36 columns by position) from
+# customer ⋈ nation ⋈ region. Ship-to = custkey + 29744000, so customer 324
+# is the excluded ship-to; Canada's zone says "Not found" and Brazil's is
+# null, so both are dropped (the filter runs because a row matches).
+# ---------------------------------------------------------------------------
+def _docs_sheet_sql() -> str:
+    from quayside.plans.jobs import DOC_COLUMNS
+    head = [
+        "CASE WHEN n_name = 'CANADA' THEN 'Not found - CA' WHEN n_name = 'BRAZIL' THEN NULL ELSE r_name END AS `Export Zone`",
+        "n_name AS `Country`", "upper(substr(n_name, 1, 2)) AS `Country Code`",
+        "'SO' || CAST(c_nationkey AS STRING) AS `Sales Org`", "CAST(c_custkey AS STRING) AS `Soldto`",
+        "c_name AS `Sold to name`",
+        "CASE WHEN c_acctbal < 0 AND c_mktsegment = 'HOUSEHOLD' THEN NULL ELSE c_custkey + 29744000 END AS `Shipto`",
+        "c_name AS `Ship to name`"]
+    tail = [f"'{c}:' || CAST(c_custkey AS STRING) AS `src_{c}`" for c in DOC_COLUMNS[len(head):]]
+    return ("SELECT " + ", ".join(head + tail) +
+            " FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey"
+            " JOIN {region} ON n_regionkey = r_regionkey")
+
+
+DOCS_SHEET_SQL = _docs_sheet_sql()
+
+
+def _docs_oracle() -> str:
+    from quayside.plans.jobs import DOC_COLUMNS
+    src_names = ["Export Zone", "Country", "Country Code", "Sales Org", "Soldto", "Sold to name", "Shipto",
+                 "Ship to name"] + [f"src_{c}" for c in DOC_COLUMNS[8:]]
+    sel = ", ".join(f'CAST("{s}" AS VARCHAR) AS {d}' for s, d in zip(src_names, DOC_COLUMNS))
+    return f"""
+WITH s AS ({duck(DOCS_SHEET_SQL)})
+SELECT {sel} FROM s
+WHERE "Shipto" IS DISTINCT FROM 29744324
+  AND (NOT EXISTS (SELECT 1 FROM s s2 WHERE contains(s2."Export Zone", 'Not found')
+                   AND s2."Shipto" IS DISTINCT FROM 29744324)
+       OR ("Export Zone" IS NOT NULL AND NOT contains("Export Zone", 'Not found')))
+"""
+
+
+@register("customer_docs", _docs_oracle())
+def q_customer_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FLT-1 + FLT-2 (AG-8) + PRJ-1 + PRJ-5."""
+    from quayside.plans import jobs
+    return jobs.customer_docs(src(spark, sf_dir, DOCS_SHEET_SQL))
+
+
+# ---------------------------------------------------------------------------
+# J12 body: the "SI&BL" sheet (37 columns) from documents: the SI comments
+# hold each document's whole text, newlines included.
+# ---------------------------------------------------------------------------
+def _freight_sheet_sql() -> str:
+    from quayside.plans.jobs import FREIGHT_COLUMNS
+    special = {"export_zone": "lang", "country": "source", "ship_to_number": "CAST(doc_id AS STRING)",
+               "sea_freight": "'SF' || CAST(n_chars AS STRING)", "SI_comments": "text",
+               "remarks_BL": "'line one' || chr(10) || 'line two ' || CAST(doc_id AS STRING)"}
+    cols = [f"{special.get(c, chr(39) + c + ':' + chr(39) + ' || CAST(doc_id AS STRING)')} AS `src_{c}`"
+            for c in FREIGHT_COLUMNS]
+    return "SELECT " + ", ".join(cols) + " FROM {documents}"
+
+
+FREIGHT_SHEET_SQL = _freight_sheet_sql()
+
+
+def _freight_oracle() -> str:
+    from quayside.plans.jobs import BAF_POSITION, FREIGHT_COLUMNS
+    cols = [f'replace("src_{c}", chr(10), \' \') AS "{c}"' for c in FREIGHT_COLUMNS]
+    cols.insert(BAF_POSITION, 'replace("src_sea_freight", chr(10), \' \') AS "BAF"')
+    return f"SELECT {', '.join(cols)} FROM ({duck(FREIGHT_SHEET_SQL)}) s"
+
+
+@register("customer_freight", _freight_oracle())
+def q_customer_freight(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PRJ-1 + PRJ-3 (BAF) + SCL-S11 over whole texts."""
+    from quayside.plans import jobs
+    return jobs.customer_freight(src(spark, sf_dir, FREIGHT_SHEET_SQL))
+
+
+# ---------------------------------------------------------------------------
+# SNK-16: warehouse rows as text, some cells bad (signup users, error values).
+# ---------------------------------------------------------------------------
+SALVAGE_ROWS_SQL = """
+  SELECT CAST(event_id AS STRING) AS event_id,
+         CASE WHEN event_type = 'signup' THEN 'u' || CAST(user_id AS STRING) ELSE CAST(user_id AS STRING) END AS user_id,
+         CASE WHEN event_type = 'error' THEN 'n/a' ELSE CAST(value AS STRING) END AS value,
+         event_type
+  FROM {events}
+"""
+SALVAGE_TYPES = {"event_id": "bigint", "user_id": "bigint", "value": "double"}
+_SALVAGE_REASON = """concat_ws('; ',
+    CASE WHEN event_id IS NOT NULL AND try_cast(event_id AS BIGINT) IS NULL THEN 'event_id: not bigint' END,
+    CASE WHEN user_id IS NOT NULL AND try_cast(user_id AS BIGINT) IS NULL THEN 'user_id: not bigint' END,
+    CASE WHEN value IS NOT NULL AND try_cast(value AS DOUBLE) IS NULL THEN 'value: not double' END)"""
+
+
+@register("load_salvage_good", f"""
+SELECT CAST(event_id AS BIGINT) AS event_id, CAST(user_id AS BIGINT) AS user_id,
+       CAST(value AS DOUBLE) AS value, event_type
+FROM ({duck(SALVAGE_ROWS_SQL)}) s WHERE {_SALVAGE_REASON} = ''
+""")
+def q_load_salvage_good(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quayside.operators import quality
+    return quality.split_by_cast(src(spark, sf_dir, SALVAGE_ROWS_SQL), SALVAGE_TYPES)[0]
+
+
+@register("load_salvage_rejected", f"""
+SELECT event_id, user_id, value, event_type, {_SALVAGE_REASON} AS reject_reason
+FROM ({duck(SALVAGE_ROWS_SQL)}) s WHERE {_SALVAGE_REASON} <> ''
+""")
+def q_load_salvage_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quayside.operators import quality
+    return quality.split_by_cast(src(spark, sf_dir, SALVAGE_ROWS_SQL), SALVAGE_TYPES)[1]

@@ -320,7 +320,7 @@ def delivery_report(sheet: DataFrame, mode: str = "exact", strict: bool = False)
         cells[c] = lenient_date_text(c, (ISO_DATE_FORMAT,))
     reasons = []
     for c, (t, expr) in typed.items():
-        v = F.try_cast(expr, "double")
+        v = expr.try_cast("double")
         bad = (expr.isNull() | v.isNull()) if t == "int" else (expr.isNotNull() & v.isNull())
         reasons.append(F.when(bad, F.lit(f"{c}: not {t}")))
         cells[c] = v.cast("int") if t == "int" else v
