@@ -1148,3 +1148,198 @@ FROM ({duck(SALVAGE_ROWS_SQL)}) s WHERE {_SALVAGE_REASON} <> ''
 def q_load_salvage_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quayside.operators import quality
     return quality.split_by_cast(src(spark, sf_dir, SALVAGE_ROWS_SQL), SALVAGE_TYPES)[1]
+
+
+# ---------------------------------------------------------------------------
+# STR-1 / STR-2: the same posts through Structured Streaming. The rows land
+# as JSON-lines files (written by Spark, in parallel), one availableNow run
+# drains them in one micro-batch (the post), and the sink is read back.
+# ---------------------------------------------------------------------------
+@register("invoice_stream", INVOICE_SQL)
+def q_invoice_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quayside.session import work_dir
+    from quayside.streaming import ingest
+    base = work_dir(spark, "invoice_stream")
+    src(spark, sf_dir, INVOICE_ROWS_SQL).write.json(f"{base}/landing")
+    q = ingest.invoice_stream(spark, f"{base}/landing", f"{base}/out", f"{base}/checkpoint", BATCH_TS)
+    q.awaitTermination()
+    return ingest.read_output(spark, f"{base}/out")
+
+
+@register("syslog_stream", SYSLOG_SQL)
+def q_syslog_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quayside.session import work_dir
+    from quayside.streaming import ingest
+    base = work_dir(spark, "syslog_stream")
+    src(spark, sf_dir, SYSLOG_RAW_SQL).select("pos", "raw").write.json(f"{base}/landing")
+    q = ingest.syslog_stream(spark, f"{base}/landing", f"{base}/out", f"{base}/checkpoint", BATCH_TS)
+    q.awaitTermination()
+    return ingest.read_output(spark, f"{base}/out")
+
+
+# ---------------------------------------------------------------------------
+# Sinks: full refresh, insert overwrite, typed recreate, chunked write.
+# Each writes into the shared folder and returns what a reader sees after.
+# ---------------------------------------------------------------------------
+ORDERS_LOAD_SQL = "SELECT o_orderkey, o_custkey, o_orderstatus AS status FROM {orders}"
+ORDERS_RELOAD_SQL = "SELECT o_orderkey, o_custkey, lower(o_orderstatus) AS status FROM {orders}"
+
+
+@register("full_refresh", f"SELECT * FROM ({duck(ORDERS_RELOAD_SQL)}) r")
+def q_full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-1/SRC-2 + SNK-1: two loads; readers see only the second."""
+    from quayside.sinks.state import TableStore
+    store = TableStore(spark)
+    store.replace("orders_copy", src(spark, sf_dir, ORDERS_LOAD_SQL))
+    store.replace("orders_copy", src(spark, sf_dir, ORDERS_RELOAD_SQL))
+    return store.current("orders_copy")
+
+
+MEC_FIRST_TEXT = """SELECT o_orderpriority AS status, count(*) AS orders,
+       CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS STRING) AS total FROM mec_orders GROUP BY o_orderpriority"""
+MEC_TEXT = """SELECT o_orderstatus AS status, count(*) AS orders,
+       CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS STRING) AS total FROM mec_orders GROUP BY o_orderstatus"""
+
+
+@register("insert_overwrite", """
+SELECT o_orderstatus AS status, count(*) AS orders,
+       CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS VARCHAR) AS total FROM orders GROUP BY o_orderstatus
+""")
+def q_insert_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-2 (+ SRC-3, AG-7): a stored INSERT … SELECT overwrites the table."""
+    import uuid
+
+    from quayside.plans import jobs
+    from quayside.session import work_dir
+    Tables(spark, sf_dir)("orders").createOrReplaceTempView("mec_orders")
+    name = f"mec_report_{uuid.uuid4().hex[:8]}"
+    loc = work_dir(spark, name) + "/table"
+    jobs.insert_overwrite(spark, name, loc, MEC_FIRST_TEXT)
+    return jobs.insert_overwrite(spark, name, loc, MEC_TEXT)
+
+
+TYPED_ROWS_SQL = """
+  SELECT CAST(l_orderkey AS STRING) AS l_orderkey, CAST(l_linenumber AS STRING) AS l_linenumber,
+         CAST(l_quantity AS STRING) AS l_quantity, CAST(CAST(l_shipdate AS DATE) AS STRING) AS l_shipdate,
+         l_returnflag
+  FROM {lineitem}
+"""
+TYPED_MAP = {"l_orderkey": "bigint", "l_linenumber": "int", "l_quantity": "decimal(18,2)", "l_shipdate": "date"}
+
+
+@register("typed_recreate", """
+SELECT l_orderkey, l_linenumber, CAST(CAST(l_quantity AS DECIMAL(18,2)) AS VARCHAR) AS l_quantity,
+       CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS l_shipdate, l_returnflag
+FROM lineitem
+""")
+def q_typed_recreate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-3 + PRJ-5: drop, create with declared types (default text), load."""
+    from quayside.operators.projections import cast_to_types
+    from quayside.sinks.state import TableStore
+    t = TableStore(spark).replace("typed_lineitem", cast_to_types(src(spark, sf_dir, TYPED_ROWS_SQL), TYPED_MAP))
+    return t.select("l_orderkey", "l_linenumber", F.col("l_quantity").cast("string").alias("l_quantity"),
+                    F.col("l_shipdate").cast("string").alias("l_shipdate"), "l_returnflag")
+
+
+CHUNK_SQL = "SELECT l_orderkey, l_linenumber, l_partkey, l_returnflag FROM {lineitem}"
+
+
+@register("chunked_write", f"SELECT * FROM ({duck(CHUNK_SQL)}) c")
+def q_chunked_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-17: files of at most 50,000 rows; every row comes back."""
+    from quayside.sinks.state import LOAD_BATCH_ROWS, TableStore
+    return TableStore(spark).replace("chunked_lineitem", src(spark, sf_dir, CHUNK_SQL),
+                                     max_records_per_file=LOAD_BATCH_ROWS)
+
+
+RUN_LOG_TABLES = ("orders", "lineitem", "customer")
+
+
+@register("run_log", "\nUNION ALL\n".join(
+    f"SELECT 'load_erp' AS job, '{t}' AS target, CAST(NULL AS VARCHAR) AS file_name, 'Success' AS status, "
+    f"count(*) AS \"rows\", '{RUN_TS:%Y-%m-%d %H:%M:%S}' AS logged_at FROM {t}" for t in RUN_LOG_TABLES))
+def q_run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-15 + AG-7 + SET-2: one log row per loaded table, appended."""
+    from quayside.sinks.state import TableStore, run_log_rows
+    t = Tables(spark, sf_dir)
+    counts = None
+    for name in RUN_LOG_TABLES:
+        c = t(name).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("target"), "rows")
+        counts = c if counts is None else counts.unionByName(c)
+    log = TableStore(spark).append("run_log", run_log_rows(counts, "load_erp", RUN_TS))
+    return log.withColumn("logged_at", F.date_format("logged_at", "yyyy-MM-dd HH:mm:ss"))
+
+
+NATION_JSON_SQL = """
+  SELECT n_nationkey, n_name, CASE WHEN n_regionkey = 0 THEN NULL ELSE n_name END AS n_alias, n_regionkey
+  FROM {nation}
+"""
+
+
+@register("json_records", f"""
+SELECT n_nationkey,
+       to_json({{'n_nationkey': n_nationkey, 'n_name': n_name, 'n_alias': n_alias, 'n_regionkey': n_regionkey}}) AS json,
+       coalesce(CAST(n_alias AS VARCHAR), 'None') AS alias_text
+FROM ({duck(NATION_JSON_SQL)}) n
+""")
+def q_json_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-18 + SCL-J1 (null fields kept) + SCL-S18."""
+    from quayside.functions.strings import missing_text
+    from quayside.functions.values import row_json
+    n = src(spark, sf_dir, NATION_JSON_SQL)
+    return n.select("n_nationkey", row_json(*n.columns).alias("json"),
+                    missing_text("n_alias", "None").alias("alias_text"))
+
+
+@register("share_preview", "SELECT n_name FROM nation ORDER BY n_nationkey LIMIT 5")
+def q_share_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-8 + SRT-1 + LIM-1: the first five values of a shared table's column
+    (a top-n is the feature here)."""
+    from quayside.plans import jobs
+    Tables(spark, sf_dir)("nation").createOrReplaceTempView("share_nation")
+    return jobs.share_preview(spark, "share_nation", "n_name", 5, order_by=["n_nationkey"])
+
+
+@register("catalog_inventory", None)
+def q_catalog_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-7: tables of the catalog after the driver tables are shared into it
+    (rows-only: the listing is session state, not SQL over the tables)."""
+    from quayside.plans import jobs
+    from quayside.sources.tables import DRIVER_TABLES
+    t = Tables(spark, sf_dir)
+    for n in DRIVER_TABLES:
+        t(n).createOrReplaceTempView(f"share_{n}")
+    inv = jobs.catalog_inventory(spark)
+    return inv.filter(F.col("name").isin([f"share_{n}" for n in DRIVER_TABLES]))
+
+
+@register("file_discovery", None)
+def q_file_discovery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-5 + SCL-D5 + SCL-D6: parquet files of the folder modified within
+    7 days before the newest one (rows-only: file times are not table data)."""
+    from quayside.sources.files import list_files, modified_within
+    files = list_files(spark, sf_dir, "*.parquet")
+    newest = files.agg(F.max("modificationTime")).first()[0]
+    return modified_within(files, newest, 7)
+
+
+CUSTOMER_BOOK_SQL = """
+  SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, floor(c_custkey / 1000) AS book
+  FROM {customer}
+"""
+CUSTOMER_BOOK_TYPES = {"c_custkey": "bigint", "c_name": "string", "c_nationkey": "int",
+                       "c_acctbal": "double", "c_mktsegment": "string"}
+
+
+@register("workbook_scan", "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
+def q_workbook_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-4: the customer table written as workbooks of at most 1,000 rows
+    (one per task), then read back through the sheet reader with declared
+    types: every row and value must survive."""
+    from quayside.session import work_dir
+    from quayside.sources import workbook
+    out = work_dir(spark, "workbooks")
+    written = workbook.write_workbooks(src(spark, sf_dir, CUSTOMER_BOOK_SQL), out, "book", sheet="Customers")
+    written.count()
+    rows = workbook.read_sheets(spark, out, list(CUSTOMER_BOOK_TYPES), sheet="Customers")
+    return workbook.typed(rows.drop("_file", "_row"), CUSTOMER_BOOK_TYPES)

@@ -226,20 +226,23 @@ def json_records(df: DataFrame, out: str = "json") -> DataFrame:
 # Catalog inventory and preview
 # ---------------------------------------------------------------------------
 def catalog_inventory(spark: SparkSession) -> DataFrame:
-    """SRC-7: one row per (catalog, namespace, table) visible to the session."""
-    rows = []
-    for cat in spark.catalog.listCatalogs():
-        try:
-            spark.catalog.setCurrentCatalog(cat.name)
-            for db in spark.catalog.listDatabases():
-                for t in spark.catalog.listTables(db.name):
-                    rows.append((t.name, cat.name, db.name, bool(t.isTemporary)))
-        except Exception:  # noqa: BLE001 - a catalog without namespaces
-            continue
-    for t in spark.catalog.listTables():
-        if t.isTemporary and (t.name, "spark_catalog", t.namespace[0] if t.namespace else "", True) not in rows:
-            rows.append((t.name, "spark_catalog", "", True))
-    return spark.createDataFrame(sorted(set(rows)), "name string, share string, schema string, temporary boolean")
+    """SRC-7: one row per table visible to the session: name, catalog
+    ("share"), namespace ("schema"), and whether it is a temporary view."""
+    rows = set()
+    current = spark.catalog.currentCatalog()
+    try:
+        for cat in spark.catalog.listCatalogs():
+            try:
+                spark.catalog.setCurrentCatalog(cat.name)
+                for db in spark.catalog.listDatabases():
+                    for t in spark.catalog.listTables(db.name):
+                        schema = "" if t.isTemporary else db.name
+                        rows.add((t.name, cat.name, schema, bool(t.isTemporary)))
+            except Exception:  # noqa: BLE001 - a catalog without namespaces
+                continue
+    finally:
+        spark.catalog.setCurrentCatalog(current)
+    return spark.createDataFrame(sorted(rows), "name string, share string, schema string, temporary boolean")
 
 
 def share_preview(spark: SparkSession, table: str, column: str, n: int,

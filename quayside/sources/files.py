@@ -1,0 +1,39 @@
+"""File discovery (SRC-5): a folder listing as a DataFrame.
+
+``binaryFile`` lists ``path, modificationTime, length`` and reads file
+bytes only when ``content`` is selected, so a listing is metadata only.
+"""
+
+from __future__ import annotations
+
+import datetime as _dt
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quayside.functions.dates import within_days_before
+from quayside.functions.strings import base_name
+
+
+def list_files(spark: SparkSession, folder: str, glob: str | None = None,
+               recursive: bool = True, with_content: bool = False) -> DataFrame:
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    df = reader.load(folder)
+    cols = ["path", "modificationTime", "length"] + (["content"] if with_content else [])
+    return df.select(*cols).withColumn("file_name", base_name("path"))
+
+
+def modified_within(files: DataFrame, now: _dt.datetime, days: int = 7) -> DataFrame:
+    """Files modified in ``[now - days, now]`` (both ends inclusive)."""
+    return files.filter(within_days_before("modificationTime", now, days))
+
+
+def with_suffix(files: DataFrame, suffixes: tuple[str, ...], any_case: bool = True) -> DataFrame:
+    name = F.lower("file_name") if any_case else F.col("file_name")
+    cond = None
+    for s in suffixes:
+        c = name.endswith(s.lower() if any_case else s)
+        cond = c if cond is None else cond | c
+    return files.filter(cond)

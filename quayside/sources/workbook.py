@@ -1,0 +1,211 @@
+"""Workbook sheets as DataFrames (SRC-4).
+
+A folder of ``.xlsx`` files is listed with the ``binaryFile`` source and each
+workbook is parsed in the task that holds it (``mapInPandas``): a workbook
+is a zip archive, so one file is one unit of work, and a folder of many
+workbooks spreads over the cluster. The parser is the standard library's
+``zipfile`` + ``xml.etree`` (no spreadsheet package is installed): it reads
+shared strings, inline strings, numbers and booleans, and fills gaps in a
+row. Cells leave the parser as text; the declared schema's types are applied
+on the JVM side with casts, so no type is ever inferred.
+
+``write_workbooks`` is the inverse, used to produce workbooks from a
+DataFrame (one workbook per group, written by the task of that group).
+"""
+
+from __future__ import annotations
+
+import io
+import os
+import re
+import zipfile
+from collections.abc import Iterator, Sequence
+from xml.etree import ElementTree as ET
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+_NS = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main",
+       "r": "http://schemas.openxmlformats.org/officeDocument/2006/relationships",
+       "pr": "http://schemas.openxmlformats.org/package/2006/relationships"}
+_REF = re.compile(r"([A-Z]+)(\d+)")
+
+
+def _col_index(letters: str) -> int:
+    n = 0
+    for ch in letters:
+        n = n * 26 + (ord(ch) - 64)
+    return n - 1
+
+
+def _col_letters(i: int) -> str:
+    s = ""
+    i += 1
+    while i:
+        i, r = divmod(i - 1, 26)
+        s = chr(65 + r) + s
+    return s
+
+
+def _text(el) -> str:
+    return "".join(t.text or "" for t in el.iter(f"{{{_NS['m']}}}t"))
+
+
+def sheet_rows(data: bytes, sheet: str | None = None) -> list[list[str | None]]:
+    """All rows of one sheet (first sheet when ``sheet`` is None) as text cells."""
+    with zipfile.ZipFile(io.BytesIO(data)) as z:
+        names = set(z.namelist())
+        wb = ET.fromstring(z.read("xl/workbook.xml"))
+        rels = ET.fromstring(z.read("xl/_rels/workbook.xml.rels"))
+        targets = {r.get("Id"): r.get("Target") for r in rels.findall("pr:Relationship", _NS)}
+        sheets = [(s.get("name"), s.get(f"{{{_NS['r']}}}id")) for s in wb.find("m:sheets", _NS)]
+        if sheet is None:
+            rid = sheets[0][1]
+        else:
+            found = [rid for name, rid in sheets if name == sheet]
+            if not found:
+                raise KeyError(f"worksheet {sheet!r} not found")
+            rid = found[0]
+        target = targets[rid].lstrip("/")
+        target = target if target.startswith("xl/") else "xl/" + target
+        shared: list[str] = []
+        if "xl/sharedStrings.xml" in names:
+            sst = ET.fromstring(z.read("xl/sharedStrings.xml"))
+            shared = [_text(si) for si in sst.findall("m:si", _NS)]
+        out: list[list[str | None]] = []
+        root = ET.fromstring(z.read(target))
+        for row in root.iter(f"{{{_NS['m']}}}row"):
+            cells: dict[int, str | None] = {}
+            for c in row.findall("m:c", _NS):
+                m = _REF.match(c.get("r", ""))
+                idx = _col_index(m.group(1)) if m else (max(cells) + 1 if cells else 0)
+                t = c.get("t", "n")
+                v = c.find("m:v", _NS)
+                if t == "s":
+                    val = shared[int(v.text)] if v is not None else None
+                elif t == "inlineStr":
+                    is_ = c.find("m:is", _NS)
+                    val = _text(is_) if is_ is not None else None
+                elif t == "b":
+                    val = None if v is None else ("True" if v.text == "1" else "False")
+                else:
+                    val = v.text if v is not None else None
+                cells[idx] = val
+            r = int(row.get("r")) - 1 if row.get("r") else len(out)
+            while len(out) < r:
+                out.append([])
+            width = max(cells) + 1 if cells else 0
+            out.append([cells.get(i) for i in range(width)])
+        return out
+
+
+def read_sheets(spark: SparkSession, path: str, columns: Sequence[str], sheet: str | None = None,
+                by_position: bool = False, glob: str = "*.xlsx") -> DataFrame:
+    """SRC-4: rows of ``sheet`` of every workbook under ``path``.
+
+    ``columns`` are picked by header name (a missing name is an error), or by
+    position when ``by_position`` (a workbook whose width differs is an error,
+    PRJ-1). Output: ``_file, _row`` and the columns as text."""
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
+             .option("recursiveFileLookup", "true").load(path).select("path", "content"))
+    cols = list(columns)
+    schema = "_file string, _row long, " + ", ".join(f"`{c}` string" for c in cols)
+
+    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for p, content in zip(pdf["path"], pdf["content"]):
+                rows = sheet_rows(bytes(content), sheet)
+                if not rows:
+                    continue
+                header, body = rows[0], rows[1:]
+                if by_position:
+                    if len(header) != len(cols):
+                        raise ValueError(f"{p}: expected {len(cols)} columns, found {len(header)}")
+                    picks = list(range(len(cols)))
+                else:
+                    missing = [c for c in cols if c not in header]
+                    if missing:
+                        raise ValueError(f"{p}: missing columns {missing}")
+                    picks = [header.index(c) for c in cols]
+                data = {"_file": [p] * len(body), "_row": list(range(2, len(body) + 2))}
+                for c, i in zip(cols, picks):
+                    data[c] = [r[i] if i < len(r) else None for r in body]
+                yield pd.DataFrame(data)
+
+    return files.mapInPandas(parse, schema)
+
+
+def typed(df: DataFrame, types: dict[str, str]) -> DataFrame:
+    """Apply declared types to text cells (JVM casts, strict)."""
+    return df.select(*[F.col(f"`{c}`").cast(types[c]).alias(c) if c in types else F.col(f"`{c}`")
+                       for c in df.columns])
+
+
+# ---------------------------------------------------------------------------
+# Writing
+# ---------------------------------------------------------------------------
+def _esc(s: str) -> str:
+    return s.replace("&", "&amp;").replace("<", "&lt;").replace(">", "&gt;")
+
+
+def workbook_bytes(header: Sequence[str], rows: Sequence[Sequence[object]], sheet: str = "Sheet1") -> bytes:
+    """A minimal single-sheet workbook: inline strings, numbers as numbers."""
+    def cell(ci: int, ri: int, v) -> str:
+        ref = f"{_col_letters(ci)}{ri}"
+        if v is None or (isinstance(v, float) and v != v):
+            return ""
+        if isinstance(v, bool):
+            return f'<c r="{ref}" t="b"><v>{int(v)}</v></c>'
+        if isinstance(v, (int, float)):
+            return f'<c r="{ref}"><v>{repr(v) if isinstance(v, float) else v}</v></c>'
+        return f'<c r="{ref}" t="inlineStr"><is><t xml:space="preserve">{_esc(str(v))}</t></is></c>'
+
+    lines = []
+    for ri, r in enumerate([list(header), *rows], start=1):
+        lines.append(f'<row r="{ri}">' + "".join(cell(ci, ri, v) for ci, v in enumerate(r)) + "</row>")
+    sheet_xml = ('<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
+                 f'<worksheet xmlns="{_NS["m"]}"><sheetData>' + "".join(lines) + "</sheetData></worksheet>")
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("[Content_Types].xml",
+                   '<?xml version="1.0" encoding="UTF-8"?><Types xmlns="http://schemas.openxmlformats.org/package/2006/content-types">'
+                   '<Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/>'
+                   '<Default Extension="xml" ContentType="application/xml"/>'
+                   '<Override PartName="/xl/workbook.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.sheet.main+xml"/>'
+                   '<Override PartName="/xl/worksheets/sheet1.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.worksheet+xml"/>'
+                   '</Types>')
+        z.writestr("_rels/.rels",
+                   f'<?xml version="1.0" encoding="UTF-8"?><Relationships xmlns="{_NS["pr"]}">'
+                   '<Relationship Id="rId1" Type="http://schemas.openxmlformats.org/officeDocument/2006/relationships/officeDocument" Target="xl/workbook.xml"/>'
+                   '</Relationships>')
+        z.writestr("xl/workbook.xml",
+                   f'<?xml version="1.0" encoding="UTF-8"?><workbook xmlns="{_NS["m"]}" xmlns:r="{_NS["r"]}">'
+                   f'<sheets><sheet name="{_esc(sheet)}" sheetId="1" r:id="rId1"/></sheets></workbook>')
+        z.writestr("xl/_rels/workbook.xml.rels",
+                   f'<?xml version="1.0" encoding="UTF-8"?><Relationships xmlns="{_NS["pr"]}">'
+                   '<Relationship Id="rId1" Type="http://schemas.openxmlformats.org/officeDocument/2006/relationships/worksheet" Target="worksheets/sheet1.xml"/>'
+                   '</Relationships>')
+        z.writestr("xl/worksheets/sheet1.xml", sheet_xml)
+    return buf.getvalue()
+
+
+def write_workbooks(df: DataFrame, out_dir: str, group_col: str, sheet: str = "Sheet1",
+                    name_prefix: str = "book_") -> DataFrame:
+    """One workbook per value of ``group_col`` (keep groups bounded: a
+    workbook is one file and one task). Returns ``(path, rows)`` per file.
+    Files are written by the tasks, so ``out_dir`` must be a shared folder."""
+    cols = [c for c in df.columns if c != group_col]
+    base = out_dir.removeprefix("file:")
+
+    def write(pdf: pd.DataFrame) -> pd.DataFrame:
+        key = pdf[group_col].iloc[0]
+        rows = [[None if pd.isna(v) else (v.item() if hasattr(v, "item") else v) for v in r]
+                for r in pdf[cols].itertuples(index=False, name=None)]
+        os.makedirs(base, exist_ok=True)
+        path = os.path.join(base, f"{name_prefix}{key}.xlsx")
+        with open(path, "wb") as fh:
+            fh.write(workbook_bytes(cols, rows, sheet))
+        return pd.DataFrame({"path": [path], "rows": [len(rows)]})
+
+    return df.groupBy(group_col).applyInPandas(write, "path string, rows long")
