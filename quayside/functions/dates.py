@@ -30,12 +30,26 @@ def serial_to_date(x) -> Column:
     return F.date_add(F.lit(SERIAL_DAY_ZERO).cast("date"), days)
 
 
+def _iso_shape(c: Column) -> Column:
+    """``dddd-dd-dd`` shape: ten characters with dashes at 5 and 8."""
+    return (F.length(c) == 10) & (F.substring(c, 5, 1) == "-") & (F.substring(c, 8, 1) == "-")
+
+
 def lenient_date_text(c, formats=(ISO_DATE_FORMAT,)) -> Column:
     """SCL-D2: parse with the given formats (first that fits), render ISO date
-    text; text that fits none becomes null."""
+    text; text that fits none becomes null.
+
+    ISO text that is a valid date is its own rendering, so the ISO format is
+    checked by shape + the cast's date parser and the text kept as it is; other
+    formats go through the pattern parser."""
     c = col_of(c).cast("string")
-    parsed = F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in formats])
-    return F.date_format(parsed, ISO_DATE_FORMAT)
+    outs = []
+    for f in formats:
+        if f == ISO_DATE_FORMAT:
+            outs.append(F.when(_iso_shape(c) & c.try_cast("date").isNotNull(), c))
+        else:
+            outs.append(F.to_date(F.try_to_timestamp(c, F.lit(f))).cast("string"))
+    return F.coalesce(*outs)
 
 
 def iso_date_or_null(c) -> Column:

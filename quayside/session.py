@@ -27,6 +27,9 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Roll-ups keep one small set per key: let the object hash aggregate hold
+    # more keys per task before it falls back to sorting (default 128).
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "16384",
     # Option lists and JSON text must keep null fields (SNK-18).
     "spark.sql.jsonGenerator.ignoreNullFields": "false",
 }
