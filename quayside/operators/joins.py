@@ -66,15 +66,23 @@ def prefix_join(df: DataFrame, key_col: str, stems: DataFrame, stem_col: str,
         return out
     if not lengths:  # no stems: nothing matches (the optimizer folds this to an empty relation)
         return df.filter(F.lit(False)) if how == "left_semi" else df.join(stems, F.lit(False), "inner")
+    if how == "left_semi":
+        # A row matching stems of several lengths must come back once: one
+        # left join per length against that length's distinct stems (no
+        # fan-out), then keep rows that matched any.
+        out, hit = df, None
+        for n in lengths:
+            s_n = (stems.filter(F.length(col_of(stem_col)) == n)
+                   .select(col_of(stem_col).alias(f"__stem{n}")).distinct())
+            out = out.join(s_n, F.substring(col_of(key_col), 1, n) == F.col(f"__stem{n}"), "left")
+            m = F.col(f"__stem{n}").isNotNull()
+            hit = m if hit is None else hit | m
+        return out.filter(hit).drop(*[f"__stem{n}" for n in lengths])
     parts = []
     for n in lengths:
         s_n = stems.filter(F.length(col_of(stem_col)) == n)
-        if how == "left_semi":
-            s_n = s_n.select(col_of(stem_col).alias("__stem")).distinct()
-            parts.append(df.join(s_n, F.substring(col_of(key_col), 1, n) == F.col("__stem"), "left_semi"))
-        else:
-            left = df.withColumn("__prefix", F.substring(col_of(key_col), 1, n))
-            parts.append(left.join(s_n, left["__prefix"] == s_n[quote(stem_col)], "inner").drop("__prefix"))
+        left = df.withColumn("__prefix", F.substring(col_of(key_col), 1, n))
+        parts.append(left.join(s_n, left["__prefix"] == s_n[quote(stem_col)], "inner").drop("__prefix"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
