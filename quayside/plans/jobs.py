@@ -451,6 +451,8 @@ def zip_bytes(listing_with_content: DataFrame, bundles: DataFrame) -> DataFrame:
 
     import pandas as pd
 
+    from quayside.session import ship_package
+    ship_package(listing_with_content.sparkSession)
     pdfs = listing_with_content.filter(F.lower("file_name").endswith(".pdf"))
     j = pdfs.join(bundles.select("folder_path", "zip_name"), "folder_path")
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quayside.functions.dates import MAIL_DATE_FORMAT, iso_date_or_null, ts_literal
@@ -22,12 +22,17 @@ UPDATE_MAX_BROADCAST_ROWS = 1_000_000
 
 
 def _latest_per_key(changes: DataFrame, keys: Sequence[str], order_col: str | None) -> DataFrame:
-    """Deduplicate update requests: the last one per key wins (by ``order_col``)."""
+    """Deduplicate update requests: the last one per key wins (by ``order_col``).
+
+    ``max_by`` is a grouped aggregate with a map-side partial step, so a key
+    with very many requests is reduced before the shuffle (a window would sort
+    all of that key's requests in one task)."""
     if order_col is None:
         return changes.dropDuplicates(list(keys))
-    w = Window.partitionBy(*[quote(k) for k in keys]).orderBy(col_of(order_col).desc())
-    return (changes.withColumn("__rn", F.row_number().over(w))
-            .filter("__rn = 1").drop("__rn"))
+    others = [c for c in changes.columns if c not in keys]
+    latest = (changes.groupBy(*[quote(k) for k in keys])
+              .agg(F.max_by(F.struct(*[col_of(c) for c in others]), col_of(order_col)).alias("__last")))
+    return latest.select(*[col_of(k) for k in keys], *[F.col(f"__last.{quote(c)}").alias(c) for c in others])
 
 
 def keyed_update(table: DataFrame, changes: DataFrame, keys: Sequence[str],

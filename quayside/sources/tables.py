@@ -23,16 +23,29 @@ DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "
                  "conversations")
 
 
+_SCHEMAS: dict[tuple[int, str], object] = {}
+
+
 class Tables:
     """Parquet tables of one folder, read lazily (one scan per use; Catalyst
-    prunes columns and pushes filters into each)."""
+    prunes columns and pushes filters into each).
+
+    A table's schema is inferred once per session (that inference is a Spark
+    job) and passed explicitly on later reads."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder.rstrip("/")
 
     def __call__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        path = f"{self.folder}/{name}.parquet"
+        key = (id(self.spark), path)
+        schema = _SCHEMAS.get(key)
+        if schema is None:
+            df = self.spark.read.parquet(path)
+            _SCHEMAS[key] = df.schema
+            return df
+        return self.spark.read.schema(schema).parquet(path)
 
     def register(self, *names: str) -> "Tables":
         for n in names or DRIVER_TABLES:

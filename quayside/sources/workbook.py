@@ -26,6 +26,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quayside.session import ship_package
+
 _NS = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main",
        "r": "http://schemas.openxmlformats.org/officeDocument/2006/relationships",
        "pr": "http://schemas.openxmlformats.org/package/2006/relationships"}
@@ -107,6 +109,7 @@ def read_sheets(spark: SparkSession, path: str, columns: Sequence[str], sheet: s
     ``columns`` are picked by header name (a missing name is an error), or by
     position when ``by_position`` (a workbook whose width differs is an error,
     PRJ-1). Output: ``_file, _row`` and the columns as text."""
+    ship_package(spark)
     files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
              .option("recursiveFileLookup", "true").load(path).select("path", "content"))
     cols = list(columns)
@@ -195,6 +198,7 @@ def write_workbooks(df: DataFrame, out_dir: str, group_col: str, sheet: str = "S
     """One workbook per value of ``group_col`` (keep groups bounded: a
     workbook is one file and one task). Returns ``(path, rows)`` per file.
     Files are written by the tasks, so ``out_dir`` must be a shared folder."""
+    ship_package(df.sparkSession)
     cols = [c for c in df.columns if c != group_col]
     base = out_dir.removeprefix("file:")
 

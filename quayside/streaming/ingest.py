@@ -7,7 +7,9 @@ WN-1/WN-2) and writes the batch to ``<output>/epoch=<id>`` with overwrite:
 a replayed epoch after a failure rewrites the same folder, so the sink is
 idempotent and the checkpoint makes the stream restartable. ``availableNow``
 drains what has landed and stops, which is how the timer-driven jobs run;
-``processingTime`` keeps it running.
+``processingTime`` keeps it running. A micro-batch is persisted while its
+jobs run (the duplicate tagger reads it more than once); its size is set by
+the trigger (``maxFilesPerTrigger`` on the reader, if a limit is wanted).
 
 The log stream reads an envelope ``{"pos": …, "raw": "<post line>"}`` so that
 key presence can be tested on the raw line (WN-2); lines without any id go
@@ -19,6 +21,7 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -49,8 +52,12 @@ def invoice_stream(spark: SparkSession, landing: str, output: str, checkpoint: s
     stream = spark.readStream.schema(jobs.INVOICE_SCHEMA).json(landing)
 
     def handle(batch: DataFrame, epoch: int) -> None:
-        tagged = jobs.tag_invoices(batch, stamp(epoch))
-        tagged.write.mode("overwrite").parquet(f"{output}/epoch={epoch}")
+        batch.persist(StorageLevel.MEMORY_AND_DISK)  # read by several jobs below
+        try:
+            tagged = jobs.tag_invoices(batch, stamp(epoch))
+            tagged.write.mode("overwrite").parquet(f"{output}/epoch={epoch}")
+        finally:
+            batch.unpersist()
 
     return _start(stream, handle, checkpoint, available_now, processing_time)
 
@@ -63,9 +70,13 @@ def syslog_stream(spark: SparkSession, landing: str, output: str, checkpoint: st
     stream = spark.readStream.schema(ENVELOPE_SCHEMA).json(landing)
 
     def handle(batch: DataFrame, epoch: int) -> None:
-        tagged, quarantine = jobs.tag_syslog_lines(batch, stamp(epoch))
-        tagged.write.mode("overwrite").parquet(f"{output}/epoch={epoch}")
-        quarantine.write.mode("overwrite").parquet(f"{output}_quarantine/epoch={epoch}")
+        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            tagged, quarantine = jobs.tag_syslog_lines(batch, stamp(epoch))
+            tagged.write.mode("overwrite").parquet(f"{output}/epoch={epoch}")
+            quarantine.write.mode("overwrite").parquet(f"{output}_quarantine/epoch={epoch}")
+        finally:
+            batch.unpersist()
 
     return _start(stream, handle, checkpoint, available_now, processing_time)
 
