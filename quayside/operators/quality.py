@@ -33,19 +33,32 @@ def _problems(df: DataFrame, types: Mapping[str, str], max_lengths: Mapping[str,
     return F.concat_ws("; ", *checks) if checks else F.lit("")
 
 
-def split_by_cast(df: DataFrame, types: Mapping[str, str],
-                  max_lengths: Mapping[str, int] | None = None,
-                  required: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
-    """Return ``(good, rejected)``; ``good`` is cast to ``types``, ``rejected``
-    holds the raw columns plus ``reject_reason``. ``required`` columns must be
-    non-null."""
+def with_reasons(df: DataFrame, types: Mapping[str, str],
+                 max_lengths: Mapping[str, int] | None = None,
+                 required: tuple[str, ...] = ()) -> DataFrame:
+    """The raw rows plus ``reject_reason`` (``''`` for a good row)."""
     reason = _problems(df, types, max_lengths or {})
     for r in required:
         reason = F.concat_ws("; ", F.nullif(reason, F.lit("")),
                              F.when(col_of(r).isNull(), F.lit(f"{r}: missing")))
-    tagged = df.withColumn(REASON, reason)
+    return df.withColumn(REASON, reason)
+
+
+def split_tagged(tagged: DataFrame, types: Mapping[str, str]) -> tuple[DataFrame, DataFrame]:
+    """``(good, rejected)`` from rows that carry ``reject_reason``."""
+    cols = [c for c in tagged.columns if c != REASON]
     good = (tagged.filter(F.col(REASON) == "")
             .select(*[col_of(c).cast(types.get(c, "string")).alias(c)
-                      if c in types else col_of(c) for c in df.columns]))
+                      if c in types else col_of(c) for c in cols]))
     rejected = tagged.filter(F.col(REASON) != "")
     return good, rejected
+
+
+def split_by_cast(df: DataFrame, types: Mapping[str, str],
+                  max_lengths: Mapping[str, int] | None = None,
+                  required: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """Return ``(good, rejected)``; ``good`` is cast to ``types``, ``rejected``
+    holds the raw columns plus ``reject_reason``. ``required`` columns must be
+    non-null. (Jobs that use both halves stage ``with_reasons`` first, so the
+    input is read once.)"""
+    return split_tagged(with_reasons(df, types, max_lengths, required), types)

@@ -108,8 +108,11 @@ def load_table(store: TableStore, target: str, rows: DataFrame, types: Mapping[s
                job: str, now: _dt.datetime, max_lengths: Mapping[str, int] | None = None):
     """Warehouse extract → salvage split (SNK-16) → full refresh (SNK-1,
     files of at most 50,000 rows, SNK-17) → count (AG-7) → run log (SNK-15).
+    The extract is read once: rows with their reject reason are staged, and
+    both the good and the rejected rows come from the staged files.
     Returns ``(table, rejected)``."""
-    good, rejected = quality.split_by_cast(rows, types, max_lengths)
+    staged = store.stage(target, quality.with_reasons(rows, types, max_lengths))
+    good, rejected = quality.split_tagged(staged, types)
     table = store.replace(target, good, max_records_per_file=LOAD_BATCH_ROWS)
     n = table.count()
     store.log_run(job, target, "Success", n, now)
@@ -375,11 +378,13 @@ def folder_paths(rows: DataFrame) -> DataFrame:
 
 def folder_state(store: TableStore, new_rows: DataFrame) -> DataFrame | None:
     """J15 state: abort on an empty result (SNK-7), else drop rows with a null
-    status and append (SNK-8) as the next version."""
-    if new_rows.isEmpty():
+    status and append (SNK-8) as the next version. The new rows are staged
+    once, so the emptiness check and the transition read files."""
+    staged = store.stage("folder_paths", new_rows)
+    if staged.isEmpty():
         return None
     old = store.current("folder_paths")
-    nxt = new_rows if old is None else transitions.partial_replace(old, new_rows)
+    nxt = staged if old is None else transitions.partial_replace(old, staged)
     return store.replace("folder_paths", nxt)
 
 

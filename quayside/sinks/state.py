@@ -24,6 +24,10 @@ from quayside.session import work_dir
 
 LOAD_BATCH_ROWS = 50_000  # fixed value: rows per insert batch / output file (SNK-17)
 
+# Schemas of the versions this process wrote: reading them back needs no
+# schema-inference job.
+_WRITTEN: dict[str, T.StructType] = {}
+
 
 class TableStore:
     def __init__(self, spark: SparkSession, root: str | None = None):
@@ -55,12 +59,17 @@ class TableStore:
         return f"{self.root}/{name}/v{version:06d}"
 
     # -- reads ---------------------------------------------------------------
+    def _read_path(self, path: str) -> DataFrame:
+        schema = _WRITTEN.get(path)
+        reader = self.spark.read if schema is None else self.spark.read.schema(schema)
+        return reader.parquet(path)
+
     def read(self, name: str, version: int | None = None) -> DataFrame | None:
         vs = self.versions(name)
         if not vs:
             return None
         v = vs[-1] if version is None else version
-        return self.spark.read.parquet(self.path(name, v))
+        return self._read_path(self.path(name, v))
 
     def current(self, name: str) -> DataFrame | None:
         return self.read(name)
@@ -80,10 +89,22 @@ class TableStore:
         if max_records_per_file:
             w = w.option("maxRecordsPerFile", max_records_per_file)
         w.parquet(target)
-        out = self.spark.read.parquet(target)
+        _WRITTEN[target] = df.schema
+        out = self._read_path(target)
         out.createOrReplaceTempView(name)
         return out
 
+    def stage(self, name: str, df: DataFrame) -> DataFrame:
+        """Write ``df`` once to a staging folder of the table and return it read
+        back: the lineage is cut, so later checks and transitions read files
+        instead of recomputing the input (and a lost executor only costs a
+        re-read)."""
+        import uuid
+        target = f"{self.root}/{name}/_staging/{uuid.uuid4().hex[:12]}"
+        df.write.parquet(target)
+        _WRITTEN[target] = df.schema
+        return self._read_path(target)
+
     def replace_unless_empty(self, name: str, df: DataFrame) -> DataFrame | None:
         """SNK-7: an empty result leaves the current version alone."""
         if df.isEmpty():
@@ -95,9 +116,10 @@ class TableStore:
         target = f"{self.root}/{name}/append"
         if not (only_if_rows and df.isEmpty()):
             df.write.mode("append").parquet(target)
+            _WRITTEN.setdefault(target, df.schema)
         if not self._exists(target):
             return df.limit(0)
-        out = self.spark.read.parquet(target)
+        out = self._read_path(target)
         out.createOrReplaceTempView(name)
         return out
 

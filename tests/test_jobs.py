@@ -200,3 +200,42 @@ def test_insert_overwrite_replaces_rows(spark):
     jobs.insert_overwrite(spark, name, loc, "SELECT k FROM io_src")
     out = jobs.insert_overwrite(spark, name, loc, "SELECT k * 10 AS k FROM io_src WHERE k = :k", {"k": 2})
     assert rows(out) == [(20,)]
+
+
+def test_stored_text_runner_isolates_failures(spark):
+    from quayside.sinks.state import TableStore
+    store = TableStore(spark)
+    spark.createDataFrame([(1,), (2,)], "k int").createOrReplaceTempView("ct_src")
+    out = jobs.run_stored_texts(spark, store, {"DMS_a": "SELECT k FROM ct_src", "DMS_b": "SELECT nope FROM ct_src",
+                                               "DMS_c": "SELECT k FROM ct_src WHERE k > :m"},
+                                "control_tables", dt.datetime(2024, 3, 5), args={"m": 1})
+    assert sorted(out) == ["DMS_a", "DMS_c"] and rows(out["DMS_c"]) == [(2,)]
+    log = {r["target"]: (r["status"], r["rows"]) for r in spark.read.parquet(f"{store.root}/run_log/append").collect()}
+    assert log["DMS_a"] == ("Success", 2) and log["DMS_b"][0].startswith("Failed") and log["DMS_b"][1] is None
+
+
+def test_refresh_unless_empty(spark):
+    from quayside.sinks.state import TableStore
+    store = TableStore(spark)
+    now = dt.datetime(2024, 3, 5)
+    assert jobs.refresh_unless_empty(store, "inv_pl", spark.createDataFrame([(1,)], "k int"), "inv_pl", now).count() == 1
+    assert jobs.refresh_unless_empty(store, "inv_pl", spark.createDataFrame([], "k int"), "inv_pl", now) is None
+    assert rows(store.current("inv_pl")) == [(1,)]
+
+
+def test_mail_manifest_one_message_per_zip(spark):
+    ready = spark.createDataFrame([("u1", "a;b", "Shared%20Documents/F"), ("u2", "c", "Shared%20Documents/G")],
+                                  "unique_item_id string, customer_contact string, folder_path string")
+    zips = spark.createDataFrame([("Shared%20Documents/F", "BK1.zip"), ("Shared%20Documents/F", "X.ZIP"),
+                                  ("Shared%20Documents/F", "a.pdf"), ("Shared%20Documents/G", "PO2.zip")],
+                                 "folder_path string, file_name string")
+    out = sorted(rows(jobs.mail_manifest(ready, zips), "unique_item_id", "file_name", "recipients"))
+    assert out == [("u1", "BK1.zip", ["a", "b"]), ("u2", "PO2.zip", ["c"])]
+
+
+def test_cert_list_drops_null_keys(spark):
+    cols = list(jobs.CERT_KEYS) + ["sales_organization"]
+    base = ["x"] * len(jobs.CERT_KEYS)
+    data = [tuple(base + ["MX01"]), tuple(base + ["MX02"]), tuple(base[:-1] + [None] + ["MX03"])]
+    df = spark.createDataFrame(data, ", ".join(f"{c} string" for c in cols))
+    assert rows(jobs.cert_list(df), "sales_organization") == [("MX01;MX02",)]
