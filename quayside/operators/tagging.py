@@ -12,10 +12,10 @@ Nothing here runs in one task:
   (a third of all rows) is split by AQE's skew-join handling, and the other
   side carries one row per document.
 * the running count over the whole batch is a two-pass prefix sum: rows are
-  cut into ``n`` ranges of ``pos`` by approximate quantiles (computed once,
-  ``n`` numbers reach the driver), each range sums locally with a window
-  partitioned by range, and the per-range totals (``n`` rows per batch, a
-  proven bound) give each range its offset.
+  cut into ``n`` ranges of ``pos`` by approximate quantiles of the input
+  positions (computed once, ``n`` numbers reach the driver), summed locally
+  with a window per range, and the per-range totals (``n`` rows per batch, a
+  proven bound, summed map-side) give each range its offset.
 """
 
 from __future__ import annotations
@@ -33,28 +33,50 @@ from quayside.functions.values import json_has_key
 _BUCKET = "__range"
 
 
-def _range_buckets(df: DataFrame, order_col: str, n: int) -> DataFrame:
+def range_cuts(df: DataFrame, order_col: str, n: int) -> list[float]:
+    """``n - 1`` approximate quantiles of ``order_col`` (at most ``n`` numbers
+    reach the driver). Any cuts give the same result; good ones balance tasks."""
+    if n <= 1:
+        return []
     probs = [i / n for i in range(1, n)]
-    cuts = df.approxQuantile(order_col, probs, 0.001) if n > 1 else []
-    splits = [float("-inf")] + sorted({float(c) for c in cuts if c is not None}) + [float("inf")]
-    if len(splits) < 3:
-        return df.withColumn(_BUCKET, F.lit(0.0))
+    cuts = df.select(order_col).approxQuantile(order_col, probs, 0.25 / n)
+    return sorted({float(c) for c in cuts if c is not None})
+
+
+def _bucketize(df: DataFrame, order_col: str, cuts: list[float]) -> DataFrame:
+    if not cuts:
+        return df.withColumn(_BUCKET, F.lit(0))
+    splits = [float("-inf"), *cuts, float("inf")]
     tmp = "__order_d"
     with_d = df.withColumn(tmp, col_of(order_col).cast("double"))
     out = Bucketizer(splits=splits, inputCol=tmp, outputCol=_BUCKET,
                      handleInvalid="keep").transform(with_d)
-    return out.drop(tmp)
+    # an int range id: a floating key would need normalising before each exchange
+    return out.withColumn(_BUCKET, F.col(_BUCKET).cast("int")).drop(tmp)
+
+
+def _n_ranges(df: DataFrame, n_ranges: int | None) -> int:
+    if n_ranges:
+        return n_ranges
+    # Several ranges per shuffle partition, so hash collisions between range
+    # ids even out across tasks.
+    return 4 * max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
 
 
 def running_count(df: DataFrame, flag_col: str, order_col: str, out: str,
-                  batch_col: str | None = None, n_ranges: int | None = None) -> DataFrame:
+                  batch_col: str | None = None, n_ranges: int | None = None,
+                  cuts: list[float] | None = None) -> DataFrame:
     """Inclusive running sum of the 0/1 ``flag_col`` in ``order_col`` order,
     per ``batch_col`` (or over the whole frame). ``order_col`` must be unique
-    within a batch, as array positions are."""
-    spark = df.sparkSession
-    n = n_ranges or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    bucketed = _range_buckets(df, order_col, n)
+    within a batch, as array positions are.
+
+    Two passes: the per-range totals read only the range and flag columns and
+    are summed map-side before their (tiny) exchange; the running sums shuffle
+    the rows once on their range."""
+    if cuts is None:
+        cuts = range_cuts(df, order_col, _n_ranges(df, n_ranges))
     part = ([quote(batch_col)] if batch_col else [])
+    bucketed = _bucketize(df, order_col, cuts)
     totals = (bucketed.groupBy(*part, _BUCKET)
               .agg(F.sum(col_of(flag_col)).alias("__range_total")))
     w_tot = (Window.partitionBy(*part) if part else Window.partitionBy(F.lit(0)))
@@ -64,7 +86,7 @@ def running_count(df: DataFrame, flag_col: str, order_col: str, out: str,
             w_tot.orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)),
             F.lit(0)).alias("__offset"))
     if not batch_col:
-        # n rows at most: the number of ranges, fixed above.
+        # one row per range: at most len(cuts) + 1 rows, fixed above.
         offsets = F.broadcast(offsets)
     w_local = (Window.partitionBy(*part, _BUCKET).orderBy(col_of(order_col))
                .rowsBetween(Window.unboundedPreceding, 0))
@@ -89,7 +111,9 @@ def dup_tags(df: DataFrame, doc_col: str, pos_col: str, batch_col: str | None =
     flagged = (keyed.join(firsts, cond, "inner")
                .drop(*renamed)
                .withColumn("__rep", (col_of(pos_col) > F.col("__first")).cast("int")))
-    counted = running_count(flagged, "__rep", pos_col, "__reps", batch_col, n_ranges)
+    # cut points from the input positions alone (a pruned scan), not the join
+    cuts = range_cuts(df, pos_col, _n_ranges(df, n_ranges))
+    counted = running_count(flagged, "__rep", pos_col, "__reps", batch_col, n_ranges, cuts)
     return (counted.withColumn(out, F.when(F.col("__rep") == 1, F.col("__reps") + 1)
                                .otherwise(F.lit(1)).cast("long"))
             .drop("__rep", "__reps", "__first", doc_txt))
