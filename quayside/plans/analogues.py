@@ -541,7 +541,8 @@ def _folder_state(spark: SparkSession, sf_dir: str):
     from quayside.plans import jobs
     from quayside.sinks.state import TableStore
     store = TableStore(spark)
-    new = jobs.folder_paths(src(spark, sf_dir, FOLDER_ROWS_SQL))
+    # today's folder rows, computed once; yesterday's table marks Ocean rows Done
+    new = store.stage("folder_input", jobs.folder_paths(src(spark, sf_dir, FOLDER_ROWS_SQL)))
     old = new.withColumn("status", F.when(F.col("shipp_condition") == "Ocean", F.lit("Done")))
     store.replace("folder_paths", old)
     return store, jobs.folder_state(store, new)

@@ -366,13 +366,22 @@ FOLDER_COLUMNS = ("sales_order_number", "booking_number", "po_number", "shipp_co
 
 def folder_paths(rows: DataFrame) -> DataFrame:
     """J15 body: SCL-S1 on country, name and OT data; the path (SCL-S2, null if
-    any part is null); FLT-4; PRJ-4 (OTdata dropped); PRJ-2 (10 columns)."""
-    clean = rows.select(*[strings.strip_special(c).alias(c) if c in ("shipto_country", "shipto_name", "OTdata")
-                          else col_of(c) for c in rows.columns])
+    any part is null); FLT-4; PRJ-4 (OTdata dropped); PRJ-2 (10 columns).
+
+    FLT-4 is applied to the path's parts: ``a + b + …`` is null exactly when
+    a part is null, so "path not null" is "no part null" — a cheap test that
+    runs before the text work (a filter on the path itself would be pushed
+    below the projection and compute every strip twice)."""
+    parts = ("region", "shipto_country", "shipto_number", "shipto_name", "shipp_condition", "OTdata")
+    kept = rows
+    for p in parts:
+        kept = filters.not_null(kept, p)
+    clean = kept.select(*[strings.strip_special(c).alias(c) if c in ("shipto_country", "shipto_name", "OTdata")
+                          else col_of(c) for c in kept.columns])
     path = strings.plus_concat("region", F.lit("/Shipments/"), "shipto_country", F.lit("/"),
                                "shipto_number", F.lit("-"), "shipto_name", F.lit("/"),
                                "shipp_condition", F.lit("/"), "OTdata")
-    out = filters.not_null(clean.withColumn("folder_path", path), "folder_path").drop("OTdata")
+    out = clean.withColumn("folder_path", path).drop("OTdata")
     return projections.select_renamed(out, [(c, c) for c in FOLDER_COLUMNS])
 
 
