@@ -36,7 +36,14 @@ def lookup_left(df: DataFrame, lookup: DataFrame, left_key: str, right_key: str,
     """JN-1: left equi-join to a small lookup (a repeated lookup key fans
     out, as in SQL)."""
     lk = broadcast_if_small(lookup, max_rows)
-    return df.join(lk, col_of(left_key) == lk[quote(right_key)], "left")
+    return _equi(df, lk, left_key, right_key, "left")
+
+
+def _equi(df: DataFrame, other: DataFrame, left_key: str, right_key: str, how: str) -> DataFrame:
+    """Equi-join on one key; a key named alike on both sides is kept once."""
+    if left_key == right_key:
+        return df.join(other, [left_key], how)
+    return df.join(other, df[quote(left_key)] == other[quote(right_key)], how)
 
 
 def computed_key_left(df: DataFrame, key_expr: Column, other: DataFrame, other_key: str,
@@ -116,4 +123,4 @@ def codes_inner(df: DataFrame, codes: DataFrame, left_key: str, right_key: str)
     """JN-3: inner join to a code table that may list a code several times;
     callers apply DISTINCT (as the reference does)."""
     cd = broadcast_if_small(codes)
-    return df.join(cd, col_of(left_key) == cd[quote(right_key)], "inner")
+    return _equi(df, cd, left_key, right_key, "inner")

@@ -18,7 +18,10 @@ from quayside.functions.dates import MAIL_DATE_FORMAT, iso_date_or_null, ts_lite
 from quayside.functions.util import col_of, quote
 from quayside.operators.joins import broadcast_if_small, prefix_join
 
-UPDATE_MAX_BROADCAST_ROWS = 1_000_000
+# Update requests, outcomes and processed paths are broadcast only up to this
+# many rows (a few short columns each: tens of MB at most); beyond it the
+# update is a shuffled join on the key.
+UPDATE_MAX_BROADCAST_ROWS = 200_000
 
 
 def _latest_per_key(changes: DataFrame, keys: Sequence[str], order_col: str | None) -> DataFrame:

@@ -223,3 +223,23 @@ def test_salvage_split(spark):
     assert rows(good) == [(1, 2.5, "ok")]
     reasons = sorted(r["reject_reason"] for r in bad.collect())
     assert reasons == ["d: not double", "n: not bigint", "t: longer than 255"]
+
+
+def test_broadcast_check_falls_back_above_bound(spark):
+    big = spark.range(50).withColumnRenamed("id", "k")
+    small = spark.createDataFrame([(i, f"v{i}") for i in range(10)], "k long, v string")
+    hinted = joins.broadcast_if_small(small, max_rows=100)
+    plain = joins.broadcast_if_small(small, max_rows=5)
+    assert "ResolvedHint" in hinted._jdf.queryExecution().analyzed().toString()
+    assert "ResolvedHint" not in plain._jdf.queryExecution().analyzed().toString()
+    a = sorted(rows(joins.lookup_left(big, small, "k", "k", max_rows=100).select("k", "v")), key=str)
+    b = sorted(rows(joins.lookup_left(big, small, "k", "k", max_rows=5).select("k", "v")), key=str)
+    assert a == b and len(a) == 50
+
+
+def test_dup_tags_hot_document_third_of_rows(spark):
+    rnd = random.Random(3)
+    docs = ["HOT" if i % 3 == 0 else f"d{rnd.randint(0, 400)}" for i in range(3000)]
+    df = spark.createDataFrame(list(zip(docs, range(3000))), "doc string, pos long").repartition(6)
+    got = [r["Dup_Value"] for r in tagging.dup_tags(df, "doc", "pos").orderBy("pos").collect()]
+    assert got == brute_dup(docs)
