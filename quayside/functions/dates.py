@@ -18,7 +18,17 @@ ISO_DATE_FORMAT = "yyyy-MM-dd"
 
 
 def ts_literal(now: _dt.datetime | str) -> Column:
-    """A timestamp parameter as a literal column (jobs never read the clock)."""
+    """A wall-clock parameter (batch time, run time) as a ``timestamp_ntz``
+    literal: formatting it gives the same text whatever the session time zone
+    (jobs never read the clock)."""
+    text = now if isinstance(now, str) else now.isoformat(sep=" ")
+    return F.lit(text).cast("timestamp_ntz")
+
+
+def instant_literal(now: _dt.datetime | str) -> Column:
+    """An instant parameter, for comparisons with instants such as file
+    modification times (a naive ``datetime`` means the local instant, as
+    Spark converts collected values)."""
     if isinstance(now, str):
         return F.to_timestamp(F.lit(now))
     return F.lit(now).cast("timestamp")
@@ -66,7 +76,7 @@ def stamp(ts, fmt: str = UNIQUE_STAMP_FORMAT) -> Column:
 
 def within_days_before(ts, now, days: int = 7) -> Column:
     """SCL-D5: ``now - days <= ts <= now`` (both ends inclusive)."""
-    now_c = ts_literal(now) if isinstance(now, (_dt.datetime, str)) else now
+    now_c = instant_literal(now) if isinstance(now, (_dt.datetime, str)) else now
     t = col_of(ts)
     return (t >= now_c - F.expr(f"INTERVAL {int(days)} DAYS")) & (t <= now_c)
 

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quayside.functions.dates import ts_literal
 from quayside.session import work_dir
 
 LOAD_BATCH_ROWS = 50_000  # fixed value: rows per insert batch / output file (SNK-17)
@@ -127,7 +128,7 @@ class TableStore:
     RUN_LOG_SCHEMA = T.StructType([
         T.StructField("job", T.StringType()), T.StructField("target", T.StringType()),
         T.StructField("file_name", T.StringType()), T.StructField("status", T.StringType()),
-        T.StructField("rows", T.LongType()), T.StructField("logged_at", T.TimestampType())])
+        T.StructField("rows", T.LongType()), T.StructField("logged_at", T.TimestampNTZType())])
 
     def log_run(self, job: str, target: str, status: str, rows: int | None,
                 logged_at: _dt.datetime, file_name: str | None = None) -> DataFrame:
@@ -142,4 +143,4 @@ def run_log_rows(counts: DataFrame, job: str, logged_at: _dt.datetime,
     return counts.select(
         F.lit(job).alias("job"), F.col("target"), F.lit(None).cast("string").alias("file_name"),
         F.lit(status).alias("status"), F.col("rows").cast("long").alias("rows"),
-        F.lit(logged_at).cast("timestamp").alias("logged_at"))
+        ts_literal(logged_at).alias("logged_at"))
