@@ -415,6 +415,7 @@ def file_routing(blobs: DataFrame, invoices: DataFrame, folders: DataFrame, toda
     distinct non-null folder of the invoices whose file name starts with the
     blob's stem (JN-4, literal prefix), joined to folders on the leading-zero
     rule (JN-2, SCL-S12). Blobs without a folder are ``unrouted`` (Q10).
+    The case-blind ``.pdf`` test is SCL-S16 (``lower`` + ``endswith`` built-ins).
     Output: ``name, route, target``."""
     pdf = blobs.filter(F.lower("name").endswith(".pdf")).select(
         "name", strings.base_name("name").alias("file"), strings.pdf_stem("name").alias("stem"))
@@ -533,7 +534,7 @@ def cert_insert(table: DataFrame, requests: DataFrame) -> DataFrame:
 # Ingest with duplicate tags
 # ---------------------------------------------------------------------------
 def tag_invoices(rows: DataFrame, batch_ts: _dt.datetime, batch_col: str | None = None) -> DataFrame:
-    """SRC-6 defaults (absent fields → null), WN-1, WN-3. Rows without a
+    """SRC-6 defaults (absent fields → null, SCL-L3), WN-1, WN-3. Rows without a
     document go to quarantine (Q19) and are not returned."""
     for c in INVOICE_DEFAULTED:
         if c not in rows.columns:

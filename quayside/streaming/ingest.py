@@ -1,7 +1,7 @@
 """Structured Streaming ingest of posted rows (STR-1, STR-2).
 
 Posts land as JSON-lines files in a landing folder. A file-source stream
-with a declared schema (missing keys → null, SRC-6) feeds ``foreachBatch``,
+with a declared schema (missing keys → null: SRC-6, SCL-L3) feeds ``foreachBatch``,
 which tags duplicates within the micro-batch (the tag scope of one post,
 WN-1/WN-2) and writes the batch to ``<output>/epoch=<id>`` with overwrite:
 a replayed epoch after a failure rewrites the same folder, so the sink is
