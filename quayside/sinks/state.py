@@ -63,7 +63,9 @@ class TableStore:
     def _read_path(self, path: str) -> DataFrame:
         schema = _WRITTEN.get(path)
         reader = self.spark.read if schema is None else self.spark.read.schema(schema)
-        return reader.parquet(path)
+        out = reader.parquet(path)
+        out._store_files = path  # marks a plain read of written files (see stage)
+        return out
 
     def read(self, name: str, version: int | None = None) -> DataFrame | None:
         vs = self.versions(name)
@@ -99,8 +101,11 @@ class TableStore:
         """Write ``df`` once to a staging folder of the table and return it read
         back: the lineage is cut, so later checks and transitions read files
         instead of recomputing the input (and a lost executor only costs a
-        re-read)."""
+        re-read). A frame that already is a plain read of this store's files
+        is returned as it is: writing it again would only copy the files."""
         import uuid
+        if getattr(df, "_store_files", None):
+            return df
         target = f"{self.root}/{name}/_staging/{uuid.uuid4().hex[:12]}"
         df.write.parquet(target)
         _WRITTEN[target] = df.schema
