@@ -34,6 +34,21 @@ def test_failed_write_leaves_current_version(spark):
     assert rows(store.current("t")) == [("1",)]
 
 
+def test_stage_writes_once(spark):
+    """A staged frame staged again is returned as it is (no second copy);
+    a computed frame is written and read back."""
+    import os
+    store = TableStore(spark)
+    first = store.stage("s", spark.createDataFrame([(1,), (2,)], "a int"))
+    staging = f"{store.root}/s/_staging"
+    n = len(os.listdir(staging))
+    assert store.stage("s", first) is first
+    assert len(os.listdir(staging)) == n
+    derived = store.stage("s", first.withColumn("b", F.col("a") * 2))
+    assert len(os.listdir(staging)) == n + 1
+    assert sorted(rows(derived)) == [(1, 2), (2, 4)]
+
+
 def test_run_log(spark):
     store = TableStore(spark)
     now = dt.datetime(2024, 3, 5, 5, 50)
