@@ -269,7 +269,7 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", fit_rows: i
             for i, t in enumerate(batch.column(0).to_pylist()):
                 if t:
                     nodes.add(i, t, base_spans(t))
-            nb = np.minimum(neighbours(nodes), 3).reshape(len(nodes.text), -1)
+            nb = np.minimum(neighbours(nodes), 3).reshape(-1, 3 * N_LABELS)
             yield pa.RecordBatch.from_arrays([
                 pa.array(nodes.feat, pa.int64()), pa.array(nodes.label, pa.int32()),
                 pa.array(nb.tolist(), pa.list_(pa.int32()))], names=["feat", "label", "nb"])

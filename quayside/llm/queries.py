@@ -102,10 +102,10 @@ wins AS (
       ELSE list_transform(range(1, len(w) - 11), lambda i: list_slice(w, i, i + 12)) END) AS x FROM items)),
 lens AS (SELECT DISTINCT m FROM wins),
 docs AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS.format("coalesce(text, '')")} AS w FROM documents),
-at AS (
+spots AS (
   SELECT r, m, unnest(range(1, len(w) - m + 2)) AS i, w FROM docs, lens WHERE len(w) >= m),
 hits AS (
-  SELECT a.r, a.i, a.m, b.item_id FROM at a JOIN wins b
+  SELECT a.r, a.i, a.m, b.item_id FROM spots a JOIN wins b
     ON a.m = b.m AND array_to_string(list_slice(a.w, a.i, a.i + a.m - 1), ' ') = b.win),
 hit_words AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + m)) AS p FROM hits) GROUP BY r),
 hit_items AS (
