@@ -12,6 +12,9 @@ from pyspark.sql import types as T
 
 from quayside.session import checkpoint_root
 
+#: Most labels whose counts are broadcast.
+MOST_LABELS = 10_000
+
 #: Rows of one Arrow batch handed to a Python worker: bounds its memory.
 BATCH_ROWS = 512
 
@@ -128,8 +131,12 @@ def labelled_sample(df: DataFrame, label: str, key: str, per_label: int) -> Data
     the key (so the same rows every time). Only the pruned label column is read
     to count; the counts table has one row per label."""
     spread = 1 << 30
+    spread = 1 << 30
     known = df.where(quoted(label).isNotNull())
     counts = known.groupBy(quoted(label).alias("sample_label")).agg(F.count(F.lit(1)).alias("sample_rows"))
+    few = counts.limit(MOST_LABELS + 1).collect()
+    if len(few) <= MOST_LABELS:  # the checked bound of the broadcast; texts are not shuffled
+        counts = F.broadcast(df.sparkSession.createDataFrame(few, counts.schema))
     u = F.pmod(F.xxhash64(quoted(key), F.lit("sample")), F.lit(spread))
     return (known.join(counts, quoted(label) == F.col("sample_label"))
             .where(u < F.lit(float(spread * per_label)) / F.col("sample_rows"))
