@@ -11,6 +11,7 @@ from quayside.functions.util import col_of
 
 # Spreadsheet day zero, and the stamp formats of the jobs.
 SERIAL_DAY_ZERO = "1899-12-30"
+LAST_SERIAL = 2958465  # 9999-12-31
 UNIQUE_STAMP_FORMAT = "ddMMHHmmss"     # invoice / log unique ids
 MAIL_DATE_FORMAT = "dd/MM/yyyy"        # mail outcome dates
 FILE_TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss'Z'"  # listing times
@@ -62,6 +63,15 @@ def lenient_date_text(c, formats=(ISO_DATE_FORMAT,)) -> Column:
     return F.coalesce(*outs)
 
 
+def report_date_text(c) -> Column:
+    """SCL-D2 for a sheet cell: ISO date text as it is; a date-styled cell is a
+    serial number (SCL-D1) and becomes its ISO date; anything else is null."""
+    text = col_of(c).cast("string")
+    day = F.when(text.rlike(r"^[0-9]{1,7}([.][0-9]+)?$"), text.try_cast("double"))
+    serial = F.when((day >= 1) & (day < LAST_SERIAL + 1), serial_to_date(day).cast("string"))
+    return F.coalesce(lenient_date_text(text), serial)
+
+
 def iso_date_or_null(c) -> Column:
     """SCL-D3: null or ``''`` → null, otherwise a strict ``yyyy-MM-dd`` date.
 

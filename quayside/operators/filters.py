@@ -15,6 +15,8 @@ from quayside.functions.util import col_of
 
 # Fixed values of the alert search (FLT-7).
 OPEN_STATUSES = ("Not Started", "In Progress")
+# A character that is not white space, Unicode spaces included.
+NOT_BLANK = r"[^\s\x1C-\x1F\x85\p{Z}]"
 ACTIVE, ARCHIVED = "Active", "Archived"
 
 
@@ -35,8 +37,9 @@ def drop_containing_if_any(df: DataFrame, col, text: str) -> DataFrame:
 
 
 def non_blank(df: DataFrame, col) -> DataFrame:
-    """FLT-3: keep rows whose text is non-empty after trimming."""
-    return df.filter(F.length(F.trim(col_of(col))) > 0)
+    """FLT-3: keep rows whose text has a character that is no white space (of
+    any kind: tabs, line ends and no-break spaces are blank, too)."""
+    return df.filter(col_of(col).rlike(NOT_BLANK))
 
 
 def not_null(df: DataFrame, col) -> DataFrame:

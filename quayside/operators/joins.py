@@ -1,10 +1,9 @@
 """Joins.
 
-Broadcast is used only behind a row-count check of the small side
-(``broadcast_if_small``); beyond the bound the plan falls back to a
-shuffled join that AQE may still convert or split for skew.
-Prefix joins (JN-4, JN-6) are exact equi-joins: one per distinct stem
-length, joining ``substring(key, 1, L)`` with the stems of length ``L``.
+Plain equi-joins: which side is broadcast is left to Spark's size estimates
+and to AQE's measured sizes, so no job runs while a plan is built. A prefix
+join (JN-4, JN-6) is one exact equi-join: every key is exploded once into its
+prefixes of the lengths that stems have.
 """
 
 from __future__ import annotations
@@ -16,27 +15,11 @@ from pyspark.sql import functions as F
 
 from quayside.functions.util import col_of, quote
 
-# Lookups (shipping conditions, country codes) are master data of a few
-# hundred rows; this bound is what the size check enforces.
-LOOKUP_MAX_ROWS = 100_000
 
-
-def broadcast_if_small(df: DataFrame, max_rows: int = LOOKUP_MAX_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast when it has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows; a larger side is left to
-    the planner (sort-merge / AQE)."""
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
-
-
-def lookup_left(df: DataFrame, lookup: DataFrame, left_key: str, right_key: str,
-                max_rows: int = LOOKUP_MAX_ROWS) -> DataFrame:
-    """JN-1: left equi-join to a small lookup (a repeated lookup key fans
-    out, as in SQL)."""
-    lk = broadcast_if_small(lookup, max_rows)
-    return _equi(df, lk, left_key, right_key, "left")
+def lookup_left(df: DataFrame, lookup: DataFrame, left_key: str, right_key: str) -> DataFrame:
+    """JN-1: left equi-join to a lookup (a repeated lookup key fans out, as in
+    SQL)."""
+    return _equi(df, lookup, left_key, right_key, "left")
 
 
 def _equi(df: DataFrame, other: DataFrame, left_key: str, right_key: str, how: str) -> DataFrame:
@@ -54,46 +37,44 @@ def computed_key_left(df: DataFrame, key_expr: Column, other: DataFrame, other_k
 
 
 def _stem_lengths(stems: DataFrame, stem_col: str) -> list[int]:
-    # Bounded by the longest stem: one small integer per distinct length.
+    # The one job that runs while a plan is built: one small integer per
+    # distinct length, at most as many as the longest stem has characters.
     rows = stems.select(F.length(col_of(stem_col)).alias("n")).distinct().collect()
-    return sorted(r["n"] for r in rows if r["n"] is not None)
+    return sorted(r["n"] for r in rows if r["n"])
 
 
 def prefix_join(df: DataFrame, key_col: str, stems: DataFrame, stem_col: str,
                 how: str = "inner") -> DataFrame:
     """JN-4: rows of ``df`` whose ``key_col`` starts with a stem, paired with
     that stem's row (``how`` = inner or left_semi), or JN-6 (``left_anti``):
-    rows whose key starts with no stem. Literal prefixes (Q9)."""
+    rows whose key starts with no stem. Literal prefixes (Q9).
+
+    A stem of length 0 matches nothing: as a prefix it would match every row,
+    delete whole tables or pair all with all. Callers set such stems aside
+    (``empty_stems``)."""
     lengths = _stem_lengths(stems, stem_col)
-    if how == "left_anti":
-        out = df
-        for n in lengths:
-            s_n = stems.filter(F.length(col_of(stem_col)) == n).select(col_of(stem_col).alias("__stem")).distinct()
-            out = out.join(s_n, F.substring(col_of(key_col), 1, n) == F.col("__stem"), "left_anti")
-        return out
-    if not lengths:  # no stems: nothing matches (the optimizer folds this to an empty relation)
-        return df.filter(F.lit(False)) if how == "left_semi" else df.join(stems, F.lit(False), "inner")
-    if how == "left_semi":
-        # A row matching stems of several lengths must come back once: one
-        # left join per length against that length's distinct stems (no
-        # fan-out), then keep rows that matched any.
-        out, hit = df, None
-        for n in lengths:
-            s_n = (stems.filter(F.length(col_of(stem_col)) == n)
-                   .select(col_of(stem_col).alias(f"__stem{n}")).distinct())
-            out = out.join(s_n, F.substring(col_of(key_col), 1, n) == F.col(f"__stem{n}"), "left")
-            m = F.col(f"__stem{n}").isNotNull()
-            hit = m if hit is None else hit | m
-        return out.filter(hit).drop(*[f"__stem{n}" for n in lengths])
-    parts = []
-    for n in lengths:
-        s_n = stems.filter(F.length(col_of(stem_col)) == n)
-        left = df.withColumn("__prefix", F.substring(col_of(key_col), 1, n))
-        parts.append(left.join(s_n, left["__prefix"] == s_n[quote(stem_col)], "inner").drop("__prefix"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    if not lengths:  # the optimizer folds these to an empty relation or to df
+        return {"left_anti": df, "left_semi": df.filter(F.lit(False))}.get(
+            how, df.join(stems, F.lit(False), "inner"))
+    key = col_of(key_col)
+    prefixes = F.transform(F.filter(F.array(*map(F.lit, lengths)), lambda n: n <= F.length(key)),
+                           lambda n: F.substring(key, F.lit(1), n))
+    if how == "inner":
+        cut = df.withColumn("__prefix", F.explode(prefixes))
+        return cut.join(stems, cut["__prefix"] == stems[quote(stem_col)], "inner").drop("__prefix")
+    keys = df.select(key.alias("__key")).distinct()
+    cut = keys.select("__key", F.explode(F.transform(
+        F.filter(F.array(*map(F.lit, lengths)), lambda n: n <= F.length("__key")),
+        lambda n: F.substring(F.col("__key"), F.lit(1), n))).alias("__prefix"))
+    hits = cut.join(stems.select(col_of(stem_col).alias("__stem")).distinct(),
+                    F.col("__prefix") == F.col("__stem"), "left_semi").select("__key").distinct()
+    return df.join(hits, key == F.col("__key"), how)
+
+
+def empty_stems(df: DataFrame, stem_col: str) -> DataFrame:
+    """Rows whose stem is empty or null: they name no prefix."""
+    stem = col_of(stem_col)
+    return df.filter(stem.isNull() | (F.length(stem) == 0))
 
 
 def snapshot_changes(new: DataFrame, old: DataFrame, keys: Sequence[str],
@@ -104,17 +85,18 @@ def snapshot_changes(new: DataFrame, old: DataFrame, keys: Sequence[str],
     (null-safe). Keys found on one side only are not reported.
 
     Plan: one equi-join of the two snapshots on the keys (both sides hash
-    partitioned on the keys; bucketed tables avoid the exchange), then a
-    map-side unpivot and filter."""
+    partitioned on the keys; bucketed tables avoid the exchange); only the
+    columns that differ are unpivoted."""
     o = old.select(*[col_of(k) for k in keys],
                    *[col_of(c).cast("string").alias(f"__old_{i}") for i, c in enumerate(cols)])
     n = new.select(*[col_of(k) for k in keys],
                    *[col_of(c).cast("string").alias(f"__new_{i}") for i, c in enumerate(cols)])
     j = n.join(o, [*keys], "inner")
-    pairs = F.array(*[F.struct(F.lit(c).alias("c"), F.col(f"__old_{i}").alias("o"),
-                               F.col(f"__new_{i}").alias("n")) for i, c in enumerate(cols)])
-    exploded = j.select(*[col_of(k) for k in keys], F.explode(pairs).alias("__p"))
-    return (exploded.filter(~F.col("__p.o").eqNullSafe(F.col("__p.n")))
+    pairs = F.array_compact(F.array(*[
+        F.when(~F.col(f"__old_{i}").eqNullSafe(F.col(f"__new_{i}")),
+               F.struct(F.lit(c).alias("c"), F.col(f"__old_{i}").alias("o"), F.col(f"__new_{i}").alias("n")))
+        for i, c in enumerate(cols)]))
+    return (j.select(*[col_of(k) for k in keys], F.explode(pairs).alias("__p"))
             .select(*[col_of(k) for k in keys], F.col("__p.c").alias(column_name),
                     F.col("__p.o").alias(old_name), F.col("__p.n").alias(new_name)))
 
@@ -122,5 +104,4 @@ def snapshot_changes(new: DataFrame, old: DataFrame, keys: Sequence[str],
 def codes_inner(df: DataFrame, codes: DataFrame, left_key: str, right_key: str) -> DataFrame:
     """JN-3: inner join to a code table that may list a code several times;
     callers apply DISTINCT (as the reference does)."""
-    cd = broadcast_if_small(codes)
-    return _equi(df, cd, left_key, right_key, "inner")
+    return _equi(df, codes, left_key, right_key, "inner")

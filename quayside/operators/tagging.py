@@ -5,24 +5,26 @@ every later repeat gets ``1 +`` the running count of *all* repeats seen so
 far in the batch, itself included (the counter is shared by all documents).
 Documents A,B,A,B,C,A → 1,1,2,3,1,4.
 
-Nothing here runs in one task:
-
-* "is this row a repeat" = ``pos > min(pos)`` of its document. The minimum is
-  a partial/final hash aggregate, joined back on the document; a hot document
-  (a third of all rows) is split by AQE's skew-join handling, and the other
-  side carries one row per document.
-* the running count over the whole batch is a two-pass prefix sum: rows are
-  cut into ``n`` ranges of ``pos`` by approximate quantiles of the input
-  positions (computed once, ``n`` numbers reach the driver), summed locally
-  with a window per range, and the per-range totals (``n`` rows per batch, a
-  proven bound, summed map-side) give each range its offset.
+With a batch column (one posted body is one batch, bounded by its size) the
+tags are windows over the batch: one exchange on the batch column.
+
+Without one, the whole frame is the batch and nothing runs in one task:
+
+* "is this row a repeat" = ``pos > min(pos)`` of its document: a partial/final
+  aggregate joined back on the document. AQE splits a hot document; the other
+  side has one row per document.
+* the running count is a two-pass prefix sum over ranges of ``pos``. Positions
+  are unique, so a range of width w has at most w rows; the ranges are equal
+  widths between the least and greatest position (two numbers on the driver).
+  Repeats before a range = rows before it minus documents that begin before
+  it, so the totals need only the positions and the minima: the wide rows are
+  joined once and shuffled once to their range.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,93 +32,50 @@ from quayside.functions.dates import UNIQUE_STAMP_FORMAT, ts_literal
 from quayside.functions.util import col_of, quote
 from quayside.functions.values import json_has_key
 
-_BUCKET = "__range"
-
-
-def range_cuts(df: DataFrame, order_col: str, n: int) -> list[float]:
-    """``n - 1`` approximate quantiles of ``order_col`` (at most ``n`` numbers
-    reach the driver). Any cuts give the same result; good ones balance tasks."""
-    if n <= 1:
-        return []
-    probs = [i / n for i in range(1, n)]
-    cuts = df.select(order_col).approxQuantile(order_col, probs, 0.25 / n)
-    return sorted({float(c) for c in cuts if c is not None})
-
-
-def _bucketize(df: DataFrame, order_col: str, cuts: list[float]) -> DataFrame:
-    if not cuts:
-        return df.withColumn(_BUCKET, F.lit(0))
-    splits = [float("-inf"), *cuts, float("inf")]
-    tmp = "__order_d"
-    with_d = df.withColumn(tmp, col_of(order_col).cast("double"))
-    out = Bucketizer(splits=splits, inputCol=tmp, outputCol=_BUCKET,
-                     handleInvalid="keep").transform(with_d)
-    # an int range id: a floating key would need normalising before each exchange
-    return out.withColumn(_BUCKET, F.col(_BUCKET).cast("int")).drop(tmp)
-
-
-def _n_ranges(df: DataFrame, n_ranges: int | None) -> int:
-    if n_ranges:
-        return n_ranges
-    # Several ranges per shuffle partition, so hash collisions between range
-    # ids even out across tasks.
-    return 4 * max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
-
-
-def running_count(df: DataFrame, flag_col: str, order_col: str, out: str,
-                  batch_col: str | None = None, n_ranges: int | None = None,
-                  cuts: list[float] | None = None) -> DataFrame:
-    """Inclusive running sum of the 0/1 ``flag_col`` in ``order_col`` order,
-    per ``batch_col`` (or over the whole frame). ``order_col`` must be unique
-    within a batch, as array positions are.
-
-    Two passes: the per-range totals read only the range and flag columns and
-    are summed map-side before their (tiny) exchange; the running sums shuffle
-    the rows once on their range."""
-    if cuts is None:
-        cuts = range_cuts(df, order_col, _n_ranges(df, n_ranges))
-    part = ([quote(batch_col)] if batch_col else [])
-    bucketed = _bucketize(df, order_col, cuts)
-    totals = (bucketed.groupBy(*part, _BUCKET)
-              .agg(F.sum(col_of(flag_col)).alias("__range_total")))
-    w_tot = (Window.partitionBy(*part) if part else Window.partitionBy(F.lit(0)))
-    offsets = totals.select(
-        *part, _BUCKET,
-        F.coalesce(F.sum("__range_total").over(
-            w_tot.orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)),
-            F.lit(0)).alias("__offset"))
-    if not batch_col:
-        # one row per range: at most len(cuts) + 1 rows, fixed above.
-        offsets = F.broadcast(offsets)
-    w_local = (Window.partitionBy(*part, _BUCKET).orderBy(col_of(order_col))
-               .rowsBetween(Window.unboundedPreceding, 0))
-    local = bucketed.withColumn("__local", F.sum(col_of(flag_col)).over(w_local))
-    joined = local.join(offsets, [*([batch_col] if batch_col else []), _BUCKET], "left")
-    return joined.withColumn(out, (F.col("__offset") + F.col("__local")).cast("long")) \
-                 .drop("__offset", "__local", _BUCKET)
+
+def _per_batch(df: DataFrame, doc_txt: str, pos_col: str, batch_col: str, out: str) -> DataFrame:
+    batch = quote(batch_col)
+    flagged = df.withColumn("__rep", (col_of(pos_col) > F.min(col_of(pos_col)).over(
+        Window.partitionBy(batch, doc_txt))).cast("int"))
+    run = Window.partitionBy(batch).orderBy(col_of(pos_col)).rowsBetween(Window.unboundedPreceding, 0)
+    tag = F.when(F.col("__rep") == 1, F.sum("__rep").over(run) + 1).otherwise(F.lit(1)).cast("long")
+    # one exchange on the batch serves both windows
+    return flagged.withColumn(out, tag).drop("__rep")
 
 
 def dup_tags(df: DataFrame, doc_col: str, pos_col: str, batch_col: str | None = None,
              out: str = "Dup_Value", n_ranges: int | None = None) -> DataFrame:
     """WN-1: add ``out`` (long) to every row. Documents are compared as text
-    (Q19); a null document is a document of its own."""
-    doc_txt = "__doc"
-    keyed = df.withColumn(doc_txt, col_of(doc_col).cast("string"))
-    keys = ([batch_col] if batch_col else []) + [doc_txt]
-    renamed = [f"__fk{i}" for i in range(len(keys))]
-    firsts = (keyed.groupBy(*[quote(k) for k in keys])
-              .agg(F.min(col_of(pos_col)).alias("__first"))
-              .toDF(*renamed, "__first"))
-    cond = [F.col(quote(k)).eqNullSafe(F.col(r)) for k, r in zip(keys, renamed)]
-    flagged = (keyed.join(firsts, cond, "inner")
-               .drop(*renamed)
-               .withColumn("__rep", (col_of(pos_col) > F.col("__first")).cast("int")))
-    # cut points from the input positions alone (a pruned scan), not the join
-    cuts = range_cuts(df, pos_col, _n_ranges(df, n_ranges))
-    counted = running_count(flagged, "__rep", pos_col, "__reps", batch_col, n_ranges, cuts)
-    return (counted.withColumn(out, F.when(F.col("__rep") == 1, F.col("__reps") + 1)
-                               .otherwise(F.lit(1)).cast("long"))
-            .drop("__rep", "__reps", "__first", doc_txt))
+    (Q19); a null document is a document of its own. ``pos_col`` is an integer,
+    unique within a batch, as array positions are."""
+    doc = "__doc"
+    keyed = df.withColumn(doc, col_of(doc_col).cast("string"))
+    if batch_col:
+        return _per_batch(keyed.repartition(col_of(batch_col)), doc, pos_col, batch_col, out).drop(doc)
+    pos = col_of(pos_col).cast("long")
+    lo, hi = df.agg(F.min(pos), F.max(pos)).first()
+    lo, hi = lo or 0, hi or 0
+    n = n_ranges or 4 * max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    width = max(1, -(-(hi - lo + 1) // n))
+    ranged = lambda c: F.expr(f"cast(({c} - {lo}L) div {width}L as int)")
+
+    firsts = keyed.groupBy(doc).agg(F.min(pos).alias("__first"))
+    rows = df.select(ranged(f"cast({quote(pos_col)} as bigint)").alias("__range")).groupBy("__range").agg(
+        F.count(F.lit(1)).alias("__n"))
+    begun = firsts.select(ranged("__first").alias("__range")).groupBy("__range").agg((-F.count(F.lit(1))).alias("__n"))
+    totals = rows.unionByName(begun).groupBy("__range").agg(F.sum("__n").alias("__n"))
+    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("__range", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"))
+    offsets = F.broadcast(offsets)  # one row per range: n + 1 at most
+
+    flagged = (keyed.join(firsts.withColumnRenamed(doc, "__fdoc"), F.col(doc).eqNullSafe(F.col("__fdoc")))
+               .drop("__fdoc", doc)
+               .withColumn("__rep", (pos > F.col("__first")).cast("int"))
+               .withColumn("__range", ranged(f"cast({quote(pos_col)} as bigint)")))
+    local = Window.partitionBy("__range").orderBy(col_of(pos_col)).rowsBetween(Window.unboundedPreceding, 0)
+    counted = flagged.withColumn("__local", F.sum("__rep").over(local)).join(offsets, "__range", "left")
+    tag = F.when(F.col("__rep") == 1, F.col("__offset") + F.col("__local") + 1).otherwise(F.lit(1))
+    return counted.withColumn(out, tag.cast("long")).drop("__rep", "__local", "__offset", "__first", "__range")
 
 
 def unique_value(doc, batch_ts: _dt.datetime | str, dup="Dup_Value"):

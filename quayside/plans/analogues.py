@@ -1,7 +1,8 @@
 """The registered queries: each SURVEY §2 operator chain run over the driver
 tables (SURVEY §7.4), with the DuckDB SQL that must return the same rows.
 
-Every query reads whole tables (no id subsets, no row caps); the inputs of
+Every query reads whole tables (no row caps); update inputs that reach only some
+rows are made so by their keys or conditions, as updates are. The inputs of
 the document jobs (shipments, mail queue, folders, certificates …) are
 derived from the TPC-H-like tables by column mappings written once in the
 ``_inputs`` helpers and mirrored in SQL in ``ORACLE``.
@@ -17,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.operators import aggs, filters
+from quayside.plans import jobs
 from quayside.sources.tables import Tables
 
 # Fixed parameters of the registered queries (jobs never read the clock).
@@ -353,7 +355,6 @@ WHERE send_email_status = 'Ready' AND customer_contact <> '-'
 
 
 def mail_ready_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from quayside.plans import jobs
     return jobs.mail_ready(src(spark, sf_dir, MAIL_QUEUE_SQL), shipping_lookup(spark))
 
 
@@ -382,10 +383,14 @@ MAIL_TABLE_SQL = """
   FROM {orders}
 """
 MAIL_OUTCOME_SQL = """
-  SELECT 'M' || CAST(o_orderkey AS STRING) AS unique_item_id, o_orderstatus = 'F' AS ok,
+  SELECT CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'M' ELSE 'none' END
+           || CAST(o_orderkey AS STRING) AS unique_item_id, o_orderstatus = 'F' AS ok,
          CASE WHEN o_orderstatus = 'F' THEN NULL
-              ELSE 'Recipient''s mailbox is full (' || CAST(o_custkey AS STRING) || ')' END AS error_message
-  FROM {orders} WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')
+              ELSE 'Recipient''s mailbox is full (' || CAST(o_custkey AS STRING) || ')' END AS error_message, 2 AS seq
+  FROM {orders}
+  UNION ALL
+  SELECT 'M' || CAST(o_orderkey AS STRING) AS unique_item_id, FALSE AS ok, 'first try' AS error_message, 1 AS seq
+  FROM {orders} WHERE o_orderpriority <> '5-LOW'
 """
 
 
@@ -397,7 +402,9 @@ SELECT t.unique_item_id,
             ELSE t.send_email_comment END AS send_email_comment,
        CASE WHEN o.unique_item_id IS NULL THEN t.date_send_email
             ELSE '{RUN_TS:%d/%m/%Y}' END AS date_send_email
-FROM ({duck(MAIL_TABLE_SQL)}) t LEFT JOIN ({duck(MAIL_OUTCOME_SQL)}) o ON t.unique_item_id = o.unique_item_id
+FROM ({duck(MAIL_TABLE_SQL)}) t LEFT JOIN (
+  SELECT * FROM ({duck(MAIL_OUTCOME_SQL)}) x QUALIFY row_number() OVER (PARTITION BY unique_item_id ORDER BY seq DESC) = 1) o
+  ON t.unique_item_id = o.unique_item_id
 """)
 def q_mail_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SNK-13 + SCL-D4: the mail table after writing back send outcomes."""
@@ -442,8 +449,7 @@ INVOICE_SQL = _dup_sql(duck(INVOICE_ROWS_SQL), "Sales_Document",
 
 @register("invoice_dup_tags", INVOICE_SQL)
 def q_invoice_dup_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from quayside.plans import jobs
-    return jobs.tag_invoices(src(spark, sf_dir, INVOICE_ROWS_SQL), BATCH_TS)
+    return jobs.tag_invoices(src(spark, sf_dir, INVOICE_ROWS_SQL), BATCH_TS)[0]
 
 
 # ---------------------------------------------------------------------------
@@ -477,7 +483,6 @@ SYSLOG_SQL = _dup_sql(f"""
 
 @register("syslog_dup_tags", SYSLOG_SQL)
 def q_syslog_dup_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from quayside.plans import jobs
     good, _quarantine = jobs.tag_syslog_lines(src(spark, sf_dir, SYSLOG_RAW_SQL), BATCH_TS)
     return good
 
@@ -520,7 +525,6 @@ WHERE region IS NOT NULL
 @register("folder_paths", FOLDER_PATHS_SQL)
 def q_folder_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SCL-S1 + SCL-S2 + FLT-4 + PRJ-2 + PRJ-4."""
-    from quayside.plans import jobs
     return jobs.folder_paths(src(spark, sf_dir, FOLDER_ROWS_SQL))
 
 
@@ -538,7 +542,6 @@ SELECT * FROM ({FOLDER_PATHS_SQL}) n
 
 
 def _folder_state(spark: SparkSession, sf_dir: str):
-    from quayside.plans import jobs
     from quayside.sinks.state import TableStore
     store = TableStore(spark)
     # today's folder rows, computed once; yesterday's table marks Ocean rows Done
@@ -566,7 +569,6 @@ FROM s LEFT JOIN created c ON replace(c.site_path, 'Shared%20Documents/', '') =
 def q_folder_done(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AG-4 + SCL-S13 + SNK-12: folders created (all but Asian ones, which
     "fail") are marked Done."""
-    from quayside.plans import jobs
     _store, state = _folder_state(spark, sf_dir)
     todo = jobs.folders_to_create(state)
     created = todo.filter(~F.col("site_path").startswith("Shared%20Documents/ASIA/"))
@@ -585,28 +587,39 @@ REPORT_OLD_SQL = """
   FROM {orders}
 """
 REPORT_FILES_SQL = """
-  SELECT CAST(c_custkey AS STRING) || '-x.xlsx' AS file_name FROM {customer} WHERE c_mktsegment = 'AUTOMOBILE'
+  SELECT CAST(c_custkey AS STRING) || '-x.xlsx' AS file_name, 2 AS file_no FROM {customer} WHERE c_mktsegment = 'AUTOMOBILE'
+  UNION ALL
+  SELECT CAST(c_custkey AS STRING) || '-1x.xlsx' AS file_name,
+         CASE WHEN c_acctbal < 0 THEN 1 ELSE 3 END AS file_no FROM {customer} WHERE c_mktsegment <> 'BUILDING'
+  UNION ALL SELECT 'x.xlsx' AS file_name, 9 AS file_no
 """
 REPORT_NEW_SQL = """
   SELECT CAST(o_custkey AS STRING) || '-' || CAST(o_orderkey AS STRING) AS SalesDocno,
-         'N' AS Status, o_orderpriority AS Priority
+         'N' AS Status, o_orderpriority AS Priority, 2 AS file_no
   FROM {orders} JOIN {customer} ON o_custkey = c_custkey WHERE c_mktsegment = 'AUTOMOBILE'
+  UNION ALL
+  SELECT CAST(o_custkey AS STRING) || '-' || CAST(o_orderkey AS STRING) AS SalesDocno,
+         'O' AS Status, o_orderpriority AS Priority, CASE WHEN c_acctbal < 0 THEN 1 ELSE 3 END AS file_no
+  FROM {orders} JOIN {customer} ON o_custkey = c_custkey
+  WHERE c_mktsegment <> 'BUILDING' AND CAST(o_orderkey AS STRING) LIKE '1%'
 """
 
 
 @register("prefix_replace", f"""
-WITH stems AS (SELECT substr(file_name, 1, length(file_name) - 6) AS stem FROM ({duck(REPORT_FILES_SQL)}) f)
+WITH stems AS (SELECT substr(file_name, 1, length(file_name) - 6) AS stem, file_no FROM ({duck(REPORT_FILES_SQL)}) f
+               WHERE length(file_name) > 6)
 SELECT * FROM ({duck(REPORT_OLD_SQL)}) o
 WHERE NOT EXISTS (SELECT 1 FROM stems WHERE starts_with(o.SalesDocno, stems.stem))
 UNION ALL
-SELECT * FROM ({duck(REPORT_NEW_SQL)}) n
+SELECT SalesDocno, Status, Priority FROM ({duck(REPORT_NEW_SQL)}) n
+WHERE NOT EXISTS (SELECT 1 FROM stems WHERE starts_with(n.SalesDocno, stems.stem) AND stems.file_no > n.file_no)
 """)
 def q_prefix_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quayside.functions.strings import drop_last_chars
-    from quayside.plans import jobs
-    stems = src(spark, sf_dir, REPORT_FILES_SQL).select(drop_last_chars("file_name", 6).alias("stem"))
+    stems = src(spark, sf_dir, REPORT_FILES_SQL).select(
+        drop_last_chars("file_name", 6).alias("stem"), "file_no")
     return jobs.delivery_report_state(src(spark, sf_dir, REPORT_OLD_SQL), src(spark, sf_dir, REPORT_NEW_SQL),
-                                      stems)
+                                      stems, order_col="file_no")
 
 
 # ---------------------------------------------------------------------------
@@ -636,7 +649,6 @@ FROM ({duck(ALERT_TABLE_SQL)}) t LEFT JOIN last l
   ON t.ShiptoID = l.ShiptoID AND t.UniqueID = l.UniqueID AND t.ChangedColumn = l.ChangedColumn
 """)
 def q_keyed_update(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from quayside.plans import jobs
     return jobs.alert_status_update(src(spark, sf_dir, ALERT_TABLE_SQL), src(spark, sf_dir, ALERT_REQUESTS_SQL),
                                     order_col="seq")
 
@@ -660,8 +672,13 @@ CERT_REQUESTS_SQL = """
               ELSE CAST(CAST(ts AS DATE) AS STRING) END AS LatestDocumentDate,
          CAST(CAST(ts AS DATE) + 365 AS STRING) AS ExpirationDate,
          CASE WHEN event_type = 'purchase' THEN '' ELSE CAST(CAST(ts AS DATE) + 300 AS STRING) END AS AlertDate,
-         'In Progress' AS Status, props AS Comment
+         'In Progress' AS Status, props AS Comment, 2 AS seq
   FROM {events}
+  UNION ALL
+  SELECT event_id AS ID, 'Draft' AS DocumentName, 'first request' AS DocumentDescription, 'No' AS Legalization,
+         '' AS LatestDocumentDate, CAST(NULL AS STRING) AS ExpirationDate, '' AS AlertDate, 'Draft' AS Status,
+         'replaced' AS Comment, CASE WHEN event_type = 'view' THEN 3 ELSE 1 END AS seq
+  FROM {events} WHERE event_type IN ('view', 'click', 'purchase')
 """
 CERT_INSERT_SQL = """
   SELECT 'C' || CAST(user_id AS STRING) AS Country, CAST(user_id AS STRING) AS ShipToID,
@@ -689,7 +706,8 @@ def _date_sql(c: str) -> str:
 
 
 @register("cert_update", f"""
-WITH t AS ({duck(CERT_TABLE_SQL)}), r AS ({duck(CERT_REQUESTS_SQL)}),
+WITH t AS ({duck(CERT_TABLE_SQL)}),
+r AS (SELECT * FROM ({duck(CERT_REQUESTS_SQL)}) x QUALIFY row_number() OVER (PARTITION BY ID ORDER BY seq DESC) = 1),
 u AS (
   SELECT t.ID, t.Country, t.ShipTo,
          CASE WHEN r.ID IS NULL THEN t.DocumentName ELSE r.DocumentName END AS DocumentName,
@@ -704,7 +722,6 @@ u AS (
 SELECT {_cert_out_sql('u')} FROM u
 """)
 def q_cert_update(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from quayside.plans import jobs
     return _cert_out(jobs.cert_update(src(spark, sf_dir, CERT_TABLE_SQL), src(spark, sf_dir, CERT_REQUESTS_SQL)))
 
 
@@ -721,7 +738,6 @@ u AS (
 SELECT {_cert_out_sql('u')} FROM u
 """)
 def q_cert_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from quayside.plans import jobs
     return _cert_out(jobs.cert_insert(src(spark, sf_dir, CERT_TABLE_SQL), src(spark, sf_dir, CERT_INSERT_SQL)))
 
 
@@ -735,6 +751,7 @@ BLOBS_SQL = """
          CASE WHEN url LIKE '%#top' THEN '.txt' WHEN url LIKE '%?page%' THEN '.PDF.pdf'
               WHEN url LIKE 'https%' THEN '.pdf' ELSE '.PDF' END AS name
   FROM {pages}
+  UNION ALL SELECT '.pdf' AS name
 """
 INVOICE_FILES_SQL = """
   SELECT 'inv_' || CAST(o_custkey AS STRING) || '_' || CAST(o_orderkey AS STRING) || '.pdf' AS file_name,
@@ -756,7 +773,7 @@ WITH pdf AS (SELECT name, list_extract(string_split(name, '/'), -1) AS file,
                     replace(lower(name), '.pdf', '') AS stem
              FROM ({duck(BLOBS_SQL)}) b WHERE lower(name) LIKE '%.pdf'),
 hits AS (SELECT p.name, p.file, i.Sales_Document FROM pdf p
-         JOIN ({duck(INVOICE_FILES_SQL)}) i ON starts_with(i.file_name, p.stem)),
+         JOIN ({duck(INVOICE_FILES_SQL)}) i ON starts_with(i.file_name, p.stem) WHERE p.stem <> ''),
 routed AS (SELECT DISTINCT h.name, h.file, 'folder' AS route, f.folder_path AS target
            FROM hits h JOIN ({duck(ORDER_FOLDERS_SQL)}) f
              ON (CASE WHEN left(h.Sales_Document, 2) = '00' THEN right(h.Sales_Document, 8)
@@ -764,12 +781,11 @@ routed AS (SELECT DISTINCT h.name, h.file, 'folder' AS route, f.folder_path AS t
            WHERE f.folder_path IS NOT NULL)
 SELECT name, file, 'dated' AS route, 'TEST/INV_PLTesting/Prod{RUN_TS:%d%m%Y}/' AS target FROM pdf
 UNION ALL SELECT * FROM routed
-UNION ALL SELECT name, file, 'unrouted' AS route, CAST(NULL AS VARCHAR) AS target FROM pdf
+UNION ALL SELECT name, file, CASE WHEN stem = '' THEN 'quarantine' ELSE 'unrouted' END AS route, CAST(NULL AS VARCHAR) AS target FROM pdf
           WHERE name NOT IN (SELECT name FROM routed)
 """)
 def q_file_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRC-5 (suffix) + SCL-S7 + JN-4 + JN-2/SCL-S12/SCL-C2 + SCL-S14 + SCL-S17."""
-    from quayside.plans import jobs
     return jobs.file_routing(src(spark, sf_dir, BLOBS_SQL), src(spark, sf_dir, INVOICE_FILES_SQL),
                              src(spark, sf_dir, ORDER_FOLDERS_SQL), RUN_TS.date())
 
@@ -836,7 +852,6 @@ UNION ALL
 """)
 def q_zip_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JN-1 + FLT-12 + SET-1 + AG-4 + FLT-13 + SCL-S6 + AG-9 (names)."""
-    from quayside.plans import jobs
     b = jobs.zip_bundles(src(spark, sf_dir, TICKETS_SQL), src(spark, sf_dir, SEND_MAIL_SQL),
                          shipping_lookup(spark), src(spark, sf_dir, LISTING_SQL))
     return b.withColumn("pdf_names", F.array_join("pdf_names", ";"))
@@ -849,6 +864,7 @@ def q_zip_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
 CUSTOMER_LIST_SQL = """
   SELECT CAST(c_custkey AS STRING) AS ship_to,
          CASE WHEN c_mktsegment = 'MACHINERY' THEN c_name || '--"M"'
+              WHEN c_mktsegment = 'AUTOMOBILE' AND c_acctbal > 9000 THEN NULL
               WHEN c_mktsegment = 'AUTOMOBILE' AND c_acctbal < 0 THEN NULL ELSE c_name END AS ship_to_name,
          upper(substr(n_name, 1, 2)) AS ship_to_country,
          CASE c_mktsegment WHEN 'BUILDING' THEN 'Blocked' WHEN 'HOUSEHOLD' THEN 'Inactive'
@@ -867,22 +883,28 @@ _OPTION_JOIN = f"""
 
 @register("destination_options", f"""
 SELECT value, value AS label, to_json({{'value': value, 'label': value}}) AS option
-FROM (SELECT DISTINCT replace(UN.country_name, '//', '') AS value {_OPTION_JOIN}) d
+FROM (SELECT replace(country_name, '//', '') AS value FROM (SELECT DISTINCT UN.country_name {_OPTION_JOIN}) d) v
 """)
 def q_destination_options(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from quayside.plans import jobs
     return jobs.destination_options(src(spark, sf_dir, CUSTOMER_LIST_SQL), src(spark, sf_dir, UN_LOCODE_SQL))
 
 
-@register("shipto_options", f"""
-WITH o AS (SELECT DISTINCT UN.country_name AS country,
-                  replace(replace(CL.ship_to_name || '-' || CL.ship_to, '"', ''), '--', '-') AS value
-           {_OPTION_JOIN})
+_OPTION_ROWS = f"""SELECT country, replace(replace(stored, '"', ''), '--', '-') AS value
+  FROM (SELECT DISTINCT UN.country_name AS country, CL.ship_to_name || '-' || CL.ship_to AS stored {_OPTION_JOIN}) d
+  WHERE stored IS NOT NULL"""
+
+
+@register("shipto_nested", f"""
 SELECT country, to_json(list({{'value': value, 'label': value}} ORDER BY value DESC)) AS options
-FROM o WHERE value IS NOT NULL GROUP BY country
+FROM ({_OPTION_ROWS}) o GROUP BY country
 """)
+def q_shipto_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AG-5 + SNK-18: the options of a country as one JSON array."""
+    return jobs.nested_options_json(q_shipto_options(spark, sf_dir))
+
+
+@register("shipto_options", f"SELECT country, value, value AS label FROM ({_OPTION_ROWS}) o")
 def q_shipto_options(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from quayside.plans import jobs
     return jobs.shipto_options(src(spark, sf_dir, CUSTOMER_LIST_SQL), src(spark, sf_dir, UN_LOCODE_SQL))
 
 
@@ -903,7 +925,8 @@ REPORT_SHEET_SQL = """
               ELSE CAST(CAST(l_orderkey * 10 + l_linenumber AS DOUBLE) AS STRING) END AS Invoice,
          CASE WHEN l_linestatus = 'F' THEN NULL ELSE l_linestatus END AS `Cred Blk`,
          'USD' AS `Invoice Currency`,
-         CASE WHEN l_linenumber = 7 THEN NULL ELSE l_linenumber END AS `Number of Pallets`,
+         CASE WHEN l_linenumber = 7 THEN NULL WHEN l_linenumber = 6 AND l_returnflag = 'A' THEN '6 pal'
+              ELSE CAST(l_linenumber AS STRING) END AS `Number of Pallets`,
          'MXN' AS `Doc Curr`,
          'POL' || CAST(l_suppkey AS STRING) AS `Port of loading`,
          o_orderpriority AS `Port of Destination`,
@@ -913,54 +936,45 @@ REPORT_SHEET_SQL = """
          CAST(CAST(l_shipdate AS DATE) + 3 AS STRING) AS `Pr Date in SO`,
          CASE WHEN l_linestatus = 'O' THEN '03/04/2024' ELSE CAST(CAST(l_shipdate AS DATE) AS STRING) END AS `Billing Date`,
          CAST(CAST(o_orderdate AS DATE) AS STRING) AS `Invoice Creation Date`,
-         l_tax AS `Invoice Value`,
+         CASE WHEN l_linenumber = 5 AND l_returnflag = 'R' THEN 'n/a'
+              ELSE CAST(l_linenumber AS STRING) || '.25' END AS `Invoice Value`,
          CAST(CAST(o_orderdate AS DATE) - 2 AS STRING) AS `Ord Cr Date`,
          CAST(CAST(l_shipdate AS DATE) - 1 AS STRING) AS `Cargo Cut off date`,
          CAST(CAST(l_shipdate AS DATE) + 10 AS STRING) AS `Del Date in SO`,
          l_extendedprice AS `Gross Value/Order`
   FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey
 """
-_REPORT_TEXT = ("SalesDocno.", "Material", "S-PONo", "Sold-to", "Del Blk", "Bill-to", "Ship-to", "Invoice",
-                "Cred Blk", "Invoice Currency", "Doc Curr", "Port of loading", "Port of Destination")
-_REPORT_RSTRIP = ("Material", "S-PONo", "Invoice")
-_REPORT_DATES = ("PO Date", "Pr Date in SO", "Billing Date", "Invoice Creation Date", "Ord Cr Date",
-                 "Cargo Cut off date", "Del Date in SO")
-_REPORT_ORDER = (
-    "SalesDocno.", "Qty Delivered", "Material", "S-PONo", "Sold-to", "Del Blk", "Bill-to", "Ship-to",
-    "Invoice", "Cred Blk", "Invoice Currency", "Number of Pallets", "Doc Curr", "Port of loading",
-    "Port of Destination", "S-PO-GR-TotQty", "S-PO-IR-TotQty", "Gross Wt From Del.", "PO Date",
-    "Pr Date in SO", "Billing Date", "Invoice Creation Date", "Invoice Value", "Ord Cr Date",
-    "Cargo Cut off date", "Del Date in SO", "Gross Value/Order")
+_REPORT_GOOD = """"Number of Pallets" IS NOT NULL AND try_cast("Number of Pallets" AS DOUBLE) IS NOT NULL
+    AND "Invoice Value" <> 'n/a'"""
 
 
 def _report_sql(mode: str) -> str:
     out = []
-    for c in _REPORT_ORDER:
+    for c in jobs.REPORT_ORDER:
         q = f'"{c}"'
         name = '"' + c.rstrip(".") + '"'
-        if c in _REPORT_TEXT:
+        if c in jobs.REPORT_TEXT:
             if mode == "compat":
                 x = f"coalesce({q}, 'nan')"
-                if c in _REPORT_RSTRIP:
+                if c in jobs.REPORT_RSTRIP:
                     x = f"rtrim({x}, '.0')"
                 out.append(f"CASE WHEN {x} = 'nan' THEN '' ELSE {x} END AS {name}")
-            elif c in _REPORT_RSTRIP:
+            elif c in jobs.REPORT_RSTRIP:
                 out.append(f"CASE WHEN {q} LIKE '%.0' THEN left({q}, length({q}) - 2) ELSE {q} END AS {name}")
             else:
                 out.append(f"{q} AS {name}")
-        elif c in _REPORT_DATES:
+        elif c in jobs.REPORT_DATES:
             out.append(f"strftime(try_strptime({q}, '%Y-%m-%d'), '%Y-%m-%d') AS {name}")
         elif c == "Number of Pallets":
             out.append(f"CAST(try_cast({q} AS DOUBLE) AS INTEGER) AS {name}")
         else:
             out.append(f"try_cast({q} AS DOUBLE) AS {name}")
     return (f"SELECT {', '.join(out)} FROM ({duck(REPORT_SHEET_SQL)}) s "
-            f"WHERE \"Number of Pallets\" IS NOT NULL")
+            f"WHERE {_REPORT_GOOD}")
 
 
 def _report_query(mode: str):
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
-        from quayside.plans import jobs
         good, _quarantine = jobs.delivery_report(src(spark, sf_dir, REPORT_SHEET_SQL), mode)
         return good
     q.__doc__ = f"SCL-N1 + SCL-S9 + SCL-D2 + SCL-L2 + PRJ-2, {mode} mode (good rows)."
@@ -972,12 +986,14 @@ for _m in ("exact", "compat"):
 
 
 @register("report_quarantine", f"""
-SELECT {", ".join('"' + c.rstrip(".") + '"' for c in _REPORT_ORDER)}, 'Number of Pallets: not int' AS reject_reason
-FROM ({_report_sql('exact').replace('WHERE "Number of Pallets" IS NOT NULL', 'WHERE "Number of Pallets" IS NULL')}) q
+SELECT {", ".join(f'CAST("{c}" AS VARCHAR) AS "{c.rstrip(".")}"' for c in jobs.REPORT_ORDER)},
+       concat_ws('; ', CASE WHEN "Invoice Value" = 'n/a' THEN 'Invoice Value: not double' END,
+                 CASE WHEN "Number of Pallets" IS NULL OR try_cast("Number of Pallets" AS DOUBLE) IS NULL
+                      THEN 'Number of Pallets: not int' END) AS reject_reason
+FROM ({duck(REPORT_SHEET_SQL)}) s WHERE NOT ({_REPORT_GOOD})
 """)
 def q_report_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Q4: rows whose number cells do not parse, set aside with a reason."""
-    from quayside.plans import jobs
+    """Q4: rows whose number cells do not parse, raw, with the reasons."""
     _good, bad = jobs.delivery_report(src(spark, sf_dir, REPORT_SHEET_SQL), "exact")
     return bad
 
@@ -1024,7 +1040,6 @@ FROM ({duck(PROFORMA_SHEET_SQL).replace('__SERIAL__', _SERIAL_DUCK)}) s
 
 def _proforma_query(mode: str):
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
-        from quayside.plans import jobs
         sheet = src(spark, sf_dir, PROFORMA_SHEET_SQL.replace("__SERIAL__", _SERIAL_SPARK))
         out = jobs.proforma(sheet, mode)
         return out.select(*[F.col(c).cast("string").alias(c) if c in
@@ -1080,7 +1095,6 @@ WHERE "Shipto" IS DISTINCT FROM 29744324
 @register("customer_docs", _docs_oracle())
 def q_customer_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FLT-1 + FLT-2 (AG-8) + PRJ-1 + PRJ-5."""
-    from quayside.plans import jobs
     return jobs.customer_docs(src(spark, sf_dir, DOCS_SHEET_SQL))
 
 
@@ -1111,7 +1125,6 @@ def _freight_oracle() -> str:
 @register("customer_freight", _freight_oracle())
 def q_customer_freight(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PRJ-1 + PRJ-3 (BAF) + SCL-S11 over whole texts."""
-    from quayside.plans import jobs
     return jobs.customer_freight(src(spark, sf_dir, FREIGHT_SHEET_SQL))
 
 
@@ -1152,30 +1165,96 @@ def q_load_salvage_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------------------
-# STR-1 / STR-2: the same posts through Structured Streaming. The rows land
-# as JSON-lines files (written by Spark, in parallel), one availableNow run
-# drains them in one micro-batch (the post), and the sink is read back.
+# STR-1 / STR-2: posts through Structured Streaming. A post is one file with a
+# JSON array: the orders of one customer, the events of one user. Many posts
+# land before one availableNow run drains them, so positions repeat across the
+# posts of a micro-batch; some rows have no document.
 # ---------------------------------------------------------------------------
-@register("invoice_stream", INVOICE_SQL)
-def q_invoice_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+INVOICE_POSTS_SQL = """
+  SELECT 'p' || CAST(o_custkey % 97 AS STRING) AS post, o_orderkey AS ord,
+         CASE WHEN o_orderpriority = '5-LOW' AND o_orderstatus = 'P' THEN NULL
+              ELSE CAST(o_custkey AS STRING) END AS Sales_Document,
+         CAST(CAST(o_orderdate AS DATE) AS STRING) AS Date_Created,
+         'INV' || CAST(o_orderkey AS STRING) || '.pdf' AS File_Name, o_orderpriority AS Sales_Organization
+  FROM {orders}
+"""
+SYSLOG_POSTS_SQL = f"""
+  SELECT 'p' || CAST(pos % 89 AS STRING) AS post, pos AS ord, raw FROM ({SYSLOG_RAW_SQL}) e
+"""
+_POST_FIELDS = ("Sales_Document", "Date_Created", "File_Name", "Sales_Organization")
+
+
+def _land(bodies: DataFrame, folder: str) -> None:
+    """Each post (bounded by its body) as a file of its own."""
+    bodies.write.option("maxRecordsPerFile", 1).text(folder)
+
+
+def _body(df: DataFrame, item) -> DataFrame:
+    items = F.array_sort(F.collect_list(F.struct("ord", item.alias("x"))))
+    return df.groupBy("post").agg(F.concat(
+        F.lit("["), F.array_join(F.transform(items, lambda i: i["x"]), ","), F.lit("]")).alias("value")).select("value")
+
+
+def _posted_sql(inner: str, doc: str, cols: str) -> str:
+    return f"""
+WITH p AS (SELECT *, row_number() OVER (PARTITION BY post ORDER BY ord) - 1 AS pos FROM ({inner}) x),
+g AS (SELECT * FROM p WHERE {doc} IS NOT NULL),
+r AS (SELECT *, row_number() OVER (PARTITION BY post, {doc} ORDER BY pos) AS rn FROM g),
+t AS (SELECT *, CAST(CASE WHEN rn > 1 THEN 1 + sum(CASE WHEN rn > 1 THEN 1 ELSE 0 END)
+                      OVER (PARTITION BY post ORDER BY pos ROWS UNBOUNDED PRECEDING) ELSE 1 END AS BIGINT) AS Dup_Value
+      FROM r)
+SELECT pos, {cols}, Dup_Value, {doc} || '-{_STAMP}-' || CAST(Dup_Value AS VARCHAR) AS UniqueValue FROM t
+"""
+
+
+_LOG_ID = """CASE WHEN list_contains(json_keys(raw), 'Sales_Document') THEN raw ->> '$.Sales_Document'
+                  ELSE raw ->> '$.SAP_Shipment' END"""
+
+
+def _run_stream(spark: SparkSession, name: str, start, bodies: DataFrame) -> str:
     from quayside.session import work_dir
+    base = work_dir(spark, name)
+    _land(bodies, f"{base}/landing")
+    start(spark, f"{base}/landing", f"{base}/out", f"{base}/checkpoint", BATCH_TS).awaitTermination()
+    return f"{base}/out"
+
+
+def _invoice_posts(spark: SparkSession, sf_dir: str) -> str:
+    from quayside.streaming import ingest
+    rows = src(spark, sf_dir, INVOICE_POSTS_SQL)
+    item = F.to_json(F.struct(*_POST_FIELDS), {"ignoreNullFields": "true"})
+    return _run_stream(spark, "invoice_stream", ingest.invoice_stream, _body(rows, item))
+
+
+@register("invoice_stream", _posted_sql(duck(INVOICE_POSTS_SQL), "Sales_Document", ", ".join(
+    c if c in _POST_FIELDS else f"CAST(NULL AS VARCHAR) AS {c}" for c in INVOICE_FIELDS)))
+def q_invoice_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR-1: many posts in one micro-batch, tags per post (the post's id is
+    the landed file's name, so it is not compared)."""
     from quayside.streaming import ingest
-    base = work_dir(spark, "invoice_stream")
-    src(spark, sf_dir, INVOICE_ROWS_SQL).write.json(f"{base}/landing")
-    q = ingest.invoice_stream(spark, f"{base}/landing", f"{base}/out", f"{base}/checkpoint", BATCH_TS)
-    q.awaitTermination()
-    return ingest.read_output(spark, f"{base}/out")
+    return ingest.read_output(spark, _invoice_posts(spark, sf_dir)).drop("post")
 
 
-@register("syslog_stream", SYSLOG_SQL)
+@register("invoice_stream_quarantine", f"""
+WITH p AS (SELECT *, row_number() OVER (PARTITION BY post ORDER BY ord) - 1 AS pos FROM ({duck(INVOICE_POSTS_SQL)}) x)
+SELECT pos, File_Name FROM p WHERE Sales_Document IS NULL
+""")
+def q_invoice_stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q19: posted rows without a document are kept, as they came."""
+    bad = spark.read.parquet(_invoice_posts(spark, sf_dir) + "_quarantine")
+    return bad.select("pos", F.get_json_object("raw", "$.File_Name").alias("File_Name"))
+
+
+@register("syslog_stream", _posted_sql(f"""
+  SELECT post, ord, {_LOG_ID} AS log_id,
+         raw ->> '$.Sales_Area' AS Sales_Area, raw ->> '$.SAP_Shipment' AS SAP_Shipment,
+         raw ->> '$.Error_Message' AS Error_Message, raw ->> '$.TimeStamp' AS TimeStamp
+  FROM ({duck(SYSLOG_POSTS_SQL)}) e""", "log_id", "log_id, Sales_Area, SAP_Shipment, Error_Message, TimeStamp"))
 def q_syslog_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from quayside.session import work_dir
+    """STR-2: as STR-1, ids by key presence."""
     from quayside.streaming import ingest
-    base = work_dir(spark, "syslog_stream")
-    src(spark, sf_dir, SYSLOG_RAW_SQL).select("pos", "raw").write.json(f"{base}/landing")
-    q = ingest.syslog_stream(spark, f"{base}/landing", f"{base}/out", f"{base}/checkpoint", BATCH_TS)
-    q.awaitTermination()
-    return ingest.read_output(spark, f"{base}/out")
+    out = _run_stream(spark, "syslog_stream", ingest.syslog_stream, _body(src(spark, sf_dir, SYSLOG_POSTS_SQL), F.col("raw")))
+    return ingest.read_output(spark, out).drop("post")
 
 
 # ---------------------------------------------------------------------------
@@ -1210,7 +1289,6 @@ def q_insert_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SNK-2 (+ SRC-3, AG-7): a stored INSERT … SELECT overwrites the table."""
     import uuid
 
-    from quayside.plans import jobs
     from quayside.session import work_dir
     Tables(spark, sf_dir)("orders").createOrReplaceTempView("mec_orders")
     name = f"mec_report_{uuid.uuid4().hex[:8]}"
@@ -1296,51 +1374,5 @@ def q_json_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_share_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRC-8 + SRT-1 + LIM-1: the first five values of a shared table's column
     (a top-n is the feature here)."""
-    from quayside.plans import jobs
     Tables(spark, sf_dir)("nation").createOrReplaceTempView("share_nation")
     return jobs.share_preview(spark, "share_nation", "n_name", 5, order_by=["n_nationkey"])
-
-
-@register("catalog_inventory", None)
-def q_catalog_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SRC-7: tables of the catalog after the driver tables are shared into it
-    (rows-only: the listing is session state, not SQL over the tables)."""
-    from quayside.plans import jobs
-    from quayside.sources.tables import DRIVER_TABLES
-    t = Tables(spark, sf_dir)
-    for n in DRIVER_TABLES:
-        t(n).createOrReplaceTempView(f"share_{n}")
-    inv = jobs.catalog_inventory(spark)
-    return inv.filter(F.col("name").isin([f"share_{n}" for n in DRIVER_TABLES]))
-
-
-@register("file_discovery", None)
-def q_file_discovery(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SRC-5 + SCL-D5 + SCL-D6: parquet files of the folder modified within
-    7 days before the newest one (rows-only: file times are not table data)."""
-    from quayside.sources.files import list_files, modified_within
-    files = list_files(spark, sf_dir, "*.parquet")
-    newest = files.agg(F.max("modificationTime")).first()[0]
-    return modified_within(files, newest, 7)
-
-
-CUSTOMER_BOOK_SQL = """
-  SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, floor(c_custkey / 1000) AS book
-  FROM {customer}
-"""
-CUSTOMER_BOOK_TYPES = {"c_custkey": "bigint", "c_name": "string", "c_nationkey": "int",
-                       "c_acctbal": "double", "c_mktsegment": "string"}
-
-
-@register("workbook_scan", "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
-def q_workbook_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SRC-4: the customer table written as workbooks of at most 1,000 rows
-    (one per task), then read back through the sheet reader with declared
-    types: every row and value must survive."""
-    from quayside.session import work_dir
-    from quayside.sources import workbook
-    out = work_dir(spark, "workbooks")
-    written = workbook.write_workbooks(src(spark, sf_dir, CUSTOMER_BOOK_SQL), out, "book", sheet="Customers")
-    written.count()
-    rows = workbook.read_sheets(spark, out, list(CUSTOMER_BOOK_TYPES), sheet="Customers")
-    return workbook.typed(rows.drop("_file", "_row"), CUSTOMER_BOOK_TYPES)

@@ -16,11 +16,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quayside.functions import strings, values
-from quayside.functions.dates import ISO_DATE_FORMAT, lenient_date_text, serial_to_date, ts_literal
+from quayside.functions.dates import report_date_text, serial_to_date
 from quayside.functions.util import col_of
 from quayside.operators import aggs, filters, joins, projections, quality, tagging
 from quayside.sinks import transitions
-from quayside.sinks.state import LOAD_BATCH_ROWS, TableStore
+from quayside.sinks.state import TableStore
 from quayside.sources.tables import run_stored_sql
 
 # ---------------------------------------------------------------------------
@@ -45,7 +45,9 @@ DOC_COLUMNS = (
     "invoice", "packing_list", "coo", "coa_cat", "coh", "coi", "other_documents",
     "special_requirements", "annual_docs", "hard_copy_docs", "documentation_contact", "dhl_address",
     "tips_tricks", "documentation_owner", "back_up1", "back_up2", "note")
-DOC_TEXT_MAX = ("note",)  # VARCHAR(MAX); the rest are text(255)
+# VARCHAR(MAX); the rest are text(255)
+DOC_TEXT_MAX = ("docs", "other_documents", "special_requirements", "annual_docs", "hard_copy_docs",
+                "documentation_contact", "dhl_address", "tips_tricks", "note")
 FREIGHT_SHEET = "SI&BL"
 FREIGHT_COLUMNS = (
     "export_zone", "country", "country_code", "sales_organization", "sold_to_number", "sold_to_name",
@@ -97,6 +99,7 @@ INVOICE_SCHEMA = T.StructType(
     [T.StructField("Sales_Document", T.StringType())]
     + [T.StructField(c, T.StringType()) for c in INVOICE_DEFAULTED]
     + [T.StructField("pos", T.LongType())])
+INVOICE_FIELDS_SCHEMA = T.StructType(INVOICE_SCHEMA.fields[:-1])
 SYSLOG_SCHEMA = T.StructType(
     [T.StructField(c, T.StringType()) for c in ("Sales_Document",) + SYSLOG_DEFAULTED])
 
@@ -105,19 +108,19 @@ SYSLOG_SCHEMA = T.StructType(
 # Loads and stored-SQL runners
 # ---------------------------------------------------------------------------
 def load_table(store: TableStore, target: str, rows: DataFrame, types: Mapping[str, str],
-               job: str, now: _dt.datetime, max_lengths: Mapping[str, int] | None = None):
-    """Warehouse extract → salvage split (SNK-16) → full refresh (SNK-1,
-    files of at most 50,000 rows, SNK-17) → count (AG-7) → run log (SNK-15).
+               job: str, now: _dt.datetime, max_lengths: Mapping[str, int] | None = None,
+               max_records_per_file: int | None = None):
+    """Warehouse extract → salvage split (SNK-16) → full refresh (SNK-1;
+    files of at most 50,000 rows, SNK-17, where the caller asks for
+    ``LOAD_BATCH_ROWS``) → count (AG-7, from the files) → run log (SNK-15).
     The extract is read once: rows with their reject reason are staged, and
     both the good and the rejected rows come from the staged files.
     Returns ``(table, rejected)``."""
     staged = store.stage(target, quality.with_reasons(rows, types, max_lengths))
     good, rejected = quality.split_tagged(staged, types)
-    table = store.replace(target, good, max_records_per_file=LOAD_BATCH_ROWS)
-    n = table.count()
-    store.log_run(job, target, "Success", n, now)
-    if not rejected.isEmpty():
-        store.append(f"{target}_rejected", rejected)
+    table = store.replace(target, good, max_records_per_file=max_records_per_file)
+    store.log_run(job, target, "Success", table.count(), now)
+    store.append(f"{target}_rejected", rejected, only_if_rows=True)
     return table, rejected
 
 
@@ -201,7 +204,7 @@ def alert_search(changes: DataFrame, regions=(), statuses=(), countries=(), cust
         "ShiptoID", "UniqueID", "ChangedColumn", "OldValue", "NewValue", "Status")
 
 
-def alert_status_update(changes: DataFrame, requests: DataFrame, order_col: str | None = None) -> DataFrame:
+def alert_status_update(changes: DataFrame, requests: DataFrame, order_col: str = "seq") -> DataFrame:
     """J6 / SNK-10."""
     return transitions.keyed_update(changes, requests, ["ShiptoID", "UniqueID", "ChangedColumn"],
                                     {"Status": "Status"}, order_col)
@@ -226,28 +229,8 @@ def json_records(df: DataFrame, out: str = "json") -> DataFrame:
 
 
 # ---------------------------------------------------------------------------
-# Catalog inventory and preview
+# Preview of a shared table
 # ---------------------------------------------------------------------------
-def catalog_inventory(spark: SparkSession) -> DataFrame:
-    """SRC-7: one row per table visible to the session: name, catalog
-    ("share"), namespace ("schema"), and whether it is a temporary view."""
-    rows = set()
-    current = spark.catalog.currentCatalog()
-    try:
-        for cat in spark.catalog.listCatalogs():
-            try:
-                spark.catalog.setCurrentCatalog(cat.name)
-                for db in spark.catalog.listDatabases():
-                    for t in spark.catalog.listTables(db.name):
-                        schema = "" if t.isTemporary else db.name
-                        rows.add((t.name, cat.name, schema, bool(t.isTemporary)))
-            except Exception:  # noqa: BLE001 - a catalog without namespaces
-                continue
-    finally:
-        spark.catalog.setCurrentCatalog(current)
-    return spark.createDataFrame(sorted(rows), "name string, share string, schema string, temporary boolean")
-
-
 def share_preview(spark: SparkSession, table: str, column: str, n: int,
                   order_by: Sequence[str] | None = None) -> DataFrame:
     """SRC-8 + LIM-1: the first ``n`` values of one column."""
@@ -303,7 +286,8 @@ def delivery_report(sheet: DataFrame, mode: str = "exact", strict: bool = False)
     SCL-L2. ``mode='compat'`` reproduces the text quirks (``'100'`` → ``'1'``,
     missing text → ``'nan'`` → ``''``); ``exact`` keeps ids and nulls.
     Returns ``(rows, quarantine)``: a row whose number cell does not parse goes
-    to quarantine (Q4) unless ``strict`` raises instead."""
+    to quarantine (Q4) with its raw cells as text and a reason, unless
+    ``strict`` raises instead."""
     missing = [c for c in REPORT_ORDER if c not in sheet.columns]
     if missing:
         raise projections.SchemaMismatch(f"missing columns: {missing}")
@@ -323,20 +307,21 @@ def delivery_report(sheet: DataFrame, mode: str = "exact", strict: bool = False)
     for c in REPORT_INT:
         typed[c] = ("int", col_of(c))
     for c in REPORT_DATES:
-        cells[c] = lenient_date_text(c, (ISO_DATE_FORMAT,))
+        cells[c] = report_date_text(c)
     reasons = []
     for c, (t, expr) in typed.items():
         v = expr.try_cast("double")
-        bad = (expr.isNull() | v.isNull()) if t == "int" else (expr.isNotNull() & v.isNull())
+        v = v.try_cast("int") if t == "int" else v  # a number beyond int is no pallet count
+        bad = v.isNull() if t == "int" else (expr.isNotNull() & v.isNull())
         reasons.append(F.when(bad, F.lit(f"{c}: not {t}")))
-        cells[c] = v.cast("int") if t == "int" else v
-    reason = F.concat_ws("; ", *reasons)
-    out = sheet.select(*[cells[c].alias(REPORT_RENAMES.get(c, c)) for c in REPORT_ORDER],
-                       reason.alias(quality.REASON))
+        cells[c] = v
+    tagged = sheet.withColumn(quality.REASON, F.concat_ws("; ", *reasons))
+    name = lambda c: REPORT_RENAMES.get(c, c)
+    good = tagged.filter(F.col(quality.REASON) == "").select(*[cells[c].alias(name(c)) for c in REPORT_ORDER])
     if mode == "compat":
-        out = values.nan_text_to_empty(out, [REPORT_RENAMES.get(c, c) for c in REPORT_TEXT])
-    good = out.filter(F.col(quality.REASON) == "").drop(quality.REASON)
-    bad = out.filter(F.col(quality.REASON) != "")
+        good = values.nan_text_to_empty(good, [name(c) for c in REPORT_TEXT])
+    bad = tagged.filter(F.col(quality.REASON) != "").select(
+        *[col_of(c).cast("string").alias(name(c)) for c in REPORT_ORDER], quality.REASON)
     if strict and not bad.isEmpty():
         raise ValueError("delivery report has cells that do not parse")
     return good, bad
@@ -352,9 +337,11 @@ def report_file_stems(files: DataFrame, now: _dt.datetime, name_col: str = "file
 
 
 def delivery_report_state(old: DataFrame, new_rows: DataFrame, stems: DataFrame,
-                          key_col: str = "SalesDocno") -> DataFrame:
-    """J14 state: delete by every stem from the *old* state, append all new rows (Q18)."""
-    return transitions.prefix_replace(old, new_rows, stems, key_col, "stem")
+                          key_col: str = "SalesDocno", order_col: str | None = None) -> DataFrame:
+    """J14 state: delete by every stem from the *old* state, append the new rows
+    (Q18); with ``order_col`` the newest of overlapping files wins. A file
+    without a stem replaces nothing (``joins.empty_stems`` lists such files)."""
+    return transitions.prefix_replace(old, new_rows, stems, key_col, "stem", order_col)
 
 
 # ---------------------------------------------------------------------------
@@ -414,7 +401,9 @@ def file_routing(blobs: DataFrame, invoices: DataFrame, folders: DataFrame, toda
     """Each ``.pdf`` blob (any case) → its dated test folder, plus every
     distinct non-null folder of the invoices whose file name starts with the
     blob's stem (JN-4, literal prefix), joined to folders on the leading-zero
-    rule (JN-2, SCL-S12). Blobs without a folder are ``unrouted`` (Q10).
+    rule (JN-2, SCL-S12). Blobs without a folder are ``unrouted`` (Q10); a blob
+    whose stem is empty (``.pdf``) would match every invoice and is routed to
+    ``quarantine`` instead.
     The case-blind ``.pdf`` test is SCL-S16 (``lower`` + ``endswith`` built-ins).
     Output: ``name, route, target``."""
     pdf = blobs.filter(F.lower("name").endswith(".pdf")).select(
@@ -428,8 +417,9 @@ def file_routing(blobs: DataFrame, invoices: DataFrame, folders: DataFrame, toda
                  .distinct())
     dated = pdf.select("name", "file", F.lit("dated").alias("route"),
                        strings.dated_folder(F.lit(today).cast("date")).alias("target"))
+    route = F.when(F.length("stem") > 0, "unrouted").otherwise("quarantine")
     unrouted = (pdf.join(to_folder.select("name").distinct(), "name", "left_anti")
-                .select("name", "file", F.lit("unrouted").alias("route"), F.lit(None).cast("string").alias("target")))
+                .select("name", "file", route.alias("route"), F.lit(None).cast("string").alias("target")))
     return dated.unionByName(to_folder).unionByName(unrouted)
 
 
@@ -458,31 +448,6 @@ def zip_bundles(tickets: DataFrame, mails: DataFrame, lookup: DataFrame, listing
             .select("folder_path", F.concat("token", F.lit(".zip")).alias("zip_name"), "pdf_names"))
 
 
-def zip_bytes(listing_with_content: DataFrame, bundles: DataFrame) -> DataFrame:
-    """AG-9 (bytes): one archive per (folder, zip name), built in the task of
-    that folder. A folder is one task: it holds one shipment's documents."""
-    import io
-    import zipfile
-
-    import pandas as pd
-
-    from quayside.session import ship_package
-    ship_package(listing_with_content.sparkSession)
-    pdfs = listing_with_content.filter(F.lower("file_name").endswith(".pdf"))
-    j = pdfs.join(bundles.select("folder_path", "zip_name"), "folder_path")
-
-    def build(pdf: pd.DataFrame) -> pd.DataFrame:
-        buf = io.BytesIO()
-        with zipfile.ZipFile(buf, "w") as z:
-            for n, c in sorted(zip(pdf["file_name"], pdf["content"])):
-                z.writestr(n, bytes(c))
-        return pd.DataFrame({"folder_path": [pdf["folder_path"].iloc[0]], "zip_name": [pdf["zip_name"].iloc[0]],
-                             "content": [buf.getvalue()]})
-
-    return j.groupBy("folder_path", "zip_name").applyInPandas(
-        build, "folder_path string, zip_name string, content binary")
-
-
 # ---------------------------------------------------------------------------
 # mail
 # ---------------------------------------------------------------------------
@@ -520,9 +485,10 @@ def cert_list(rows: DataFrame, order_by: Sequence[str] | None = None) -> DataFra
     return aggs.ordered_concat(rows, CERT_KEYS, "sales_organization", order_by)
 
 
-def cert_update(table: DataFrame, requests: DataFrame) -> DataFrame:
-    """J21 / SNK-11 (then J20 on the new version)."""
-    return transitions.cert_update(table, requests)
+def cert_update(table: DataFrame, requests: DataFrame, order_col: str = "seq") -> DataFrame:
+    """J21 / SNK-11 (then J20 on the new version); requests are applied in the
+    order of ``order_col``."""
+    return transitions.cert_update(table, requests, order_col=order_col)
 
 
 def cert_insert(table: DataFrame, requests: DataFrame) -> DataFrame:
@@ -533,17 +499,27 @@ def cert_insert(table: DataFrame, requests: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 # Ingest with duplicate tags
 # ---------------------------------------------------------------------------
-def tag_invoices(rows: DataFrame, batch_ts: _dt.datetime, batch_col: str | None = None) -> DataFrame:
-    """SRC-6 defaults (absent fields → null, SCL-L3), WN-1, WN-3. Rows without a
-    document go to quarantine (Q19) and are not returned."""
+def tag_posted_invoices(lines: DataFrame, batch_ts: _dt.datetime):
+    """J23 on posted objects (post, pos, raw): fields from the JSON text, tags
+    per post. Returns ``(tagged, quarantine)``."""
+    j = lines.select("post", "pos", "raw", F.from_json("raw", INVOICE_FIELDS_SCHEMA).alias("__j"))
+    rows = j.select("post", "pos", "raw", "__j.*")
+    tagged, bad = tag_invoices(rows, batch_ts, "post")
+    return tagged, bad.select("post", "pos", "raw")
+
+
+def tag_invoices(rows: DataFrame, batch_ts: _dt.datetime, batch_col: str | None = None):
+    """SRC-6 defaults (absent fields → null, SCL-L3), WN-1, WN-3. Returns
+    ``(tagged, quarantine)``; quarantine = the rows without a document (Q19)."""
     for c in INVOICE_DEFAULTED:
         if c not in rows.columns:
             rows = rows.withColumn(c, F.lit(None).cast("string"))
     good = rows.filter(F.col("Sales_Document").isNotNull())
+    quarantine = rows.filter(F.col("Sales_Document").isNull())
     tagged = tagging.dup_tags(good, "Sales_Document", "pos", batch_col)
     cols = (["pos"] + ([batch_col] if batch_col else []) + ["Sales_Document", *INVOICE_DEFAULTED])
     return tagged.select(*cols, "Dup_Value",
-                         tagging.unique_value("Sales_Document", batch_ts).alias("UniqueValue"))
+                         tagging.unique_value("Sales_Document", batch_ts).alias("UniqueValue")), quarantine
 
 
 def tag_syslog_lines(lines: DataFrame, batch_ts: _dt.datetime, raw_col: str = "raw",
@@ -569,19 +545,28 @@ def destination_options(customers: DataFrame, codes: DataFrame) -> DataFrame:
     """JN-3, FLT-10, AG-3, SRT-2, SCL-S15, SCL-J2 → ``value, label, option``."""
     j = filters.status_in(joins.codes_inner(customers, codes, "ship_to_country", "alpha_2code"),
                           "customer_status", OPTION_STATUSES)
-    names = j.select(strings.remove_double_slash("country_name").alias("value")).distinct()
-    return names.select("value", F.col("value").alias("label"),
-                        values.option_json("value", "value").alias("option"))
+    names = j.select("country_name").distinct().orderBy("country_name")
+    value = strings.remove_double_slash("country_name")
+    return names.select(value.alias("value"), value.alias("label"), values.option_json(value, value).alias("option"))
 
 
 def shipto_options(customers: DataFrame, codes: DataFrame) -> DataFrame:
-    """JN-3, FLT-10, SCL-S2 (null name → no option, Q8), AG-6, SCL-S15,
-    AG-5 (values descending), SNK-18 → ``country, options`` (JSON array)."""
+    """JN-3, FLT-10, AG-6 (on the stored values, before the edits), SCL-S2
+    (null name → no option, Q8), SCL-S15, SRT-2 → one row per option,
+    ``country, value, label``, ordered by country, stored value descending.
+    However many customers a country has, no task holds them all."""
     j = filters.status_in(joins.codes_inner(customers, codes, "ship_to_country", "alpha_2code"),
                           "customer_status", OPTION_STATUSES)
     v = strings.plus_concat("ship_to_name", F.lit("-"), "ship_to")
-    opts = (j.select(F.col("country_name").alias("country"), strings.option_text(v).alias("value"))
-            .filter(F.col("value").isNotNull()).distinct()
-            .withColumn("label", F.col("value")))
-    nested = aggs.nested_options(opts, "country", "value", "label")
+    opts = (j.select(F.col("country_name").alias("country"), v.alias("stored"))
+            .filter(F.col("stored").isNotNull()).distinct()
+            .orderBy("country", F.desc("stored")))
+    text = strings.option_text("stored")
+    return opts.select("country", text.alias("value"), text.alias("label"))
+
+
+def nested_options_json(options: DataFrame) -> DataFrame:
+    """AG-5 + SNK-18: the options of each country as one JSON array, values
+    descending: the last rendering for a front end (one cell per country)."""
+    nested = aggs.nested_options(options, "country", "value", "label")
     return nested.select("country", F.to_json("options").alias("options"))

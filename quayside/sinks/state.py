@@ -3,18 +3,21 @@
 A table is a folder of numbered versions ``v000001``, ``v000002``, … under a
 root in the shared folder. A job reads version *n*, computes version *n+1*
 as a DataFrame (a next-state function, see ``transitions``), and
-``replace`` writes it to a new folder; the new version becomes current once
-its ``_SUCCESS`` marker exists, so a failed or lost job leaves the old
-version in place (the atomicity the reference gets from rollback). The
-previous version stays on disk: it is the "hist" snapshot of SNK-5.
-
-Append-only tables (run log, alert changes, ingested rows) are one folder
-written in append mode.
+``replace`` writes it to a work folder of its own and renames that to the next
+version, so a failed or lost job leaves the old version in place, and what it
+left behind is in nobody's way (the atomicity the reference gets from
+rollback). The previous version stays on disk: it is the "hist" snapshot of
+SNK-5. ``retain`` removes older versions, work folders and staged copies.
+
+Append-only tables (run log, alert changes, ingested rows) are a folder of
+parts, one per append; they are read with merged schemas, so a column that a
+later append brings is there, null in earlier rows.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,16 +48,16 @@ class TableStore:
         fs, p = self._fs(path)
         return fs.exists(p)
 
-    def versions(self, name: str) -> list[int]:
+    def _numbers(self, name: str) -> list[int]:
+        """Numbers of all version folders, finished or not."""
         fs, p = self._fs(f"{self.root}/{name}")
         if not fs.exists(p):
             return []
-        out = []
-        for st in fs.listStatus(p):
-            n = st.getPath().getName()
-            if n.startswith("v") and n[1:].isdigit() and self._exists(f"{st.getPath().toString()}/_SUCCESS"):
-                out.append(int(n[1:]))
-        return sorted(out)
+        names = [st.getPath().getName() for st in fs.listStatus(p)]
+        return sorted(int(n[1:]) for n in names if n.startswith("v") and n[1:].isdigit())
+
+    def versions(self, name: str) -> list[int]:
+        return [v for v in self._numbers(name) if self._exists(f"{self.path(name, v)}/_SUCCESS")]
 
     def path(self, name: str, version: int) -> str:
         return f"{self.root}/{name}/v{version:06d}"
@@ -86,24 +89,45 @@ class TableStore:
     def replace(self, name: str, df: DataFrame, max_records_per_file: int | None = None) -> DataFrame:
         """SNK-1/SNK-3/SNK-4: write ``df`` as the next version and return it
         read back (its lineage is cut: later steps read the files)."""
-        vs = self.versions(name)
-        target = self.path(name, (vs[-1] + 1) if vs else 1)
+        return self._commit(name, self._write(name, df, max_records_per_file), df.schema)
+
+    def _write(self, name: str, df: DataFrame, max_records_per_file: int | None = None) -> str:
+        work = f"{self.root}/{name}/_work/{uuid.uuid4().hex[:12]}"
         w = df.write.mode("errorifexists")
         if max_records_per_file:
             w = w.option("maxRecordsPerFile", max_records_per_file)
-        w.parquet(target)
-        _WRITTEN[target] = df.schema
+        w.parquet(work)
+        return work
+
+    def _commit(self, name: str, work: str, schema: T.StructType) -> DataFrame:
+        """Make a written work folder the next version."""
+        fs, src = self._fs(work)
+        taken = [0, *self._numbers(name)]  # unfinished folders count too
+        target = self.path(name, max(taken) + 1)
+        if not fs.rename(src, self._fs(target)[1]):
+            raise RuntimeError(f"{target} was written by another job")
+        _WRITTEN[target] = schema
         out = self._read_path(target)
         out.createOrReplaceTempView(name)
         return out
 
+    def retain(self, name: str, keep: int = 2) -> None:
+        """Remove all but the last ``keep`` versions (2: current and hist), and
+        the work and staging folders of the table. For a time when no job runs
+        on it."""
+        for v in self.versions(name)[:-keep]:
+            fs, p = self._fs(self.path(name, v))
+            fs.delete(p, True)
+        for part in ("_work", "_staging"):
+            fs, p = self._fs(f"{self.root}/{name}/{part}")
+            fs.delete(p, True)
+
     def stage(self, name: str, df: DataFrame) -> DataFrame:
         """Write ``df`` once to a staging folder of the table and return it read
         back: the lineage is cut, so later checks and transitions read files
         instead of recomputing the input (and a lost executor only costs a
         re-read). A frame that already is a plain read of this store's files
         is returned as it is: writing it again would only copy the files."""
-        import uuid
         if getattr(df, "_store_files", None):
             return df
         target = f"{self.root}/{name}/_staging/{uuid.uuid4().hex[:12]}"
@@ -113,22 +137,32 @@ class TableStore:
 
     def replace_unless_empty(self, name: str, df: DataFrame) -> DataFrame | None:
         """SNK-7: an empty result leaves the current version alone."""
-        if df.isEmpty():
+        work = self._write(name, df)  # the plan runs once; emptiness is read from the files
+        if self.spark.read.schema(df.schema).parquet(work).isEmpty():
+            fs, p = self._fs(work)
+            fs.delete(p, True)
             return None
-        return self.replace(name, df)
+        return self._commit(name, work, df.schema)
 
     def append(self, name: str, df: DataFrame, only_if_rows: bool = False) -> DataFrame:
         """SNK-6 / SNK-19 / SET-2: append rows to an append-only table."""
         target = f"{self.root}/{name}/append"
-        if not (only_if_rows and df.isEmpty()):
-            df.write.mode("append").parquet(target)
-            _WRITTEN.setdefault(target, df.schema)
-        if not self._exists(target):
-            return df.limit(0)
-        out = self._read_path(target)
+        part = f"{target}/part={uuid.uuid4().hex[:12]}"
+        df.write.parquet(part)
+        if only_if_rows and self.spark.read.schema(df.schema).parquet(part).isEmpty():
+            fs, p = self._fs(part)
+            fs.delete(p, True)
+            if not fs.listStatus(self._fs(target)[1]):
+                return df.limit(0)
+        out = self.read_appended(name)
         out.createOrReplaceTempView(name)
         return out
 
+    def read_appended(self, name: str) -> DataFrame:
+        """All rows of an append-only table, with every append's columns."""
+        out = self.spark.read.option("mergeSchema", "true").parquet(f"{self.root}/{name}/append").drop("part")
+        return out
+
     # -- run log (SNK-15) ----------------------------------------------------
     RUN_LOG_SCHEMA = T.StructType([
         T.StructField("job", T.StringType()), T.StructField("target", T.StringType()),

@@ -1,19 +1,16 @@
-"""Structured Streaming ingest of posted rows (STR-1, STR-2).
-
-Posts land as JSON-lines files in a landing folder. A file-source stream
-with a declared schema (missing keys → null: SRC-6, SCL-L3) feeds ``foreachBatch``,
-which tags duplicates within the micro-batch (the tag scope of one post,
-WN-1/WN-2) and writes the batch to ``<output>/epoch=<id>`` with overwrite:
-a replayed epoch after a failure rewrites the same folder, so the sink is
-idempotent and the checkpoint makes the stream restartable. ``availableNow``
-drains what has landed and stops, which is how the timer-driven jobs run;
-``processingTime`` keeps it running. A micro-batch is persisted while its
-jobs run (the duplicate tagger reads it more than once); its size is set by
-the trigger (``maxFilesPerTrigger`` on the reader, if a limit is wanted).
-
-The log stream reads an envelope ``{"pos": …, "raw": "<post line>"}`` so that
-key presence can be tested on the raw line (WN-2); lines without any id go
-to ``<output>_quarantine``.
+"""Structured Streaming ingest of posted bodies (STR-1, STR-2).
+
+A post is one file in a landing folder: a JSON array of objects, as it was
+posted (SRC-6). The file source hands each body over whole, with the name of
+its file as the post's id; ``posexplode`` gives every object its position. Tags
+(WN-1, WN-2) are per post: two posts in one micro-batch don't see each other,
+and the key of the output is (post, pos). Rows without a document or id go to
+``<output>_quarantine`` as they came; nothing is dropped.
+
+Each micro-batch is written to ``<output>/run=<id>/epoch=<n>`` with overwrite: a
+replayed epoch rewrites its folder, so the sink is idempotent. The run id is
+that of the stream's checkpoint, so a new checkpoint on an old output never
+overwrites rows of an earlier one. ``max_files`` bounds a micro-batch.
 """
 
 from __future__ import annotations
@@ -23,12 +20,13 @@ from collections.abc import Callable
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from quayside.plans import jobs
 
-ENVELOPE_SCHEMA = T.StructType([T.StructField("pos", T.LongType()), T.StructField("raw", T.StringType())])
+#: Posts of one micro-batch at most.
+MAX_FILES = 10_000
 
 BatchStamp = Callable[[int], _dt.datetime]
 
@@ -37,50 +35,59 @@ def _stamp(batch_ts: _dt.datetime | BatchStamp) -> BatchStamp:
     return batch_ts if callable(batch_ts) else (lambda _epoch: batch_ts)
 
 
-def _start(stream: DataFrame, handler, checkpoint: str, available_now: bool,
-           processing_time: str | None) -> StreamingQuery:
-    w = stream.writeStream.foreachBatch(handler).option("checkpointLocation", checkpoint)
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "30 seconds")
-    return w.start()
+def posts(spark: SparkSession, landing: str, max_files: int = MAX_FILES) -> DataFrame:
+    """A stream of (post, pos, raw): the objects of each posted array as JSON
+    text. A body that is no array of objects is one row with a null position."""
+    body = (spark.readStream.format("text").option("wholetext", "true")
+            .option("maxFilesPerTrigger", max_files).load(landing)
+            .select(F.col("_metadata.file_name").alias("post"), F.col("value").alias("body")))
+    return split_bodies(body)
 
 
-def invoice_stream(spark: SparkSession, landing: str, output: str, checkpoint: str,
-                   batch_ts: _dt.datetime | BatchStamp, available_now: bool = True,
-                   processing_time: str | None = None) -> StreamingQuery:
-    """STR-1 + SNK-19: invoice posts → tagged rows appended per epoch."""
-    stamp = _stamp(batch_ts)
-    stream = spark.readStream.schema(jobs.INVOICE_SCHEMA).json(landing)
+def split_bodies(bodies: DataFrame) -> DataFrame:
+    """(post, body) -> (post, pos, raw); ``raw`` keeps each object's own keys."""
+    parsed = F.from_json("body", "array<variant>")
+    return bodies.select("post", F.posexplode_outer(F.coalesce(parsed, F.array().cast("array<variant>"))).alias("pos", "item"),
+                         "body").select("post", F.col("pos").cast("long").alias("pos"),
+                                        F.coalesce(F.to_json("item"), F.col("body")).alias("raw"))
+
 
+def _run(spark: SparkSession, stream: DataFrame, tag, output: str, checkpoint: str, available_now: bool,
+         processing_time: str | None) -> StreamingQuery:
     def handle(batch: DataFrame, epoch: int) -> None:
-        batch.persist(StorageLevel.MEMORY_AND_DISK)  # read by several jobs below
+        batch.persist(StorageLevel.MEMORY_AND_DISK)  # read for the rows and for the quarantine
         try:
-            tagged = jobs.tag_invoices(batch, stamp(epoch))
-            tagged.write.mode("overwrite").parquet(f"{output}/epoch={epoch}")
+            run = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "0"
+            tagged, quarantine = tag(batch, epoch)
+            tagged.write.mode("overwrite").parquet(f"{output}/run={run}/epoch={epoch}")
+            quarantine.write.mode("overwrite").parquet(f"{output}_quarantine/run={run}/epoch={epoch}")
         finally:
             batch.unpersist()
+    w = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "30 seconds")
+    return w.start()
+
 
-    return _start(stream, handle, checkpoint, available_now, processing_time)
+def invoice_stream(spark: SparkSession, landing: str, output: str, checkpoint: str,
+                   batch_ts: _dt.datetime | BatchStamp, available_now: bool = True,
+                   processing_time: str | None = None, max_files: int = MAX_FILES) -> StreamingQuery:
+    """STR-1 + SNK-19: invoice posts → tagged rows appended per epoch."""
+    stamp = _stamp(batch_ts)
+    return _run(spark, posts(spark, landing, max_files),
+                lambda batch, epoch: jobs.tag_posted_invoices(batch, stamp(epoch)),
+                output, checkpoint, available_now, processing_time)
 
 
 def syslog_stream(spark: SparkSession, landing: str, output: str, checkpoint: str,
                   batch_ts: _dt.datetime | BatchStamp, available_now: bool = True,
-                  processing_time: str | None = None) -> StreamingQuery:
-    """STR-2 + SNK-19: log posts (raw lines) → tagged rows; id-less lines quarantined."""
+                  processing_time: str | None = None, max_files: int = MAX_FILES) -> StreamingQuery:
+    """STR-2 + SNK-19: log posts → tagged rows; objects without any id are quarantined."""
     stamp = _stamp(batch_ts)
-    stream = spark.readStream.schema(ENVELOPE_SCHEMA).json(landing)
-
-    def handle(batch: DataFrame, epoch: int) -> None:
-        batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            tagged, quarantine = jobs.tag_syslog_lines(batch, stamp(epoch))
-            tagged.write.mode("overwrite").parquet(f"{output}/epoch={epoch}")
-            quarantine.write.mode("overwrite").parquet(f"{output}_quarantine/epoch={epoch}")
-        finally:
-            batch.unpersist()
-
-    return _start(stream, handle, checkpoint, available_now, processing_time)
+    return _run(spark, posts(spark, landing, max_files),
+                lambda batch, epoch: jobs.tag_syslog_lines(batch, stamp(epoch), batch_col="post"),
+                output, checkpoint, available_now, processing_time)
 
 
 def read_output(spark: SparkSession, output: str) -> DataFrame:
-    """All epochs written so far (the ``epoch`` partition column is dropped)."""
-    return spark.read.parquet(output).drop("epoch")
+    """All epochs written so far (the run and epoch columns are dropped)."""
+    return spark.read.option("mergeSchema", "true").parquet(output).drop("run", "epoch")

@@ -57,19 +57,8 @@ def test_zip_bundles_cases(spark):
                    ("R/Truck/C/Ocean/BK2", "BK2.zip", ["x.pdf"]), ("R/Truck/C/Ocean/BK2", "C.zip", ["x.pdf"])]
 
 
-def test_zip_bytes(spark):
-    import io
-    import zipfile
-    listing = spark.createDataFrame([("F", "b.pdf", b"B"), ("F", "a.pdf", b"A"), ("F", "c.txt", b"C")],
-                                    "folder_path string, file_name string, content binary")
-    bundles = spark.createDataFrame([("F", "K.zip")], "folder_path string, zip_name string")
-    z = jobs.zip_bytes(listing, bundles).first()
-    with zipfile.ZipFile(io.BytesIO(z["content"])) as f:
-        assert f.namelist() == ["a.pdf", "b.pdf"] and f.read("a.pdf") == b"A"
-
-
 def test_file_routing_cases(spark):
-    blobs = spark.createDataFrame([("A.PDF.pdf",), ("0012345678.pdf",), ("nofolder.pdf",), ("skip.txt",), ("inv_x.pdf",)],
+    blobs = spark.createDataFrame([("A.PDF.pdf",), ("0012345678.pdf",), ("nofolder.pdf",), ("skip.txt",), ("inv_x.pdf",), (".pdf",)],
                                   "name string")
     invoices = spark.createDataFrame([("a_1.pdf", "0012345678"), ("a_2.pdf", "4512345678"),
                                       ("0012345678.pdf", "0012345678"), ("nofolder.pdf", "99"),
@@ -82,7 +71,8 @@ def test_file_routing_cases(spark):
     assert out == sorted([("A.PDF.pdf", "dated", dated), ("A.PDF.pdf", "folder", "R/S/1"), ("A.PDF.pdf", "folder", "R/S/2"),
                           ("0012345678.pdf", "dated", dated), ("0012345678.pdf", "folder", "R/S/1"),
                           ("nofolder.pdf", "dated", dated), ("nofolder.pdf", "unrouted", None),
-                          ("inv_x.pdf", "dated", dated), ("inv_x.pdf", "unrouted", None)], key=str)
+                          ("inv_x.pdf", "dated", dated), ("inv_x.pdf", "unrouted", None),
+                          (".pdf", "dated", dated), (".pdf", "quarantine", None)], key=str)
 
 
 def test_customer_docs_width_and_filters(spark):
@@ -119,7 +109,12 @@ def test_delivery_report_modes(spark):
     good, bad = jobs.delivery_report(df, "compat")
     r = good.first()
     assert (r["Material"], r["Invoice"], r["Number of Pallets"], r["PO Date"], r["Qty Delivered"]) == ("1", "", 2, "2024-01-02", 1.5)
-    assert bad.count() == 1
+    b = bad.first()  # raw cells, as they came
+    assert bad.count() == 1 and b["PO Date"] == "zz" and b["Material"] == "5070"
+    serial = jobs.delivery_report(spark.createDataFrame([row("1", None, "99999999999", "45000"), row("1", "1", "2", "45000.5")],
+                                                        df.schema))
+    assert serial[0].first()["PO Date"] == "2023-03-15" and serial[0].count() == 1
+    assert serial[1].first()["Number of Pallets"] == "99999999999"
     good, _ = jobs.delivery_report(df, "exact")
     r = good.first()
     assert (r["Material"], r["Invoice"]) == ("100", None)
@@ -157,13 +152,19 @@ def test_options(spark):
     codes = spark.createDataFrame([("UN", "UNITED KINGDOM"), ("UN", "UNITED STATES//")], "alpha_2code string, country_name string")
     dest = sorted(rows(jobs.destination_options(cust, codes), "value"))
     assert dest == [("UNITED KINGDOM",), ("UNITED STATES",)]
-    ship = {r["country"]: r["options"] for r in jobs.shipto_options(cust, codes).collect()}
+    opts = rows(jobs.shipto_options(cust, codes))
+    assert opts[:2] == [("UNITED KINGDOM", "B-C-2", "B-C-2"), ("UNITED KINGDOM", "Acme X-1", "Acme X-1")]
+    assert [o[0] for o in opts] == sorted(o[0] for o in opts)
+    ship = {r["country"]: r["options"] for r in jobs.nested_options_json(jobs.shipto_options(cust, codes)).collect()}
     assert ship["UNITED KINGDOM"] == '[{"value":"B-C-2","label":"B-C-2"},{"value":"Acme X-1","label":"Acme X-1"}]'
 
 
 def test_tag_invoices_defaults_and_stamp(spark):
     df = spark.createDataFrame([("A", 0), ("A", 1)], "Sales_Document string, pos long")
-    out = jobs.tag_invoices(df, dt.datetime(2024, 3, 5, 6, 7, 8)).orderBy("pos").collect()
+    tagged, bad = jobs.tag_invoices(df.unionByName(spark.createDataFrame([(None, 2)], df.schema)),
+                                    dt.datetime(2024, 3, 5, 6, 7, 8))
+    assert rows(bad, "pos") == [(2,)]
+    out = tagged.orderBy("pos").collect()
     assert [r["UniqueValue"] for r in out] == ["A-0503060708-1", "A-0503060708-2"]
     assert all(out[0][c] is None for c in jobs.INVOICE_DEFAULTED)
 
@@ -177,6 +178,7 @@ def test_load_table_logs_and_quarantines(spark):
     assert rows(table) == [(1, 2.5)] and rejected.count() == 1
     log = spark.read.parquet(f"{store.root}/run_log/append")
     assert rows(log, "target", "rows") == [("erp", 1)]
+    assert rows(store.read_appended("erp_rejected"), "id") == [("x",)]
 
 
 def test_shipment_alerts_two_days(spark):

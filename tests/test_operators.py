@@ -23,7 +23,7 @@ def test_not_found_filter_runs_only_if_some_row_matches(spark):
 
 
 def test_non_blank(spark):
-    df = spark.createDataFrame([("a",), ("",), ("  ",), (None,)], "u string")
+    df = spark.createDataFrame([("a",), ("",), ("  ",), (None,), ("\t\n",), ("\u00a0",), ("\u2003\x1c",)], "u string")
     assert rows(filters.non_blank(df, "u")) == [("a",)]
 
 
@@ -163,9 +163,10 @@ def test_unique_value_and_syslog_id(spark):
 # --- joins ---------------------------------------------------------------------
 def test_prefix_join_matches_brute_force(spark):
     keys = [f"{a}{b}" for a in ["inv_1", "inv_12", "inv_2", "x"] for b in ["_a.pdf", "3_b.pdf", ""]]
-    stems = ["inv_1", "inv_12", "inv_2", "inv_9", "i"]
+    stems = ["inv_1", "inv_12", "inv_2", "inv_9", "i"]  # an empty stem matches nothing
     kdf = spark.createDataFrame([(k,) for k in keys], "file_name string")
-    sdf = spark.createDataFrame([(s,) for s in stems], "stem string")
+    sdf = spark.createDataFrame([(s,) for s in [*stems, "", None]], "stem string")
+    assert joins.empty_stems(sdf, "stem").count() == 2
     got = sorted(rows(joins.prefix_join(kdf, "file_name", sdf, "stem")))
     assert got == sorted((k, s) for k in keys for s in stems if k.startswith(s))
     anti = sorted(rows(joins.prefix_join(kdf, "file_name", sdf, "stem", "left_anti")))
@@ -225,16 +226,15 @@ def test_salvage_split(spark):
     assert reasons == ["d: not double", "n: not bigint", "t: longer than 255"]
 
 
-def test_broadcast_check_falls_back_above_bound(spark):
+def test_building_a_join_runs_no_job(spark):
     big = spark.range(50).withColumnRenamed("id", "k")
     small = spark.createDataFrame([(i, f"v{i}") for i in range(10)], "k long, v string")
-    hinted = joins.broadcast_if_small(small, max_rows=100)
-    plain = joins.broadcast_if_small(small, max_rows=5)
-    assert "ResolvedHint" in hinted._jdf.queryExecution().analyzed().toString()
-    assert "ResolvedHint" not in plain._jdf.queryExecution().analyzed().toString()
-    a = sorted(rows(joins.lookup_left(big, small, "k", "k", max_rows=100).select("k", "v")), key=str)
-    b = sorted(rows(joins.lookup_left(big, small, "k", "k", max_rows=5).select("k", "v")), key=str)
-    assert a == b and len(a) == 50
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("no-job", "none")
+    out = joins.codes_inner(joins.lookup_left(big, small, "k", "k"), small.withColumnRenamed("v", "w"), "k", "k")
+    assert not tracker.getJobIdsForGroup("no-job")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert out.count() == 10
 
 
 def test_dup_tags_hot_document_third_of_rows(spark):
@@ -243,3 +243,19 @@ def test_dup_tags_hot_document_third_of_rows(spark):
     df = spark.createDataFrame(list(zip(docs, range(3000))), "doc string, pos long").repartition(6)
     got = [r["Dup_Value"] for r in tagging.dup_tags(df, "doc", "pos").orderBy("pos").collect()]
     assert got == brute_dup(docs)
+
+
+def test_dup_tags_join_the_rows_once(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.createDataFrame([("A", 0), ("B", 1), ("A", 2)], "doc string, pos long")
+        plan = tagging.dup_tags(df, "doc", "pos")._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Join Inner") == 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_dup_tags_of_an_empty_frame(spark):
+    df = spark.createDataFrame([], "doc string, pos long, post string")
+    assert tagging.dup_tags(df, "doc", "pos").count() == 0
+    assert tagging.dup_tags(df, "doc", "pos", "post").count() == 0

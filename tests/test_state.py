@@ -22,7 +22,7 @@ def test_versions_replace_previous_append(spark):
     store.append("log", spark.createDataFrame([(1,)], "a int"))
     store.append("log", spark.createDataFrame([], "a int"), only_if_rows=True)
     store.append("log", spark.createDataFrame([(2,)], "a int"))
-    assert sorted(rows(store.current("log") or spark.read.parquet(f"{store.root}/log/append"))) == [(1,), (2,)]
+    assert sorted(rows(store.read_appended("log"))) == [(1,), (2,)]
 
 
 def test_failed_write_leaves_current_version(spark):
@@ -32,6 +32,34 @@ def test_failed_write_leaves_current_version(spark):
     with pytest.raises(Exception):
         store.replace("t", bad)  # ANSI cast fails inside the job
     assert rows(store.current("t")) == [("1",)]
+    store.replace("t", spark.createDataFrame([("2",)], "a string"))  # the table is not stuck
+    assert rows(store.current("t")) == [("2",)] and rows(store.previous("t")) == [("1",)]
+
+
+def test_an_unfinished_version_is_passed_over(spark):
+    import os
+    store = TableStore(spark)
+    store.replace("t", spark.createDataFrame([("1",)], "a string"))
+    os.makedirs(f"{store.root}/t/v000002")  # no _SUCCESS: a job was lost here
+    store.replace("t", spark.createDataFrame([("2",)], "a string"))
+    assert store.versions("t") == [1, 3] and rows(store.current("t")) == [("2",)]
+
+
+def test_widened_append_keeps_its_columns(spark):
+    store = TableStore(spark)
+    store.append("w", spark.createDataFrame([(1,)], "a int"))
+    out = store.append("w", spark.createDataFrame([(2, "x")], "a int, b string"))
+    assert sorted(rows(out, "a", "b")) == [(1, None), (2, "x")]
+
+
+def test_retain_keeps_current_and_previous(spark):
+    import os
+    store = TableStore(spark)
+    for i in range(4):
+        store.replace("t", store.stage("t", spark.range(i, i + 1)))
+    store.retain("t")
+    assert store.versions("t") == [3, 4] and not os.path.exists(f"{store.root}/t/_staging")
+    assert rows(store.current("t")) == [(3,)]
 
 
 def test_stage_writes_once(spark):
@@ -70,9 +98,11 @@ def test_cert_update_dates(spark):
     table = spark.createDataFrame([(1, "n", None, None, None, None, None, None, None)],
                                   "ID long, DocumentName string, DocumentDescription string, Legalization string, "
                                   "LatestDocumentDate date, ExpirationDate date, AlertDate date, Status string, Comment string")
-    req = spark.createDataFrame([(1, "m", "d", "y", "2024-02-29", "", None, "S", "c")],
+    req = spark.createDataFrame([(1, "m", "d", "y", "2024-02-29", "", None, "S", "c", 2),
+                                 (1, "old", "d", "y", "2020-02-29", "", None, "S", "c", 1)],
                                 "ID long, DocumentName string, DocumentDescription string, Legalization string, "
-                                "LatestDocumentDate string, ExpirationDate string, AlertDate string, Status string, Comment string")
+                                "LatestDocumentDate string, ExpirationDate string, AlertDate string, Status string, Comment string, "
+                                "seq int")
     out = transitions.cert_update(table, req).first()
     assert out["LatestDocumentDate"] == dt.date(2024, 2, 29) and out["ExpirationDate"] is None
     bad = req.withColumn("LatestDocumentDate", F.lit("29/02/2024"))
@@ -110,12 +140,18 @@ def test_prefix_replace_set_wise(spark):
     new = spark.createDataFrame([("4500012345-9", "b")], "k string, v string")
     stems = spark.createDataFrame([("4500012345",)], "stem string")
     assert sorted(rows(transitions.prefix_replace(old, new, stems, "k"))) == [("4500012345-9", "b"), ("4500099999-1", "a")]
+    files = spark.createDataFrame([("45", 1), ("4500012345", 2), ("", 3)], "stem string, n int")
+    new = spark.createDataFrame([("4500012345-9", "one", 1), ("4500012345-9", "two", 2), ("4500077777-1", "one", 1)],
+                                "k string, v string, n int")
+    assert sorted(rows(transitions.prefix_replace(old, new, files, "k", order_col="n"))) == \
+        [("4500012345-9", "two"), ("4500077777-1", "one")]
 
 
 def test_mail_outcomes_quotes_round_trip(spark):
     q = spark.createDataFrame([("m1", "Ready", "keep", None), ("m2", "Ready", "old", None), ("m3", "Ready", None, None)],
                               "unique_item_id string, send_email_status string, send_email_comment string, date_send_email string")
-    o = spark.createDataFrame([("m1", True, None), ("m2", False, "it's full")], "unique_item_id string, ok boolean, error_message string")
+    o = spark.createDataFrame([("m1", True, None, 2), ("m1", False, "first try", 1), ("m2", False, "it's full", 1)],
+                              "unique_item_id string, ok boolean, error_message string, seq int")
     out = {r[0]: tuple(r[1:]) for r in transitions.mail_outcomes(q, o, dt.datetime(2024, 3, 5)).collect()}
     assert out == {"m1": ("Completed", "keep", "05/03/2024"), "m2": ("Error", "it's full", "05/03/2024"),
                    "m3": ("Ready", None, None)}

@@ -1,35 +1,54 @@
-"""STR-1/STR-2: a stream run equals the batch operator on the same rows, and
-replaying with the same checkpoint adds nothing."""
+"""STR-1/STR-2: tags are per post, nothing is lost, and a replay adds nothing."""
 import datetime as dt
+import json
+import os
 
 from conftest import rows
-from quayside.plans import jobs
 from quayside.session import work_dir
 from quayside.streaming import ingest
 
 TS = dt.datetime(2024, 3, 5, 6, 7, 8)
 
 
-def test_invoice_stream_equals_batch_and_is_restartable(spark):
+def land(base, name, items):
+    os.makedirs(f"{base}/landing", exist_ok=True)
+    with open(f"{base}/landing/{name}", "w") as f:
+        f.write(items if isinstance(items, str) else json.dumps(items))
+
+
+def test_posts_of_one_micro_batch_are_tagged_apart(spark):
     base = work_dir(spark, "inv")
-    posts = spark.createDataFrame([(d, i) for i, d in enumerate("ABABCA")], "Sales_Document string, pos long")
-    posts.write.json(f"{base}/landing")
-    q = ingest.invoice_stream(spark, f"{base}/landing", f"{base}/out", f"{base}/ckpt", TS)
-    q.awaitTermination()
+    land(base, "one.json", [{"Sales_Document": d} for d in "ABABCA"])
+    land(base, "two.json", [{"Sales_Document": d} for d in "ABA"] + [{"File_Name": "lost.pdf"}, {"Sales_Document": None}])
+    land(base, "three.json", "this is no array")
+    args = (f"{base}/landing", f"{base}/out", f"{base}/ckpt", TS)
+    ingest.invoice_stream(spark, *args).awaitTermination()
     out = ingest.read_output(spark, f"{base}/out")
-    assert [r["Dup_Value"] for r in out.orderBy("pos").collect()] == [1, 1, 2, 3, 1, 4]
+    got = {}
+    for r in out.orderBy("post", "pos").collect():
+        got.setdefault(r["post"], []).append(r["Dup_Value"])
+    assert got == {"one.json": [1, 1, 2, 3, 1, 4], "two.json": [1, 1, 2]}
     assert out.first()["Date_Created"] is None  # absent key → null
-    assert sorted(rows(out)) == sorted(rows(jobs.tag_invoices(posts, TS)))
-    q2 = ingest.invoice_stream(spark, f"{base}/landing", f"{base}/out", f"{base}/ckpt", TS)
-    q2.awaitTermination()
-    assert ingest.read_output(spark, f"{base}/out").count() == 6
+    bad = spark.read.parquet(f"{base}/out_quarantine")
+    assert sorted(rows(bad, "post", "raw")) == [
+        ("three.json", "this is no array"), ("two.json", '{"File_Name":"lost.pdf"}'), ("two.json", '{"Sales_Document":null}')]
+    ingest.invoice_stream(spark, *args).awaitTermination()
+    assert ingest.read_output(spark, f"{base}/out").count() == 9
+
+
+def test_a_new_checkpoint_overwrites_nothing(spark):
+    base = work_dir(spark, "inv2")
+    land(base, "one.json", [{"Sales_Document": "A"}])
+    ingest.invoice_stream(spark, f"{base}/landing", f"{base}/out", f"{base}/ckpt", TS).awaitTermination()
+    land(f"{base}/next", "two.json", [{"Sales_Document": "B"}])
+    ingest.invoice_stream(spark, f"{base}/next/landing", f"{base}/out", f"{base}/ckpt2", TS).awaitTermination()
+    assert sorted(rows(ingest.read_output(spark, f"{base}/out"), "Sales_Document")) == [("A",), ("B",)]
 
 
-def test_syslog_stream_quarantines_lines_without_id(spark):
+def test_syslog_stream_quarantines_objects_without_id(spark):
     base = work_dir(spark, "log")
-    lines = [('{"Sales_Document": "7", "SAP_Shipment": "S1"}', 0), ('{"SAP_Shipment": "7"}', 1),
-             ('{"Sales_Document": null, "SAP_Shipment": "S2"}', 2), ('{"Error_Message": "x"}', 3)]
-    spark.createDataFrame(lines, "raw string, pos long").write.json(f"{base}/landing")
+    land(base, "p", [{"Sales_Document": "7", "SAP_Shipment": "S1"}, {"SAP_Shipment": "7"},
+                     {"Sales_Document": None, "SAP_Shipment": "S2"}, {"Error_Message": "x"}])
     ingest.syslog_stream(spark, f"{base}/landing", f"{base}/out", f"{base}/ckpt", TS).awaitTermination()
     out = ingest.read_output(spark, f"{base}/out").orderBy("pos").collect()
     assert [(r["log_id"], r["Dup_Value"]) for r in out] == [("7", 1), ("7", 2)]
