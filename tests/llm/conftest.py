@@ -4,15 +4,11 @@ import sys
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import pytest  # noqa: E402
+from samples import ODD  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
-#: Nulls, empty, blank, short, equal and odd texts; repeated ids.
-ODD = [None, "", " \t\n", "one", "One", "two words", "é", "a\x1cb  c\td", "x" * 3000, "1 2 3 4 5",
-       "a.b@c.de a.b@c.de", "The the of.\nThe the of.\nThe the of.", "\U0001f600 <|endoftext|> #*$%&|<>"]
-
-
 @pytest.fixture(scope="session")
 def odd(spark):
     rows = [(i, t, "en" if i % 2 else None, None if i % 3 else "s", len(t or "")) for i, t in enumerate(ODD)]

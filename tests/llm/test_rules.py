@@ -3,7 +3,7 @@ import random
 
 import brute
 import pytest
-from conftest import ODD
+from samples import ODD
 from pyspark.sql import functions as F
 
 from quayside.llm import license, pii, quality

@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from conftest import ODD
+from samples import ODD
 
 from quayside.llm import queries, tokens
 
