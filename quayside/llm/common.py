@@ -131,7 +131,6 @@ def labelled_sample(df: DataFrame, label: str, key: str, per_label: int) -> Data
     the key (so the same rows every time). Only the pruned label column is read
     to count; the counts table has one row per label."""
     spread = 1 << 30
-    spread = 1 << 30
     known = df.where(quoted(label).isNotNull())
     counts = known.groupBy(quoted(label).alias("sample_label")).agg(F.count(F.lit(1)).alias("sample_rows"))
     few = counts.limit(MOST_LABELS + 1).collect()

@@ -37,7 +37,7 @@ from .common import field, fresh, map_texts, quoted, staged
 WINDOW = 13
 #: Most bytes of benchmark words in one broadcast block.
 BLOCK_BYTES = 8 << 20
-_PIECE_WORDS = 4096
+_PIECE_WORDS, _LONG_WORD = 4096, 256
 _LETTERS = bytes(range(48, 58)) + bytes(range(97, 123)) + bytes(range(128, 256))
 _TABLE = bytes(c + 32 if 65 <= c <= 90 else c if c in _LETTERS else 32 for c in range(256))
 
@@ -47,10 +47,20 @@ def words_of(text: bytes | None) -> list[bytes]:
     return text.translate(_TABLE).split() if text else []
 
 
+def symbols_of(text: bytes | None) -> list[bytes]:
+    """The words as the search compares them: one of more than ``_LONG_WORD``
+    bytes is its SHA-256 digits behind a byte that no word has, so a piece of
+    the benchmark has a bounded size whatever its words."""
+    words = words_of(text)
+    if words and max(map(len, words)) > _LONG_WORD:
+        return [w if len(w) <= _LONG_WORD else b"\x00" + hashlib.sha256(w).hexdigest().encode() for w in words]
+    return words
+
+
 class WuManber:
     """Search tables for windows (tuples of words), grouped by length."""
 
-    def __init__(self, windows: dict[tuple, list]):
+    def __init__(self, windows: dict[tuple, dict]):
         self.groups = []
         by_len: dict[int, list[tuple]] = {}
         for w in windows:
@@ -105,7 +115,7 @@ def _pieces(bench: DataFrame, item_id: str, text: str, window: int) -> DataFrame
         def kernel(texts):
             out = []
             for t in texts:
-                w = words_of(t)
+                w = symbols_of(t)
                 step = _PIECE_WORDS
                 out.append([b" ".join(w[i:i + step + window - 1]) for i in range(0, max(1, len(w) - window + 1), step)]
                            if w else [])
@@ -116,9 +126,10 @@ def _pieces(bench: DataFrame, item_id: str, text: str, window: int) -> DataFrame
 
 
 def _blocks(bench: DataFrame, item_id: str, text: str, window: int, block_bytes: int) -> list[DataFrame]:
-    """The pieces, staged, in blocks of at most ``block_bytes``: by running
-    hash buckets, doubled until the largest block fits."""
-    pieces = staged(_pieces(bench, item_id, text, window))
+    """The distinct pieces, staged, in blocks of at most ``block_bytes``: by
+    hash buckets, doubled until the largest block fits. Repeated rows count
+    once, or no number of buckets would part them."""
+    pieces = staged(_pieces(bench, item_id, text, window).distinct())
     size = F.length("piece") + 64
     total = pieces.agg(F.sum(size)).first()[0] or 0
     k = max(1, -(-total // block_bytes))
@@ -135,13 +146,13 @@ def _blocks(bench: DataFrame, item_id: str, text: str, window: int, block_bytes:
 
 
 def _tables(rows, window: int) -> WuManber:
-    windows: dict[tuple, list] = {}
+    windows: dict[tuple, dict] = {}
     for item, piece in rows:
         w = bytes(piece).split(b" ")
         for i in range(max(1, len(w) - window + 1)):
-            owners = windows.setdefault(tuple(w[i:i + window]), [])
-            if item is not None and (not owners or item != owners[-1]) and item not in owners:
-                owners.append(item)
+            owners = windows.setdefault(tuple(w[i:i + window]), {})
+            if item is not None:
+                owners[item] = None
     return WuManber(windows)
 
 
@@ -155,7 +166,7 @@ def _scan(docs: DataFrame, key: str, text: str, rows: list, window: int) -> Data
         def kernel(texts):
             n_words, spans, items = [], [], []
             for t in texts:
-                words = words_of(t)
+                words = symbols_of(t)
                 ends: dict[int, int] = {}
                 found: set = set()
                 for at, w in search.search(words):
@@ -236,7 +247,7 @@ def keep_clean(docs: DataFrame, bench: DataFrame, text: str = "text", item_id: s
         def kernel(texts):
             out = []
             for t in texts:
-                words = words_of(t)
+                words = symbols_of(t)
                 hit = _covered([(at, at + len(w)) for at, w in search.search(words)], len(words))
                 out.append(hit > 0 and share * hit >= len(words))
             return [out]

@@ -38,7 +38,6 @@ UND = "und"
 PER_LANG = 2000
 _SLICE = 1 << 20
 _TABLE = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
-_LETTER = re.compile(r"[^\W\d_]")
 _START = b"   "
 
 
@@ -49,7 +48,7 @@ def symbols(text: bytes) -> bytes:
 
 def has_letter(text: bytes) -> bool:
     return bool(re.search(rb"[A-Za-z]", text)) or (
-        not text.isascii() and bool(_LETTER.search(text.decode("utf-8", "replace"))))
+        not text.isascii() and any(map(str.isalpha, text.decode("utf-8", "replace"))))
 
 
 def _grams(data: np.ndarray) -> np.ndarray:

@@ -16,7 +16,7 @@ Encoding a chunk: before a run of spaces and newlines that follows a character
 that is no white space there is always a pre-token boundary, and no special
 token holds a space. So a chunk whose only white space is spaces and newlines
 is cut there into pieces ("run + word"), and the library's counts of pieces are
-kept in a bounded per-worker cache; other chunks go to the library whole, with
+kept in a bounded per-worker cache (long ones only for their batch); other chunks go to the library whole, with
 offsets. Tests hold both against the library on whole texts.
 
 Defined cases: a null text counts as empty (0 bytes, 0 tokens); ids and
@@ -35,6 +35,8 @@ from .common import field, map_texts, worker_state
 
 #: Characters of a chunk, first overlap of two chunks, cached pieces per worker.
 CHUNK, OVERLAP, CACHE = 1 << 16, 256, 400_000
+#: Longest piece that stays in the cache; longer ones may take so many characters.
+LASTING, LONG_CHARS = 64, 4_000_000
 _PIECES = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 #: White space (of any definition) other than space and newline.
 _ODD = re.compile(r"[\t\x0b-\r\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u2064\u3000\ufeff]")
@@ -49,6 +51,7 @@ class Counter:
         self.path, self.chunk, self.overlap, self.most = path, chunk, overlap, cache
         self.lib = worker_state("tokenizer:" + path, lambda: Tokenizer.from_file(path))
         self.known: dict[str, int] = worker_state("pieces:" + path, dict)
+        self.long: list[str] = worker_state("long pieces:" + path, list)
         added = [t.content for t in self.lib.get_added_tokens_decoder().values()]
         self.margin = max([1, *map(len, added)]) + 3
         self.spaced = any(re.search(r"\s", t) for t in added)  # then no piece is sure
@@ -57,14 +60,24 @@ class Counter:
         """The text cut at sure boundaries, None if it has odd white space."""
         return None if self.spaced or _ODD.search(text) else _PIECES.findall(text)
 
-    def learn(self, pieces) -> None:
+    def forget(self) -> None:
+        """Keep the cache within its bounds: entries, and characters of long pieces."""
         if len(self.known) > self.most:
             self.known.clear()
+            self.long.clear()
+        elif self.long and sum(map(len, self.long)) > LONG_CHARS:
+            for p in self.long:
+                self.known.pop(p, None)
+            self.long.clear()
+
+    def learn(self, pieces) -> None:
+        self.forget()
         new = [p for p in set(pieces) if p not in self.known]
         for lo in range(0, len(new), 4096):
             part = new[lo:lo + 4096]
             for p, e in zip(part, self.lib.encode_batch_fast(part, add_special_tokens=False), strict=True):
                 self.known[p] = len(e)
+        self.long += [p for p in new if len(p) > LASTING]
 
     def encode(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Offsets of the chunk's pre-token boundaries (0 and the end included;
@@ -119,16 +132,16 @@ class Counter:
         """Of a batch: pieces that are not known are encoded together."""
         fresh: set[str] = set()
         cut: list[list[str] | None] = []
-        if len(self.known) > self.most:
-            self.known.clear()
+        self.forget()
         for t in texts:
             cut.append(self.pieces(t) if t and len(t) <= self.chunk else None)
             if cut[-1]:
                 fresh.update(cut[-1])
         self.learn(fresh)
         known = self.known.__getitem__
-        return [sum(map(known, c)) if c is not None else self.count(t) if t else 0
-                for t, c in zip(texts, cut, strict=True)]
+        done = [None if c is None else sum(map(known, c)) for c in cut]
+        # the others come after them, since they may make the cache forget
+        return [n if n is not None else self.count(t) if t else 0 for t, n in zip(texts, done, strict=True)]
 
 
 def token_counts(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text",

@@ -41,6 +41,19 @@ def test_pieces_lose_no_window(spark, monkeypatch):
     assert all(r.n_hit == 13 for r in decontam.contamination(docs, bench).collect())
 
 
+def test_many_copies_of_an_item_and_very_long_words(spark):
+    body = " ".join(f"w{i}" for i in range(30))
+    huge = "x" * 300_000
+    rows = [(1, body)] * 200 + [(i, "shared words of one passage") for i in range(10, 60)]
+    rows += [(2, f"a {huge} b"), (3, f"{huge}y"), (4, f"a {huge}z b")]
+    bench = spark.createDataFrame(rows, "item_id long, text string")
+    docs = spark.createDataFrame([(1, body), (2, f"so a {huge} b"), (3, huge), (4, f"{huge}Y"), (5, "shared words of one passage")],
+                                 "doc_id long, text string")
+    for block_bytes in (1 << 20, 4000):
+        assert got(decontam.contamination(docs, bench, block_bytes=block_bytes)) == want(docs, bench)
+    assert decontam.keep_clean(docs, bench, block_bytes=4000).select("doc_id").collect() == [(3,)]
+
+
 def test_empty_tables(docs, bench, empty):
     assert decontam.contamination(empty, bench).collect() == []
     none = bench.where("false")

@@ -57,3 +57,21 @@ def test_cache_is_bounded(lib):
     for i in range(30):
         c.counts([" ".join(f"w{i}x{j}" for j in range(40))])
         assert len(c.known) <= 50 + 40
+
+
+def test_long_texts_between_short_ones_with_a_full_cache(lib):
+    c = tokens.Counter(PATH, 100, 16, cache=10)
+    texts = [x for i in range(8) for x in (" ".join(f"q{i}y{j}" for j in range(8)), " ".join(f"z{i}y{j}" for j in range(90)), "a\tb")]
+    assert c.counts(texts) == [len(lib.encode(t, add_special_tokens=False)) for t in texts]
+
+
+def test_long_pieces_leave_the_cache(lib, monkeypatch):
+    monkeypatch.setattr(tokens, "LONG_CHARS", 1000)
+    c = tokens.Counter(PATH)
+    c.known.clear()
+    c.long.clear()
+    for i in range(20):
+        t = f"{i}" + "x" * 400 + " short"
+        assert c.counts([t]) == [len(lib.encode(t, add_special_tokens=False))]
+        assert sum(len(p) for p in c.known if len(p) > tokens.LASTING) <= 1000 + 402
+    assert " short" in c.known
