@@ -12,16 +12,6 @@ from quayside.functions.util import col_of, quote
 SHIPPING_LABELS = {"Ocean": "Booking number", "Truck": "PO number"}
 
 
-def strict_cast(c, to: str) -> Column:
-    """SCL-N1 strict form: ANSI cast, bad text raises."""
-    return col_of(c).cast(to)
-
-
-def lenient_cast(c, to: str) -> Column:
-    """SCL-N1 lenient form: bad text becomes null (used with a quarantine)."""
-    return col_of(c).try_cast(to)
-
-
 def decimal_to_double(c) -> Column:
     """SCL-N2."""
     return col_of(c).cast("double")
@@ -29,11 +19,13 @@ def decimal_to_double(c) -> Column:
 
 def number_text(c) -> Column:
     """Text of a number without exponent notation (Q2): doubles go through a
-    decimal so ``29744324.0`` prints ``29744324`` rather than ``2.9744324E7``."""
+    decimal so ``29744324.0`` prints ``29744324`` rather than ``2.9744324E7``.
+    What no such decimal holds (NaN, infinities, 29 digits or more) keeps its
+    plain text."""
     c = col_of(c)
-    as_dec = c.cast("decimal(38,10)").cast("string")
+    as_dec = c.try_cast("decimal(38,10)").cast("string")
     trimmed = F.regexp_replace(F.regexp_replace(as_dec, r"0+$", ""), r"\.$", "")
-    return trimmed
+    return F.coalesce(trimmed, c.cast("string"))
 
 
 def shipping_label(shipping) -> Column:
@@ -45,19 +37,6 @@ def shipping_label(shipping) -> Column:
     return out
 
 
-def iif(cond: Column, a, b) -> Column:
-    """SCL-C2."""
-    return F.when(cond, a).otherwise(b)
-
-
-def fill_text_nulls(df: DataFrame, cols=None, value: str = "") -> DataFrame:
-    """SCL-L1: every listed column as text, nulls replaced by ``value``."""
-    cols = list(cols) if cols is not None else df.columns
-    return df.select(*[
-        (F.coalesce(col_of(c).cast("string"), F.lit(value)).alias(c) if c in cols else col_of(c))
-        for c in df.columns])
-
-
 def nan_text_to_empty(df: DataFrame, cols=None) -> DataFrame:
     """SCL-L2: cells exactly equal to ``nan`` become ``''``."""
     cols = set(cols if cols is not None else

@@ -9,25 +9,30 @@ every distinct value of a group into one text.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quayside.functions.util import col_of, quote
+from quayside.functions.values import number_text
 
 
 def distinct_rollup(df: DataFrame, keys: Sequence[str], cols: Sequence[str],
-                    sep: str = ";") -> DataFrame:
+                    sep: str = ";", null_text: Mapping[str, str] | None = None) -> DataFrame:
     """AG-1 (+ SCL-L1, SRT-3): one row per key; each value column becomes its
     sorted distinct values joined by ``sep``.
 
     Nulls (keys and values) become ``''`` before grouping, so a null shows up
-    as a leading empty item (``;a;b``) and null keys form the ``''`` group.
-    Order is binary UTF-8 order, i.e. code-point order."""
-    filled = df.select(
-        *[F.coalesce(col_of(k).cast("string"), F.lit("")).alias(k) for k in keys],
-        *[F.coalesce(col_of(c).cast("string"), F.lit("")).alias(c) for c in cols])
+    as a leading empty item (``;a;b``) and null keys form the ``''`` group;
+    ``null_text`` gives a column another text for null (Q1). Doubles are written
+    without an exponent (Q2). Order is binary UTF-8 order, i.e. code-point order."""
+    kinds, nulls = dict(df.dtypes), dict(null_text or {})
+
+    def text(c: str):
+        shown = number_text(c) if kinds.get(c) in ("double", "float") else col_of(c).cast("string")
+        return F.coalesce(shown, F.lit(nulls.get(c, ""))).alias(c)
+    filled = df.select(*[text(c) for c in (*keys, *cols)])
     return filled.groupBy(*[quote(k) for k in keys]).agg(
         *[F.array_join(F.sort_array(F.collect_set(col_of(c))), sep).alias(c) for c in cols])
 
@@ -37,11 +42,14 @@ def ordered_concat(df: DataFrame, keys: Sequence[str], value: str,
                    out: str | None = None) -> DataFrame:
     """AG-2: rows with a null key are dropped; per key, ``value`` items are
     joined by ``sep`` in ``order_by`` order (default: the value itself),
-    duplicates kept (Q5, Q6)."""
+    duplicates kept (Q5, Q6). A null value in a row that stays raises, since
+    leaving it out would change the list without a trace."""
     order = list(order_by or [value])
-    kept = df.dropna(subset=list(keys))
+    kept = df.dropna(subset=list(keys)).withColumn(value, F.coalesce(
+        col_of(value), F.raise_error(F.lit(f"{value} is null")).cast("string")))
     order_sql = ", ".join(quote(o) for o in order + ([value] if value not in order else []))
-    agg = F.expr(f"listagg({quote(value)}, '{sep}') WITHIN GROUP (ORDER BY {order_sql})")
+    text = sep.replace("\\", "\\\\").replace("'", "\\'")
+    agg = F.expr(f"listagg({quote(value)}, '{text}') WITHIN GROUP (ORDER BY {order_sql})")
     return kept.groupBy(*[quote(k) for k in keys]).agg(agg.alias(out or value))
 
 
@@ -59,11 +67,6 @@ def distinct_values(df: DataFrame, col: str) -> DataFrame:
     return df.select(col_of(col)).distinct()
 
 
-def any_row(df: DataFrame, predicate) -> "F.Column":
-    """AG-8: an ``EXISTS`` subquery column, true when some row matches."""
-    return df.filter(predicate).exists()
-
-
 def files_per_folder(files: DataFrame, folder_col: str = "folder_path",
                      name_col: str = "file_name", out: str = "file_names") -> DataFrame:
     """AG-9 (names): the sorted file names of each folder."""

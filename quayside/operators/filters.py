@@ -21,8 +21,12 @@ ACTIVE, ARCHIVED = "Active", "Archived"
 
 
 def drop_value_keep_null(df: DataFrame, col, value) -> DataFrame:
-    """FLT-1 / FLT-8: drop rows equal to ``value``; null rows are kept."""
-    return df.filter(~col_of(col).eqNullSafe(F.lit(value)))
+    """FLT-1 / FLT-8: drop rows equal to ``value``; null rows are kept, and so
+    is a text that is no number where ``value`` is one."""
+    cell = col_of(col)
+    if isinstance(value, int) and df.select(cell).dtypes[0][1] == "string":
+        cell = cell.try_cast("bigint")
+    return df.filter(~cell.eqNullSafe(F.lit(value)))
 
 
 def drop_containing_if_any(df: DataFrame, col, text: str) -> DataFrame:

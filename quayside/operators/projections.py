@@ -57,11 +57,6 @@ def union_distinct(a: DataFrame, b: DataFrame) -> DataFrame:
     return a.unionByName(b).distinct()
 
 
-def append_rows(a: DataFrame, b: DataFrame) -> DataFrame:
-    """SET-2 (UNION ALL by name)."""
-    return a.unionByName(b, allowMissingColumns=True)
-
-
 def first_n(df: DataFrame, n: int, order_by: Sequence[str] | None = None) -> DataFrame:
     """LIM-1 (after SRT-1 when an order is given): a top-n, not a sample."""
     if order_by:

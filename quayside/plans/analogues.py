@@ -57,14 +57,11 @@ def register(name: str, sql: str | None):
 
 
 # ---------------------------------------------------------------------------
-# Shipment rows (FIXTURES §1) from lineitem ⋈ orders ⋈ part.
+# Shipment rows (FIXTURES §1) from lineitem ⋈ orders ⋈ part ⋈ customer ⋈ nation,
+# all 17 rolled-up columns; the weights are doubles, the container count an int.
 # ShiptoID null for low-priority pending orders; UniqueID blank or null for
 # some unspecified-priority orders; Containernumber null on first lines.
 # ---------------------------------------------------------------------------
-ROLLUP_VALUES = ("Bookingnumber", "POnumber", "Vesselname", "Containernumber",
-                 "GrossWeight", "SKU+Description", "DateDocumentSent")
-
-
 SHIPMENT_ROWS_SQL = """
   SELECT CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '5-LOW' THEN NULL
               ELSE CAST(o_custkey AS STRING) END AS ShiptoID,
@@ -73,59 +70,116 @@ SHIPMENT_ROWS_SQL = """
               ELSE CAST(o_orderkey AS STRING) END AS UniqueID,
          l_returnflag AS Bookingnumber,
          l_linestatus AS POnumber,
+         o_orderpriority AS POL,
+         n_name AS Portofdestination,
          CAST(l_suppkey AS STRING) AS Vesselname,
+         p_type AS CarrierMoveType,
+         CASE WHEN l_linenumber = 2 THEN NULL ELSE p_size END AS Containersloaded,
          CASE WHEN l_linenumber = 1 THEN NULL ELSE CAST(l_linenumber AS STRING) END AS Containernumber,
-         CAST(CAST(l_quantity AS DECIMAL(18,2)) AS STRING) AS GrossWeight,
+         CAST(l_partkey AS STRING) AS Sealnumber,
+         l_quantity * 1000000 AS GrossWeight,
+         l_discount AS NetWeight,
          p_brand AS `SKU+Description`,
-         CAST(CAST(l_shipdate AS DATE) AS STRING) AS DateDocumentSent
+         CAST(n_regionkey AS STRING) AS Region,
+         n_name AS shiptocountry,
+         CAST(o_custkey AS STRING) AS ShiptoNumber,
+         CAST(CAST(l_shipdate AS DATE) AS STRING) AS DateDocumentSent,
+         o_orderstatus AS SISentStatus
   FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey JOIN {part} ON l_partkey = p_partkey
+  LEFT JOIN {customer} ON o_custkey = c_custkey LEFT JOIN {nation} ON c_nationkey = n_nationkey
 """
 
 
-def _sql_rollup_col(c: str) -> str:
+def _sql_rollup_text(c: str, null: str = "") -> str:
+    """The text of a cell: numbers without an exponent, null as ``null``."""
     q = f'"{c}"'
-    return f"string_agg(DISTINCT coalesce({q}, ''), ';' ORDER BY coalesce({q}, '')) AS {q}"
+    if c in ("GrossWeight", "NetWeight"):
+        q = f"regexp_replace(regexp_replace(CAST(CAST({q} AS DECIMAL(38,10)) AS VARCHAR), '0+$', ''), '[.]$', '')"
+    return f"coalesce(CAST({q} AS VARCHAR), '{null}')"
 
 
-@register("shipment_rollup", f"""
-WITH src AS ({duck(SHIPMENT_ROWS_SQL)})
+def _sql_rollup(source: str, nulls: dict[str, str] | None = None) -> str:
+    def col(c):
+        t = _sql_rollup_text(c, (nulls or {}).get(c, ""))
+        return f"string_agg(DISTINCT {t}, ';' ORDER BY {t}) AS \"{c}\""
+    return f"""
 SELECT coalesce(ShiptoID, '') AS ShiptoID, coalesce(UniqueID, '') AS UniqueID,
-       {", ".join(_sql_rollup_col(c) for c in ROLLUP_VALUES)}
-FROM src
+       {", ".join(col(c) for c in jobs.ROLLUP_COLUMNS)}
+FROM {source}
 GROUP BY coalesce(ShiptoID, ''), coalesce(UniqueID, '')
-HAVING length(trim(coalesce(UniqueID, ''))) > 0
-""")
+HAVING length(trim(coalesce(UniqueID, ''))) > 0"""
+
+
+@register("shipment_rollup", _sql_rollup(f"({duck(SHIPMENT_ROWS_SQL)}) s"))
 def q_shipment_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AG-1 + SCL-L1 + FLT-3 + SRT-3: the D0 alert table."""
-    rolled = aggs.distinct_rollup(src(spark, sf_dir, SHIPMENT_ROWS_SQL), ["ShiptoID", "UniqueID"],
-                                  ROLLUP_VALUES)
+    rolled = aggs.distinct_rollup(src(spark, sf_dir, SHIPMENT_ROWS_SQL), jobs.ROLLUP_KEYS, jobs.ROLLUP_COLUMNS)
     return filters.non_blank(rolled, "UniqueID")
 
 
+# Two days through the whole chain. On the second day urgent shipments have
+# another vessel and pending ones lose their container number and a weight.
+_DAY2_SQL = f"""SELECT * REPLACE (
+    CASE WHEN POL = '1-URGENT' THEN 'X' ELSE Vesselname END AS Vesselname,
+    CASE WHEN SISentStatus = 'P' THEN NULL ELSE Containernumber END AS Containernumber,
+    CASE WHEN SISentStatus = 'P' THEN NULL ELSE NetWeight END AS NetWeight)
+  FROM ({duck(SHIPMENT_ROWS_SQL)}) s"""
+
+
+@register("shipment_alerts", f"""
+WITH h AS ({_sql_rollup(f"({duck(SHIPMENT_ROWS_SQL)}) s", {"Containersloaded": "nan"})}),
+d AS ({_sql_rollup(f"({_DAY2_SQL}) s", {"Containersloaded": "nan"})})
+""" + "\n  UNION ALL\n  ".join(f"""SELECT h.ShiptoID, h.UniqueID, '{c}' AS ChangedColumn, h."{c}" AS OldValue, d."{c}" AS NewValue
+    FROM d JOIN h ON d.ShiptoID = h.ShiptoID AND d.UniqueID = h.UniqueID
+    WHERE h."{c}" IS DISTINCT FROM d."{c}\"""" for c in jobs.ROLLUP_COLUMNS))
+def q_shipment_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Roll-up (AG-1, Q1 flag) → new version (SNK-4, SNK-5) → compare of all
+    17 columns (JN-5) → append (SNK-6)."""
+    from quayside.sinks.state import TableStore
+    store = TableStore(spark)
+    day1 = src(spark, sf_dir, SHIPMENT_ROWS_SQL)
+    pending = F.col("SISentStatus") == "P"
+    day2 = (day1.withColumn("Vesselname", F.when(F.col("POL") == "1-URGENT", "X").otherwise(F.col("Vesselname")))
+            .withColumn("Containernumber", F.when(~pending, F.col("Containernumber")))
+            .withColumn("NetWeight", F.when(~pending, F.col("NetWeight"))))
+    jobs.shipment_alerts(store, day1, compat=True)
+    return jobs.shipment_alerts(store, day2, compat=True)
+
+
 # ---------------------------------------------------------------------------
-# AG-2: certificate list, sales organisations joined in order (FIXTURES §4).
+# AG-2: certificate list by its 16 keys, sales organisations joined in order
+# (FIXTURES §4). Urgent pending orders have no Status and are dropped.
 # ---------------------------------------------------------------------------
 CERT_ROWS_SQL = """
-  SELECT CAST(o_custkey AS STRING) AS ShipTo,
+  SELECT n_name AS country, CAST(o_custkey AS STRING) AS ShipTo, CAST(n_regionkey AS STRING) AS Region,
+         CAST(o_custkey AS STRING) AS SoldTo, c_name AS payer, c_mktsegment AS shipping,
+         CASE WHEN c_acctbal < 0 THEN 'Inactive' ELSE 'Active' END AS customer_status,
+         concat(CAST(o_custkey AS STRING), o_orderstatus) AS ID,
+         concat('Certificate ', o_orderstatus) AS DocumentName,
+         concat('Yearly certificate ', n_name) AS DocumentDescription,
+         CASE WHEN n_regionkey = 1 THEN 'Yes' ELSE 'No' END AS Legalization,
+         '2024-01-31' AS LatestDocumentDate, '2025-01-31' AS ExpirationDate, '2024-12-31' AS AlertDate,
          CASE WHEN o_orderpriority = '1-URGENT' AND o_orderstatus = 'P' THEN NULL
               ELSE o_orderstatus END AS Status,
+         CASE WHEN c_acctbal < 0 THEN '' ELSE 'checked' END AS Comment,
          substr(o_orderpriority, 3) AS sales_organization,
          o_orderkey
-  FROM {orders}
+  FROM {orders} LEFT JOIN {customer} ON o_custkey = c_custkey LEFT JOIN {nation} ON c_nationkey = n_nationkey
 """
+_CERT_KEYS_SQL = ", ".join(jobs.CERT_KEYS)
 
 
 @register("cert_concat", f"""
-SELECT ShipTo, Status,
+SELECT {_CERT_KEYS_SQL},
        string_agg(sales_organization, ';' ORDER BY o_orderkey, sales_organization) AS sales_organization
 FROM ({duck(CERT_ROWS_SQL)}) s
-WHERE ShipTo IS NOT NULL AND Status IS NOT NULL
-GROUP BY ShipTo, Status
+WHERE {" AND ".join(f"{k} IS NOT NULL" for k in jobs.CERT_KEYS)}
+GROUP BY {_CERT_KEYS_SQL}
 """)
 def q_cert_concat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AG-2: null keys dropped, values joined in order, duplicates kept."""
     rows = src(spark, sf_dir, CERT_ROWS_SQL)
-    return aggs.ordered_concat(rows, ["ShipTo", "Status"], "sales_organization", order_by=["o_orderkey"])
+    return aggs.ordered_concat(rows, jobs.CERT_KEYS, "sales_organization", order_by=["o_orderkey"])
 
 
 # ---------------------------------------------------------------------------

@@ -9,14 +9,14 @@ at the manifest that would drive them (SURVEY "Not built").
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quayside.functions import strings, values
-from quayside.functions.dates import report_date_text, serial_to_date
+from quayside.functions.dates import report_date_text, serial_to_date, ts_literal
 from quayside.functions.util import col_of
 from quayside.operators import aggs, filters, joins, projections, quality, tagging
 from quayside.sinks import transitions
@@ -138,16 +138,20 @@ def load_many(store: TableStore, mapping: Mapping[str, tuple[DataFrame, Mapping[
 
 def run_stored_texts(spark: SparkSession, store: TableStore, texts: Mapping[str, str], job: str,
                      now: _dt.datetime, args: Mapping[str, object] | None = None,
-                     log_rows: bool = True) -> dict[str, DataFrame]:
+                     log_rows: bool = True, logged: bool = True) -> dict[str, DataFrame]:
     """Each stored text builds its target table (CTAS as a new
-    version); failures are isolated and logged (SNK-15)."""
+    version); failures are isolated and logged (SNK-15). ``logged=False`` (J29)
+    writes no run log, and then a failure is raised: nothing else would tell."""
     out = {}
     for target, text in texts.items():
         try:
             df = run_stored_sql(spark, text, args)
             out[target] = store.replace(target, df)
-            store.log_run(job, target, "Success", out[target].count() if log_rows else 0, now)
+            if logged:
+                store.log_run(job, target, "Success", out[target].count() if log_rows else 0, now)
         except Exception as e:  # noqa: BLE001
+            if not logged:
+                raise
             store.log_run(job, target, f"Failed: {type(e).__name__}", None, now)
     return out
 
@@ -179,15 +183,30 @@ def insert_overwrite(spark: SparkSession, table: str, location: str, text: str,
     return spark.table(table)
 
 
+def refresh_report(spark: SparkSession, store: TableStore, table: str, location: str, text: str,
+                   job: str, now: _dt.datetime) -> DataFrame | None:
+    """``INSERT OVERWRITE`` from the stored query, the table's row count and
+    a run log row (SNK-15); a failure is logged and leaves the old rows."""
+    try:
+        out = insert_overwrite(spark, table, location, text)
+        store.log_run(job, table, "Success", out.count(), now)
+        return out
+    except Exception as e:  # noqa: BLE001 - logged; the old rows stay
+        store.log_run(job, table, f"Failed: {type(e).__name__}", None, now)
+        return None
+
+
 # ---------------------------------------------------------------------------
 # alerts
 # ---------------------------------------------------------------------------
 def shipment_alerts(store: TableStore, shipments: DataFrame,
-                    cols: Sequence[str] = ROLLUP_COLUMNS) -> DataFrame:
+                    cols: Sequence[str] = ROLLUP_COLUMNS, compat: bool = False) -> DataFrame:
     """Roll up today's shipments into a new all-text D0 version (the old
     one becomes hist, SNK-5), diff D0 against hist (JN-5) and append the
-    changes when there are any (SNK-6). Returns the changes."""
-    d0 = filters.non_blank(aggs.distinct_rollup(shipments, ROLLUP_KEYS, cols), "UniqueID")
+    changes when there are any (SNK-6). Returns the changes. ``compat``: a null
+    in ``Containersloaded`` reads ``nan`` (Q1)."""
+    nulls = {"Containersloaded": "nan"} if compat else None
+    d0 = filters.non_blank(aggs.distinct_rollup(shipments, ROLLUP_KEYS, cols, null_text=nulls), "UniqueID")
     d0 = store.replace("alert_D0", projections.all_text(d0))
     hist = store.previous("alert_D0")
     if hist is None:
@@ -262,10 +281,52 @@ def customer_freight(sheet: DataFrame) -> DataFrame:
     return text
 
 
-def text_limits(columns: Sequence[str], unlimited: Sequence[str], n: int = 255) -> dict[str, int]:
+def text_limits(columns: Iterable[str], unlimited: Sequence[str], n: int = 255) -> dict[str, int]:
+    """PRJ-5: the longest text of each column that is not unlimited."""
     return {c: n for c in columns if c not in unlimited}
 
 
+def load_customer_docs(store: TableStore, sheet: DataFrame, now: _dt.datetime):
+    """The "Documents" rows as the typed table, with the run log; rows with
+    a text beyond its column's 255 characters go to ``MD_Doc_rejected``."""
+    return load_table(store, "MD_Doc", customer_docs(sheet), {}, "customer_docs", now,
+                      text_limits(DOC_COLUMNS, DOC_TEXT_MAX))
+
+
+def load_customer_freight(store: TableStore, sheet: DataFrame, now: _dt.datetime):
+    """The "SI&BL" rows (38 columns with BAF) as the typed table, with the run log."""
+    rows = customer_freight(sheet)
+    return load_table(store, "MD_Doc_Cus_Freights", rows, {}, "customer_freight", now,
+                      text_limits(rows.columns, FREIGHT_TEXT_MAX))
+
+
+def load_proforma(store: TableStore, sheet: DataFrame, pgi_sheet: DataFrame, now: _dt.datetime,
+                  mode: str = "exact"):
+    """Both sheets as typed tables with a run log row each. Returns
+    ``(proforma, pgi)``, each as ``(table, rejected)``."""
+    untyped = [c for c in PROFORMA_COLUMNS.values() if c not in PROFORMA_TYPES]
+    first = load_table(store, "DMS_Proforma", proforma(sheet, mode), {}, "proforma", now, text_limits(untyped, ()))
+    second = load_table(store, "DMS_PGI", pgi(pgi_sheet), {}, "proforma", now, text_limits(PGI_COLUMNS.values(), ()))
+    return first, second
+
+
+def load_delivery_report(store: TableStore, sheet: DataFrame, files: DataFrame, now: _dt.datetime,
+                         mode: str = "exact", target: str = "DMS_Z_XXVL_162"):
+    """The week's files → quarantine (SNK-16) → rows of their stems replaced
+    (SNK-9) → one run log row per file (SNK-15). ``files``: ``file_name``,
+    ``modificationTime``. Returns ``(table, quarantine)``."""
+    stems = report_file_stems(files, now)
+    tagged, bad = delivery_report(sheet, mode)
+    good = store.stage(target, tagged)
+    old = store.current(target)
+    table = store.replace(target, delivery_report_state(good.limit(0) if old is None else old, good, stems))
+    store.append(f"{target}_rejected", bad, only_if_rows=True)
+    store.append("run_log", stems.select(
+        F.lit("delivery_report").alias("job"), F.lit(target).alias("target"), "file_name",
+        F.lit("Success").alias("status"), F.lit(None).cast("long").alias("rows"), ts_literal(now).alias("logged_at")))
+    return table, bad
+
+
 def proforma(sheet: DataFrame, mode: str = "exact") -> DataFrame:
     """J13 body: SCL-D1 (serial → date), SCL-S10 on ``Marca``, PRJ-2, PRJ-5."""
     fixed = sheet.withColumn("Fecha facturacion", serial_to_date("Fecha facturacion"))

@@ -8,6 +8,7 @@ from conftest import rows
 from quayside.operators.projections import SchemaMismatch
 from quayside.plans import jobs
 
+NOW = dt.datetime(2024, 3, 5, 6, 7, 8)
 LOOKUP = [("O", "Ocean"), ("T", "Truck"), ("A", "Air")]
 
 
@@ -241,3 +242,101 @@ def test_cert_list_drops_null_keys(spark):
     data = [tuple(base + ["MX01"]), tuple(base + ["MX02"]), tuple(base[:-1] + [None] + ["MX03"])]
     df = spark.createDataFrame(data, ", ".join(f"{c} string" for c in cols))
     assert rows(jobs.cert_list(df), "sales_organization") == [("MX01;MX02",)]
+
+
+# --- loads as chains: rows -> table -> run log -------------------------------
+def _store(spark):
+    from quayside.sinks.state import TableStore
+    return TableStore(spark)
+
+
+def test_customer_loads_check_lengths_and_log(spark):
+    store = _store(spark)
+    n = len(jobs.DOC_COLUMNS)
+    row = ["z"] * n
+    long_free, long_bad = list(row), list(row)
+    long_free[jobs.DOC_COLUMNS.index("note")] = "n" * 300
+    long_bad[jobs.DOC_COLUMNS.index("country")] = "c" * 256
+    sheet = spark.createDataFrame([tuple(row), tuple(long_free), tuple(long_bad)], ", ".join(f"c{i} string" for i in range(n)))
+    table, rejected = jobs.load_customer_docs(store, sheet, NOW)
+    assert table.count() == 2 and rows(rejected, "reject_reason") == [("country: longer than 255",)]
+    m = len(jobs.FREIGHT_COLUMNS)
+    cells = ["f"] * m
+    cells[jobs.FREIGHT_COLUMNS.index("SI_comments")] = "s" * 300
+    sheet = spark.createDataFrame([tuple(cells)], ", ".join(f"c{i} string" for i in range(m)))
+    table, _ = jobs.load_customer_freight(store, sheet, NOW)
+    assert len(table.columns) == m + 1 and table.count() == 1
+    assert sorted(rows(store.read_appended("run_log"), "target", "status", "rows")) == [
+        ("MD_Doc", "Success", 2), ("MD_Doc_Cus_Freights", "Success", 1)]
+
+
+def test_proforma_load_writes_both_tables(spark):
+    store = _store(spark)
+    names = list(jobs.PROFORMA_COLUMNS)
+    cells = {c: "1" for c in names} | {"Marca": "12.0", "Caja": "k" * 300}
+    good = {**cells, "Caja": "k"}
+    sheet = spark.createDataFrame([tuple(r[c] for c in names) for r in (cells, good)],
+                                  ", ".join(f"`{c}` string" for c in names)).withColumn("Fecha facturacion", F.lit(45000))
+    pgi = spark.createDataFrame([("1", "a", "b", "x")], "`Sales Order` string, `MX SKU` string, `ERP SKU` string, other string")
+    (table, rejected), (second, _) = jobs.load_proforma(store, sheet, pgi, NOW)
+    assert rows(table, "Marca", "Caja") == [("12", "k")] and rejected.count() == 1
+    assert second.columns == ["Sales_order_number", "MX_SKU", "ERP_SKU"]
+    assert sorted(rows(store.read_appended("run_log"), "target", "rows")) == [("DMS_PGI", 1), ("DMS_Proforma", 1)]
+
+
+def test_delivery_report_load_replaces_stems_and_logs_files(spark):
+    store = _store(spark)
+    kinds = {c: "string" for c in jobs.REPORT_ORDER}
+
+    def sheet(*keys):
+        cells = [{**dict.fromkeys(jobs.REPORT_ORDER), "SalesDocno.": k, "Number of Pallets": p} for k, p in keys]
+        return spark.createDataFrame([tuple(r[c] for c in jobs.REPORT_ORDER) for r in cells],
+                                     ", ".join(f"`{c}` {t}" for c, t in kinds.items()))
+    files = spark.createDataFrame([("AB1.xlsx", NOW), ("old1.xlsx", NOW - dt.timedelta(days=9))],
+                                  "file_name string, modificationTime timestamp_ntz")
+    jobs.load_delivery_report(store, sheet(("A1", "1"), ("C1", "2")), files, NOW)
+    table, bad = jobs.load_delivery_report(store, sheet(("AB2", "1"), ("AB3", "x")), files.withColumn(
+        "file_name", F.replace("file_name", F.lit("AB1"), F.lit("A12"))), NOW)
+    assert sorted(rows(table, "SalesDocno")) == [("AB2",), ("C1",)]
+    assert rows(bad, "Number of Pallets") == [("x",)]
+    assert sorted(rows(store.read_appended("run_log"), "file_name")) == [("A12.xlsx",), ("AB1.xlsx",)]
+
+
+def test_refresh_report_counts_and_logs(spark):
+    import uuid
+
+    from quayside.session import work_dir
+    store = _store(spark)
+    name = f"rr_{uuid.uuid4().hex[:6]}"
+    place = f"{work_dir(spark)}/{name}"
+    out = jobs.refresh_report(spark, store, name, place, "SELECT explode(sequence(1, 3)) AS k", "mec", NOW)
+    assert out.count() == 3
+    assert jobs.refresh_report(spark, store, name, place, "SELECT nothing FROM nowhere", "mec", NOW) is None
+    assert sorted(rows(store.read_appended("run_log"), "status", "rows"), key=str) == [
+        ("Failed: AnalysisException", None), ("Success", 3)]
+    assert spark.table(name).count() == 3
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_unlogged_runner_raises_and_writes_no_log(spark):
+    store = _store(spark)
+    out = jobs.run_stored_texts(spark, store, {"extra": "SELECT 1 AS k"}, "extra", NOW, logged=False)
+    assert out["extra"].count() == 1
+    with pytest.raises(Exception, match="nowhere"):
+        jobs.run_stored_texts(spark, store, {"extra": "SELECT 1 FROM nowhere"}, "extra", NOW, logged=False)
+    with pytest.raises(Exception):
+        store.read_appended("run_log").count()
+
+
+def test_booking_lookup_and_load_many(spark):
+    h = spark.createDataFrame([("b1", 1.5), ("b2", 2.5)], "booking_number string, w double").selectExpr(
+        "booking_number", "CAST(w AS DECIMAL(10,2)) AS w")
+    out = jobs.booking_lookup(spark, "SELECT H.* FROM bookings H", "b2", {"bookings": h}, ["w"])
+    assert rows(out) == [("b2", 2.5)]
+    store = _store(spark)
+    good = spark.createDataFrame([("1",)], "k string")
+    bad = good.select(F.raise_error(F.lit("no source")).cast("string").alias("k"))
+    done = jobs.load_many(store, {"one": (bad, {}), "two": (good, {"k": "int"})}, "erp", NOW)
+    assert set(done) == {"two"}
+    log = sorted(rows(store.read_appended("run_log"), "target", "rows"))
+    assert log == [("one", None), ("two", 1)]

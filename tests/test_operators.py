@@ -77,6 +77,21 @@ def test_rollup_cases(spark):
     assert sorted(rows(out)) == [("", "U2", "z;é"), ("S1", "U1", ";a;b")]
 
 
+def test_rollup_numbers_and_null_text(spark):
+    df = spark.createDataFrame([("s", "u", 29744324.0, None), ("s", "u", 0.5, 3), ("s", "u", float("nan"), 3)],
+                               "ShiptoID string, UniqueID string, w double, n int")
+    out = aggs.distinct_rollup(df, ["ShiptoID", "UniqueID"], ["w", "n"], null_text={"n": "nan"})
+    assert rows(out) == [("s", "u", "0.5;29744324;NaN", "3;nan")]
+
+
+def test_ordered_concat_refuses_a_null_value(spark):
+    df = spark.createDataFrame([("k", "a"), ("k", None), (None, None)], "k string, v string")
+    with pytest.raises(Exception, match="v is null"):
+        aggs.ordered_concat(df, ["k"], "v").collect()
+    kept = aggs.ordered_concat(df.where("v is not null or k is null"), ["k"], "v", sep="'")
+    assert rows(kept) == [("k", "a")]
+
+
 def test_rollup_invariant_under_order_and_partitioning(spark):
     rnd = random.Random(7)
     data = [(str(rnd.randint(0, 5)), str(rnd.randint(0, 20)), rnd.choice(["a", "b", None, "c", "ü"]))
