@@ -5,29 +5,36 @@ Symbols: a text's words (A-Z lower-cased, runs of bytes other than space and
 (c + add) / (N + add * (V + 1)) with one share for every unknown word.
 
 States are contexts of one or two words. An n-gram is an explicit entry of its
-context if it makes up at least ``support`` of all training symbols (and at
-least ``floor`` occurrences), so an order has at most 1 / support entries,
-whatever the corpus: that is the proven size of the broadcast model. A context
-with entries is retained if its next-symbol distribution diverges from its
-parent's (the context without its first word): Kullback-Leibler divergence,
-explicit entries apart and all other symbols as one class, of ``divergence``
-nats or more. Smoothing: an entry has (c + weight * P_parent) / (n + weight);
-the other symbols of a state share the rest in proportion to P_parent. A symbol
-is scored in the longest retained suffix of what precedes it, so
+context if it occurs ``floor`` times or more in the training rows, whatever the
+size of the corpus (``support``, a share of all symbols, is 0 unless a caller
+asks for one). A context with entries is retained if its next-symbol
+distribution diverges from its parent's (the context without its first word):
+Kullback-Leibler divergence, explicit entries apart and all other symbols as one
+class, of ``divergence`` nats or more. Smoothing: an entry has
+(c + weight * P_parent) / (n + weight); the other symbols of a state share the
+rest in proportion to P_parent. A symbol is scored in the longest retained
+suffix of what precedes it, so
 
     score = base_score + sum of (entry gain, or the state's log share factor).
 
-Steps, all over the whole corpus:
- 1. word counts: counted per task, summed in Spark (their shuffle grows with the
-    corpus), written to the shared folder;
- 2. the ``frequent`` most frequent words get numbers (a broadcast of fixed
-    size); texts are written once as word numbers, the other words of each text
-    beside them, and find their counts through a shuffle join (none is dropped);
- 3. candidates: an n-gram with support in the corpus has it in one of the
-    chunks of a partition at least, so locally frequent n-grams, united, are
-    all candidates; then they are counted exactly (two passes over the numbers);
- 4. the tree is built on the driver from at most 1 / support rows an order, and
-    scores the numbers.
+Nothing of the tree is broadcast or collected; it grows with the corpus:
+ 1. word counts: counted per task, summed in Spark, written to the shared folder;
+ 2. the ``frequent`` most frequent words get numbers (a broadcast of fixed size,
+    for speed), every other word that occurs often enough for an entry is its
+    64-bit hash; texts are written once as these ids. A word too rare for an
+    entry is left out of n-grams: no n-gram is more frequent than its words. For
+    the base, words without a number find their counts through a shuffle join;
+ 3. texts lie in chunks of about ``_CHUNK`` symbols, a row each. A chunk asks for
+    what it needs about its own n-grams: it sends sorted 64-bit keys with its
+    counts to buckets (ranges of keys, more of them for a larger corpus), which
+    add them up and answer each chunk that asked, one value per key. So a hot
+    n-gram is one key a chunk. The first chunk that asked owns an n-gram: it
+    adds the entry to the sums of its context;
+ 4. rounds: words and pairs; sums of one-word contexts, and triples whose both
+    pairs are entries (no other can be one); sums of two-word contexts; scores.
+
+Two n-grams with equal 64-bit keys would share a count; the chance that any
+entry among a billion keys is met by another n-gram is below 1 in 10.
 
 Defined cases: a null text is empty: one token, the end. A null id counts as
 the empty text for the split. With nothing to learn from, N = V = 0 and every
@@ -38,19 +45,22 @@ from, each.
 from __future__ import annotations
 
 import math
+import struct
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import field, map_texts, share, staged
+from .common import field, small_batches, staged
 
 ADD = 0.1
-SUPPORT, FLOOR, DIVERGENCE, WEIGHT = 2e-6, 8, 0.01, 20.0
-#: Numbered words, and the longest of them in bytes: bounds that broadcast.
+SUPPORT, FLOOR, DIVERGENCE, WEIGHT = 0.0, 8, 0.01, 20.0
+#: Numbered words, and the longest of them in bytes: bounds that broadcast. Other words are hashes.
 FREQUENT, LONGEST = 1 << 18, 64
-_CHUNK = 4_000_000  # symbols of a local count
+_CHUNK = 2_000_000  # symbols of a chunk
+_BUCKET = 4_000_000  # symbols a bucket of keys stands for
 _FLUSH = 1_000_000  # distinct words a task holds
 
 
@@ -81,185 +91,331 @@ def word_counts(docs: DataFrame, held: Column, text: str) -> DataFrame:
     return src.mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def _encode(docs: DataFrame, doc_id: str, text: str, held: Column, top, add: float) -> DataFrame:
-    """One row per document: ids of its symbols (-1: not numbered; the end is
-    0), the base logs of the numbered ones, and its other words with counts."""
-    shared = docs.sparkSession.sparkContext.broadcast(top)
+def _encode(docs: DataFrame, doc_id: str, text: str, held: Column, top, add: float, least: int, frequent: int) -> DataFrame:
+    """One row per document (``data`` is null): the base logs of its numbered
+    words, and its other words with counts. And one row per chunk of whole
+    documents (``data`` is not null, ``row`` is that of the first): ids of their
+    symbols (0: the end; above 0: numbered; below -1: a hash; -1: too rare for an
+    entry). A chunk is one row, so no reader splits it."""
+    shared, per_chunk = docs.sparkSession.sparkContext.broadcast(top), _CHUNK
+    small_batches(docs.sparkSession)
     src = docs.select(F.col(doc_id).alias("doc_id"), held.alias("held_out"),
-                      F.monotonically_increasing_id().alias("row"), F.col(text).alias("body"))
+                      F.monotonically_increasing_id().alias("row"), F.col(text).cast("string").cast("binary").alias("body"))
+    made = [field("n_tokens", "long"), field("n_numbered", "long"), field("base", "double"),
+            field("rare", "array<binary>"), field("tf", "array<int>"), field("data", "binary")]
+    schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in src.schema.fields[:3]] + made)
+    kinds = [pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.binary()), pa.list_(pa.int32()), pa.binary()]
 
-    def make():
+    def run(batches):
+        import xxhash
         words, counts = shared.value
-        number = {w: i + 1 for i, w in enumerate(words)}
+        find = {w: i + 1 for i, w in enumerate(words)}.get
         logs = np.log10(np.concatenate([counts, [0]]) + add)  # of the end first; -1 is the last
         logs[-1] = 0.0
-
-        def kernel(texts):
-            ids, known, base, rare, tf = [], [], [], [], []
-            find = number.get
-            for t in texts:
+        known_id = np.where(counts >= least, np.arange(len(counts)), -1)
+        known_id[0] = 0
+        # a word without a number is no more frequent than the last that has one, unless it is long
+        any_other = len(words) == frequent and (not words or counts[-1] >= least)
+        chunk: list = []
+        done = 0
+
+        def whole(carried):
+            rows, train, ids = zip(*chunk, strict=True)
+            head = _pack(np.array(rows, np.int64), np.array(train, np.int64), np.array([len(x) for x in ids], np.int64))
+            data = struct.pack("<q", len(head)) + head + _pack(np.concatenate(ids))
+            first = [pa.nulls(1, carried[0].type), pa.nulls(1, carried[1].type), pa.array([rows[0]], pa.int64())]
+            return pa.RecordBatch.from_arrays(first + [pa.array([data if k == pa.binary() else None], k) for k in kinds],
+                                              names=schema.names)
+        carried = None
+        for batch in batches:
+            carried = batch.columns[:3]
+            sizes, known, base, rare, tf = [], [], [], [], []
+            closed = []
+            for row, held_out, t in zip(carried[2].to_pylist(), carried[1].to_pylist(), batch.column(3).to_pylist(), strict=True):
                 w = _words(t)
-                a = np.fromiter((find(x, -1) for x in w), np.int32, len(w))
-                a = np.append(a, np.int32(0))
+                a = np.fromiter((find(x, -1) for x in w), np.int64, len(w))
+                a = np.append(a, np.int64(0))
                 other: dict = {}
+                code = np.where(a < 0, -1, known_id[a])
                 for i in np.flatnonzero(a < 0).tolist():
-                    other[w[i]] = other.get(w[i], 0) + 1
-                ids.append(a.tobytes())
+                    x = w[i]
+                    other[x] = other.get(x, 0) + 1
+                    if any_other or len(x) > LONGEST:
+                        code[i] = min((xxhash.xxh64_intdigest(x) >> 1) - (1 << 63), -2)
+                chunk.append((row, held_out is False, code))
+                done += len(a)
+                if done >= per_chunk:
+                    closed.append(whole(carried))
+                    chunk.clear()
+                    done = 0
+                sizes.append(len(a))
                 known.append(len(a) - sum(other.values()))
                 base.append(float(logs[a].sum()))
                 rare.append(list(other.keys()))
                 tf.append(list(other.values()))
-            return [ids, known, base, pa.array(rare, pa.list_(pa.binary())), pa.array(tf, pa.list_(pa.int32()))]
-        return kernel
-    return map_texts(src, "body", ["doc_id", "held_out", "row"], [
-        field("ids", "binary"), field("n_numbered", "long"), field("base", "double"),
-        field("rare", "array<binary>"), field("tf", "array<int>")], make)
-
-
-def _grams(ids: np.ndarray, entries: np.ndarray | None):
-    """Keys of the 2-grams (entries None) or 3-grams of concatenated documents.
-    A 2-gram is first << 20 | next; a 3-gram has the 2-gram's entry number."""
-    a, b = ids[:-1].astype(np.int64), ids[1:].astype(np.int64)
-    key = np.where((a > 0) & (b >= 0), (a << 20) | b, -1)  # nothing follows the end
-    if entries is None:
-        return key
-    e = _lookup(entries, key)
-    return np.where((e[:-1] >= 0) & (b[:-1] > 0) & (b[1:] >= 0), (e[:-1] << 20) | b[1:], -1)
-
-
-def _lookup(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """Position of each key in a sorted table, -1 if it isn't there."""
-    if not len(table):
-        return np.full(len(keys), -1, np.int64)
-    at = np.searchsorted(table, keys)
-    at[at == len(table)] = 0
-    return np.where(table[at] == keys, at, -1)
-
-
-def _batches_of_ids(batches, most: int):
-    """Concatenated ids of whole documents, about ``most`` symbols at a time."""
-    held, n = [], 0
-    for batch in batches:
-        for b in batch.column(0).to_pylist():
-            held.append(np.frombuffer(b, np.int32))
-            n += len(held[-1])
-            if n >= most:
-                yield np.concatenate(held)
-                held, n = [], 0
-    if held:
-        yield np.concatenate(held)
-
-
-def frequent_grams(coded: DataFrame, n_all: int, part_of_all: float, least: int, entries: np.ndarray | None) -> DataFrame:
-    """(gram, n) of the n-grams that make up ``part_of_all`` of the ``n_all`` training
-    symbols (``least`` occurrences): local candidates, then exact counts. Small
-    partitions are read together for the candidates, so that a local count has
-    something to tell."""
-    train = coded.where("not held_out").select("ids")
-    grouped = train.coalesce(max(1, n_all // (_CHUNK // 2)))
-    shared = coded.sparkSession.sparkContext.broadcast(entries)
-
-    def local(batches):
-        for ids in _batches_of_ids(batches, _CHUNK):
-            key = _grams(ids, shared.value)
-            gram, n = np.unique(key[key >= 0], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(gram[n >= part_of_all * len(ids)])], names=["gram"])
-    found = grouped.mapInArrow(local, "gram long").distinct()
-    seen = staged(found)
-    k = seen.count()
-    # candidates number at most (chunks / part_of_all); each block of them is bounded
-    blocks = max(1, -(-k // 2_000_000))
-    out = None
-    for i in range(blocks):
-        part = seen if blocks == 1 else seen.where(F.pmod(F.xxhash64("gram"), F.lit(blocks)) == i)
-        table = np.sort(part.toArrow()["gram"].to_numpy())  # 16 MB at most
-        known = coded.sparkSession.sparkContext.broadcast(table)
-
-        def exact(batches, known=known):
-            total = np.zeros(len(known.value), np.int64)
-            for ids in _batches_of_ids(batches, 1_000_000):
-                at = _lookup(known.value, _grams(ids, shared.value))
-                total += np.bincount(at[at >= 0], minlength=len(total))
-            has = np.flatnonzero(total)
-            for lo in range(0, len(has), 50_000):
-                h = has[lo:lo + 50_000]
-                yield pa.RecordBatch.from_arrays([pa.array(known.value[h]), pa.array(total[h])], names=["gram", "n"])
-        n = train.mapInArrow(exact, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-        out = n if out is None else out.unionByName(n)
+            made = [sizes, known, base, rare, tf, [None] * len(sizes)]
+            yield pa.RecordBatch.from_arrays(carried + [pa.array(x, k) for x, k in zip(made, kinds, strict=True)], names=schema.names)
+            yield from closed
+        if chunk:
+            yield whole(carried)
+    return src.mapInArrow(run, schema)
+
+
+# ------------------------------------------------------------- keys and blocks
+
+_U = np.uint64
+
+
+def _mix(z: np.ndarray) -> np.ndarray:
+    """A bijection of 64 bits that spreads them."""
+    z = (z ^ (z >> _U(30))) * _U(0xBF58476D1CE4E5B9)
+    z = (z ^ (z >> _U(27))) * _U(0x94D049BB133111EB)
+    return z ^ (z >> _U(31))
+
+
+def _word_key(ids: np.ndarray) -> np.ndarray:
+    return _mix(ids.view(_U) + _U(0x9E3779B97F4A7C15))
+
+
+def _longer_key(key: np.ndarray, nxt: np.ndarray) -> np.ndarray:
+    """Key of an n-gram with one more symbol."""
+    return _mix(key + nxt.view(_U) * _U(0xD6E8FEB86659FD93))
+
+
+def _pack(*cols: np.ndarray) -> bytes:
+    """64-bit columns as compressed byte planes."""
+    a = np.stack([c.view(np.uint8).reshape(-1, 8).T for c in map(np.ascontiguousarray, cols)])
+    raw = a.tobytes()
+    return struct.pack("<qq", len(cols), len(cols[0])) + pa.compress(raw, "zstd", asbytes=True)
+
+
+def _unpack(data: bytes) -> list[np.ndarray]:
+    k, n = struct.unpack_from("<qq", data)
+    raw = pa.decompress(data[16:], k * n * 8, "zstd", asbytes=True)
+    a = np.frombuffer(raw, np.uint8).reshape(k, 8, n)
+    return [np.ascontiguousarray(x.T).reshape(-1).view(_U) for x in a]
+
+
+def _pack_keys(keys: np.ndarray, *values: np.ndarray) -> bytes:
+    """Sorted keys with float values."""
+    return _pack(np.diff(keys, prepend=_U(0)), *[np.asarray(v, np.float64) for v in values])
+
+
+def _unpack_keys(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    keys, *values = _unpack(data)
+    return np.cumsum(keys, dtype=_U), np.stack([v.view(np.float64) for v in values])
+
+
+#: What blocks are about: texts; counts of words, pairs and triples; states of one and two words.
+DOCS, WORD, PAIR, TRIPLE, ONE, TWO = range(6)
+_COUNTS = (WORD, PAIR, TRIPLE)
+_BLOCK = "chunk long, kind int, bucket int, data binary"
+_BLOCK_ARROW = {"chunk": pa.int64(), "kind": pa.int32(), "bucket": pa.int32(), "data": pa.binary()}
+
+
+def _block_rows(rows) -> pa.Table:
+    rows = list(rows)
+    return pa.table({n: pa.array([r[i] for r in rows], t) for i, (n, t) in enumerate(_BLOCK_ARROW.items())})
+
+
+def _ask(chunk: int, kind: int, buckets: int, keys: np.ndarray, *values: np.ndarray):
+    """One block per bucket, a range of the sorted keys."""
+    step = -(-(1 << 64) // buckets)
+    cut = np.searchsorted(keys, np.array([step * i for i in range(1, buckets)], _U))
+    cut = [0, *cut.tolist(), len(keys)]
+    for b in range(buckets):
+        lo, hi = cut[b], cut[b + 1]
+        if hi > lo:
+            yield chunk, kind, b, _pack_keys(keys[lo:hi], *[v[lo:hi] for v in values])
+
+
+def _factors(total: np.ndarray, sums: np.ndarray, weight: float, divergence: float) -> np.ndarray:
+    """log10 of the factor of a context's symbols that are no entries; NaN if the
+    context isn't retained. sums: of x = n + weight * q, q and x * log(x / q)."""
+    out = np.full(len(total), np.nan)
+    has = np.flatnonzero(sums[0] > 0)
+    (x, q, xlog), t = sums[:, has], total[has] + weight
+    rest, rest_parent = np.clip(1 - x / t, 1e-12, 1), np.clip(1 - q, 1e-12, 1)
+    kl = (xlog - np.log(t) * x) / t + rest * np.log(rest / rest_parent)
+    out[has] = np.where(kl >= divergence, np.log10(rest / rest_parent), np.nan)
     return out
 
 
-class SuffixTree:
-    """Retained states and their entries as sorted arrays."""
-
-    def __init__(self, root: np.ndarray, two: list[tuple[int, int]], three: list[tuple[int, int]],
-                 count: np.ndarray, divergence: float, weight: float):
-        """root: P of each numbered symbol; count: their training counts; two and
-        three: (gram, n), sorted. Symbol 0 is the end."""
-        self.key2 = np.array([g for g, _ in two], np.int64)
-        n2 = np.array([n for _, n in two], np.float64)
-        ctx, sym = self.key2 >> 20, self.key2 & 0xFFFFF
-        p_root = root[sym]
-        total = count[ctx].astype(np.float64)
-        p = (n2 + weight * p_root) / (total + weight)
-        share, keep = _states(ctx, p, p_root, total, weight, divergence, len(root))
-        # values against the root, in log10
-        self.factor1 = np.where(keep, np.log10(np.maximum(share, 1e-300)), 0.0)
-        self.gain2 = np.where(keep[ctx], np.log10(p) - np.log10(p_root), 0.0)
-        own2 = keep[ctx]
-        self.own2 = own2
-        p_two = np.where(own2, p, p_root)  # of the 2-gram, in its context's state
-
-        self.key3 = np.array([g for g, _ in three], np.int64)
-        n3 = np.array([n for _, n in three], np.float64)
-        entry, sym3 = self.key3 >> 20, self.key3 & 0xFFFFF
-        parent_ctx = (self.key2[entry] & 0xFFFFF) if len(entry) else entry
-        at = _lookup(self.key2, (parent_ctx << 20) | sym3)
-        explicit = (at >= 0) & (own2[at] if len(own2) else False)
-        p_parent = np.where(explicit, p_two[at] if len(p_two) else 0.0,
-                            root[sym3] * np.power(10.0, self.factor1[parent_ctx]))
-        total3 = n2[entry] if len(entry) else n3
-        p3 = (n3 + weight * p_parent) / (total3 + weight)
-        share3, keep3 = _states(entry, p3, p_parent, total3, weight, divergence, len(self.key2))
-        self.state2 = keep3
-        self.factor2 = np.where(keep3, np.log10(np.maximum(share3, 1e-300)), 0.0)
-        own3 = keep3[entry] if len(entry) else np.zeros(0, bool)
-        self.key3, p3, sym3 = self.key3[own3], p3[own3], sym3[own3]
-        self.gain3 = np.log10(p3) - np.log10(root[sym3])
-
-    def gains(self, ids: np.ndarray, first: np.ndarray) -> np.ndarray:
-        """Sum over each document's symbols of log10 P(state) - log10 P(root).
-        ``ids``: concatenated documents, each ending in 0; first: their starts."""
-        n = len(ids)
-        gain = np.zeros(n)
-        if n > 1:
-            key = _grams(ids, None)  # of positions 1 ..
-            ctx = np.maximum(ids[:-1], 0)
-            ctx = np.where(ids[:-1] > 0, ctx, 0)  # state 0 (the end) has no factor
-            e = _lookup(self.key2, key)
-            got = (e >= 0) & (self.own2[e] if len(self.own2) else False)
-            gain[1:] = np.where(got, self.gain2[e] if len(self.gain2) else 0.0, self.factor1[ctx])
-            if n > 2 and len(self.key2):
-                state = np.where(e[:-1] >= 0, self.state2[e[:-1]], False)
-                at = np.flatnonzero(state)  # symbol at + 2 is scored in the state of entry e[at]
-                cur = ids[at + 2].astype(np.int64)
-                t = _lookup(self.key3, np.where(cur >= 0, (e[at] << 20) | cur, -1))
-                own = gain[at + 2] + self.factor2[e[at]]
-                if len(self.gain3):
-                    own = np.where(t >= 0, self.gain3[t], own)
-                gain[at + 2] = own
-        return np.add.reduceat(gain, first) if len(first) else gain[:0]
-
-
-def _states(ctx, p, p_parent, total, weight, divergence, k):
-    """Of each context: the factor of its other symbols, and whether it is
-    retained. p: entries in the context; p_parent: in its parent."""
-    mass = np.bincount(ctx, p, k)
-    parent = np.bincount(ctx, p_parent, k)
-    rest, rest_parent = np.clip(1 - mass, 1e-12, 1), np.clip(1 - parent, 1e-12, 1)
-    kl = np.bincount(ctx, p * np.log(p / np.maximum(p_parent, 1e-300)), k) + rest * np.log(rest / rest_parent)
-    has = np.bincount(ctx, minlength=k) > 0
-    return rest / rest_parent, has & (kl >= divergence)
+def _answered(asked: DataFrame, buckets: int, least: int, weight: float, divergence: float) -> DataFrame:
+    """Blocks added up by key, and an answer for each block, one value per key it
+    asked about. Counts: the count, 0 below ``least``, negative for the one chunk
+    that owns the n-gram. Contexts: see _factors."""
+    def add_up(t: pa.Table) -> pa.Table:
+        out = []
+        kinds, chunks, bucket = t["kind"].to_numpy(), t["chunk"].to_numpy(), t["bucket"][0].as_py()
+        for kind in np.unique(kinds).tolist():
+            at = np.flatnonzero(kinds == kind)
+            at = at[np.argsort(chunks[at], kind="stable")]  # the same order of sums every time
+            blocks = [_unpack_keys(t["data"][int(i)].as_py()) for i in at]
+            keys = np.concatenate([k for k, _ in blocks])
+            values = np.concatenate([v for _, v in blocks], axis=1)
+            order = np.argsort(keys, kind="stable")
+            ranked = keys[order]
+            head = np.r_[True, ranked[1:] != ranked[:-1]]
+            starts = np.flatnonzero(head)
+            group = np.empty(len(keys), np.int64)
+            group[order] = np.cumsum(head) - 1
+            if kind in _COUNTS:
+                total = np.add.reduceat(values[0, order], starts)
+                answer = np.where(total >= least, total, 0.0)[group]
+                answer[order[starts]] *= -1
+            else:  # every chunk sends a context's count, and the sums of the entries it owns
+                sums = np.add.reduceat(values[1:, order], starts, axis=1)
+                answer = _factors(values[0, order[starts]], sums, weight, divergence)[group]
+            ends = np.cumsum([len(k) for k, _ in blocks])
+            for i, (k, _), end in zip(at.tolist(), blocks, ends.tolist(), strict=True):
+                out.append((int(chunks[i]), kind, bucket, _pack(answer[end - len(k):end])))
+        return _block_rows(out)
+    return staged(asked.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(add_up, _BLOCK))
+
+
+class _Entries:
+    """The distinct n-grams at some places of a chunk, and what is known of them."""
+
+    def __init__(self, places: np.ndarray, keys: np.ndarray):
+        self.places = places
+        self.keys, self.number = np.unique(keys, return_inverse=True)
+
+    def counted(self, train: np.ndarray) -> np.ndarray:
+        return np.bincount(self.number[train[self.places]], minlength=len(self.keys))
+
+    def told(self, answer: np.ndarray, size: int) -> None:
+        """Leave the entries: their counts, whether they are owned, a place of
+        each, and the entry at each of ``size`` places (-1: none)."""
+        kept = np.flatnonzero(answer)
+        number = np.full(len(self.keys), -1, np.int64)
+        number[kept] = np.arange(len(kept))
+        self.keys, self.n, self.own = self.keys[kept], np.abs(answer[kept]), answer[kept] < 0
+        self.at = np.full(size, -1, np.int64)
+        self.at[self.places] = number[self.number]
+        self.place = np.zeros(len(kept), np.int64)
+        has = np.flatnonzero(self.at >= 0)
+        self.place[self.at[has]] = has
+
+
+class _Chunk:
+    """The texts of a chunk, and what it was told about their n-grams."""
+
+    def __init__(self, t: pa.Table, model: tuple, rounds: int):
+        counts, norm, add, self.weight = model
+        self.no = t["chunk"][0].as_py()
+        told: dict = {}
+        for kind, bucket, data in zip(*(t[c].to_pylist() for c in ("kind", "bucket", "data")), strict=True):
+            told.setdefault(kind, []).append((bucket, data))
+        text = told.pop(DOCS)[0][1]
+        n = 8 + struct.unpack_from("<q", text)[0]
+        self.rows, train, self.sizes = (x.view(np.int64) for x in _unpack(text[8:n]))
+        self.ids = _unpack(text[n:])[0].view(np.int64)
+        self.train = np.repeat(train.astype(bool), self.sizes)
+        self.answers = {kind: np.concatenate([_unpack(b)[0].view(np.float64) for _, b in sorted(x)]) for kind, x in told.items()}
+        ids = self.ids
+        other = np.flatnonzero(ids < -1)
+        self.words = _Entries(other, _word_key(ids[other]))
+        at = np.flatnonzero((ids[:-1] != 0) & (ids[:-1] != -1) & (ids[1:] != -1))  # nothing follows the end
+        self.pair = _Entries(at, _longer_key(_word_key(ids[at]), ids[at + 1]))
+        if rounds > 0:
+            self._pairs(counts, norm, add)
+        if rounds > 1:
+            self._triples()
+
+    def answer(self, kind: int) -> np.ndarray:
+        return self.answers.get(kind, np.zeros(0))  # nothing was asked
+
+    def ask_first(self, buckets: int):
+        yield from _ask(self.no, WORD, buckets, self.words.keys, self.words.counted(self.train))
+        yield from _ask(self.no, PAIR, buckets, self.pair.keys, self.pair.counted(self.train))
+
+    # -- counts of words and pairs known
+    def _pairs(self, counts: np.ndarray, norm: float, add: float) -> None:
+        ids, pair = self.ids, self.pair
+        self.count = counts[np.maximum(ids, 0)].astype(np.float64)
+        if len(self.words.places):
+            self.count[self.words.places] = np.abs(self.answer(WORD))[self.words.number]
+        key = np.zeros(len(ids), _U)
+        key[pair.places] = pair.keys[pair.number]
+        pair.told(self.answer(PAIR), len(ids))
+        self.root = (self.count + add) / norm
+        self.root2 = self.root[pair.place + 1]
+        at = np.flatnonzero((pair.at[:-1] >= 0) & (pair.at[1:] >= 0))
+        self.three = _Entries(at, _longer_key(key[at], ids[at + 2]))
+        words = np.flatnonzero((ids != 0) & (ids != -1))
+        self.key1, place, number = np.unique(_word_key(ids[words]), return_index=True, return_inverse=True)
+        self.total1 = self.count[words[place]]
+        self.one = np.full(len(ids), -1, np.int64)  # one-word context of a place
+        self.one[words] = number
+
+    def _sums(self, n: np.ndarray, q: np.ndarray, context: np.ndarray, k: int) -> list[np.ndarray]:
+        x = n + self.weight * q
+        return [np.bincount(context, v, k) for v in (x, q, x * np.log(x / q))]
+
+    def ask_second(self, buckets: int):
+        own = self.pair.own
+        sums = self._sums(self.pair.n[own], self.root2[own], self.one[self.pair.place[own]], len(self.key1))
+        yield from _ask(self.no, ONE, buckets, self.key1, self.total1, *sums)
+        yield from _ask(self.no, TRIPLE, buckets, self.three.keys, self.three.counted(self.train))
+
+    # -- one-word states and counts of triples known
+    def _triples(self) -> None:
+        pair, three = self.pair, self.three
+        factor = np.r_[self.answer(ONE), np.nan][self.one]
+        self.keep1 = ~np.isnan(factor)
+        self.factor1 = np.where(self.keep1, factor, 0.0)
+        smooth = (pair.n + self.weight * self.root2) / (self.count[pair.place] + self.weight)
+        self.p2 = np.where(self.keep1[pair.place], smooth, self.root2)  # in the state of its context, or the root
+        three.told(self.answer(TRIPLE), len(self.ids))
+        self.first3 = pair.at[three.place]
+        second = pair.at[three.place + 1]
+        self.parent3, self.root3 = self.p2[second], self.root2[second]
+
+    def ask_third(self, buckets: int):
+        own, k = self.three.own, len(self.pair.keys)
+        sums = self._sums(self.three.n[own], self.parent3[own], self.first3[own], k)
+        yield from _ask(self.no, TWO, buckets, self.pair.keys, self.pair.n, *sums)
+
+    # -- all known
+    def gains(self) -> np.ndarray:
+        """Sum over each document's symbols of log10 P(state) - log10 P(root)."""
+        pair, three = self.pair, self.three
+        gain = np.zeros(len(self.ids))
+        gain[1:] = self.factor1[:-1]  # the end has no state, its factor is 0
+        at = np.flatnonzero((pair.at >= 0) & self.keep1)
+        gain[at + 1] = (np.log10(self.p2) - np.log10(self.root2))[pair.at[at]]
+        factor = self.answer(TWO)
+        at = np.flatnonzero((pair.at[:-1] >= 0) & (self.ids[1:] != 0))
+        at = at[~np.isnan(factor[pair.at[at]])]
+        p3 = (three.n + self.weight * self.parent3) / (pair.n[self.first3] + self.weight)
+        gain3 = np.r_[np.log10(p3) - np.log10(self.root3), 0.0]
+        t = three.at[at]
+        gain[at + 2] = np.where(t >= 0, gain3[t], gain[at + 2] + factor[pair.at[at]])
+        return np.add.reduceat(gain, np.cumsum(self.sizes) - self.sizes)
+
+
+def _gains(texts: DataFrame, model: tuple, n_all: int, least: int, divergence: float) -> DataFrame:
+    """(row, gain) of every document."""
+    buckets, parts = max(16, -(-n_all // _BUCKET)), max(48, -(-n_all // _CHUNK))
+    shared = texts.sparkSession.sparkContext.broadcast(model)  # numbered words at most
+    texts = texts.select(F.col("row").alias("chunk"), F.lit(DOCS).alias("kind"), F.lit(0).alias("bucket"), "data")
+
+    def alone(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                chunk = _Chunk(pa.Table.from_batches([batch.slice(i, 1)]), shared.value, 0)
+                yield from _block_rows(chunk.ask_first(buckets)).to_batches()
+
+    def by_chunk(rounds: int, do, schema: str) -> DataFrame:
+        return known.repartition(parts, "chunk").groupBy("chunk").applyInArrow(lambda t: do(_Chunk(t, shared.value, rounds)), schema)
+
+    def answers(asked: DataFrame) -> DataFrame:
+        return _answered(asked, buckets, least, model[3], divergence)
+    known = texts.unionByName(answers(texts.mapInArrow(alone, _BLOCK)))
+    known = known.unionByName(answers(by_chunk(1, lambda c: _block_rows(c.ask_second(buckets)), _BLOCK)))
+    known = known.unionByName(answers(by_chunk(2, lambda c: _block_rows(c.ask_third(buckets)), _BLOCK)))
+    return by_chunk(3, lambda c: pa.table({"row": pa.array(c.rows), "gain": pa.array(c.gains())}), "row long, gain double")
 
 
 def score(docs: DataFrame, held: Column, doc_id: str = "doc_id", text: str = "text", add: float = ADD,
@@ -275,42 +431,15 @@ def score(docs: DataFrame, held: Column, doc_id: str = "doc_id", text: str = "te
     top = counts.where(F.length("word") <= LONGEST).orderBy(F.desc("n"), "word").limit(frequent).toArrow()
     numbered = top["word"].to_pylist()
     number_counts = np.r_[np.int64(ends), top["n"].to_numpy().astype(np.int64)]
-    coded = staged(_encode(docs, doc_id, text, held, (numbered, number_counts), add), "zstd")
-
     part = max(support, floor / n_all) if n_all else 1.0
     least = max(1, math.ceil(part * n_all - 1e-9))
-    def grams(entries):
-        t = frequent_grams(coded, n_all, part, least, entries).toArrow()  # 1 / part rows at most
-        return sorted(zip(t["gram"].to_pylist(), t["n"].to_pylist(), strict=True))
-
-    two = grams(None) if n_all else []
-    key2 = np.array([g for g, _ in two], np.int64)
-    three = grams(key2) if two else []
+    coded = staged(_encode(docs, doc_id, text, held, (numbered, number_counts), add, least, frequent), "zstd")
     norm = n_all + add * (v_all + 1) if n_all else 1.0
-    root = (number_counts + add) / norm
-    tree = share(spark, SuffixTree(root, two, three, number_counts, divergence, weight))
     log_norm = math.log10(norm)
-
-    def run(batches):
-        model = tree()
-        for batch in batches:
-            ids = [np.frombuffer(b, np.int32) for b in batch.column(5).to_pylist()]
-            gain = np.zeros(len(ids))
-            lo = 0
-            while lo < len(ids):  # about a million symbols at a time
-                hi, n = lo, 0
-                while hi < len(ids) and (hi == lo or n + len(ids[hi]) <= 1_000_000):
-                    n += len(ids[hi])
-                    hi += 1
-                first = np.cumsum([0] + [len(x) for x in ids[lo:hi - 1]])
-                gain[lo:hi] = model.gains(np.concatenate(ids[lo:hi]), first)
-                lo = hi
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:5], pa.array([len(x) for x in ids], pa.int64()), pa.array(gain)], names=names)
-    carried = ["row", "doc_id", "held_out", "n_numbered", "base"]
-    names = [*carried, "n_tokens", "gain"]
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in coded.select(*carried).schema.fields)
-    gains = coded.select(*carried, "ids").mapInArrow(run, kinds + ", n_tokens long, gain double")
+    texts, coded = coded.where("data is not null").select("row", "data"), coded.where("data is null")
+    carried = coded.select("row", "doc_id", "held_out", "n_numbered", "base", "n_tokens")
+    gains = carried.join(_gains(texts, (number_counts, norm, add, weight), n_all, least, divergence), "row") if n_all else (
+        carried.withColumn("gain", F.lit(0.0)))
 
     empty_log = math.log10(add)
     rare = coded.where(F.size("rare") > 0).select("row", F.explode(F.arrays_zip("rare", "tf")).alias("x")).select(

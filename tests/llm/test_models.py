@@ -170,3 +170,20 @@ def test_candidate_chunks_and_blocks_change_nothing(spark, monkeypatch):
     _, two = _tree(spark, texts)
     _, three = _tree(spark, texts, frequent=100)
     assert one == pytest.approx(two) and one == pytest.approx(three)
+
+
+def test_entries_have_an_absolute_count(spark):
+    # over 4 million symbols, where a share of 2e-6 asked for more than 8 occurrences
+    texts = [*["f " * 100_000] * 50, *["p q"] * 8, "p q r", "p"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: r.score for r in pst.score(df, F.lit(False)).collect()}
+    for i in (50, 58, 59):
+        assert got[i] == pytest.approx(_brute_score(texts, texts[i], 8, 0.01, 20.0), rel=1e-9)
+
+
+def test_words_without_a_number_are_in_ngrams(spark):
+    texts = ["a b c a b c a b d", "a b c d a b c", "b c a b c", "x y x y x z", "q", "", "c a b c e e e", "L" * 70 + " m " + "l" * 70 + " m"]
+    for frequent in (0, 2, 5):
+        _, got = _tree(spark, texts, frequent=frequent)
+        for i, t in enumerate(texts):
+            assert got[i] == pytest.approx(_brute_score([x.lower() for x in texts], t.lower()), rel=1e-9), (frequent, t)
