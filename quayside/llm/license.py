@@ -3,8 +3,11 @@
 Words: A-Z lower-cased, runs of characters other than the ASCII characters that
 are neither digit nor letter. A text block is a line, or a paragraph (the lines
 between lines without words). A block meets a template if it holds
-``threshold`` of the template's distinct words, and has at most ``longest``
-times as many distinct words as it.
+``threshold`` of the template's distinct words. In a block of more than
+``longest`` times as many distinct words as the template, a run of that many
+consecutive words has to hold them: a notice inside a long line, or in a text
+without newlines, is found there, and words scattered over it are no notice.
+Without ``inside`` (a parameter; the query sets it) such long blocks are left.
 
 Filters, none of which loses a match: distinct template words are ordered by
 their frequency in the whole table, rarest first. A block that holds
@@ -12,8 +15,9 @@ k = ceil(threshold * n) of a template's n words holds one of its first
 n - k + 1 (prefix filter): texts without any prefix word of any template are
 left at once, and blocks look templates up through an inverted index of prefix
 words. The first prefix word found at position i leaves n - i words at most
-(positional filter); blocks of fewer than k or more than longest * n distinct
-words can't match (length filter). What is left is compared.
+(positional filter); blocks of fewer than k distinct words can't match (length
+filter). What is left is compared, every run of a long block by one pass over
+its words.
 
 The templates are a fixed set (below) or the caller's, and broadcast in the
 closure; the frequencies are those of template words only. Documents are read
@@ -29,6 +33,7 @@ word, empty labels, score 0. Repeated rows get a row each.
 from __future__ import annotations
 
 import math
+from collections import deque
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -73,8 +78,8 @@ TEMPLATES = [
 class Templates:
     """Templates as ordered word sets with an inverted index of their prefixes."""
 
-    def __init__(self, templates, threshold: float, longest: float, freq: dict[bytes, int]):
-        self.items, self.index = [], {}
+    def __init__(self, templates, threshold: float, longest: float, freq: dict[bytes, int], inside: bool = False):
+        self.items, self.index, self.inside = [], {}, inside
         for label, text in templates:
             words = sorted(set(words_of(text.encode())), key=lambda w: (freq.get(w, 0), w))
             need = math.ceil(threshold * len(words) - 1e-9)
@@ -84,8 +89,9 @@ class Templates:
                 self.index.setdefault(w, []).append((t, i))
         self.prefixes = frozenset(self.index)
 
-    def matches(self, block: set) -> dict[str, float]:
+    def matches(self, body: list[bytes]) -> dict[str, float]:
         """Label -> containment of the templates that a block meets."""
+        block = set(body)
         seen: dict[int, int] = {}
         for w in block & self.prefixes:
             for t, i in self.index[w]:
@@ -93,24 +99,44 @@ class Templates:
         out: dict[str, float] = {}
         for t, i in seen.items():
             label, words, whole, need, most = self.items[t]
-            if len(words) - i >= need and need <= len(block) <= most:
+            if len(words) - i >= need and need <= len(block) and (self.inside or len(block) <= most):
                 got = len(whole & block)
+                if got >= need and len(block) > most:
+                    got = most_in_a_run(body, whole, int(most))
                 if got >= need:
                     out[label] = max(out.get(label, 0.0), got / len(words))
         return out
 
 
+def most_in_a_run(body: list[bytes], words: frozenset, width: int) -> int:
+    """The most distinct ``words`` that ``width`` consecutive words of ``body`` hold."""
+    held: dict[bytes, int] = {}
+    run: deque[tuple[int, bytes]] = deque()
+    best = 0
+    for i, w in enumerate(body):
+        if w in words:
+            run.append((i, w))
+            held[w] = held.get(w, 0) + 1
+            while run[0][0] <= i - width:
+                _, old = run.popleft()
+                held[old] -= 1
+                if not held[old]:
+                    del held[old]
+            best = max(best, len(held))
+    return best
+
+
 def _blocks(lines: list[bytes]):
-    """Word sets of the lines, and of paragraphs of several lines."""
+    """Words of the lines, and of paragraphs of several lines."""
     para: list[list[bytes]] = []
     for line in [*lines, b""]:
         words = words_of(line)
         if words:
             para.append(words)
-            yield set(words)
+            yield words
             continue
         if len(para) > 1:
-            yield {w for ws in para for w in ws}
+            yield [w for ws in para for w in ws]
         para = []
 
 
@@ -145,12 +171,12 @@ def places(words: list[bytes], phrases: list[tuple[list[bytes], str]]):
 
 
 def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", templates=None, threshold: float = THRESHOLD,
-         longest: float = LONGEST, phrases=None) -> DataFrame:
+         longest: float = LONGEST, phrases=None, inside: bool = False) -> DataFrame:
     """(doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score)."""
     chosen = TEMPLATES if templates is None else templates
     base = [(words_of(k.encode()), v) for k, v in (PHRASES if phrases is None else phrases).items()]
     vocabulary = frozenset(w for _, t in chosen for w in words_of(t.encode()))
-    index = Templates(chosen, threshold, longest, word_frequencies(docs, text, vocabulary))
+    index = Templates(chosen, threshold, longest, word_frequencies(docs, text, vocabulary), inside)
 
     def make():
         def kernel(texts):

@@ -84,7 +84,7 @@ def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_license(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return license.scan(table(spark, sf_dir, "documents"))
+    return license.scan(table(spark, sf_dir, "documents"), inside=True)
 
 
 QUERIES = {f.__name__: f for f in (op1_simhash, op2_token_counts, op3_decontamination, op4_suffix_tree, op5_language,

@@ -6,7 +6,7 @@ import pytest
 from samples import ODD
 from pyspark.sql import functions as F
 
-from quayside.llm import license, pii, quality
+from quayside.llm import license, pii, quality, queries
 
 
 # ------------------------------------------------------------------ quality
@@ -169,3 +169,31 @@ def test_licenses_match_brute_force(spark, docs, odd, empty):
     assert found > 15
     assert license.scan(odd).count() == odd.count()
     assert license.scan(empty).collect() == []
+
+
+def test_notices_in_long_blocks_are_found(spark, tmp_path):
+    rng = random.Random(5)
+    fill = [f"w{i}" for i in range(400)]
+    texts, labels = [], []
+    for label, t in license.TEMPLATES:  # inside a long line, wrapped in a long paragraph
+        for joint in (" ", "\n"):
+            some = lambda: " ".join(rng.choice(fill) for _ in range(300))
+            texts.append(some() + joint + t.replace(" ", joint, 2) + joint + some())
+            labels.append(label)
+    scattered = " ".join(["all", *fill[:20], "rights", *fill[20:40], "reserved"])
+    words = sorted({w for _, t in license.TEMPLATES for w in brute.words3(t)})
+    mixed = [" ".join(rng.choice(words + fill[:20]) for _ in range(n)) for n in (100, 400, 900) for _ in range(6)]
+    df = spark.createDataFrame(list(enumerate([*texts, scattered, *mixed])), "doc_id long, text string")
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    out = {r.doc_id: r for r in queries.op10_license(spark, str(tmp_path)).collect()}
+    for i, label in enumerate(labels):
+        assert label in out[i].labels.split(",") and out[i].score == 1, texts[i]
+    assert out[len(texts)].labels == ""
+    for k, text in enumerate(mixed, len(texts) + 1):  # one line each
+        w, want = brute.words3(text), set(out[k].base_labels.split(",")) - {""}
+        for label, t in license.TEMPLATES:
+            t = set(brute.words3(t))
+            width = 4 * len(t) if len(set(w)) > 4 * len(t) else len(w)
+            if max(len(t & set(w[i:i + width])) for i in range(len(w))) >= 0.8 * len(t) - 1e-9:
+                want.add(label)
+        assert out[k].labels == ",".join(sorted(want)), text
