@@ -14,6 +14,10 @@ the piece, so a hot source or a large group of copies is spread evenly and no
 task gets an unbounded group; a bin never spans shards. What is shuffled is
 (id, piece, size, source, cluster), never texts.
 
+Clusters are the components of near duplicates (see simhash): a text's
+fingerprint is taken while its words are counted, and finds its component's
+smallest fingerprint by a join; a text without words has no cluster.
+
 Defined cases: a null source or cluster conflicts with nothing; a null or empty
 text is one piece of size 1; a null id is packed like any other; repeated rows
 are pieces of their own; an empty table gives no bins. Very long texts become
@@ -29,8 +33,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import field, map_texts, small_batches, staged
+from .simhash import components, fingerprint, trie_links
 
 CAPACITY, SHARD = 2048, 2048
+SHINGLE, MAX_BITS = 3, 2  # as in the near-duplicate query
 
 
 def pack(pieces: list[tuple[int, object, object]], capacity: int) -> list[int]:
@@ -64,20 +70,23 @@ def pack(pieces: list[tuple[int, object, object]], capacity: int) -> list[int]:
 
 def sized(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """(doc_id, source, size, cluster): words and one separator; the cluster is
-    a hash of the words, so texts equal but for white space and case share it."""
-    import xxhash
-
+    the smallest fingerprint of the text's near duplicates."""
     def make():
         def kernel(texts):
             size, cluster = [], []
             for t in texts:
-                words = (t or b"").lower().split()
-                size.append(len(words) + 1)
-                cluster.append(xxhash.xxh64_intdigest(b" ".join(words)) - (1 << 63) if words else None)
+                words = len((t or b"").split())
+                size.append(words + 1)
+                fp = fingerprint(t, SHINGLE)
+                cluster.append((fp - (1 << 64) if fp >> 63 else fp) if words else None)
             return [size, cluster]
         return kernel
-    return map_texts(docs, text, [doc_id, source], [field("words", "long"), field("same", "long")], make).toDF(
-        "doc_id", "source", "size", "cluster")
+    rows = staged(map_texts(docs, text, [doc_id, source], [field("words", "long"), field("same", "long")], make).toDF(
+        "doc_id", "source", "size", "fp"))
+    roots = components(trie_links(rows.where("fp is not null").select("fp").distinct(), MAX_BITS))
+    # a fingerprint that isn't in a component, or is its smallest, has no row in roots
+    return rows.join(roots.select(F.col("u").alias("fp"), "v"), "fp", "left").select(
+        "doc_id", "source", "size", F.coalesce("v", "fp").alias("cluster"))
 
 
 def packed(items: DataFrame, capacity: int = CAPACITY, shard: int = SHARD) -> DataFrame:

@@ -1,5 +1,6 @@
 import random
 
+import brute
 import pytest
 from pyspark.sql import functions as F
 
@@ -124,3 +125,21 @@ def test_copies_never_share_a_bin(spark):
                                "doc_id long, text string, source string, size int")
     out = packing.best_fit(df).where("doc_id < 50").collect()
     assert len({r.bin_id for r in out}) == 50
+
+
+def test_near_copies_do_not_share_a_bin(spark):
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(500)]
+    texts = []
+    for _ in range(5):
+        body = [rng.choice(words) for _ in range(250)]
+        for k in range(6):
+            texts.append(" ".join([*body[:-1], f"v{k}"]))  # one word differs
+    df = spark.createDataFrame([(i, t, None) for i, t in enumerate(texts)], "doc_id long, text string, source string")
+    cls = brute.classes(list(range(len(texts))), [brute.simhash(t) for t in texts])
+    assert len(set(cls)) < len(texts) - 5  # there are near copies
+    bins = {}
+    for r in packing.best_fit(df).collect():
+        bins.setdefault(r.bin_id, []).append(cls[r.doc_id])
+    assert all(len(set(x)) == len(x) for x in bins.values())
+    assert any(len(x) > 1 for x in bins.values())
