@@ -34,7 +34,8 @@ def test_query_matches_sql(spark, name):
     ("op5_language", "doc_id held_out lang_pred score"),
     ("op6_quality", "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept"),
     ("op7_packing", "doc_id bin_id"), ("op9_personal_data", "doc_id n_email n_ip n_card n_phone base_sha256 spans"),
-    ("op10_license", "doc_id n_words n_base first_word last_word base_labels labels score")])
+    ("op10_license", "doc_id n_words n_base first_word last_word base_labels labels score"),
+    ("op13_sharding", "doc_id size text_crc32 law shard slot grown_shard")])
 def test_query_covers_the_table(spark, docs, name, columns):
     out = queries.QUERIES[name](spark, SF)
     assert set(columns.split()) <= set(out.columns)
