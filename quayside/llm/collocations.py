@@ -27,8 +27,8 @@ least as frequent as it, so they are in the table.
 
 Defined cases: a null text is empty; a null language is ``und``; repeated rows
 count each time; ties are settled by phrase; an empty table gives an empty
-result; other columns are ignored. Texts of any length are read in slices of
-``_SLICE`` bytes that carry the last words over; a longer word is one slice.
+result; other columns are ignored. Texts of any length are read in slices that
+carry the last words over; a word longer than a slice makes it longer.
 """
 
 from __future__ import annotations
@@ -48,11 +48,13 @@ UND = "und"
 #: Bits of the bitmap that hands survivors from one scan to the next, at most.
 FILTER_BITS = 1 << 27
 #: Occurrences that one hash partition should stand for; partitions at most.
-PARTITION_MASS, PARTITIONS = 1 << 25, 1 << 16
+PARTITION_MASS, PARTITIONS = 1 << 23, 1 << 16
 #: Phrases that a task adds up before it sends them, those in one row; words it
-#: keeps hashed.
+#: keeps numbered.
 _HELD, _ROW, _WORDS = 1 << 22, 1 << 13, 1 << 18
-_SLICE = 1 << 22
+#: Bytes of a slice in the first pass (its arrays fit a cache) and in the second
+#: (phrases are added up within one).
+_SLICE, _COUNTED = 1 << 17, 1 << 21
 _FOLD = bytes(10 if chr(c) in ".,;:!?\n\x0b\x0c\r" else 32 if c == 9 else c + 32 if 65 <= c <= 90 else c
               for c in range(256))
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -64,50 +66,74 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class Words:
-    """Numbers of words from 1, each with its hash; 0 ends a piece."""
+#: What each byte adds to a word's polynomial; 0 for the two that part words.
+_KIND = _mixed(np.arange(1, 257, dtype=np.uint64) * _ODD) | np.uint64(1)
+_KIND[[10, 32]] = 0
+_POWERS: list[np.ndarray] = []
 
-    def __init__(self) -> None:
-        self.ids: dict[bytes, int] = {b"\n": 0}
-        self.hashes = np.zeros(1, np.uint64)
 
-    def number(self, tokens: list[bytes]) -> np.ndarray:
-        ids = self.ids
-        new = [w for w in set(tokens) if w not in ids]
-        for w in new:
-            ids[w] = len(ids)
-        if new:
-            self.hashes = np.concatenate([self.hashes, np.fromiter(
-                map(xxhash.xxh3_64_intdigest, new), np.uint64, len(new))])
-        return np.fromiter(map(ids.__getitem__, tokens), np.int64, len(tokens))
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first n powers of the base and of its inverse modulo 2 ** 64."""
+    if not _POWERS or len(_POWERS[0]) < n:
+        for i, base in enumerate((int(_ODD), pow(int(_ODD), -1, 1 << 64))):
+            new = np.full(max(n, 1 << 16), base, np.uint64)
+            new[0] = 1
+            _POWERS[i:i + 1] = [np.cumprod(new)]
+    return _POWERS[0][:n], _POWERS[1][:n]
 
 
-def slices(texts: list[bytes], keep: int) -> Iterator[tuple[list[bytes], int]]:
-    """(tokens, carried): the tokens of the folded texts, ``b"\\n"`` between
-    pieces, slice by slice; the first ``carried`` were in the slice before."""
-    carry: list[bytes] = []
-    for lo_text in _grouped(texts):
-        data = lo_text.translate(_FOLD)
-        lo = 0
+class Numbers(dict):
+    """Words numbered as they come, for exact comparison."""
+
+    def __missing__(self, word: bytes) -> int:
+        n = self[word] = len(self)
+        return n
+
+
+class Slice:
+    """A stretch of folded texts: its words' hashes (polynomials of their bytes,
+    all at once), the piece of each, how many the slice before has had."""
+
+    def __init__(self, data: bytes, carried: int):
+        self.data, self.carried = data, carried
+        arr = np.frombuffer(data, np.uint8)
+        value = _KIND[arr]
+        inside = np.zeros(len(arr) + 2, bool)
+        inside[1:-1] = value > 0
+        edges = np.flatnonzero(inside[1:] != inside[:-1])
+        self.starts, ends = edges[::2], edges[1::2]
+        self.piece = np.searchsorted(np.flatnonzero(arr == 10), self.starts)
+        power, back = _powers(len(arr))
+        total = np.zeros(len(arr) + 1, np.uint64)
+        np.cumsum(value * power, out=total[1:])
+        self.words = (total[ends] - total[self.starts]) * back[self.starts] + (ends - self.starts).astype(np.uint64)
+
+
+def slices(texts: list[bytes], keep: int, size: int) -> Iterator[Slice]:
+    """The texts, folded, slice by slice; the last ``keep`` words of a slice begin
+    the next one."""
+    for joined in _grouped(texts, size):
+        data = joined.translate(_FOLD)
+        lo, last = 0, np.zeros(0, np.int64)
         while lo < len(data):
-            hi = min(lo + _SLICE, len(data))
+            hi = min(lo + size, len(data))
             if hi < len(data):
                 ends = [e for e in (data.find(b" ", hi), data.find(b"\n", hi)) if e >= 0]
                 hi = min(ends) if ends else len(data)
-            new = [w for w in data[lo:hi].replace(b"\n", b" \n ").split(b" ") if w]
-            yield carry + new, len(carry)
-            carry = (carry + new)[-keep:] if keep else []
+            first = int(last[0]) if len(last) else lo
+            part = Slice(data[first:hi], len(last))
+            yield part
+            last = (part.starts + first)[-keep:] if keep else last
             lo = hi
-        carry = []
 
 
-def _grouped(texts: list[bytes]) -> Iterator[bytes]:
+def _grouped(texts: list[bytes], size: int) -> Iterator[bytes]:
     part: list[bytes] = []
     held = 0
     for t in texts:
         part.append(t)
         held += len(t)
-        if held >= _SLICE:
+        if held >= size:
             yield b"\n".join(part)
             part, held = [], 0
     if part:
@@ -118,16 +144,14 @@ def _seed(lang: str) -> np.uint64:
     return np.uint64(xxhash.xxh3_64_intdigest(lang.encode(), 7) | 1)
 
 
-def grams(ids: np.ndarray, hashes: np.ndarray, seed: np.uint64, longest: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def grams(part: Slice, seed: np.uint64, longest: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """For m = 1 to longest: (start, key) of the phrases of m words."""
-    word = _mixed(hashes[ids] ^ seed)
-    inside = np.flatnonzero(ids > 0)
-    start, key = inside, word[inside]
+    word = _mixed(part.words ^ seed)
+    start, key = np.arange(len(word)), word
     yield start, key
     for m in range(2, longest + 1):
-        last = start + (m - 1)
-        ok = last < len(ids)
-        ok[ok] = ids[last[ok]] > 0
+        ok = np.flatnonzero(start + (m - 1) < len(word))
+        ok = ok[part.piece[start[ok] + (m - 1)] == part.piece[start[ok]]]
         start, key = start[ok], key[ok]
         key = _mixed((key * _ODD) + word[start + (m - 1)])
         yield start, key
@@ -160,16 +184,15 @@ def build_filter(spark: SparkSession, keys: DataFrame) -> Filter:
     return Filter(bits, [(r["bucket"], bytes(r["bits"])) for r in parts.collect()])
 
 
-def _offered(ids: np.ndarray, hashes: np.ndarray, seed: np.uint64,
-             filters: list[Filter]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _offered(part: Slice, seed: np.uint64, filters: list[Filter]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """For m = 1 to len(filters) + 1: (start, key) of the phrases of m words
     whose parts passed their filters; the last ones are not filtered themselves."""
-    good = np.ones(len(ids) + 1, bool)
-    for m, (start, key) in enumerate(grams(ids, hashes, seed, len(filters) + 1)):
+    good = np.ones(len(part.words) + 1, bool)
+    for m, (start, key) in enumerate(grams(part, seed, len(filters) + 1)):
         take = good[start] & good[start + 1] if m else np.ones(len(start), bool)
         if m < len(filters):
             take &= filters[m](key)
-        good = np.zeros(len(ids) + 1, bool)
+        good = np.zeros(len(part.words) + 1, bool)
         good[start[take]] = True
         yield start[take], key[take]
 
@@ -204,17 +227,14 @@ def _sent(source: DataFrame, m: int, shared, partitions: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filters = shared()
-        words, held, size = Words(), [], 0
+        held, size = [], 0
         for batch in batches:
             for lang, texts in _by_lang(batch).items():
                 seed = _seed(lang)
-                for tokens, carried in slices(texts, m - 1):
-                    if len(words.ids) > _WORDS:
-                        words = Words()
-                    ids = words.number(tokens)
-                    for start, key in _offered(ids, words.hashes, seed, filters):
+                for part in slices(texts, m - 1, _SLICE):
+                    for start, key in _offered(part, seed, filters):
                         pass
-                    held.append(key[start + m > carried])
+                    held.append(key[start + m > part.carried])
                     size += len(held[-1])
                     if size >= _HELD:
                         yield from flush(held)
@@ -302,23 +322,24 @@ def phrase_counts(docs: DataFrame, text: str = "text", lang: str = "lang", longe
     shared = share(spark, filters)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        filters, words = shared(), Words()
+        filters, numbers = shared(), Numbers()
         for batch in batches:
             for lang_, texts in _by_lang(batch).items():
                 seed = _seed(lang_)
-                for tokens, carried in slices(texts, longest - 1):
-                    if len(words.ids) > _WORDS:
-                        words = Words()
-                    ids = words.number(tokens)
+                for part in slices(texts, longest - 1, _COUNTED):
+                    if len(numbers) > _WORDS:
+                        numbers = Numbers()
+                    tokens = part.data.split()
+                    ids = np.fromiter(map(numbers.__getitem__, tokens), np.int64, len(tokens))
                     out: list[bytes] = [b""]
-                    size, freq = [0], [int((ids[carried:] > 0).sum())]
+                    size, freq = [0], [len(tokens) - part.carried]
                     exact = ids
-                    for m, (start, _) in enumerate(islice(_offered(ids, words.hashes, seed, filters), longest), 1):
+                    for m, (start, _) in enumerate(islice(_offered(part, seed, filters), longest), 1):
                         if m > 1:  # equal phrases of this slice by their words' numbers, not by hash
-                            pair = exact[start] * np.int64(len(words.ids)) + ids[start + (m - 1)]
+                            pair = exact[start] * np.int64(len(numbers)) + ids[start + (m - 1)]
                             exact = np.zeros(len(ids), np.int64)
                             exact[start] = np.unique(pair, return_inverse=True)[1]
-                        start = start[start + m > carried]
+                        start = start[start + m > part.carried]
                         _, first, n = np.unique(exact[start], return_index=True, return_counts=True)
                         out += [b" ".join(tokens[i:i + m]) for i in start[first].tolist()]
                         size += [m] * len(first)
