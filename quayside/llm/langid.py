@@ -10,8 +10,12 @@ length under each language is a sum of table values. The shortest code wins;
 the score is its share of 2 ** -length over all languages.
 
 Bytes: A-Z are lower-cased, runs of other ASCII characters than letters become
-one space. The 63 most frequent bytes of the sample are symbols of their own,
-the others share one symbol and pay the same constant under every language.
+one space. All 256 byte values are symbols of their own.
+
+The trees of all languages are kept as hashed tables of the strings that occur
+in the sample (4 bytes: a byte after three; 3 bytes: a byte after two, and the
+escape from three), with one column a language; orders 1 and 0 are small enough
+to be dense. A string that is not in a table is coded by the next shorter one.
 
 The fit takes a bounded sample: of each language about ``per_lang`` rows
 (a parameter), chosen by a hash of the id; their 4-byte counts are summed in
@@ -36,7 +40,7 @@ from .common import field, fresh, labelled_sample, map_texts, quoted, share
 UND = "und"
 #: Rows of each language that the fit may read (an expected bound).
 PER_LANG = 2000
-_SLICE = 1 << 20
+_SLICE = 1 << 18
 _TABLE = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 _START = b"   "
 
@@ -75,59 +79,94 @@ def gram_counts(sample: DataFrame, lang: str, text: str) -> DataFrame:
     return src.mapInArrow(run, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
+class Index:
+    """A hash table of 32-bit keys: ``find`` gives a key's row, 0 if it has none."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys = np.concatenate([np.zeros(1, np.uint32), keys.astype(np.uint32)])
+        bits = max(8, int(4 * len(keys)).bit_length())
+        self.shift, self.mask = np.uint32(32 - bits), (1 << bits) - 1
+        self.slots = np.zeros(1 << bits, np.int32)
+        row, at = np.arange(1, len(self.keys), dtype=np.int32), self._at(self.keys[1:])
+        while len(row):
+            free = self.slots[at] == 0
+            self.slots[at[free]] = row[free]
+            left = self.slots[at] != row
+            row, at = row[left], (at[left] + 1) & self.mask
+
+    def _at(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys * np.uint32(2654435769)) >> self.shift).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        at = self._at(keys)
+        row = self.slots[at]
+        miss = np.flatnonzero((row > 0) & (self.keys[row] != keys))
+        at, key = at[miss], keys[miss]
+        while len(miss):
+            at = (at + 1) & self.mask
+            row[miss] = self.slots[at]
+            wrong = (row[miss] > 0) & (self.keys[row[miss]] != key)
+            miss, at, key = miss[wrong], at[wrong], key[wrong]
+        return row
+
+
+def _sums(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    out, back = np.unique(keys, return_inverse=True)
+    return out, np.bincount(back, n, len(out))
+
+
 class Ppm:
-    """Code length tables of all languages, in bits."""
+    """Code length tables of all languages, in bits. Row 0 of the tables of
+    strings stands for strings that no language has."""
 
-    def __init__(self, rows: list[tuple[str, int, int]], kinds: int = 64):
+    def __init__(self, rows: list[tuple[str, int, int]]):
         self.langs = sorted({r[0] for r in rows})
+        number = {x: i for i, x in enumerate(self.langs)}
+        lang = np.array([number[r[0]] for r in rows], np.int64)
         gram = np.array([r[1] for r in rows], np.int64)
         n = np.array([r[2] for r in rows], np.float64)
-        lang = np.array([self.langs.index(r[0]) for r in rows], np.int64)
-        last = gram & 255
-        freq = np.bincount(last, n, 256)
-        order = np.lexsort((np.arange(256), -freq))
-        self.kind = np.full(256, kinds - 1, np.uint8)
-        self.kind[order[:kinds - 1]] = np.arange(kinds - 1)
-        rare = 256 - (kinds - 1)
-        sym = np.stack([self.kind[(gram >> s) & 255].astype(np.int64) for s in (24, 16, 8, 0)])
-        keys = (sym[0] << 18) | (sym[1] << 12) | (sym[2] << 6) | sym[3]
-        self.keys = np.unique(keys)
-        k = kinds
-        base = np.full(k, 1 / 256)
-        base[-1] = rare / 256  # order -1: all bytes alike
-        self.two, self.back, self.three = [], [], []
-        for i in range(len(self.langs)):
-            own = lang == i
-            c2 = np.bincount(keys[own] & (k ** 3 - 1), n[own], k ** 3).reshape(-1, k)
-            c1 = c2.reshape(k, k, k).sum(0)
-            c0 = c1.sum(0, keepdims=True)
-            p0 = _blend(c0, base[None])
-            p1 = _blend(c1, np.broadcast_to(p0, (k, k)))
-            p2 = _blend(c2, np.tile(p1, (k, 1)))
-            uk, inv = np.unique(keys[own], return_inverse=True)
-            cnt = np.bincount(inv, n[own]) if len(uk) else np.zeros(0)
-            ctx, s = uk >> 6, uk & 63
-            total = np.bincount(ctx, cnt, k ** 3)
-            kinds_seen = np.bincount(ctx, minlength=k ** 3)
-            gone = np.bincount(ctx, p2[ctx & (k * k - 1), s], k ** 3)
-            esc = np.ones(k ** 3)
-            has = total > 0
-            esc[has] = kinds_seen[has] / (total + kinds_seen)[has] / np.maximum(1 - gone[has], 1e-12)
-            back = -np.log2(np.maximum(esc, 1e-30))
-            two = -np.log2(np.maximum(p2, 1e-30)).ravel()
-            three = back[self.keys >> 6] + two[self.keys & (k ** 3 - 1)]
-            three[np.searchsorted(self.keys, uk)] = -np.log2(cnt / (total + kinds_seen)[ctx])
-            self.two.append(two)
-            self.back.append(back)
-            self.three.append(three)
-        stack = lambda x: np.stack(x, 1).astype(np.float32) if x else np.zeros((0, 0), np.float32)
-        self.two, self.back, self.three = stack(self.two), stack(self.back), stack(self.three)
-
-    def ready(self) -> None:
-        """The dense index of known 4-grams (built on the worker)."""
-        self.index = np.zeros(64 ** 4, np.int32)
-        self.index[self.keys] = np.arange(1, len(self.keys) + 1)
-        self.rows = np.concatenate([np.zeros((1, self.three.shape[1]), np.float32), self.three])
+        k, self.four, self.three = len(self.langs), Index(np.unique(gram)), Index(np.unique(
+            np.concatenate([gram >> 8, gram & 0xFFFFFF])) if len(gram) else gram)
+        one, back2 = np.zeros((1 << 16, k)), np.zeros((1 << 16, k))
+        two, back3 = np.zeros((len(self.three.keys), k)), np.zeros((len(self.three.keys), k))
+        three = np.zeros((len(self.four.keys), k))
+        for i in range(k):
+            own, cnt = gram[lang == i], n[lang == i]
+            c1 = np.bincount(own & 0xFFFF, cnt, 1 << 16).reshape(256, 256)
+            p0 = _blend(c1.sum(0, keepdims=True), np.full((1, 256), 1 / 256))  # order -1: all bytes alike
+            p1 = _blend(c1, np.broadcast_to(p0, (256, 256))).ravel()
+            one[:, i] = -np.log2(np.maximum(p1, 1e-30))
+            # order 2: strings of three bytes seen in this language, then the others
+            key, count = _sums(own & 0xFFFFFF, cnt)
+            seen, back2[:, i] = _order(key >> 8, count, p1[key & 0xFFFF], 1 << 16)
+            all3 = self.three.keys.astype(np.int64)
+            two[:, i] = back2[all3 >> 8, i] + one[all3 & 0xFFFF, i]
+            two[self.three.find(key.astype(np.uint32)), i] = seen
+            # order 3; its contexts are rows of the table of three bytes
+            ctx = self.three.find((own >> 8).astype(np.uint32)).astype(np.int64)
+            last = self.three.find((own & 0xFFFFFF).astype(np.uint32))
+            seen, back3[:, i] = _order(ctx, cnt, np.exp2(-two[last, i]), len(back3))
+            all4 = self.four.keys.astype(np.int64)
+            three[:, i] = back3[self.three.find((all4 >> 8).astype(np.uint32)), i] + two[
+                self.three.find((all4 & 0xFFFFFF).astype(np.uint32)), i]
+            three[self.four.find(own.astype(np.uint32)), i] = seen
+        back3[0] = 0
+        self.bits3, self.bits2, self.back3, self.back2, self.bits1 = (
+            x.astype(np.float32) for x in (three, two, back3, back2, one))
+
+    def _bits(self, key: np.ndarray) -> np.ndarray:
+        """Code lengths of the last byte of each string of four bytes."""
+        row = self.four.find(key)
+        bits = self.bits3[row]
+        new = np.flatnonzero(row == 0)
+        if len(new):
+            k3 = key[new] & np.uint32(0xFFFFFF)
+            row = self.three.find(k3)
+            lower = self.bits2[row]
+            none = np.flatnonzero(row == 0)
+            lower[none] = self.back2[k3[none] >> np.uint32(8)] + self.bits1[k3[none] & np.uint32(0xFFFF)]
+            bits[new] = self.back3[self.three.find(key[new] >> np.uint32(8))] + lower
+        return bits
 
     def lengths(self, texts: list[bytes]) -> np.ndarray:
         """Code length in bits of each text under each language."""
@@ -137,17 +176,11 @@ class Ppm:
         held = 0
 
         def flush():
-            data = np.frombuffer(b"".join(group), np.uint8)
-            sym = self.kind[data].astype(np.int32)
-            key = (sym[:-3] << 18) | (sym[1:-2] << 12) | (sym[2:-1] << 6) | sym[3:]
-            at = self.index[key]
-            bits = self.rows[at]
-            new = np.flatnonzero(at == 0)
-            bits[new] = self.back[key[new] >> 6] + self.two[key[new] & (64 ** 3 - 1)]
+            bits = self._bits(_grams(np.frombuffer(b"".join(group), np.uint8)))
             first = np.cumsum([0] + [len(g) for g in group])
-            total = np.concatenate([np.zeros((1, bits.shape[1])), np.cumsum(bits, axis=0, dtype=np.float64)])
             # the first three bytes of a slice are context only
-            np.add.at(out, owner, total[first[1:] - 3] - total[first[:-1]])
+            for i, a, b in zip(owner, first[:-1].tolist(), (first[1:] - 3).tolist(), strict=True):
+                out[i] += bits[a:b].sum(0, dtype=np.float64)
         for i, t in enumerate(texts):
             s = symbols(t)
             for lo in range(3, len(s), _SLICE):
@@ -163,6 +196,15 @@ class Ppm:
         return out
 
 
+def _order(ctx: np.ndarray, count: np.ndarray, lower: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bits of the seen (context, byte) pairs, and of each context's escape
+    without the bytes it rules out; ``lower``: their shorter contexts' probabilities."""
+    total, kinds, gone = (np.bincount(ctx, w, n) for w in (count, None, lower))
+    with np.errstate(divide="ignore", invalid="ignore"):
+        esc = np.where(total > 0, kinds / (total + kinds) / np.maximum(1 - gone, 1e-12), 1.0)
+    return -np.log2(count / (total + kinds)[ctx]), -np.log2(np.maximum(esc, 1e-30))
+
+
 def _blend(counts: np.ndarray, lower: np.ndarray) -> np.ndarray:
     """Probabilities of every symbol after every context of one order."""
     total, kinds = counts.sum(1, keepdims=True), (counts > 0).sum(1, keepdims=True)
@@ -183,8 +225,6 @@ def fit(docs: DataFrame, train, doc_id: str = "doc_id", text: str = "text", lang
 def _kernel(shared):
     def make():
         model = shared()
-        if model.langs:
-            model.ready()
 
         def kernel(texts):
             n = len(texts)
@@ -210,9 +250,12 @@ def predict(docs: DataFrame, model: Ppm, keep: list[str], text: str = "text") ->
 def keep_known(docs: DataFrame, train, doc_id: str = "doc_id", text: str = "text", lang: str = "lang",
                per_lang: int = PER_LANG) -> DataFrame:
     """The rows of ``docs`` whose text is in a known language, all columns
-    unchanged: a text that is null or has no letter (``und``) goes."""
+    unchanged: a text that is null or has no letter (``und``) goes. Where nothing
+    can be learned from, every text with a letter stays."""
     body = fresh(docs, "body")
     model = fit(docs, train, doc_id, text, lang, per_lang)
+    if not model.langs:
+        return docs.where(quoted(text).rlike(r"\p{L}"))
     wide = docs.withColumn(body, quoted(text))
     out = predict(wide, model, docs.columns, body)
     pred, score = out.columns[-2:]

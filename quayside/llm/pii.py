@@ -11,17 +11,23 @@ because no label allows it. Potentials: features of the token's shape; a chain
 factor between tokens that stand next to each other; a skip factor between
 tokens with equal keys anywhere in the text (equal tokens, or an equal tail of
 seven digits or more, or an equal mail name), each joined to its next
-occurrence, so the edges grow with the tokens and not with their pairs. Sum-product messages run over chain and skip edges
-of a whole batch of texts at once until they settle (at most ``ROUNDS``
-rounds). A node with a label at ``least`` or more becomes a span if it meets no
-base span; base spans always stay.
+occurrence, so the edges grow with the tokens and not with their pairs. Nodes in
+a base span are evidence: their label is given. Sum-product messages run over
+chain and skip edges, each text's until its own have settled; the damping grows
+with the rounds, so they always do. A node with a label at ``least`` or more
+becomes a span if it meets no base span; base spans always stay.
 
 Weights are fitted by penalised pseudo-likelihood to base labels in about
-``fit_rows`` rows (a parameter), chosen by a hash of the id. Equal training
-cases are counted in Spark; the ``CASES`` most frequent reach the driver.
-
-Defined cases: a null text is empty and has no spans; without training cases
-the field adds nothing; repeated rows get a row each; ids may be null.
+``fit_rows`` rows (a parameter), chosen by a hash of the id. A token without a
+base span that shares a key with one that has may be a mention the patterns
+miss: it is no example of "none".
+Equal training cases are counted in Spark; what reaches the driver is one row
+per distinct case of the sample.
+
+Defined cases: a null text is empty and has no spans; very long texts are taken
+whole, a graph of their own; without training cases the field adds nothing; ties
+of two labels go to the first kind; repeated rows get a row each; ids may be
+null; other columns are ignored or kept, whatever their names.
 """
 
 from __future__ import annotations
@@ -37,7 +43,10 @@ from pyspark.sql import functions as F
 from .common import field, fresh, map_texts, quoted, share, small_batches
 
 KINDS = ("email", "ip", "card", "phone")
-FIT_ROWS, CASES, ROUNDS, LEAST = 40_000, 20_000, 20, 0.9
+FIT_ROWS, LEAST = 40_000, 0.9
+#: Characters of texts whose graphs are held at a time; rounds, beside
+#: four a node, before the damping grows.
+_PART, _ROUNDS = 500_000, 30
 
 _LOCAL = "".join(map(chr, range(48, 58))) + "".join(map(chr, range(65, 91))) + "".join(map(chr, range(97, 123))) + "._%+-"
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -172,17 +181,28 @@ def _design(feat: np.ndarray) -> np.ndarray:
     return ((feat[:, None] >> np.arange(N_FEATURES)) & 1).astype(np.float64)
 
 
+def unsure(nodes: Nodes) -> np.ndarray:
+    """Nodes without a label that may be mentions all the same."""
+    label = np.array(nodes.label, np.int64)
+    out = np.zeros(len(label), bool)
+    for a, b in nodes.skip:
+        out[a] |= label[b] > 0
+        out[b] |= label[a] > 0
+    return out & (label == 0)
+
+
 def neighbours(nodes: Nodes) -> np.ndarray:
-    """Counts of the labels next to each node: chain left, chain right, skip."""
+    """Counts of the labels next to each node: chain left, chain right, skip.
+    Nodes that may be missed mentions are not counted."""
     n = len(nodes.text)
     out = np.zeros((n, 3, N_LABELS), np.int64)
-    label = np.array(nodes.label)
-    for a, b in nodes.chain:
-        out[b, 0, label[a]] += 1
-        out[a, 1, label[b]] += 1
-    for a, b in nodes.skip:
-        out[b, 2, label[a]] += 1
-        out[a, 2, label[b]] += 1
+    label, open_ = np.array(nodes.label, np.int64), unsure(nodes)
+    for left, right, edges in ((0, 1, nodes.chain), (2, 2, nodes.skip)):
+        for a, b in edges:
+            if not open_[a]:
+                out[b, left, label[a]] += 1
+            if not open_[b]:
+                out[a, right, label[b]] += 1
     return out
 
 
@@ -219,34 +239,45 @@ class Field:
                 parts[k] -= 0.1 * (m[k] / (1 - 0.9 ** t)) / (np.sqrt(v[k] / (1 - 0.999 ** t)) + 1e-9)
         return cls(*parts)
 
-    def marginals(self, nodes: Nodes, rounds: int = ROUNDS) -> np.ndarray:
-        """Label probabilities by loopy sum-product on all edges."""
+    def marginals(self, nodes: Nodes, given: bool = False) -> np.ndarray:
+        """Label probabilities by loopy sum-product on all edges; ``given``: the
+        labels that nodes have are evidence."""
         unary = _design(np.array(nodes.feat, np.int64)) @ self.unary
-        edges = np.array(nodes.chain + nodes.skip, np.int64).reshape(-1, 2)
-        if not len(edges):
-            return _softmax(unary)
-        pot = np.concatenate([np.broadcast_to(self.chain, (len(nodes.chain), N_LABELS, N_LABELS)),
-                              np.broadcast_to(self.skip, (len(nodes.skip), N_LABELS, N_LABELS))])
-        src = np.concatenate([edges[:, 0], edges[:, 1]])
-        dst = np.concatenate([edges[:, 1], edges[:, 0]])
-        pot = np.concatenate([pot, pot.transpose(0, 2, 1)])  # message direction: [source label, target label]
-        back = np.r_[np.arange(len(edges)) + len(edges), np.arange(len(edges))]
-        msg = np.zeros((len(src), N_LABELS))
-        for _ in range(rounds):
-            belief = unary.copy()
-            np.add.at(belief, dst, msg)
-            out = belief[src] - msg[back]
-            z = out[:, :, None] + pot
-            top = z.max(1, keepdims=True)
-            new = np.log(np.exp(z - top).sum(1)) + top[:, 0]
-            new -= new.max(1, keepdims=True)
-            new = 0.5 * (new + msg)  # damped
-            moved = np.abs(new - msg).max()
-            msg = new
-            if moved < 1e-4:
-                break
+        if given:
+            label = np.array(nodes.label)
+            known = np.flatnonzero(label > 0)
+            unary[known] = -50.0
+            unary[known, label[known]] = 50.0
+        # messages along the chain, against it, and both ways of the skip edges
+        pots = (self.chain, self.chain.T, self.skip, self.skip)
+        pairs = [np.array(e, np.int64).reshape(-1, 2) for e in (nodes.chain, nodes.skip)]
+        ways = [pairs[0], pairs[0][:, ::-1], pairs[1], pairs[1][:, ::-1]]
+        text = np.array(nodes.text, np.int64)
+        live = [np.arange(len(w)) for w in ways]
+        msgs = [np.zeros((len(w), N_LABELS)) for w in ways]
         belief = unary.copy()
-        np.add.at(belief, dst, msg)
+        done, patience = 0, _ROUNDS + 4 * np.bincount(text)  # evidence may have to pass every node
+        while any(len(x) for x in live):
+            steps = 0.5 * 0.9 ** np.maximum(0, done - patience)
+            moved = np.zeros(text[-1] + 1)
+            new = []
+            for k, (way, pot) in enumerate(zip(ways, pots, strict=True)):
+                at = live[k]
+                out = belief[way[at, 0]] - msgs[k ^ 1][at]
+                z = out[:, :, None] + pot
+                top = z.max(1)
+                m = np.log(np.exp(z - top[:, None]).sum(1)) + top
+                m -= m.max(1, keepdims=True)
+                step = steps[text[way[at, 0]], None]
+                m = step * m + (1 - step) * msgs[k][at]
+                np.maximum.at(moved, text[way[at, 0]], np.abs(m - msgs[k][at]).max(1, initial=0))
+                new.append(m)
+            belief = unary.copy()
+            for k, way in enumerate(ways):
+                msgs[k][live[k]] = new[k]
+                np.add.at(belief, way[:, 1], msgs[k])
+                live[k] = live[k][moved[text[way[live[k], 0]]] >= 1e-4]
+            done += 1
         return _softmax(belief)
 
 
@@ -265,16 +296,18 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", fit_rows: i
 
     def run(batches):
         for batch in batches:
-            nodes = Nodes()
-            for i, t in enumerate(batch.column(0).to_pylist()):
-                if t:
-                    nodes.add(i, t, base_spans(t))
-            nb = np.minimum(neighbours(nodes), 3).reshape(-1, 3 * N_LABELS)
-            yield pa.RecordBatch.from_arrays([
-                pa.array(nodes.feat, pa.int64()), pa.array(nodes.label, pa.int32()),
-                pa.array(nb.tolist(), pa.list_(pa.int32()))], names=["feat", "label", "nb"])
+            for part in _parts(batch.column(0).to_pylist()):
+                nodes = Nodes()
+                for i, t in enumerate(part):
+                    if t:
+                        nodes.add(i, t, base_spans(t))
+                keep = np.flatnonzero(~unsure(nodes))
+                nb = np.minimum(neighbours(nodes), 3).reshape(-1, 3 * N_LABELS)[keep]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.array(nodes.feat, np.int64)[keep]), pa.array(np.array(nodes.label, np.int32)[keep]),
+                    pa.array(nb.tolist(), pa.list_(pa.int32()))], names=["feat", "label", "nb"])
     cases = (src.mapInArrow(run, "feat long, label int, nb array<int>").groupBy("feat", "label", "nb")
-             .agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "feat", "label", "nb").limit(CASES).collect())
+             .agg(F.count(F.lit(1)).alias("n")).orderBy("feat", "label", "nb").collect())
     return Field.fit([tuple(c) for c in cases])
 
 
@@ -289,7 +322,7 @@ def find(texts: list[str | None], model: Field | None, least: float = LEAST):
         if t and ("@" in t or _DIGIT.search(t)):
             nodes.add(i, t, base[i])
     if nodes.text:
-        p = model.marginals(nodes)
+        p = model.marginals(nodes, given=True)
         best = p.argmax(1)
         for k in np.flatnonzero((best > 0) & (p.max(1) >= least)).tolist():
             i, a, b = nodes.text[k], nodes.start[k], nodes.end[k]
@@ -302,7 +335,7 @@ def join(spans) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in spans)
 
 
-def _parts(texts, most: int = 2_000_000):
+def _parts(texts, most: int = _PART):
     """Runs of texts of a few megabytes, so one graph stays small."""
     lo = 0
     while lo < len(texts):

@@ -22,16 +22,16 @@ def test_language_is_right_on_held_out_rows(docs, model):
     assert all(0 <= r.score <= 1 for r in out)
 
 
-def _brute_bits(model_rows, kind, text):
+def _brute_bits(model_rows, text):
     """Code length with the escape rules, symbol by symbol."""
     counts = [dict() for _ in range(4)]
     for gram, n in model_rows:
-        s = [int(kind[(gram >> k) & 255]) for k in (24, 16, 8, 0)]
+        s = [(gram >> k) & 255 for k in (24, 16, 8, 0)]
         for o in range(4):
             d = counts[o].setdefault(tuple(s[3 - o:3]), Counter())
             d[s[3]] += n
-    k = 64
-    uniform = [1 / 256] * (k - 1) + [(256 - k + 1) / 256]
+    k = 256
+    uniform = [1 / 256] * k
 
     def p(order, ctx):
         lower = uniform if order == 0 else p(order - 1, ctx[1:])
@@ -41,7 +41,7 @@ def _brute_bits(model_rows, kind, text):
         total, kinds = sum(d.values()), len(d)
         left = 1 - sum(lower[s] for s in d)
         return [d[s] / (total + kinds) if s in d else kinds / (total + kinds) * lower[s] / max(left, 1e-12) for s in range(k)]
-    sym = [int(kind[b]) for b in langid.symbols(text)]
+    sym = list(langid.symbols(text))
     return sum(-math.log2(max(p(3, tuple(sym[i - 3:i]))[sym[i]], 1e-30)) for i in range(3, len(sym)))
 
 
@@ -50,17 +50,36 @@ def test_code_lengths_match_the_definition(spark):
     df = spark.createDataFrame([(i, t, la) for i, (la, t) in enumerate(rows)], "doc_id long, text string, lang string")
     grams = [tuple(r) for r in langid.gram_counts(df, "lang", "text").collect()]
     m = langid.Ppm(grams)
-    m.ready()
-    texts = [b"the chat", "Un été, THE hat!".encode(), b"zzz qq", b"the"]
+    texts = [b"the chat", "Un été, THE hat!".encode(), b"zzz qq", b"the", "\u0394\u03b5\u03bd cat \u4e2d".encode()]
     bits = m.lengths(texts)
     for i, t in enumerate(texts):
         for j, la in enumerate(m.langs):
-            want = _brute_bits([(g, n) for x, g, n in grams if x == la], m.kind, t)
+            want = _brute_bits([(g, n) for x, g, n in grams if x == la], t)
             assert bits[i, j] == pytest.approx(want, rel=1e-4, abs=1e-3)
 
 
+def test_every_script_keeps_its_bytes(spark):
+    """More than 64 distinct bytes: rare scripts are told apart as well."""
+    alphabets = {"ru": range(0x430, 0x450), "el": range(0x3b1, 0x3ca), "th": range(0xe01, 0xe2f), "ka": range(0x10d0, 0x10f1),
+                 "hi": range(0x905, 0x93a), "en": range(97, 123), "ar": range(0x627, 0x64b), "ko": range(0xac00, 0xac80)}
+    rng = np.random.default_rng(1)
+    rows = [(i * 8 + k, "".join(chr(rng.choice(list(a))) + " " * (j % 5 == 4) for j in range(60)), la)
+            for k, (la, a) in enumerate(alphabets.items()) for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    out = langid.predict(df, langid.fit(df, F.col("doc_id") < 160), ["doc_id", "lang"]).where("doc_id >= 160").collect()
+    assert len(out) == 80 and all(r.lang == r.lang_pred for r in out)
+
+
+def test_an_index_finds_its_keys():
+    rng = np.random.default_rng(2)
+    keys = np.unique(rng.integers(0, 2**32, 50_000, dtype=np.uint32))
+    index = langid.Index(keys)
+    assert (index.keys[index.find(keys)] == keys).all() and (index.find(keys) > 0).all()
+    other = np.setdiff1d(rng.integers(0, 2**32, 50_000, dtype=np.uint32), keys)
+    assert (index.find(other) == 0).all()
+
+
 def test_slices_of_long_texts_add_up(model, monkeypatch):
-    model.ready()
     text = ("the quick brown fox " * 50).encode()
     whole = model.lengths([text])
     monkeypatch.setattr(langid, "_SLICE", 37)
@@ -78,6 +97,8 @@ def test_language_of_odd_rows(spark, odd, empty, model):
     kept = langid.keep_known(odd.withColumn("lang_pred", F.lit(1)), F.lit(True))
     assert kept.columns == [*odd.columns, "lang_pred"]
     assert kept.count() == sum(any(c.isalpha() for c in r.text or "") for r in odd.collect())
+    untold = langid.keep_known(odd.withColumn("lang", F.lit(None).cast("string")), F.lit(True))
+    assert untold.columns == odd.columns and untold.count() == kept.count()
 
 
 def test_base_score_counts_and_split(docs):
