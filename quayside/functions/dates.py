@@ -63,13 +63,23 @@ def lenient_date_text(c, formats=(ISO_DATE_FORMAT,)) -> Column:
     return F.coalesce(*outs)
 
 
+def _serial_shape(c: Column) -> Column:
+    """One to seven digits, perhaps a point and more digits: cheap tests first,
+    no pattern. Without its digits nothing or the point is left."""
+    whole = F.substring_index(c, ".", 1)
+    rest = F.translate(c, "0123456789", "")
+    return (F.substring(c, 1, 1).between("0", "9") & (F.length(whole) <= 7)
+            & ((rest == "") | ((rest == ".") & (F.length(c) > F.length(whole) + 1))))
+
+
 def report_date_text(c) -> Column:
     """SCL-D2 for a sheet cell: ISO date text as it is; a date-styled cell is a
-    serial number (SCL-D1) and becomes its ISO date; anything else is null."""
+    serial number (SCL-D1) and becomes its ISO date; anything else is null. The
+    day number is the cell's whole part (its fraction is the time of day)."""
     text = col_of(c).cast("string")
-    day = F.when(text.rlike(r"^[0-9]{1,7}([.][0-9]+)?$"), text.try_cast("double"))
-    serial = F.when((day >= 1) & (day < LAST_SERIAL + 1), serial_to_date(day).cast("string"))
-    return F.coalesce(lenient_date_text(text), serial)
+    day = F.substring_index(text, ".", 1).try_cast("int")
+    serial = F.when(day.between(1, LAST_SERIAL), F.date_add(F.lit(SERIAL_DAY_ZERO).cast("date"), day).cast("string"))
+    return F.when(_iso_shape(text), lenient_date_text(text)).when(_serial_shape(text), serial)
 
 
 def iso_date_or_null(c) -> Column:

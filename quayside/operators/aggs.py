@@ -23,6 +23,9 @@ def distinct_rollup(df: DataFrame, keys: Sequence[str], cols: Sequence[str],
     """AG-1 (+ SCL-L1, SRT-3): one row per key; each value column becomes its
     sorted distinct values joined by ``sep``.
 
+    Past 128 keys a task's object-hash aggregate goes on sorted, spilling, and
+    holds the sets of one key at a time: what one output row is made of.
+
     Nulls (keys and values) become ``''`` before grouping, so a null shows up
     as a leading empty item (``;a;b``) and null keys form the ``''`` group;
     ``null_text`` gives a column another text for null (Q1). Doubles are written
@@ -43,14 +46,29 @@ def ordered_concat(df: DataFrame, keys: Sequence[str], value: str,
     """AG-2: rows with a null key are dropped; per key, ``value`` items are
     joined by ``sep`` in ``order_by`` order (default: the value itself),
     duplicates kept (Q5, Q6). A null value in a row that stays raises, since
-    leaving it out would change the list without a trace."""
+    leaving it out would change the list without a trace.
+
+    Equal items (same key, order and value) are counted first. Then the rows are
+    dealt by range of (key, order, value): a hot key is spread over neighbouring
+    partitions, each of which joins its own piece, and the pieces of a key are
+    joined in the order of their partitions. So no task holds more than its
+    range; the last step has one text a key and partition."""
     order = list(order_by or [value])
+    order += [value] if value not in order else []
     kept = df.dropna(subset=list(keys)).withColumn(value, F.coalesce(
         col_of(value), F.raise_error(F.lit(f"{value} is null")).cast("string")))
-    order_sql = ", ".join(quote(o) for o in order + ([value] if value not in order else []))
-    text = sep.replace("\\", "\\\\").replace("'", "\\'")
-    agg = F.expr(f"listagg({quote(value)}, '{text}') WITHIN GROUP (ORDER BY {order_sql})")
-    return kept.groupBy(*[quote(k) for k in keys]).agg(agg.alias(out or value))
+    by = [quote(c) for c in (*keys, *order)]
+    items = kept.groupBy(*dict.fromkeys(by)).agg(F.count(F.lit(1)).alias("__n"))
+    piece = items.repartitionByRange(*dict.fromkeys(by)).withColumn("__piece", F.spark_partition_id())
+    text = F.array_join(F.array_repeat(col_of(value), F.col("__n").cast("int")), sep)
+    piece = piece.select(*[col_of(c) for c in keys], "__piece", *[F.col(o).alias(f"__o{i}") for i, o in enumerate(map(quote, order))],
+                         text.alias("__text"))
+    glue = sep.replace("\\", "\\\\").replace("'", "\\'")
+    listed = lambda col, by: F.expr(f"listagg({col}, '{glue}') WITHIN GROUP (ORDER BY {by})")
+    own = [quote(k) for k in keys]
+    pieces = piece.groupBy(*own, "__piece").agg(
+        listed("__text", ", ".join(f"__o{i}" for i in range(len(order)))).alias("__text"))
+    return pieces.groupBy(*own).agg(listed("__text", "__piece").alias(out or value))
 
 
 def nested_options(df: DataFrame, key: str, value: str, label: str,

@@ -795,6 +795,89 @@ def q_cert_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _cert_out(jobs.cert_insert(src(spark, sf_dir, CERT_TABLE_SQL), src(spark, sf_dir, CERT_INSERT_SQL)))
 
 
+# J22 then J21, written: signups become certificates with ids after the greatest
+# order key, in the order of their events; then every inserted certificate and
+# every order's one that an event names is updated by its id.
+CERT_SEQ_SQL = CERT_INSERT_SQL.replace("props AS Comment", "props AS Comment, event_id AS seq")
+CERT_BY_ID_SQL = """
+  SELECT ID, concat('Approved ', DocumentName) AS DocumentName, DocumentDescription, 'Yes' AS Legalization,
+         '2024-02-29' AS LatestDocumentDate, '' AS ExpirationDate, CAST(NULL AS STRING) AS AlertDate,
+         'Approved' AS Status, ShipTo AS Comment, 1 AS seq
+  FROM {certs} WHERE DocumentName = 'Cert request' OR Country = '1-URGENT'
+"""
+
+
+@register("cert_chain", f"""
+WITH t AS ({duck(CERT_TABLE_SQL)}), r AS ({duck(CERT_SEQ_SQL)}),
+certs AS (
+  SELECT * FROM t
+  UNION ALL BY NAME
+  SELECT (SELECT max(ID) FROM t) + row_number() OVER (ORDER BY seq) AS ID, Country, ShipToID AS ShipTo, DocumentName,
+         DOcumentDescrption AS DocumentDescription, Legalization,
+         {_date_sql('LastDocumentDate')} AS LatestDocumentDate, {_date_sql('ExpirationDate')} AS ExpirationDate,
+         {_date_sql('AlertDate')} AS AlertDate, Status, Comment
+  FROM r),
+b AS ({duck(CERT_BY_ID_SQL)}),
+u AS (
+  SELECT certs.ID, certs.Country, certs.ShipTo,
+         CASE WHEN b.ID IS NULL THEN certs.DocumentName ELSE b.DocumentName END AS DocumentName,
+         CASE WHEN b.ID IS NULL THEN certs.DocumentDescription ELSE b.DocumentDescription END AS DocumentDescription,
+         CASE WHEN b.ID IS NULL THEN certs.Legalization ELSE b.Legalization END AS Legalization,
+         CASE WHEN b.ID IS NULL THEN certs.LatestDocumentDate ELSE {_date_sql('b.LatestDocumentDate')} END AS LatestDocumentDate,
+         CASE WHEN b.ID IS NULL THEN certs.ExpirationDate ELSE {_date_sql('b.ExpirationDate')} END AS ExpirationDate,
+         CASE WHEN b.ID IS NULL THEN certs.AlertDate ELSE {_date_sql('b.AlertDate')} END AS AlertDate,
+         CASE WHEN b.ID IS NULL THEN certs.Status ELSE b.Status END AS Status,
+         CASE WHEN b.ID IS NULL THEN certs.Comment ELSE b.Comment END AS Comment
+  FROM certs LEFT JOIN b ON certs.ID = b.ID)
+SELECT {_cert_out_sql('u')} FROM u
+""")
+def q_cert_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-14 with ids, then SNK-11 by those ids, both written to a keyed table
+    with their log rows (J22, J21)."""
+    from quayside.sinks.keyed import KeyedTable
+    from quayside.sinks.state import TableStore
+    store, certs = TableStore(spark), KeyedTable(spark, None, ["ID"], buckets=16)
+    certs.create(src(spark, sf_dir, CERT_TABLE_SQL))
+    table = jobs.cert_insert_job(certs, store, src(spark, sf_dir, CERT_SEQ_SQL), RUN_TS)
+    requests = spark.sql(CERT_BY_ID_SQL, certs=table)
+    jobs.cert_table_update(certs, store, requests, RUN_TS)
+    return _cert_out(certs.read())
+
+
+# J6, written: the alert table keyed on its order, updated in place.
+@register("alert_update_job", ORACLE["keyed_update"])
+def q_alert_update_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-10 as a write to a keyed table, with its log row."""
+    from quayside.sinks.keyed import KeyedTable
+    from quayside.sinks.state import TableStore
+    alerts = KeyedTable(spark, None, ["UniqueID"], buckets=16)
+    alerts.create(src(spark, sf_dir, ALERT_TABLE_SQL))
+    return jobs.alert_status_job(alerts, TableStore(spark), src(spark, sf_dir, ALERT_REQUESTS_SQL), RUN_TS)
+
+
+# SCL-D5, SCL-D6: a listing whose times are text, one file per event.
+FILE_TIMES_SQL = """
+  SELECT 'f' || CAST(event_id AS STRING) || CASE WHEN event_type = 'view' THEN '.XLSX' ELSE 'a.xlsx' END AS file_name,
+         replace(substr(CAST(ts AS STRING), 1, 19), ' ', 'T') || 'Z' AS listed_at
+  FROM {events}
+"""
+LISTING_NOW = _dt.datetime(2024, 1, 20, 12, 0, 0)
+
+
+@register("report_files", f"""
+SELECT file_name, left(file_name, length(file_name) - 6) AS stem, listed_at
+FROM ({duck(FILE_TIMES_SQL)}) l
+WHERE file_name LIKE '%.xlsx' AND strptime(listed_at, '%Y-%m-%dT%H:%M:%SZ')
+  BETWEEN TIMESTAMP '{LISTING_NOW:%Y-%m-%d %H:%M:%S}' - INTERVAL 7 DAY AND TIMESTAMP '{LISTING_NOW:%Y-%m-%d %H:%M:%S}'
+""")
+def q_report_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-5's rule on a listing: exact-case suffix, time text parsed (SCL-D6),
+    the seven days before now, both ends included (SCL-D5), stems (SCL-S8)."""
+    from quayside.functions.dates import parse_listing_time
+    listed = src(spark, sf_dir, FILE_TIMES_SQL).withColumn("modificationTime", parse_listing_time("listed_at"))
+    return jobs.report_file_stems(listed, LISTING_NOW.strftime("%Y-%m-%d %H:%M:%S")).select("file_name", "stem", "listed_at")
+
+
 # ---------------------------------------------------------------------------
 # Invoice routing. Blobs are named after pages (some .PDF, some
 # .PDF.pdf, some not PDFs); invoice files are "inv_<cust>_<order>.pdf", so a
@@ -1220,12 +1303,13 @@ def q_load_salvage_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------------------
 # STR-1 / STR-2: posts through Structured Streaming. A post is one file with a
-# JSON array: the orders of one customer, the events of one user. Many posts
-# land before one availableNow run drains them, so positions repeat across the
-# posts of a micro-batch; some rows have no document.
+# JSON array: the orders of fifty neighbouring customers, a thousand events that
+# follow each other; so posts keep their size and their number grows with the
+# table. Many posts land before one availableNow run drains them, so positions
+# repeat across the posts of a micro-batch; some rows have no document.
 # ---------------------------------------------------------------------------
 INVOICE_POSTS_SQL = """
-  SELECT 'p' || CAST(o_custkey % 97 AS STRING) AS post, o_orderkey AS ord,
+  SELECT 'p' || CAST(CAST(floor(o_custkey / 50) AS BIGINT) AS STRING) AS post, o_orderkey AS ord,
          CASE WHEN o_orderpriority = '5-LOW' AND o_orderstatus = 'P' THEN NULL
               ELSE CAST(o_custkey AS STRING) END AS Sales_Document,
          CAST(CAST(o_orderdate AS DATE) AS STRING) AS Date_Created,
@@ -1233,7 +1317,7 @@ INVOICE_POSTS_SQL = """
   FROM {orders}
 """
 SYSLOG_POSTS_SQL = f"""
-  SELECT 'p' || CAST(pos % 89 AS STRING) AS post, pos AS ord, raw FROM ({SYSLOG_RAW_SQL}) e
+  SELECT 'p' || CAST(CAST(floor(pos / 1000) AS BIGINT) AS STRING) AS post, pos AS ord, raw FROM ({SYSLOG_RAW_SQL}) e
 """
 _POST_FIELDS = ("Sales_Document", "Date_Created", "File_Name", "Sales_Organization")
 

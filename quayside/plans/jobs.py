@@ -9,7 +9,8 @@ at the manifest that would drive them (SURVEY "Not built").
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Iterable, Mapping, Sequence
+import uuid
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +21,7 @@ from quayside.functions.dates import report_date_text, serial_to_date, ts_litera
 from quayside.functions.util import col_of
 from quayside.operators import aggs, filters, joins, projections, quality, tagging
 from quayside.sinks import transitions
+from quayside.sinks.keyed import KeyedTable, with_ids
 from quayside.sinks.state import TableStore
 from quayside.sources.tables import run_stored_sql
 
@@ -112,14 +114,14 @@ def load_table(store: TableStore, target: str, rows: DataFrame, types: Mapping[s
                max_records_per_file: int | None = None):
     """Warehouse extract → salvage split (SNK-16) → full refresh (SNK-1;
     files of at most 50,000 rows, SNK-17, where the caller asks for
-    ``LOAD_BATCH_ROWS``) → count (AG-7, from the files) → run log (SNK-15).
+    ``LOAD_BATCH_ROWS``) → count (AG-7, seen while writing) → run log (SNK-15).
     The extract is read once: rows with their reject reason are staged, and
     both the good and the rejected rows come from the staged files.
     Returns ``(table, rejected)``."""
     staged = store.stage(target, quality.with_reasons(rows, types, max_lengths))
     good, rejected = quality.split_tagged(staged, types)
     table = store.replace(target, good, max_records_per_file=max_records_per_file)
-    store.log_run(job, target, "Success", table.count(), now)
+    store.log_run(job, target, "Success", store.rows_of(table), now)
     store.append(f"{target}_rejected", rejected, only_if_rows=True)
     return table, rejected
 
@@ -148,7 +150,7 @@ def run_stored_texts(spark: SparkSession, store: TableStore, texts: Mapping[str,
             df = run_stored_sql(spark, text, args)
             out[target] = store.replace(target, df)
             if logged:
-                store.log_run(job, target, "Success", out[target].count() if log_rows else 0, now)
+                store.log_run(job, target, "Success", store.rows_of(out[target]) if log_rows else 0, now)
         except Exception as e:  # noqa: BLE001
             if not logged:
                 raise
@@ -161,24 +163,23 @@ def refresh_unless_empty(store: TableStore, target: str, df: DataFrame, job: str
     """Refresh-or-abort (SNK-7 + SNK-1 + SNK-15)."""
     out = store.replace_unless_empty(target, df)
     store.log_run(job, target, "Success" if out is not None else "Aborted: no rows",
-                  out.count() if out is not None else 0, now)
+                  store.rows_of(out) if out is not None else 0, now)
     return out
 
 
 def insert_overwrite(spark: SparkSession, table: str, location: str, text: str,
                      args: Mapping[str, object] | None = None) -> DataFrame:
-    """J26 / SNK-2: ``INSERT OVERWRITE`` a catalog table from a stored query.
-
-    The query runs into a staging version first: a table cannot be
-    overwritten by a query that reads it, and a failing query must leave the
-    old rows in place."""
-    staged = run_stored_sql(spark, text, args)
-    staging = location.rstrip("/") + "_staging"
-    staged.write.mode("overwrite").parquet(staging)
-    spark.read.parquet(staging).createOrReplaceTempView(f"__{table}_staged")
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} USING parquet LOCATION '{location}' "
-              f"AS SELECT * FROM __{table}_staged WHERE FALSE")
-    spark.sql(f"INSERT OVERWRITE TABLE {table} SELECT * FROM __{table}_staged")
+    """J26 / SNK-2: replace a catalog table's rows by a stored query's.
+
+    The rows are written once, to a new folder under ``location``; then the
+    table is pointed at it. A query that reads the table sees the old rows, and
+    a failure at any point leaves them in place."""
+    target = f"{location.rstrip('/')}/{uuid.uuid4().hex[:12]}"
+    run_stored_sql(spark, text, args).write.parquet(target)
+    if spark.catalog.tableExists(table):
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{target}'")
+    else:
+        spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{target}'")
     spark.catalog.refreshTable(table)
     return spark.table(table)
 
@@ -229,6 +230,28 @@ def alert_status_update(changes: DataFrame, requests: DataFrame, order_col: str
                                     {"Status": "Status"}, order_col)
 
 
+def _logged(store: TableStore, job: str, target: str, now: _dt.datetime, write: Callable[[], tuple[DataFrame, int]]) -> DataFrame:
+    """Run a write and log it (SNK-15); a failure is logged and raised: the table
+    has its old rows, and a caller that waits for an answer must hear of it."""
+    try:
+        table, rows = write()
+    except Exception as e:
+        store.log_run(job, target, f"Failed: {type(e).__name__}", None, now)
+        raise
+    store.log_run(job, target, "Success", rows, now)
+    return table
+
+
+def alert_status_job(alerts: KeyedTable, store: TableStore, requests: DataFrame, now: _dt.datetime,
+                     order_col: str = "seq") -> DataFrame:
+    """J6 as a write: SNK-10 on the partitions that hold requested alerts, and a
+    log row with the number of requests. ``alerts`` is keyed on any of the three
+    key columns."""
+    def write():
+        return alerts.change(requests, lambda old, r: alert_status_update(old, r, order_col)), alerts.taken
+    return _logged(store, "alert_status_update", "DMS_alert_changes", now, write)
+
+
 def cert_alerts(certs: DataFrame) -> DataFrame:
     """J7 / FLT-8."""
     return filters.drop_value_keep_null(certs, "Status", "Completed")
@@ -313,18 +336,38 @@ def load_proforma(store: TableStore, sheet: DataFrame, pgi_sheet: DataFrame, now
 def load_delivery_report(store: TableStore, sheet: DataFrame, files: DataFrame, now: _dt.datetime,
                          mode: str = "exact", target: str = "DMS_Z_XXVL_162"):
     """The week's files → quarantine (SNK-16) → rows of their stems replaced
-    (SNK-9) → one run log row per file (SNK-15). ``files``: ``file_name``,
-    ``modificationTime``. Returns ``(table, quarantine)``."""
-    stems = report_file_stems(files, now)
-    tagged, bad = delivery_report(sheet, mode)
-    good = store.stage(target, tagged)
-    old = store.current(target)
-    table = store.replace(target, delivery_report_state(good.limit(0) if old is None else old, good, stems))
-    store.append(f"{target}_rejected", bad, only_if_rows=True)
-    store.append("run_log", stems.select(
-        F.lit("delivery_report").alias("job"), F.lit(target).alias("target"), "file_name",
-        F.lit("Success").alias("status"), F.lit(None).cast("long").alias("rows"), ts_literal(now).alias("logged_at")))
-    return table, bad
+    (SNK-9; of overlapping files the newest wins, Q18) → one run log row per file
+    with its rows (SNK-15). ``files``: ``file_name``, ``modificationTime``;
+    ``sheet``: the rows with their ``file_name`` (a sheet without it is the rows
+    of all files at once, then none replaces another's). The sheet is read once.
+    A failure leaves the table as it was and is logged. Returns ``(table,
+    quarantine)``."""
+    try:
+        stems = store.stage(f"{target}_files", report_file_stems(files, now))
+        by_file = "file_name" in sheet.columns
+        raw = store.stage(target, sheet)
+        tagged, bad = delivery_report(raw, mode, keep=("file_name",) if by_file else ())
+        order = "modificationTime" if by_file else None
+        if by_file:
+            tagged = tagged.join(stems.select("file_name", "modificationTime"), "file_name")
+        good = store.stage(target, tagged)
+        rows = good.drop("file_name", "modificationTime") if by_file else good
+        old = store.current(target)
+        table = store.replace(target, delivery_report_state(
+            rows.limit(0) if old is None else old, good.drop("file_name") if by_file else good, stems, order_col=order))
+        store.append(f"{target}_rejected", bad, only_if_rows=True)
+        counted = stems.select("file_name").withColumn("rows", F.lit(None).cast("long"))
+        if by_file:
+            n = good.groupBy("file_name").agg(F.count(F.lit(1)).alias("rows"))
+            counted = stems.select("file_name").join(n, "file_name", "left").select(
+                "file_name", F.coalesce("rows", F.lit(0)).cast("long").alias("rows"))
+        store.append("run_log", counted.select(
+            F.lit("delivery_report").alias("job"), F.lit(target).alias("target"), "file_name",
+            F.lit("Success").alias("status"), "rows", ts_literal(now).alias("logged_at")))
+        return table, bad
+    except Exception as e:
+        store.log_run("delivery_report", target, f"Failed: {type(e).__name__}", None, now)
+        raise
 
 
 def proforma(sheet: DataFrame, mode: str = "exact") -> DataFrame:
@@ -342,13 +385,13 @@ def pgi(sheet: DataFrame) -> DataFrame:
     return projections.cast_to_types(projections.select_renamed(sheet, PGI_COLUMNS), {}, "string")
 
 
-def delivery_report(sheet: DataFrame, mode: str = "exact", strict: bool = False):
+def delivery_report(sheet: DataFrame, mode: str = "exact", strict: bool = False, keep: Sequence[str] = ()):
     """J14 body: SCL-N1 casts, SCL-S9, SCL-D2, PRJ-2 (27 columns by name),
     SCL-L2. ``mode='compat'`` reproduces the text quirks (``'100'`` → ``'1'``,
     missing text → ``'nan'`` → ``''``); ``exact`` keeps ids and nulls.
     Returns ``(rows, quarantine)``: a row whose number cell does not parse goes
     to quarantine (Q4) with its raw cells as text and a reason, unless
-    ``strict`` raises instead."""
+    ``strict`` raises instead. ``keep``: further columns to carry along."""
     missing = [c for c in REPORT_ORDER if c not in sheet.columns]
     if missing:
         raise projections.SchemaMismatch(f"missing columns: {missing}")
@@ -378,11 +421,12 @@ def delivery_report(sheet: DataFrame, mode: str = "exact", strict: bool = False)
         cells[c] = v
     tagged = sheet.withColumn(quality.REASON, F.concat_ws("; ", *reasons))
     name = lambda c: REPORT_RENAMES.get(c, c)
-    good = tagged.filter(F.col(quality.REASON) == "").select(*[cells[c].alias(name(c)) for c in REPORT_ORDER])
+    good = tagged.filter(F.col(quality.REASON) == "").select(
+        *[cells[c].alias(name(c)) for c in REPORT_ORDER], *[col_of(c) for c in keep])
     if mode == "compat":
         good = values.nan_text_to_empty(good, [name(c) for c in REPORT_TEXT])
     bad = tagged.filter(F.col(quality.REASON) != "").select(
-        *[col_of(c).cast("string").alias(name(c)) for c in REPORT_ORDER], quality.REASON)
+        *[col_of(c).cast("string").alias(name(c)) for c in REPORT_ORDER], *[col_of(c) for c in keep], quality.REASON)
     if strict and not bad.isEmpty():
         raise ValueError("delivery report has cells that do not parse")
     return good, bad
@@ -438,7 +482,7 @@ def folder_state(store: TableStore, new_rows: DataFrame) -> DataFrame | None:
     status and append (SNK-8) as the next version. The new rows are staged
     once, so the emptiness check and the transition read files."""
     staged = store.stage("folder_paths", new_rows)
-    if staged.isEmpty():
+    if not store.rows_of(staged):
         return None
     old = store.current("folder_paths")
     nxt = staged if old is None else transitions.partial_replace(old, staged)
@@ -458,6 +502,28 @@ def folders_done(state: DataFrame, created_site_paths: DataFrame) -> DataFrame:
     return transitions.mark_done(state, done)
 
 
+def folder_job(store: TableStore, rows: DataFrame, now: _dt.datetime, create: Callable[[DataFrame], DataFrame],
+               split_bookings: Callable[[], object] | None = None) -> DataFrame | None:
+    """J15 whole: the stored split-bookings statement (a failure is logged and
+    the job goes on), the folder table's next version (SNK-7, SNK-8), its log
+    row with the number of uploaded rows (SNK-15), then the folders: ``create``
+    gets the site paths to make and returns those it made (Q17: a batch that
+    fails half-way returns what it had), and only those become ``Done`` (SNK-12).
+    An empty result is logged and leaves the table alone."""
+    if split_bookings is not None:
+        try:
+            split_bookings()
+        except Exception as e:  # noqa: BLE001 - logged, the folders are made all the same
+            store.log_run("folder_paths", "split_bookings", f"Failed: {type(e).__name__}", None, now)
+    new = store.stage("folder_paths", folder_paths(rows))
+    state = folder_state(store, new)
+    if state is None:
+        store.log_run("folder_paths", "folder_paths", "Aborted: no rows", 0, now)
+        return None
+    store.log_run("folder_paths", "folder_paths", "Success", store.rows_of(new), now)
+    return store.replace("folder_paths", folders_done(state, create(folders_to_create(state))))
+
+
 def file_routing(blobs: DataFrame, invoices: DataFrame, folders: DataFrame, today: _dt.date) -> DataFrame:
     """Each ``.pdf`` blob (any case) → its dated test folder, plus every
     distinct non-null folder of the invoices whose file name starts with the
@@ -538,6 +604,13 @@ def mail_outcomes(queue: DataFrame, outcomes: DataFrame, now: _dt.datetime) -> D
     return transitions.mail_outcomes(queue, outcomes, now)
 
 
+def mail_outcome_job(queue: KeyedTable, store: TableStore, outcomes: DataFrame, now: _dt.datetime) -> DataFrame:
+    """J19 as a write: SNK-13 on the partitions that hold sent items, and a log row."""
+    def write():
+        return queue.change(outcomes, lambda old, o: mail_outcomes(old, o, now)), queue.taken
+    return _logged(store, "mail_outcomes", "DMS_Automatic_Email", now, write)
+
+
 # ---------------------------------------------------------------------------
 # certificates
 # ---------------------------------------------------------------------------
@@ -557,6 +630,32 @@ def cert_insert(table: DataFrame, requests: DataFrame) -> DataFrame:
     return transitions.cert_insert(table, requests)
 
 
+def cert_insert_job(certs: KeyedTable, store: TableStore, requests: DataFrame, now: _dt.datetime,
+                    order_col: str = "seq") -> DataFrame:
+    """J22 as a write: SNK-14 with ids that follow the table's greatest, in the
+    order of ``order_col``; files are added, none is rewritten; a log row."""
+    def write():
+        rows = with_ids(transitions.cert_rows(requests, [order_col]), certs.highest("ID") + 1, [order_col])
+        return certs.insert(rows.drop(order_col)), certs.taken
+    return _logged(store, "cert_insert", "DMS_Yearly_Cert", now, write)
+
+
+def cert_table_update(certs: KeyedTable, store: TableStore, requests: DataFrame, now: _dt.datetime,
+                      order_col: str = "seq") -> DataFrame:
+    """The write of J21: SNK-11 on the partitions that hold requested ids, and a log row."""
+    def write():
+        return certs.change(requests, lambda old, r: cert_update(old, r, order_col)), certs.taken
+    return _logged(store, "cert_update", "DMS_Yearly_Cert", now, write)
+
+
+def cert_update_job(certs: KeyedTable, store: TableStore, requests: DataFrame, now: _dt.datetime,
+                    listed: Callable[[DataFrame], DataFrame], order_col: str = "seq",
+                    list_order: Sequence[str] | None = None) -> DataFrame:
+    """J21 whole: the table's update, then the certificate list (J20) of the
+    updated table; ``listed`` is the stored query that gives the list's rows."""
+    return cert_list(listed(cert_table_update(certs, store, requests, now, order_col)), list_order)
+
+
 # ---------------------------------------------------------------------------
 # Ingest with duplicate tags
 # ---------------------------------------------------------------------------

@@ -27,9 +27,9 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # Roll-ups keep one small set per key: let the object hash aggregate hold
-    # more keys per task before it falls back to sorting (default 128).
-    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "16384",
+    # A compiled method of more than 8,000 bytes stays interpreted on the JVM: let
+    # wide projections be compiled in pieces instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # Option lists and JSON text must keep null fields (SNK-18).
     "spark.sql.jsonGenerator.ignoreNullFields": "false",
 }
@@ -84,38 +84,7 @@ def work_dir(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     if unique:
         base += "/" + uuid.uuid4().hex[:12]
     path = "/".join([base, *parts])
-    if path.startswith("/") or path.startswith("file:"):
+    default = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")
+    if path.startswith("file:") or (path.startswith("/") and default.startswith("file:")):
         os.makedirs(path.removeprefix("file:"), exist_ok=True)
     return path
-
-
-_SHIPPED: set[int] = set()
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Make this package importable in Python workers (``addPyFile``), once
-    per context, before any pandas UDF stage that references its code.
-
-    The archive goes to the shared work folder when that folder is on a
-    local file system (local mode, tests). On a cluster the package is
-    shipped with ``--py-files`` (or installed) and this is a no-op."""
-    import zipfile
-
-    sc = spark.sparkContext
-    key = id(sc._jsc)
-    if key in _SHIPPED:
-        return
-    root = checkpoint_root(spark)
-    if "://" in root and not root.startswith("file:"):
-        _SHIPPED.add(key)
-        return
-    pkg = os.path.dirname(os.path.abspath(__file__))
-    target = work_dir(spark, "pyfiles").removeprefix("file:") + "/quayside.zip"
-    with zipfile.ZipFile(target, "w") as z:
-        for base, _dirs, files in os.walk(pkg):
-            for f in files:
-                if f.endswith(".py"):
-                    full = os.path.join(base, f)
-                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
-    sc.addPyFile(target)
-    _SHIPPED.add(key)

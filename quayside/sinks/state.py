@@ -6,20 +6,27 @@ as a DataFrame (a next-state function, see ``transitions``), and
 ``replace`` writes it to a work folder of its own and renames that to the next
 version, so a failed or lost job leaves the old version in place, and what it
 left behind is in nobody's way (the atomicity the reference gets from
-rollback). The previous version stays on disk: it is the "hist" snapshot of
-SNK-5. ``retain`` removes older versions, work folders and staged copies.
+rollback). A job claims its version number by creating a file that must not
+exist, so two jobs never rename to one number. The previous version stays on
+disk: it is the "hist" snapshot of SNK-5. ``retain`` removes older versions,
+work folders and staged copies.
 
 Append-only tables (run log, alert changes, ingested rows) are a folder of
-parts, one per append; they are read with merged schemas, so a column that a
-later append brings is there, null in earlier rows.
+parts, one per append. Each distinct schema is kept once beside the parts, so
+an append or a read opens no earlier part, and a column that a later append
+brings is there, null in earlier rows. ``compact`` makes one part of many.
+
+Row counts (AG-7) and emptiness (SNK-6, SNK-7) are observed while the rows are
+written, in the writing stage, not read back.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import hashlib
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -89,28 +96,53 @@ class TableStore:
     def replace(self, name: str, df: DataFrame, max_records_per_file: int | None = None) -> DataFrame:
         """SNK-1/SNK-3/SNK-4: write ``df`` as the next version and return it
         read back (its lineage is cut: later steps read the files)."""
-        return self._commit(name, self._write(name, df, max_records_per_file), df.schema)
+        work, rows = self._write(name, df, max_records_per_file)
+        return self._commit(name, work, df.schema, rows)
 
-    def _write(self, name: str, df: DataFrame, max_records_per_file: int | None = None) -> str:
+    def _write(self, name: str, df: DataFrame, max_records_per_file: int | None = None) -> tuple[str, int]:
         work = f"{self.root}/{name}/_work/{uuid.uuid4().hex[:12]}"
-        w = df.write.mode("errorifexists")
+        return work, self._counted(df, work, max_records_per_file)
+
+    def _counted(self, df: DataFrame, folder: str, max_records_per_file: int | None = None) -> int:
+        """Write ``df`` to a new folder; the rows it had."""
+        seen = Observation()
+        w = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists")
         if max_records_per_file:
             w = w.option("maxRecordsPerFile", max_records_per_file)
-        w.parquet(work)
-        return work
+        w.parquet(folder)
+        return seen.get.get("rows") or 0
 
-    def _commit(self, name: str, work: str, schema: T.StructType) -> DataFrame:
+    def _commit(self, name: str, work: str, schema: T.StructType, rows: int | None = None) -> DataFrame:
         """Make a written work folder the next version."""
         fs, src = self._fs(work)
-        taken = [0, *self._numbers(name)]  # unfinished folders count too
-        target = self.path(name, max(taken) + 1)
+        number = max([0, *self._numbers(name)]) + 1  # unfinished folders count too
+        while not self._claimed(name, number):
+            number += 1
+        target = self.path(name, number)
         if not fs.rename(src, self._fs(target)[1]):
-            raise RuntimeError(f"{target} was written by another job")
+            raise RuntimeError(f"{work} could not become {target}")
         _WRITTEN[target] = schema
         out = self._read_path(target)
+        out._store_rows = rows
         out.createOrReplaceTempView(name)
         return out
 
+    def _claimed(self, name: str, number: int) -> bool:
+        """Take a version number; false if another job has taken it."""
+        fs, p = self._fs(f"{self.root}/{name}/_claims/{number:06d}")
+        try:
+            return fs.createNewFile(p) and not self._exists(self.path(name, number))
+        except Exception as e:  # noqa: BLE001 - some stores raise where others return false
+            if fs.exists(p):
+                return False
+            raise e
+
+    @staticmethod
+    def rows_of(table: DataFrame) -> int:
+        """AG-7: the row count of a table just written, as seen while writing."""
+        known = getattr(table, "_store_rows", None)
+        return table.count() if known is None else known
+
     def retain(self, name: str, keep: int = 2) -> None:
         """Remove all but the last ``keep`` versions (2: current and hist), and
         the work and staging folders of the table. For a time when no job runs
@@ -131,37 +163,80 @@ class TableStore:
         if getattr(df, "_store_files", None):
             return df
         target = f"{self.root}/{name}/_staging/{uuid.uuid4().hex[:12]}"
-        df.write.parquet(target)
+        rows = self._counted(df, target)
         _WRITTEN[target] = df.schema
-        return self._read_path(target)
+        out = self._read_path(target)
+        out._store_rows = rows
+        return out
 
     def replace_unless_empty(self, name: str, df: DataFrame) -> DataFrame | None:
         """SNK-7: an empty result leaves the current version alone."""
-        work = self._write(name, df)  # the plan runs once; emptiness is read from the files
-        if self.spark.read.schema(df.schema).parquet(work).isEmpty():
+        work, rows = self._write(name, df)
+        if not rows:
             fs, p = self._fs(work)
             fs.delete(p, True)
             return None
-        return self._commit(name, work, df.schema)
+        return self._commit(name, work, df.schema, rows)
 
     def append(self, name: str, df: DataFrame, only_if_rows: bool = False) -> DataFrame:
         """SNK-6 / SNK-19 / SET-2: append rows to an append-only table."""
-        target = f"{self.root}/{name}/append"
-        part = f"{target}/part={uuid.uuid4().hex[:12]}"
-        df.write.parquet(part)
-        if only_if_rows and self.spark.read.schema(df.schema).parquet(part).isEmpty():
+        part = f"{self.root}/{name}/append/part={uuid.uuid4().hex[:12]}"
+        rows = self._counted(df, part)
+        if only_if_rows and not rows:
             fs, p = self._fs(part)
             fs.delete(p, True)
-            if not fs.listStatus(self._fs(target)[1]):
+            if not self._schemas(name):
                 return df.limit(0)
+        else:
+            self._note_schema(name, df.schema)
         out = self.read_appended(name)
         out.createOrReplaceTempView(name)
         return out
 
+    def _note_schema(self, name: str, schema: T.StructType) -> None:
+        text = schema.json()
+        fs, p = self._fs(f"{self.root}/{name}/_schemas/{hashlib.sha256(text.encode()).hexdigest()[:16]}")
+        if not fs.exists(p):
+            stream = fs.create(p, True)  # equal schemas write equal files
+            stream.write(bytearray(text.encode()))
+            stream.close()
+
+    def _schemas(self, name: str) -> list[T.StructType]:
+        """The schemas of the parts, oldest first."""
+        fs, p = self._fs(f"{self.root}/{name}/_schemas")
+        if not fs.exists(p):
+            return []
+        io = self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils
+        out = []
+        for st in sorted(fs.listStatus(p), key=lambda st: (st.getModificationTime(), st.getPath().getName())):
+            stream = fs.open(st.getPath())
+            out.append(T._parse_datatype_json_string(io.toString(stream, "UTF-8")))
+            stream.close()
+        return out
+
     def read_appended(self, name: str) -> DataFrame:
         """All rows of an append-only table, with every append's columns."""
-        out = self.spark.read.option("mergeSchema", "true").parquet(f"{self.root}/{name}/append").drop("part")
-        return out
+        folder = f"{self.root}/{name}/append"
+        fields: dict[str, T.StructField] = {}
+        for schema in self._schemas(name):
+            for f in schema.fields:
+                have = fields.setdefault(f.name, T.StructField(f.name, f.dataType, True))
+                if have.dataType != f.dataType:
+                    raise ValueError(f"{name}.{f.name} was appended as {have.dataType} and {f.dataType}")
+        # the folders' names are no columns, whatever the rows' columns are called
+        return self.spark.read.schema(T.StructType(list(fields.values()))).option("recursiveFileLookup", "true").parquet(folder)
+
+    def compact(self, name: str) -> DataFrame:
+        """Make one part of an append-only table's parts. For a time when no job
+        runs on it, like ``retain``."""
+        fs, folder = self._fs(f"{self.root}/{name}/append")
+        old = [st.getPath() for st in fs.listStatus(folder)]
+        merged = f"{self.root}/{name}/_work/{uuid.uuid4().hex[:12]}"
+        self.read_appended(name).write.parquet(merged)
+        fs.rename(self._fs(merged)[1], self._fs(f"{self.root}/{name}/append/part={uuid.uuid4().hex[:12]}")[1])
+        for p in old:
+            fs.delete(p, True)
+        return self.read_appended(name)
 
     # -- run log (SNK-15) ----------------------------------------------------
     RUN_LOG_SCHEMA = T.StructType([

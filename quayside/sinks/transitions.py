@@ -132,10 +132,14 @@ CERT_INSERT_KEYS = {
 CERT_DATE_COLS = ("LatestDocumentDate", "ExpirationDate", "AlertDate")
 
 
-def cert_insert(table: DataFrame, requests: DataFrame) -> DataFrame:
-    """SNK-14: append submitted certificate rows (``ID`` is assigned by the
-    store: null here, as an identity column the caller fills)."""
-    mapped = requests.select(*[
+def cert_rows(requests: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """SNK-14: submitted certificate rows as the table's columns, without an id."""
+    return requests.select(*[
         (iso_date_or_null(col_of(src)) if dst in CERT_DATE_COLS else col_of(src).cast("string")).alias(dst)
-        for src, dst in CERT_INSERT_KEYS.items()])
-    return table.unionByName(mapped, allowMissingColumns=True)
+        for src, dst in CERT_INSERT_KEYS.items()], *[col_of(c) for c in keep])
+
+
+def cert_insert(table: DataFrame, requests: DataFrame) -> DataFrame:
+    """SNK-14 as a next state: append submitted rows without an ``ID`` (the
+    written form, with ids, is ``jobs.cert_insert_job``)."""
+    return table.unionByName(cert_rows(requests), allowMissingColumns=True)

@@ -1,7 +1,7 @@
 """Structured Streaming ingest of posted bodies (STR-1, STR-2).
 
 A post is one file in a landing folder: a JSON array of objects, as it was
-posted (SRC-6). The file source hands each body over whole, with the name of
+posted (SRC-6). The file source hands each body over whole, with the path of
 its file as the post's id; ``posexplode`` gives every object its position. Tags
 (WN-1, WN-2) are per post: two posts in one micro-batch don't see each other,
 and the key of the output is (post, pos). Rows without a document or id go to
@@ -40,7 +40,7 @@ def posts(spark: SparkSession, landing: str, max_files: int = MAX_FILES) -> Data
     text. A body that is no array of objects is one row with a null position."""
     body = (spark.readStream.format("text").option("wholetext", "true")
             .option("maxFilesPerTrigger", max_files).load(landing)
-            .select(F.col("_metadata.file_name").alias("post"), F.col("value").alias("body")))
+            .select(F.col("_metadata.file_path").alias("post"), F.col("value").alias("body")))
     return split_bodies(body)
 
 
@@ -89,5 +89,6 @@ def syslog_stream(spark: SparkSession, landing: str, output: str, checkpoint: st
 
 
 def read_output(spark: SparkSession, output: str) -> DataFrame:
-    """All epochs written so far (the run and epoch columns are dropped)."""
-    return spark.read.option("mergeSchema", "true").parquet(output).drop("run", "epoch")
+    """All epochs written so far. The run and epoch folders are no columns, so
+    columns of those names in the rows stay."""
+    return spark.read.option("mergeSchema", "true").option("recursiveFileLookup", "true").parquet(output)

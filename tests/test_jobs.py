@@ -340,3 +340,80 @@ def test_booking_lookup_and_load_many(spark):
     assert set(done) == {"two"}
     log = sorted(rows(store.read_appended("run_log"), "target", "rows"))
     assert log == [("one", None), ("two", 1)]
+
+
+def test_delivery_report_newest_file_wins_and_counts(spark):
+    store = _store(spark)
+
+    def sheet(*cells):
+        made = [{**dict.fromkeys(jobs.REPORT_ORDER), "SalesDocno.": k, "Number of Pallets": p, "Material": m, "file_name": f}
+                for k, p, m, f in cells]
+        cols = [*jobs.REPORT_ORDER, "file_name"]
+        return spark.createDataFrame([tuple(r[c] for c in cols) for r in made], ", ".join(f"`{c}` string" for c in cols))
+    files = spark.createDataFrame([("45a.xlsx", NOW - dt.timedelta(days=2)), ("4501a.xlsx", NOW - dt.timedelta(days=1)),
+                                   ("9a.xlsx", NOW)], "file_name string, modificationTime timestamp_ntz")
+    table, bad = jobs.load_delivery_report(store, sheet(
+        ("4501-1", "1", "old", "45a.xlsx"), ("4502-1", "1", "old", "45a.xlsx"), ("4501-1", "2", "new", "4501a.xlsx"),
+        ("4501-2", "x", "bad", "4501a.xlsx")), files, NOW)
+    assert sorted(rows(table, "SalesDocno", "Material")) == [("4501-1", "new"), ("4502-1", "old")]
+    assert rows(bad, "SalesDocno") == [("4501-2",)]
+    log = store.read_appended("run_log")
+    assert sorted(rows(log, "file_name", "status", "rows")) == [
+        ("4501a.xlsx", "Success", 1), ("45a.xlsx", "Success", 2), ("9a.xlsx", "Success", 0)]
+    with pytest.raises(Exception):
+        jobs.load_delivery_report(store, sheet(("1", "1", "m", "9a.xlsx")).drop("Invoice"), files, NOW)
+    assert rows(store.read_appended("run_log").where("status like 'Failed%'"), "job", "status") == [
+        ("delivery_report", "Failed: SchemaMismatch")]
+    assert store.current("DMS_Z_XXVL_162").count() == 2
+
+
+def test_folder_job_runs_whole(spark):
+    store = _store(spark)
+    cols = ("sales_order_number booking_number po_number shipp_condition shipto_number shipto_name shipto_country region "
+            "OTdata status").split()
+    row = lambda n, region: (n, "b", "p", "Ocean", "7", "Na.me", "MX", region, f"OT{n}", None)
+    df = spark.createDataFrame([row("1", "R"), row("2", "R"), row("3", None)], ", ".join(f"{c} string" for c in cols))
+    made = []
+
+    def create(paths):  # the second folder's batch fails
+        made.extend(r[0] for r in paths.collect())
+        return paths.where("site_path like '%OT1'")
+
+    def split():
+        raise RuntimeError("no bookings")
+    state = jobs.folder_job(store, df, NOW, create, split)
+    assert sorted(rows(state, "sales_order_number", "status")) == [("1", "Done"), ("2", None)]
+    assert sorted(made) == [f"Shared%20Documents/R/Shipments/MX/7-Name/Ocean/OT{n}" for n in "12"]
+    assert jobs.folder_job(store, df.limit(0), NOW, create) is None
+    assert sorted(rows(store.read_appended("run_log"), "target", "status", "rows"), key=str) == sorted([
+        ("split_bookings", "Failed: RuntimeError", None), ("folder_paths", "Success", 2), ("folder_paths", "Aborted: no rows", 0)],
+        key=str)
+    assert store.current("folder_paths").count() == 2
+
+
+def test_mail_outcome_job_writes_and_logs(spark):
+    from quayside.sinks.keyed import KeyedTable
+    store = _store(spark)
+    queue = KeyedTable(spark, None, ["unique_item_id"], buckets=8)
+    queue.create(spark.createDataFrame([(f"m{i}", "Ready", "c", None) for i in range(50)],
+                 "unique_item_id string, send_email_status string, send_email_comment string, date_send_email string"))
+    out = jobs.mail_outcome_job(queue, store, spark.createDataFrame(
+        [("m1", True, None, 1), ("m2", False, "full", 1), ("zz", True, None, 1)],
+        "unique_item_id string, ok boolean, error_message string, seq int"), NOW)
+    assert out.count() == 50 and sorted(rows(out.where("send_email_status <> 'Ready'"), "unique_item_id", "send_email_status",
+                                             "send_email_comment")) == [("m1", "Completed", "c"), ("m2", "Error", "full")]
+    assert rows(store.read_appended("run_log"), "job", "rows") == [("mail_outcomes", 3)]
+
+
+def test_a_report_that_fails_half_way_leaves_the_old_rows(spark):
+    import uuid
+    from quayside.session import work_dir
+    name, loc = f"rep_{uuid.uuid4().hex[:8]}", work_dir(spark, "rep")
+    jobs.insert_overwrite(spark, name, loc, "SELECT id AS a FROM range(3)")
+    out = jobs.insert_overwrite(spark, name, loc, f"SELECT a + 10 AS a FROM {name}")  # reads itself
+    assert sorted(rows(out)) == [(10,), (11,), (12,)]
+    with pytest.raises(Exception):
+        jobs.insert_overwrite(spark, name, loc, "SELECT CAST(if(id > 900, 'x', '1') AS INT) AS a FROM range(1000)")
+    spark.catalog.refreshTable(name)
+    assert sorted(rows(spark.table(name))) == [(10,), (11,), (12,)]
+    spark.sql(f"DROP TABLE {name}")

@@ -158,6 +158,40 @@ def test_dup_tags_match_brute_force_for_any_partitioning(spark, n_ranges, parts)
     assert got == brute_dup(docs)
 
 
+def test_ranges_are_of_equal_depth_however_positions_lie(spark):
+    """An outlier, a dense stretch and a sparse one: no range exceeds twice the mean."""
+    rnd = random.Random(3)
+    shapes = {"outlier": [*range(20_000), 2 ** 60], "far": [*range(10_000), *range(2 ** 50, 2 ** 50 + 10_000), 2 ** 61],
+              "sparse": sorted({int(rnd.random() ** 8 * 2 ** 40) for _ in range(20_000)}), "one": [5], "low": [-2 ** 40, 0, 1, 2]}
+    for pos in shapes.values():
+        df = spark.createDataFrame([(p,) for p in pos], "pos long")
+        cuts = tagging.equi_depth_cuts(df, "pos", 16)
+        assert cuts == sorted(set(cuts)) and cuts[0] == min(pos)
+        depth = [sum(a <= p < b for p in pos) for a, b in zip(cuts, [*cuts[1:], 2 ** 63])]
+        assert sum(depth) == len(pos) and max(depth) <= 2 * max(1, len(pos) / 16)
+    assert tagging.equi_depth_cuts(spark.createDataFrame([], "pos long"), "pos", 16) == []
+    pos = shapes["outlier"]
+    docs = [rnd.choice("ABC") for _ in pos]
+    df = spark.createDataFrame(list(zip(docs, pos)), "doc string, pos long").repartition(3)
+    got = [r["Dup_Value"] for r in tagging.dup_tags(df, "doc", "pos", n_ranges=16).orderBy("pos").collect()]
+    assert got == brute_dup(docs)
+
+
+def test_a_hot_key_is_concatenated_in_pieces(spark):
+    """A third of the rows has one key: its list is whole and in order, and the
+    pieces it is made of are spread over partitions."""
+    hot = [("hot", i * 7919 % 3000, f"v{i % 5}") for i in range(3000)]
+    rest = [(f"k{i % 2000}", i, f"w{i}") for i in range(6000)]
+    df = spark.createDataFrame(hot + rest + hot[:2], "k string, o long, v string").repartition(6)
+    out = {r["k"]: r["v"] for r in aggs.ordered_concat(df, ["k"], "v", order_by=["o"]).collect()}
+    want = {}
+    for k, o, v in sorted(hot + rest + hot[:2], key=lambda r: (r[1], r[2])):
+        want.setdefault(k, []).append(v)
+    assert out == {k: ";".join(v) for k, v in want.items()}
+    ranged = df.repartitionByRange(8, "k", "o", "v").groupBy(F.spark_partition_id()).count().collect()
+    assert max(r["count"] for r in ranged) <= 2 * 9002 / 8
+
+
 def test_dup_tags_per_batch(spark):
     data = [("b1", "A", 0), ("b1", "A", 1), ("b2", "A", 0), ("b2", "B", 1), ("b2", "A", 2), ("b2", "B", 3)]
     df = spark.createDataFrame(data, "batch string, doc string, pos long")

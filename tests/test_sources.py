@@ -1,89 +1,8 @@
-"""Workbook reader/writer (SRC-4), file listing (SRC-5), stored SQL (SRC-3), catalog (SRC-7/8)."""
-import io
-import os
-import time
-import zipfile
-
-import pytest
-
+"""Stored SQL (SRC-3)."""
 from conftest import rows
-from quayside.session import work_dir
-from quayside.sources import files, workbook
 from quayside.sources.tables import run_stored_sql
 
 
-def _shared_strings_book(path):
-    """A workbook as spreadsheet programs write it: shared strings, gaps, booleans, two sheets."""
-    ns = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
-    rns = 'xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"'
-    pr = 'xmlns="http://schemas.openxmlformats.org/package/2006/relationships"'
-    sheet2 = (f'<worksheet {ns}><sheetData><row r="1"><c r="A1" t="s"><v>0</v></c><c r="B1" t="s"><v>1</v></c>'
-              '<c r="C1" t="s"><v>2</v></c></row><row r="2"><c r="A2" t="s"><v>3</v></c><c r="C2"><v>45000.5</v></c></row>'
-              '<row r="4"><c r="A4" t="inlineStr"><is><t>x&amp;y</t></is></c><c r="B4" t="b"><v>1</v></c></row>'
-              '</sheetData></worksheet>')
-    buf = io.BytesIO()
-    with zipfile.ZipFile(buf, "w") as z:
-        z.writestr("xl/workbook.xml", f'<workbook {ns} {rns}><sheets><sheet name="Other" sheetId="1" r:id="rId1"/>'
-                                      '<sheet name="Proforma" sheetId="2" r:id="rId2"/></sheets></workbook>')
-        z.writestr("xl/_rels/workbook.xml.rels", f'<Relationships {pr}><Relationship Id="rId1" Target="worksheets/sheet1.xml"/>'
-                                                 '<Relationship Id="rId2" Target="/xl/worksheets/sheet2.xml"/></Relationships>')
-        z.writestr("xl/sharedStrings.xml", f'<sst {ns}><si><t>Name</t></si><si><t>Flag</t></si><si><t>Serial</t></si>'
-                                           '<si><r><t>Ca</t></r><r><t>fé</t></r></si></sst>')
-        z.writestr("xl/worksheets/sheet1.xml", f'<worksheet {ns}><sheetData/></worksheet>')
-        z.writestr("xl/worksheets/sheet2.xml", sheet2)
-    with open(path, "wb") as fh:
-        fh.write(buf.getvalue())
-
-
-def test_sheet_rows_shared_strings_gaps_and_sheet_choice(tmp_path):
-    p = tmp_path / "b.xlsx"
-    _shared_strings_book(p)
-    data = p.read_bytes()
-    assert workbook.sheet_rows(data, "Proforma") == [["Name", "Flag", "Serial"], ["Café", None, "45000.5"], [],
-                                                     ["x&y", "True"]]
-    assert workbook.sheet_rows(data) == []
-    with pytest.raises(KeyError):
-        workbook.sheet_rows(data, "Missing")
-
-
-def test_read_sheets_by_name_and_position(spark, tmp_path):
-    d = work_dir(spark, "books")
-    _shared_strings_book(os.path.join(d, "b.xlsx"))
-    df = workbook.read_sheets(spark, d, ["Serial", "Name"], sheet="Proforma")
-    assert rows(df, "Serial", "Name") == [("45000.5", "Café"), (None, None), (None, "x&y")]
-    pos = workbook.read_sheets(spark, d, ["a", "b", "c"], sheet="Proforma", by_position=True)
-    assert pos.count() == 3
-    with pytest.raises(Exception):
-        workbook.read_sheets(spark, d, ["a", "b"], sheet="Proforma", by_position=True).collect()
-    with pytest.raises(Exception):
-        workbook.read_sheets(spark, d, ["Nope"], sheet="Proforma").collect()
-
-
-def test_write_then_read_round_trip(spark):
-    d = work_dir(spark, "roundtrip")
-    src = spark.createDataFrame([(1, "a<b", 1.25, True, "g1"), (2, None, -3.0, False, "g1"), (3, "c", 1e-7, None, "g2")],
-                                "id long, s string, x double, b boolean, g string")
-    assert sorted(r["rows"] for r in workbook.write_workbooks(src, d, "g").collect()) == [1, 2]
-    back = workbook.typed(workbook.read_sheets(spark, d, ["id", "s", "x", "b"]).drop("_file", "_row"),
-                          {"id": "bigint", "x": "double", "b": "boolean"})
-    assert sorted(rows(back)) == [(1, "a<b", 1.25, True), (2, None, -3.0, False), (3, "c", 1e-7, None)]
-
-
-def test_listing_window_and_suffix(spark):
-    import datetime as dt
-    d = work_dir(spark, "listing")
-    now = time.time()
-    for name, age in [("a.xlsx", 3600), ("b.XLSX", 3600), ("old.xlsx", 8 * 86400), ("c.pdf", 60)]:
-        p = os.path.join(d, name)
-        open(p, "w").write("x")
-        os.utime(p, (now - age, now - age))
-    listing = files.list_files(spark, d)
-    recent = files.modified_within(listing, dt.datetime.fromtimestamp(now, dt.timezone.utc).replace(tzinfo=None), 7)
-    names = sorted(r["file_name"] for r in recent.collect())
-    assert names == ["a.xlsx", "b.XLSX", "c.pdf"]
-    assert sorted(r["file_name"] for r in files.with_suffix(listing, (".xlsx",), any_case=False).collect()) == ["a.xlsx", "old.xlsx"]
-
-
 def test_stored_sql_named_parameters(spark):
     v = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
     out = run_stored_sql(spark, "SELECT v FROM kv WHERE k = :k", {"k": 2}, views={"kv": v})

@@ -155,3 +155,143 @@ def test_mail_outcomes_quotes_round_trip(spark):
     out = {r[0]: tuple(r[1:]) for r in transitions.mail_outcomes(q, o, dt.datetime(2024, 3, 5)).collect()}
     assert out == {"m1": ("Completed", "keep", "05/03/2024"), "m2": ("Error", "it's full", "05/03/2024"),
                    "m3": ("Ready", None, None)}
+
+
+def test_two_jobs_never_share_a_version(spark):
+    """Both read the same greatest number before either commits."""
+    one, two = TableStore(spark), None
+    two = TableStore(spark, one.root)
+    first = spark.createDataFrame([(1,), (2,), (3,)], "a int")
+    second = spark.range(7).select(F.col("id").cast("int").alias("a"))
+    a, _ = one._write("t", first)
+    b, _ = two._write("t", second)
+    two._numbers = lambda name: []  # what the second job saw
+    assert one._commit("t", a, first.schema).count() == 3
+    assert two._commit("t", b, second.schema).count() == 7
+    assert one.versions("t") == [1, 2]
+    assert one.read("t", 1).count() == 3 and one.read("t", 2).count() == 7
+
+
+def test_appended_columns_named_like_folders_stay(spark):
+    store = TableStore(spark)
+    store.append("p", spark.createDataFrame([("x", 1)], "part string, a int"))
+    out = store.append("p", spark.createDataFrame([("y", 2, 0.5)], "part string, a int, run double"))
+    assert sorted(rows(out, "part", "a", "run")) == [("x", 1, None), ("y", 2, 0.5)]
+    with pytest.raises(ValueError):
+        store.append("p", spark.createDataFrame([(1,)], "part int"))
+
+
+def test_compact_keeps_rows_and_columns(spark):
+    import os
+    store = TableStore(spark)
+    for i in range(4):
+        store.append("c", spark.createDataFrame([(i,)], "a int"))
+    store.append("c", spark.createDataFrame([(9, "z")], "a int, b string"))
+    out = store.compact("c")
+    assert len([d for d in os.listdir(f"{store.root}/c/append") if d.startswith("part")]) == 1
+    assert sorted(rows(out, "a", "b"))[-1] == (9, "z") and out.count() == 5
+
+
+def test_counts_are_seen_while_writing(spark):
+    store = TableStore(spark)
+    out = store.replace("n", spark.range(1000).repartition(7).where("id % 3 = 0"))
+    assert out._store_rows == store.rows_of(out) == out.count() == 334
+    assert store.rows_of(store.stage("n", spark.createDataFrame([], "a int"))) == 0
+
+
+# ------------------------------------------------------------ keyed tables
+
+def _files(table):
+    import os
+    return {os.path.join(base, f) for base, _, fs in os.walk(f"{table.path}/rows") for f in fs if f.endswith(".parquet")}
+
+
+def _alerts(spark):
+    df = spark.range(400).select(F.concat(F.lit("s"), F.col("id") % 40).alias("ShiptoID"),
+                                 F.col("id").cast("string").alias("UniqueID"), F.lit("Status").alias("ChangedColumn"),
+                                 F.lit("Not Started").alias("Status"))
+    from quayside.sinks.keyed import KeyedTable
+    table = KeyedTable(spark, None, ["UniqueID"], buckets=16)
+    table.create(df)
+    return table
+
+
+def test_an_update_rewrites_only_its_partitions(spark):
+    from quayside.plans import jobs
+    store, table, now = TableStore(spark), _alerts(spark), dt.datetime(2024, 3, 5)
+    before = _files(table)
+    req = spark.createDataFrame([("s5", "5", "Status", "Done", 1), ("s5", "5", "Status", "Again", 2), ("s6", "7", "Status", "x", 1)],
+                                "ShiptoID string, UniqueID string, ChangedColumn string, Status string, seq int")
+    out = jobs.alert_status_job(table, store, req, now)
+    assert out.count() == 400 and rows(out.where("Status <> 'Not Started'"), "UniqueID", "Status") == [("5", "Again")]
+    after = _files(table)
+    touched = {f.split("__bucket=")[1].split("/")[0] for f in before - after}
+    assert len(touched) == 2 and len(before & after) == len(before) - len(before - after) > 0
+    assert [tuple(r) for r in store.read_appended("run_log").select("job", "status", "rows").collect()] == [
+        ("alert_status_update", "Success", 3)]
+
+
+def test_a_failed_update_changes_nothing_and_is_logged(spark):
+    from quayside.plans import jobs
+    store, table = TableStore(spark), _alerts(spark)
+    before = _files(table)
+    req = spark.createDataFrame([("s5", "5", "Status", "x", 1)],
+                                "ShiptoID string, UniqueID string, ChangedColumn string, Status string, seq int")
+    bad = req.withColumn("Status", F.raise_error(F.lit("lost")).cast("string"))
+    with pytest.raises(Exception):
+        jobs.alert_status_job(table, store, bad, dt.datetime(2024, 3, 5))
+    assert _files(table) == before
+    assert store.read_appended("run_log").first()["status"].startswith("Failed")
+
+
+def test_an_overwrite_that_was_cut_off_is_finished(spark):
+    from quayside.sinks.keyed import KeyedTable
+    table = _alerts(spark)
+    put, table._put = table._put, lambda staged: (_ for _ in ()).throw(RuntimeError("lost"))
+    req = spark.createDataFrame([("5",)], "UniqueID string")
+    done = lambda old, r: old.join(r.withColumn("hit", F.lit(1)), "UniqueID", "left").select(
+        "ShiptoID", "UniqueID", "ChangedColumn", F.when(F.col("hit") == 1, "Done").otherwise(F.col("Status")).alias("Status"))
+    with pytest.raises(RuntimeError):
+        table.change(req, done)
+    assert table.read().where("Status = 'Done'").count() == 0
+    again = KeyedTable(spark, table.path, ["UniqueID"], buckets=16)  # the next job opens the table
+    assert rows(again.read().where("Status = 'Done'"), "UniqueID") == [("5",)] and again.read().count() == 400
+
+
+def test_ids_follow_the_order_without_gaps(spark):
+    from quayside.sinks.keyed import with_ids
+    df = spark.range(5000).select((F.col("id") * 7919 % 5000).alias("seq"), F.col("id").alias("x")).repartition(9)
+    got = with_ids(df, 101, ["seq"])
+    assert rows(got.orderBy("seq").limit(2), "seq", "ID") == [(0, 101), (1, 102)]
+    assert got.where("ID <> seq + 101").count() == 0 and got.count() == 5000
+    assert with_ids(df.limit(0), 1, ["seq"]).collect() == []
+
+
+def test_certificates_inserted_then_updated_by_their_ids(spark):
+    from quayside.plans import jobs
+    from quayside.sinks.keyed import KeyedTable
+    schema = ("ID long, Country string, ShipTo string, DocumentName string, DocumentDescription string, Legalization string, "
+              "LatestDocumentDate date, ExpirationDate date, AlertDate date, Status string, Comment string")
+    store, now = TableStore(spark), dt.datetime(2024, 3, 5)
+    certs = KeyedTable(spark, None, ["ID"], buckets=4)
+    certs.create(spark.createDataFrame([(41, "MX", "1", "old", None, None, None, None, None, "S", None)], schema))
+    req = spark.createDataFrame([(2, "FR", "b"), (1, "DE", "a")], "seq int, Country string, ShipToID string").select(
+        "*", *[F.lit("").alias(c) for c in ("LastDocumentDate", "ExpirationDate", "AlertDate")],
+        *[F.lit("v").alias(c) for c in ("DocumentName", "DOcumentDescrption", "Legalization", "Status", "Comment")])
+    out = jobs.cert_insert_job(certs, store, req, now)
+    assert sorted(rows(out, "ID", "Country")) == [(41, "MX"), (42, "DE"), (43, "FR")]
+    upd = spark.createDataFrame([(43, "new", "2024-02-29", 1)], "ID long, DocumentName string, LatestDocumentDate string, seq int").select(
+        "*", *[F.lit(None).cast("string").alias(c) for c in ("ExpirationDate", "AlertDate")],
+        *[F.lit("w").alias(c) for c in ("DocumentDescription", "Legalization", "Status", "Comment")])
+
+    def listed(table):
+        return table.select(F.col("Country").alias("country"), "ShipTo", *[F.lit("k").alias(c) for c in (
+            "Region", "SoldTo", "payer", "shipping", "customer_status")], F.col("ID").cast("string").alias("ID"), "DocumentName",
+            *[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in (
+                "DocumentDescription", "Legalization", "LatestDocumentDate", "ExpirationDate", "AlertDate", "Status", "Comment")],
+            F.explode(F.array(F.lit("BR1"), F.lit("BR0"))).alias("sales_organization"))
+    lst = jobs.cert_update_job(certs, store, upd, now, listed)
+    assert sorted(rows(lst, "ID", "DocumentName", "LatestDocumentDate", "sales_organization")) == [
+        ("41", "old", "", "BR0;BR1"), ("42", "v", "", "BR0;BR1"), ("43", "new", "2024-02-29", "BR0;BR1")]
+    log = store.read_appended("run_log")
+    assert sorted(rows(log, "job", "rows")) == [("cert_insert", 2), ("cert_update", 1)]

@@ -11,7 +11,7 @@ TS = dt.datetime(2024, 3, 5, 6, 7, 8)
 
 
 def land(base, name, items):
-    os.makedirs(f"{base}/landing", exist_ok=True)
+    os.makedirs(os.path.dirname(f"{base}/landing/{name}"), exist_ok=True)
     with open(f"{base}/landing/{name}", "w") as f:
         f.write(items if isinstance(items, str) else json.dumps(items))
 
@@ -26,11 +26,11 @@ def test_posts_of_one_micro_batch_are_tagged_apart(spark):
     out = ingest.read_output(spark, f"{base}/out")
     got = {}
     for r in out.orderBy("post", "pos").collect():
-        got.setdefault(r["post"], []).append(r["Dup_Value"])
+        got.setdefault(r["post"].split("/")[-1], []).append(r["Dup_Value"])
     assert got == {"one.json": [1, 1, 2, 3, 1, 4], "two.json": [1, 1, 2]}
     assert out.first()["Date_Created"] is None  # absent key → null
     bad = spark.read.parquet(f"{base}/out_quarantine")
-    assert sorted(rows(bad, "post", "raw")) == [
+    assert sorted((p.split("/")[-1], raw) for p, raw in rows(bad, "post", "raw")) == [
         ("three.json", "this is no array"), ("two.json", '{"File_Name":"lost.pdf"}'), ("two.json", '{"Sales_Document":null}')]
     ingest.invoice_stream(spark, *args).awaitTermination()
     assert ingest.read_output(spark, f"{base}/out").count() == 9
@@ -53,3 +53,13 @@ def test_syslog_stream_quarantines_objects_without_id(spark):
     out = ingest.read_output(spark, f"{base}/out").orderBy("pos").collect()
     assert [(r["log_id"], r["Dup_Value"]) for r in out] == [("7", 1), ("7", 2)]
     assert spark.read.parquet(f"{base}/out_quarantine").count() == 2
+
+
+def test_posts_of_one_name_in_two_folders_stay_apart(spark):
+    base = work_dir(spark, "two")
+    for day in ("day=1", "day=2"):
+        land(base, f"{day}/one.json", [{"Sales_Document": "A"}, {"Sales_Document": "A"}])
+    ingest.invoice_stream(spark, f"{base}/landing", f"{base}/out", f"{base}/ckpt", TS).awaitTermination()
+    out = ingest.read_output(spark, f"{base}/out")
+    assert sorted(rows(out, "Dup_Value")) == [(1,), (1,), (2,), (2,)]
+    assert out.select("post").distinct().count() == 2
