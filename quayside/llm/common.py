@@ -132,11 +132,12 @@ def labelled_sample(df: DataFrame, label: str, key: str, per_label: int) -> Data
     to count; the counts table has one row per label."""
     spread = 1 << 30
     known = df.where(quoted(label).isNotNull())
-    counts = known.groupBy(quoted(label).alias("sample_label")).agg(F.count(F.lit(1)).alias("sample_rows"))
+    value, rows = fresh(df, "sample_label"), fresh(df, "sample_rows")
+    counts = known.groupBy(quoted(label).alias(value)).agg(F.count(F.lit(1)).alias(rows))
     few = counts.limit(MOST_LABELS + 1).collect()
     if len(few) <= MOST_LABELS:  # the checked bound of the broadcast; texts are not shuffled
         counts = F.broadcast(df.sparkSession.createDataFrame(few, counts.schema))
     u = F.pmod(F.xxhash64(quoted(key), F.lit("sample")), F.lit(spread))
-    return (known.join(counts, quoted(label) == F.col("sample_label"))
-            .where(u < F.lit(float(spread * per_label)) / F.col("sample_rows"))
-            .drop("sample_label", "sample_rows"))
+    return (known.join(counts, quoted(label) == quoted(value))
+            .where(u < F.lit(float(spread * per_label)) / quoted(rows))
+            .drop(value, rows))

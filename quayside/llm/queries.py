@@ -67,10 +67,10 @@ def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
                                   F.lit(hard).alias("text"))
     done = chat.format_log(chat.turn_events(rows.unionByName(extra)))
-    read = done.select("conv", "formatted", "loss", chat.read_back(F.col("formatted")).alias("turns"))
+    read = done.select("conv", "formatted", "loss_spans", chat.read_back(F.col("formatted")).alias("turns"))
     whole = F.array_join(F.transform("turns", lambda x: F.concat(x["role"], F.lit("\n"), x["text"], F.lit("\n"))), "")
-    under = F.array_join(F.transform(F.filter(F.arrays_zip("turns", "loss"), lambda x: x["loss"]),
-                                     lambda x: x["turns"]["text"]), "")
+    under = F.array_join(F.transform("loss_spans", lambda s: chat.unescape(F.substr(
+        F.col("formatted"), (s["start"] + 1).cast("int"), (s["end"] - s["start"]).cast("int")))), "")  # the mask, read back
     read = read.select("conv", "formatted", F.size("turns").cast("long").alias("n_turns"), whole.alias("whole"),
                        under.alias("under"))
     return read.select(

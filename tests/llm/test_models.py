@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from quayside.llm import langid, pst
+from quayside.llm import langid, pst, quality
 from quayside.llm.common import remainder
 
 
@@ -97,6 +97,9 @@ def test_language_of_odd_rows(spark, odd, empty, model):
     kept = langid.keep_known(odd.withColumn("lang_pred", F.lit(1)), F.lit(True))
     assert kept.columns == [*odd.columns, "lang_pred"]
     assert kept.count() == sum(any(c.isalpha() for c in r.text or "") for r in odd.collect())
+    named = odd.withColumn("sample_label", F.lit("x")).withColumn("Sample_Rows", F.lit(2))
+    assert langid.keep_known(named, F.lit(True)).columns == named.columns
+    assert quality.judged(named).count() == odd.count()
     untold = langid.keep_known(odd.withColumn("lang", F.lit(None).cast("string")), F.lit(True))
     assert untold.columns == odd.columns and untold.count() == kept.count()
 
