@@ -24,14 +24,17 @@ Nothing of the tree is broadcast or collected; it grows with the corpus:
     64-bit hash; texts are written once as these ids. A word too rare for an
     entry is left out of n-grams: no n-gram is more frequent than its words. For
     the base, words without a number find their counts through a shuffle join;
- 3. texts lie in chunks of about ``_CHUNK`` symbols, a row each. A chunk asks for
+ 3. texts lie in chunks of about ``_CHUNK`` symbols, a row each, in a table in
+    buckets of chunks; answers are written in the same buckets, so texts are never
+    shuffled, and an answer once. A chunk asks for
     what it needs about its own n-grams: it sends sorted 64-bit keys with its
     counts to buckets (ranges of keys, more of them for a larger corpus), which
     add them up and answer each chunk that asked, one value per key. So a hot
     n-gram is one key a chunk. The first chunk that asked owns an n-gram: it
     adds the entry to the sums of its context;
- 4. rounds: words and pairs; sums of one-word contexts, and triples whose both
-    pairs are entries (no other can be one); sums of two-word contexts; scores.
+ 4. rounds: words without a number; pairs of words frequent enough for an entry;
+    sums of one-word contexts, and triples whose both pairs are entries (no other
+    can be one); sums of two-word contexts; scores.
 
 Two n-grams with equal 64-bit keys would share a count; the chance that any
 entry among a billion keys is met by another n-gram is below 1 in 10.
@@ -46,6 +49,7 @@ from __future__ import annotations
 
 import math
 import struct
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -53,7 +57,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import field, small_batches, staged
+from .common import field, new_folder, small_batches, staged
 
 ADD = 0.1
 SUPPORT, FLOOR, DIVERGENCE, WEIGHT = 0.0, 8, 0.01, 20.0
@@ -61,6 +65,7 @@ SUPPORT, FLOOR, DIVERGENCE, WEIGHT = 0.0, 8, 0.01, 20.0
 FREQUENT, LONGEST = 1 << 18, 64
 _CHUNK = 2_000_000  # symbols of a chunk
 _BUCKET = 4_000_000  # symbols a bucket of keys stands for
+_MOST_PARTS = 100_000  # partitions of chunks (Spark's bound for buckets); beyond it a partition has more chunks
 _FLUSH = 1_000_000  # distinct words a task holds
 
 
@@ -92,19 +97,20 @@ def word_counts(docs: DataFrame, held: Column, text: str) -> DataFrame:
 
 
 def _encode(docs: DataFrame, doc_id: str, text: str, held: Column, top, add: float, least: int, frequent: int) -> DataFrame:
-    """One row per document (``data`` is null): the base logs of its numbered
-    words, and its other words with counts. And one row per chunk of whole
-    documents (``data`` is not null, ``row`` is that of the first): ids of their
-    symbols (0: the end; above 0: numbered; below -1: a hash; -1: too rare for an
-    entry). A chunk is one row, so no reader splits it."""
+    """One row per chunk of whole documents. ``chunk``: the row number of the
+    first. ``data``: ids of their symbols (0: the end; above 0: numbered; below
+    -1: a hash; -1: too rare for an entry). ``docs``: of each document, the base
+    logs of its numbered words, and its other words with counts. A chunk is one
+    row, so no reader splits it."""
     shared, per_chunk = docs.sparkSession.sparkContext.broadcast(top), _CHUNK
     small_batches(docs.sparkSession)
     src = docs.select(F.col(doc_id).alias("doc_id"), held.alias("held_out"),
                       F.monotonically_increasing_id().alias("row"), F.col(text).cast("string").cast("binary").alias("body"))
     made = [field("n_tokens", "long"), field("n_numbered", "long"), field("base", "double"),
-            field("rare", "array<binary>"), field("tf", "array<int>"), field("data", "binary")]
-    schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in src.schema.fields[:3]] + made)
-    kinds = [pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.binary()), pa.list_(pa.int32()), pa.binary()]
+            field("rare", "array<binary>"), field("tf", "array<int>")]
+    doc = T.StructType([T.StructField(f.name, f.dataType, True) for f in src.schema.fields[:3]] + made)
+    schema = T.StructType([field("chunk", "long"), field("data", "binary"), T.StructField("docs", T.ArrayType(doc), True)])
+    kinds = [pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.binary()), pa.list_(pa.int32())]
 
     def run(batches):
         import xxhash
@@ -116,48 +122,50 @@ def _encode(docs: DataFrame, doc_id: str, text: str, held: Column, top, add: flo
         known_id[0] = 0
         # a word without a number is no more frequent than the last that has one, unless it is long
         any_other = len(words) == frequent and (not words or counts[-1] >= least)
-        chunk: list = []
+        chunk: list = []  # (row, trained, ids) of each document
+        carried: list = []  # slices of the columns that go through unread
+        made: list = [[] for _ in kinds]
         done = 0
 
-        def whole(carried):
+        def part(batch, lo, hi):  # copies: a slice would keep the texts of its batch
+            return [c.take(pa.array(np.arange(lo, hi))) for c in batch.columns[:3]]
+
+        def whole():
             rows, train, ids = zip(*chunk, strict=True)
             head = _pack(np.array(rows, np.int64), np.array(train, np.int64), np.array([len(x) for x in ids], np.int64))
             data = struct.pack("<q", len(head)) + head + _pack(np.concatenate(ids))
-            first = [pa.nulls(1, carried[0].type), pa.nulls(1, carried[1].type), pa.array([rows[0]], pa.int64())]
-            return pa.RecordBatch.from_arrays(first + [pa.array([data if k == pa.binary() else None], k) for k in kinds],
-                                              names=schema.names)
-        carried = None
+            cols = [pa.concat_arrays(x) for x in zip(*carried, strict=True)]
+            cols += [pa.array(x, k) for x, k in zip(made, kinds, strict=True)]
+            each = pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), pa.StructArray.from_arrays(cols, names=doc.names))
+            for x in (chunk, carried, *made):
+                x.clear()
+            return pa.RecordBatch.from_arrays([pa.array([rows[0]], pa.int64()), pa.array([data], pa.binary()), each], names=schema.names)
         for batch in batches:
-            carried = batch.columns[:3]
-            sizes, known, base, rare, tf = [], [], [], [], []
-            closed = []
-            for row, held_out, t in zip(carried[2].to_pylist(), carried[1].to_pylist(), batch.column(3).to_pylist(), strict=True):
+            begin = 0
+            for i, (row, held_out, t) in enumerate(zip(*(batch.column(c).to_pylist() for c in (2, 1, 3)), strict=True)):
                 w = _words(t)
                 a = np.fromiter((find(x, -1) for x in w), np.int64, len(w))
                 a = np.append(a, np.int64(0))
                 other: dict = {}
                 code = np.where(a < 0, -1, known_id[a])
-                for i in np.flatnonzero(a < 0).tolist():
-                    x = w[i]
+                for j in np.flatnonzero(a < 0).tolist():
+                    x = w[j]
                     other[x] = other.get(x, 0) + 1
                     if any_other or len(x) > LONGEST:
-                        code[i] = min((xxhash.xxh64_intdigest(x) >> 1) - (1 << 63), -2)
+                        code[j] = min((xxhash.xxh64_intdigest(x) >> 1) - (1 << 63), -2)
                 chunk.append((row, held_out is False, code))
                 done += len(a)
+                values = len(a), len(a) - sum(other.values()), float(logs[a].sum()), list(other.keys()), list(other.values())
+                for x, v in zip(made, values, strict=True):
+                    x.append(v)
                 if done >= per_chunk:
-                    closed.append(whole(carried))
-                    chunk.clear()
-                    done = 0
-                sizes.append(len(a))
-                known.append(len(a) - sum(other.values()))
-                base.append(float(logs[a].sum()))
-                rare.append(list(other.keys()))
-                tf.append(list(other.values()))
-            made = [sizes, known, base, rare, tf, [None] * len(sizes)]
-            yield pa.RecordBatch.from_arrays(carried + [pa.array(x, k) for x, k in zip(made, kinds, strict=True)], names=schema.names)
-            yield from closed
+                    carried.append(part(batch, begin, i + 1))
+                    yield whole()
+                    begin, done = i + 1, 0
+            if begin < batch.num_rows:
+                carried.append(part(batch, begin, batch.num_rows))
         if chunk:
-            yield whole(carried)
+            yield whole()
     return src.mapInArrow(run, schema)
 
 
@@ -206,10 +214,33 @@ def _unpack_keys(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.cumsum(keys, dtype=_U), np.stack([v.view(np.float64) for v in values])
 
 
-#: What blocks are about: texts; counts of words, pairs and triples; states of one and two words.
-DOCS, WORD, PAIR, TRIPLE, ONE, TWO = range(6)
+#: What blocks are about: counts of words, pairs and triples; states of one and two words.
+WORD, PAIR, TRIPLE, ONE, TWO = range(5)
 _COUNTS = (WORD, PAIR, TRIPLE)
 _BLOCK = "chunk long, kind int, bucket int, data binary"
+
+
+@contextmanager
+def _chunk_by_chunk(spark):
+    """One chunk at a time in a worker: Arrow batches of one row, for a while."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "1")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def _by_chunk(df: DataFrame, parts: int) -> DataFrame:
+    """``df`` written to the shared folder as a table in buckets of ``chunk``:
+    what is known of a chunk is read beside its texts, and neither moves again."""
+    path = new_folder(df.sparkSession)
+    name = "suffix_tree_" + path.rsplit("/", 1)[1]
+    df.write.format("parquet").option("compression", "zstd").option("path", path).bucketBy(parts, "chunk").saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 _BLOCK_ARROW = {"chunk": pa.int64(), "kind": pa.int32(), "bucket": pa.int32(), "data": pa.binary()}
 
 
@@ -241,9 +272,9 @@ def _factors(total: np.ndarray, sums: np.ndarray, weight: float, divergence: flo
     return out
 
 
-def _answered(asked: DataFrame, buckets: int, least: int, weight: float, divergence: float) -> DataFrame:
+def _answered(asked: DataFrame, buckets: int, parts: int, name: str, least: int, weight: float, divergence: float) -> DataFrame:
     """Blocks added up by key, and an answer for each block, one value per key it
-    asked about. Counts: the count, 0 below ``least``, negative for the one chunk
+    asked about; a row a chunk, with all its answers in column ``name``. Counts: the count, 0 below ``least``, negative for the one chunk
     that owns the n-gram. Contexts: see _factors."""
     def add_up(t: pa.Table) -> pa.Table:
         out = []
@@ -264,22 +295,25 @@ def _answered(asked: DataFrame, buckets: int, least: int, weight: float, diverge
                 total = np.add.reduceat(values[0, order], starts)
                 answer = np.where(total >= least, total, 0.0)[group]
                 answer[order[starts]] *= -1
-            else:  # every chunk sends a context's count, and the sums of the entries it owns
+            else:  # the owners of a context's entries send its count and their sums
                 sums = np.add.reduceat(values[1:, order], starts, axis=1)
-                answer = _factors(values[0, order[starts]], sums, weight, divergence)[group]
+                answer = _factors(np.maximum.reduceat(values[0, order], starts), sums, weight, divergence)[group]
             ends = np.cumsum([len(k) for k, _ in blocks])
             for i, (k, _), end in zip(at.tolist(), blocks, ends.tolist(), strict=True):
                 out.append((int(chunks[i]), kind, bucket, _pack(answer[end - len(k):end])))
         return _block_rows(out)
-    return staged(asked.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(add_up, _BLOCK))
+    told = asked.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(add_up, _BLOCK)
+    told = told.repartition(parts, "chunk").groupBy("chunk").agg(F.collect_list(F.struct("kind", "bucket", "data")).alias(name))
+    return _by_chunk(told, parts)
 
 
 class _Entries:
     """The distinct n-grams at some places of a chunk, and what is known of them."""
 
     def __init__(self, places: np.ndarray, keys: np.ndarray):
-        self.places = places
-        self.keys, self.number = np.unique(keys, return_inverse=True)
+        self.places = places.astype(np.int32)  # a chunk's places and numbers fit
+        self.keys, number = np.unique(keys, return_inverse=True)
+        self.number = number.astype(np.int32)
 
     def counted(self, train: np.ndarray) -> np.ndarray:
         return np.bincount(self.number[train[self.places]], minlength=len(self.keys))
@@ -293,6 +327,7 @@ class _Entries:
         self.keys, self.n, self.own = self.keys[kept], np.abs(answer[kept]), answer[kept] < 0
         self.at = np.full(size, -1, np.int64)
         self.at[self.places] = number[self.number]
+        self.places = self.number = None  # read no more
         self.place = np.zeros(len(kept), np.int64)
         has = np.flatnonzero(self.at >= 0)
         self.place[self.at[has]] = has
@@ -301,13 +336,12 @@ class _Entries:
 class _Chunk:
     """The texts of a chunk, and what it was told about their n-grams."""
 
-    def __init__(self, t: pa.Table, model: tuple, rounds: int):
+    def __init__(self, no: int, text: bytes, answers: list, model: tuple):
         counts, norm, add, self.weight = model
-        self.no = t["chunk"][0].as_py()
+        self.no, rounds = no, len(answers)
         told: dict = {}
-        for kind, bucket, data in zip(*(t[c].to_pylist() for c in ("kind", "bucket", "data")), strict=True):
-            told.setdefault(kind, []).append((bucket, data))
-        text = told.pop(DOCS)[0][1]
+        for x in (x for one in answers for x in one or []):  # none: nothing was asked
+            told.setdefault(x["kind"], []).append((x["bucket"], x["data"]))
         n = 8 + struct.unpack_from("<q", text)[0]
         self.rows, train, self.sizes = (x.view(np.int64) for x in _unpack(text[8:n]))
         self.ids = _unpack(text[n:])[0].view(np.int64)
@@ -316,26 +350,36 @@ class _Chunk:
         ids = self.ids
         other = np.flatnonzero(ids < -1)
         self.words = _Entries(other, _word_key(ids[other]))
-        at = np.flatnonzero((ids[:-1] != 0) & (ids[:-1] != -1) & (ids[1:] != -1))  # nothing follows the end
-        self.pair = _Entries(at, _longer_key(_word_key(ids[at]), ids[at + 1]))
         if rounds > 0:
-            self._pairs(counts, norm, add)
+            self._words(counts)
         if rounds > 1:
+            self._pairs(norm, add)
+        if rounds > 2:
             self._triples()
 
     def answer(self, kind: int) -> np.ndarray:
         return self.answers.get(kind, np.zeros(0))  # nothing was asked
 
-    def ask_first(self, buckets: int):
+    def ask_words(self, buckets: int):
         yield from _ask(self.no, WORD, buckets, self.words.keys, self.words.counted(self.train))
+
+    # -- counts of words known: a hash too rare for an entry leaves the n-grams
+    def _words(self, counts: np.ndarray) -> None:
+        ids, words = self.ids, self.words
+        self.dense = _U(63 - len(counts).bit_length())
+        self.count = counts[np.maximum(ids, 0)].astype(np.float64)
+        if len(words.places):
+            self.count[words.places] = np.abs(self.answer(WORD))[words.number]
+            ids[words.places[self.count[words.places] == 0]] = -1
+        at = np.flatnonzero((ids[:-1] != 0) & (ids[:-1] != -1) & (ids[1:] != -1))  # nothing follows the end
+        self.pair = _Entries(at, _longer_key(_word_key(ids[at]), ids[at + 1]))
+
+    def ask_pairs(self, buckets: int):
         yield from _ask(self.no, PAIR, buckets, self.pair.keys, self.pair.counted(self.train))
 
-    # -- counts of words and pairs known
-    def _pairs(self, counts: np.ndarray, norm: float, add: float) -> None:
+    # -- counts of pairs known
+    def _pairs(self, norm: float, add: float) -> None:
         ids, pair = self.ids, self.pair
-        self.count = counts[np.maximum(ids, 0)].astype(np.float64)
-        if len(self.words.places):
-            self.count[self.words.places] = np.abs(self.answer(WORD))[self.words.number]
         key = np.zeros(len(ids), _U)
         key[pair.places] = pair.keys[pair.number]
         pair.told(self.answer(PAIR), len(ids))
@@ -344,7 +388,9 @@ class _Chunk:
         at = np.flatnonzero((pair.at[:-1] >= 0) & (pair.at[1:] >= 0))
         self.three = _Entries(at, _longer_key(key[at], ids[at + 2]))
         words = np.flatnonzero((ids != 0) & (ids != -1))
-        self.key1, place, number = np.unique(_word_key(ids[words]), return_index=True, return_inverse=True)
+        # numbers are spread evenly over the keys, in their order: sorted, their differences pack well
+        of = np.where(ids[words] > 0, ids[words].view(_U) << self.dense, _word_key(ids[words]))
+        self.key1, place, number = np.unique(of, return_index=True, return_inverse=True)
         self.total1 = self.count[words[place]]
         self.one = np.full(len(ids), -1, np.int64)  # one-word context of a place
         self.one[words] = number
@@ -353,10 +399,10 @@ class _Chunk:
         x = n + self.weight * q
         return [np.bincount(context, v, k) for v in (x, q, x * np.log(x / q))]
 
-    def ask_second(self, buckets: int):
+    def ask_triples(self, buckets: int):
         own = self.pair.own
         sums = self._sums(self.pair.n[own], self.root2[own], self.one[self.pair.place[own]], len(self.key1))
-        yield from _ask(self.no, ONE, buckets, self.key1, self.total1, *sums)
+        yield from _ask(self.no, ONE, buckets, self.key1, np.where(sums[0] > 0, self.total1, 0), *sums)
         yield from _ask(self.no, TRIPLE, buckets, self.three.keys, self.three.counted(self.train))
 
     # -- one-word states and counts of triples known
@@ -372,10 +418,10 @@ class _Chunk:
         second = pair.at[three.place + 1]
         self.parent3, self.root3 = self.p2[second], self.root2[second]
 
-    def ask_third(self, buckets: int):
+    def ask_states(self, buckets: int):
         own, k = self.three.own, len(self.pair.keys)
         sums = self._sums(self.three.n[own], self.parent3[own], self.first3[own], k)
-        yield from _ask(self.no, TWO, buckets, self.pair.keys, self.pair.n, *sums)
+        yield from _ask(self.no, TWO, buckets, self.pair.keys, np.where(sums[0] > 0, self.pair.n, 0), *sums)
 
     # -- all known
     def gains(self) -> np.ndarray:
@@ -395,27 +441,27 @@ class _Chunk:
         return np.add.reduceat(gain, np.cumsum(self.sizes) - self.sizes)
 
 
-def _gains(texts: DataFrame, model: tuple, n_all: int, least: int, divergence: float) -> DataFrame:
+def _gains(texts: DataFrame, parts: int, model: tuple, n_all: int, least: int, divergence: float) -> DataFrame:
     """(row, gain) of every document."""
-    buckets, parts = max(16, -(-n_all // _BUCKET)), max(48, -(-n_all // _CHUNK))
+    buckets = max(16, -(-n_all // _BUCKET))
     shared = texts.sparkSession.sparkContext.broadcast(model)  # numbered words at most
-    texts = texts.select(F.col("row").alias("chunk"), F.lit(DOCS).alias("kind"), F.lit(0).alias("bucket"), "data")
-
-    def alone(batches):
-        for batch in batches:
-            for i in range(batch.num_rows):
-                chunk = _Chunk(pa.Table.from_batches([batch.slice(i, 1)]), shared.value, 0)
-                yield from _block_rows(chunk.ask_first(buckets)).to_batches()
 
-    def by_chunk(rounds: int, do, schema: str) -> DataFrame:
-        return known.repartition(parts, "chunk").groupBy("chunk").applyInArrow(lambda t: do(_Chunk(t, shared.value, rounds)), schema)
+    def each(known: DataFrame, do, schema: str) -> DataFrame:
+        def run(batches):
+            for batch in batches:
+                for i in range(batch.num_rows):
+                    no, text, *answers = (c[i].as_py() for c in batch.columns)
+                    yield from do(_Chunk(no, text, answers, shared.value)).to_batches()
+        return known.mapInArrow(run, schema)
 
-    def answers(asked: DataFrame) -> DataFrame:
-        return _answered(asked, buckets, least, model[3], divergence)
-    known = texts.unionByName(answers(texts.mapInArrow(alone, _BLOCK)))
-    known = known.unionByName(answers(by_chunk(1, lambda c: _block_rows(c.ask_second(buckets)), _BLOCK)))
-    known = known.unionByName(answers(by_chunk(2, lambda c: _block_rows(c.ask_third(buckets)), _BLOCK)))
-    return by_chunk(3, lambda c: pa.table({"row": pa.array(c.rows), "gain": pa.array(c.gains())}), "row long, gain double")
+    known = texts
+    rounds = (_Chunk.ask_words, _Chunk.ask_pairs, _Chunk.ask_triples, _Chunk.ask_states)
+    with _chunk_by_chunk(texts.sparkSession):
+        for i, ask in enumerate(rounds):
+            asked = each(known, lambda c, ask=ask: _block_rows(ask(c, buckets)), _BLOCK)
+            told = _answered(asked, buckets, parts, f"told{i}", least, model[3], divergence)
+            known = known.join(told.hint("merge"), "chunk", "left")  # both lie in buckets of the chunk: no shuffle
+        return staged(each(known, lambda c: pa.table({"row": pa.array(c.rows), "gain": pa.array(c.gains())}), "row long, gain double"))
 
 
 def score(docs: DataFrame, held: Column, doc_id: str = "doc_id", text: str = "text", add: float = ADD,
@@ -433,12 +479,14 @@ def score(docs: DataFrame, held: Column, doc_id: str = "doc_id", text: str = "te
     number_counts = np.r_[np.int64(ends), top["n"].to_numpy().astype(np.int64)]
     part = max(support, floor / n_all) if n_all else 1.0
     least = max(1, math.ceil(part * n_all - 1e-9))
-    coded = staged(_encode(docs, doc_id, text, held, (numbered, number_counts), add, least, frequent), "zstd")
+    parts = min(_MOST_PARTS, max(48, -(-n_all // _CHUNK)))
+    chunks = _by_chunk(_encode(docs, doc_id, text, held, (numbered, number_counts), add, least, frequent), parts)
     norm = n_all + add * (v_all + 1) if n_all else 1.0
     log_norm = math.log10(norm)
-    texts, coded = coded.where("data is not null").select("row", "data"), coded.where("data is null")
+    coded = chunks.select(F.explode("docs").alias("x")).select("x.*")
     carried = coded.select("row", "doc_id", "held_out", "n_numbered", "base", "n_tokens")
-    gains = carried.join(_gains(texts, (number_counts, norm, add, weight), n_all, least, divergence), "row") if n_all else (
+    model = number_counts, norm, add, weight
+    gains = carried.join(_gains(chunks.select("chunk", "data"), parts, model, n_all, least, divergence), "row") if n_all else (
         carried.withColumn("gain", F.lit(0.0)))
 
     empty_log = math.log10(add)
