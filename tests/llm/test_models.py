@@ -186,6 +186,16 @@ def test_scores_of_odd_and_empty_tables(odd, empty):
     assert all(r.n_known == 0 and r.train_tokens == 0 and r.score == 0 for r in nothing)
 
 
+def test_scores_beside_columns_of_clashing_names(spark):
+    texts = ["a b c a b c a b d", "a b c d a b c", None, "b c a b c"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    want = {r.doc_id: r.score for r in pst.score(df, F.lit(False), floor=2).collect()}
+    for name in ("chunk", "data", "docs", "row", "body", "told0", "gain", "held_out", "rare", "word", "n"):
+        df = df.withColumn(name, F.lit("x"))
+    got = {r.doc_id: r.score for r in pst.score(df, F.lit(False), floor=2).collect()}
+    assert got == pytest.approx(want)
+
+
 def test_candidate_chunks_and_blocks_change_nothing(spark, monkeypatch):
     texts = ["a b c a b c a b d", "a b c d a b c", "b c a b c", "x y x y x z", "c a b c e e e", "a b c a b c a b d"]
     _, one = _tree(spark, texts)
