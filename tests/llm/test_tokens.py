@@ -31,6 +31,16 @@ def test_odd_rows_and_empty_table(odd, empty, lib):
     assert tokens.token_counts(empty, PATH).collect() == []
 
 
+def test_columns_of_clashing_names(odd):
+    from pyspark.sql import functions as F
+    want = sorted(map(tuple, tokens.token_counts(odd, PATH).collect()), key=repr)
+    have = {c.lower() for c in odd.columns}
+    for name in ("n_bytes", "n_tokens", "over_limit", "kernel_text", "body"):
+        if name not in have:
+            odd = odd.withColumn(name, F.lit("x"))
+    assert sorted(map(tuple, tokens.token_counts(odd, PATH).collect()), key=repr) == want
+
+
 def _texts():
     rng = random.Random(5)
     parts = ["the", " word", "  ", "\n", "\n\n", "\t", " ", "é", "ß", "123", "'re", "'", "r", "<|endoftext|>", "<|end", "of",
