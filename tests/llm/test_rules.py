@@ -203,6 +203,16 @@ def test_licenses_match_brute_force(spark, docs, odd, empty):
     assert license.scan(empty).collect() == []
 
 
+def test_licenses_beside_columns_of_clashing_names(spark):
+    rows = [(i, t) for i, (_, t) in enumerate(license.TEMPLATES)] + [(100, None), (101, ""), (102, "the MIT License")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sorted(map(tuple, license.scan(df).collect()))
+    for name in ("n_words", "labels", "score", "kernel_text", "body", "word", "n"):
+        df = df.withColumn(name, F.lit("x"))
+    assert sorted(map(tuple, license.scan(df).collect())) == want
+    assert any(r[6] for r in want)
+
+
 def test_notices_in_long_blocks_are_found(spark, tmp_path):
     rng = random.Random(5)
     fill = [f"w{i}" for i in range(400)]
