@@ -190,6 +190,20 @@ def _longer_key(key: np.ndarray, nxt: np.ndarray) -> np.ndarray:
     return _mix(key + nxt.view(_U) * _U(0xD6E8FEB86659FD93))
 
 
+def _pair_key(first: np.ndarray, second: np.ndarray, bits: int) -> np.ndarray:
+    """Key of a pair. Two numbers of ``bits`` bits are kept one to one: the upper
+    part mixes both, so that no frequent word crowds a range of keys, the next is
+    the second number, and the rest is zero. Keys then lie in a small space, and
+    their differences pack into few bytes. Other pairs are hashes, always odd."""
+    key = _longer_key(_word_key(first), second) | _U(1)
+    if 2 * bits < 64:
+        both = np.flatnonzero((first >= 0) & (second >= 0))
+        a, b = first[both].view(_U), second[both].view(_U)
+        upper = a * _U(0x9E3779B97F4A7C15) + b * _U(0xBF58476D1CE4E5B9)
+        key[both] = (upper << _U(64 - bits)) | (b << _U(64 - 2 * bits))
+    return key
+
+
 def _pack(*cols: np.ndarray) -> bytes:
     """64-bit columns as compressed byte planes."""
     a = np.stack([c.view(np.uint8).reshape(-1, 8).T for c in map(np.ascontiguousarray, cols)])
@@ -262,10 +276,11 @@ def _ask(chunk: int, kind: int, buckets: int, keys: np.ndarray, *values: np.ndar
 
 def _factors(total: np.ndarray, sums: np.ndarray, weight: float, divergence: float) -> np.ndarray:
     """log10 of the factor of a context's symbols that are no entries; NaN if the
-    context isn't retained. sums: of x = n + weight * q, q and x * log(x / q)."""
+    context isn't retained. sums: of n, q and x * log(x / q), where x = n + weight * q."""
     out = np.full(len(total), np.nan)
     has = np.flatnonzero(sums[0] > 0)
-    (x, q, xlog), t = sums[:, has], total[has] + weight
+    (n, q, xlog), t = sums[:, has], total[has] + weight
+    x = n + weight * q
     rest, rest_parent = np.clip(1 - x / t, 1e-12, 1), np.clip(1 - q, 1e-12, 1)
     kl = (xlog - np.log(t) * x) / t + rest * np.log(rest / rest_parent)
     out[has] = np.where(kl >= divergence, np.log10(rest / rest_parent), np.nan)
@@ -366,13 +381,14 @@ class _Chunk:
     # -- counts of words known: a hash too rare for an entry leaves the n-grams
     def _words(self, counts: np.ndarray) -> None:
         ids, words = self.ids, self.words
-        self.dense = _U(63 - len(counts).bit_length())
+        bits = len(counts).bit_length()
+        self.dense = _U(63 - bits)
         self.count = counts[np.maximum(ids, 0)].astype(np.float64)
         if len(words.places):
             self.count[words.places] = np.abs(self.answer(WORD))[words.number]
             ids[words.places[self.count[words.places] == 0]] = -1
         at = np.flatnonzero((ids[:-1] != 0) & (ids[:-1] != -1) & (ids[1:] != -1))  # nothing follows the end
-        self.pair = _Entries(at, _longer_key(_word_key(ids[at]), ids[at + 1]))
+        self.pair = _Entries(at, _pair_key(ids[at], ids[at + 1], bits))
 
     def ask_pairs(self, buckets: int):
         yield from _ask(self.no, PAIR, buckets, self.pair.keys, self.pair.counted(self.train))
@@ -397,7 +413,7 @@ class _Chunk:
 
     def _sums(self, n: np.ndarray, q: np.ndarray, context: np.ndarray, k: int) -> list[np.ndarray]:
         x = n + self.weight * q
-        return [np.bincount(context, v, k) for v in (x, q, x * np.log(x / q))]
+        return [np.bincount(context, v, k) for v in (n, q, x * np.log(x / q))]
 
     def ask_triples(self, buckets: int):
         own = self.pair.own

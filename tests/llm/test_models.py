@@ -221,3 +221,19 @@ def test_words_without_a_number_are_in_ngrams(spark):
         _, got = _tree(spark, texts, frequent=frequent)
         for i, t in enumerate(texts):
             assert got[i] == pytest.approx(_brute_score([x.lower() for x in texts], t.lower()), rel=1e-9), (frequent, t)
+
+
+def test_pair_keys_are_one_to_one_and_spread():
+    import numpy as np
+
+    from quayside.llm.pst import _pair_key
+    n = 300
+    first, second = (x.ravel().astype(np.int64) for x in np.meshgrid(np.arange(n), np.arange(n)))
+    bits = int(n).bit_length()
+    key = _pair_key(first, second, bits)
+    assert len(np.unique(key)) == n * n and not (key & np.uint64(1)).any()
+    for same in (first == 7, second == 7):  # a frequent word's pairs fall into all ranges of keys
+        per_range = np.bincount((key[same] >> np.uint64(60)).astype(int), minlength=16)
+        assert per_range.max() <= 2 * per_range.mean()
+    hashed = _pair_key(np.array([-5, 3, -5], np.int64), np.array([3, -5, -9], np.int64), bits)
+    assert (hashed & np.uint64(1)).all() and len(np.unique(hashed)) == 3
