@@ -20,10 +20,10 @@ suffix of what precedes it, so
 Nothing of the tree is broadcast or collected; it grows with the corpus:
  1. word counts: counted per task, summed in Spark, written to the shared folder;
  2. the ``frequent`` most frequent words get numbers (a broadcast of fixed size,
-    for speed), every other word that occurs often enough for an entry is its
-    64-bit hash; texts are written once as these ids. A word too rare for an
-    entry is left out of n-grams: no n-gram is more frequent than its words. For
-    the base, words without a number find their counts through a shuffle join;
+    for speed), every other word is a 63-bit hash, its code; texts are written
+    once as these ids. Words that share a code (v * v / 2 ** 63 of v words) get
+    numbers, too, so codes are exact. A word too rare for an entry is left out of
+    n-grams: no n-gram is more frequent than its words;
  3. texts lie in chunks of about ``_CHUNK`` symbols, a row each, in a table in
     buckets of chunks; answers are written in the same buckets, so texts are never
     shuffled, and an answer once. A chunk asks for
@@ -32,7 +32,7 @@ Nothing of the tree is broadcast or collected; it grows with the corpus:
     add them up and answer each chunk that asked, one value per key. So a hot
     n-gram is one key a chunk. The first chunk that asked owns an n-gram: it
     adds the entry to the sums of its context;
- 4. rounds: words without a number; pairs of words frequent enough for an entry;
+ 4. rounds: words without a number, whose counts the base takes, too; pairs of words frequent enough for an entry;
     sums of one-word contexts, and triples whose both pairs are entries (no other
     can be one); sums of two-word contexts; scores.
 
@@ -56,6 +56,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from xxhash import xxh64_intdigest
 
 from .common import field, new_folder, small_batches, staged
 
@@ -63,7 +64,7 @@ ADD = 0.1
 SUPPORT, FLOOR, DIVERGENCE, WEIGHT = 0.0, 8, 0.01, 20.0
 #: Numbered words, and the longest of them in bytes: bounds that broadcast. Other words are hashes.
 FREQUENT, LONGEST = 1 << 18, 64
-_CHUNK = 2_000_000  # symbols of a chunk
+_CHUNK = 1_250_000  # symbols of a chunk
 _BUCKET = 4_000_000  # symbols a bucket of keys stands for
 _MOST_PARTS = 100_000  # partitions of chunks (Spark's bound for buckets); beyond it a partition has more chunks
 _FLUSH = 1_000_000  # distinct words a task holds
@@ -74,8 +75,8 @@ def _words(text: bytes | None) -> list[bytes]:
 
 
 def word_counts(docs: DataFrame, held: Column, text: str) -> DataFrame:
-    """(word binary, n) of the training rows."""
-    src = docs.where(~held).select(F.col(text).cast("binary").alias("body"))
+    """(word binary, n): every word of the rows, and its count in the training rows."""
+    src = docs.select(held.alias("held"), F.col(text).cast("binary").alias("body"))
 
     def run(batches):
         from collections import Counter
@@ -87,8 +88,11 @@ def word_counts(docs: DataFrame, held: Column, text: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(words[lo:lo + 50_000], pa.binary()),
                                                   pa.array(n[lo:lo + 50_000], pa.int64())], names=["word", "n"])
         for batch in batches:
-            for body in batch.column(0).to_pylist():
-                have.update(_words(body))
+            for held_out, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if held_out is False:
+                    have.update(_words(body))
+                else:
+                    have.update(dict.fromkeys(_words(body), 0))
                 if len(have) > _FLUSH:
                     yield from out()
                     have.clear()
@@ -96,32 +100,47 @@ def word_counts(docs: DataFrame, held: Column, text: str) -> DataFrame:
     return src.mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def _encode(docs: DataFrame, doc_id: str, text: str, held: Column, top, add: float, least: int, frequent: int) -> DataFrame:
+def _code(word: bytes) -> int:
+    """The symbol of a word without a number, below -1."""
+    return min((xxh64_intdigest(word, 42) >> 1) - (1 << 63), -2)
+
+
+def _raised_code(word: str) -> Column:
+    """``_code`` plus 2 ** 63, by Spark."""
+    return F.least(F.shiftrightunsigned(F.xxhash64(word), 1), F.lit((1 << 63) - 2))
+
+
+def alike(counts: DataFrame) -> DataFrame:
+    """The words whose ``_code`` another word has, too: about v * v / 2 ** 63 of v
+    words. With numbers of their own, codes tell all other words apart."""
+    several = counts.groupBy(_raised_code("word").alias("code")).agg(F.count(F.lit(1)).alias("words")).where(
+        "words > 1").select("code")
+    return counts.withColumn("code", _raised_code("word")).join(several, "code", "left_semi").select("word", "n")
+
+
+def _encode(docs: DataFrame, doc_id: str, text: str, held: Column, top, add: float, least: int) -> DataFrame:
     """One row per chunk of whole documents. ``chunk``: the row number of the
     first. ``data``: ids of their symbols (0: the end; above 0: numbered; below
-    -1: a hash; -1: too rare for an entry). ``docs``: of each document, the base
-    logs of its numbered words, and its other words with counts. A chunk is one
-    row, so no reader splits it."""
+    -1: a code; -1: numbered, but too rare for an entry). ``docs``: of each
+    document, its tokens, its numbered tokens that are known and their base logs.
+    A chunk is one row, so no reader splits it."""
     shared, per_chunk = docs.sparkSession.sparkContext.broadcast(top), _CHUNK
     small_batches(docs.sparkSession)
     src = docs.select(F.col(doc_id).alias("doc_id"), held.alias("held_out"),
                       F.monotonically_increasing_id().alias("row"), F.col(text).cast("string").cast("binary").alias("body"))
-    made = [field("n_tokens", "long"), field("n_numbered", "long"), field("base", "double"),
-            field("rare", "array<binary>"), field("tf", "array<int>")]
+    made = [field("n_tokens", "long"), field("n_numbered", "long"), field("base", "double")]
     doc = T.StructType([T.StructField(f.name, f.dataType, True) for f in src.schema.fields[:3]] + made)
     schema = T.StructType([field("chunk", "long"), field("data", "binary"), T.StructField("docs", T.ArrayType(doc), True)])
-    kinds = [pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.binary()), pa.list_(pa.int32())]
+    kinds = [pa.int64(), pa.int64(), pa.float64()]
 
     def run(batches):
-        import xxhash
         words, counts = shared.value
         find = {w: i + 1 for i, w in enumerate(words)}.get
         logs = np.log10(np.concatenate([counts, [0]]) + add)  # of the end first; -1 is the last
         logs[-1] = 0.0
         known_id = np.where(counts >= least, np.arange(len(counts)), -1)
         known_id[0] = 0
-        # a word without a number is no more frequent than the last that has one, unless it is long
-        any_other = len(words) == frequent and (not words or counts[-1] >= least)
+        known = np.append(counts > 0, False)
         chunk: list = []  # (row, trained, ids) of each document
         carried: list = []  # slices of the columns that go through unread
         made: list = [[] for _ in kinds]
@@ -146,16 +165,13 @@ def _encode(docs: DataFrame, doc_id: str, text: str, held: Column, top, add: flo
                 w = _words(t)
                 a = np.fromiter((find(x, -1) for x in w), np.int64, len(w))
                 a = np.append(a, np.int64(0))
-                other: dict = {}
-                code = np.where(a < 0, -1, known_id[a])
-                for j in np.flatnonzero(a < 0).tolist():
-                    x = w[j]
-                    other[x] = other.get(x, 0) + 1
-                    if any_other or len(x) > LONGEST:
-                        code[j] = min((xxhash.xxh64_intdigest(x) >> 1) - (1 << 63), -2)
+                code = known_id[a]
+                other = np.flatnonzero(a < 0)
+                if len(other):
+                    code[other] = [_code(w[j]) for j in other.tolist()]
                 chunk.append((row, held_out is False, code))
                 done += len(a)
-                values = len(a), len(a) - sum(other.values()), float(logs[a].sum()), list(other.keys()), list(other.values())
+                values = len(a), int(known[a].sum()), float(logs[a].sum())
                 for x, v in zip(made, values, strict=True):
                     x.append(v)
                 if done >= per_chunk:
@@ -289,8 +305,8 @@ def _factors(total: np.ndarray, sums: np.ndarray, weight: float, divergence: flo
 
 def _answered(asked: DataFrame, buckets: int, parts: int, name: str, least: int, weight: float, divergence: float) -> DataFrame:
     """Blocks added up by key, and an answer for each block, one value per key it
-    asked about; a row a chunk, with all its answers in column ``name``. Counts: the count, 0 below ``least``, negative for the one chunk
-    that owns the n-gram. Contexts: see _factors."""
+    asked about; a row a chunk, with all its answers in column ``name``. Counts: of
+    words as they are, else 0 below ``least``, and negative for the one chunk that owns the n-gram. Contexts: see _factors."""
     def add_up(t: pa.Table) -> pa.Table:
         out = []
         kinds, chunks, bucket = t["kind"].to_numpy(), t["chunk"].to_numpy(), t["bucket"][0].as_py()
@@ -308,8 +324,11 @@ def _answered(asked: DataFrame, buckets: int, parts: int, name: str, least: int,
             group[order] = np.cumsum(head) - 1
             if kind in _COUNTS:
                 total = np.add.reduceat(values[0, order], starts)
-                answer = np.where(total >= least, total, 0.0)[group]
-                answer[order[starts]] *= -1
+                if kind == WORD:
+                    answer = total[group]
+                else:
+                    answer = np.where(total >= least, total, 0.0)[group]
+                    answer[order[starts]] *= -1
             else:  # the owners of a context's entries send its count and their sums
                 sums = np.add.reduceat(values[1:, order], starts, axis=1)
                 answer = _factors(np.maximum.reduceat(values[0, order], starts), sums, weight, divergence)[group]
@@ -352,7 +371,7 @@ class _Chunk:
     """The texts of a chunk, and what it was told about their n-grams."""
 
     def __init__(self, no: int, text: bytes, answers: list, model: tuple):
-        counts, norm, add, self.weight = model
+        counts, norm, self.add, self.weight, least = model
         self.no, rounds = no, len(answers)
         told: dict = {}
         for x in (x for one in answers for x in one or []):  # none: nothing was asked
@@ -366,9 +385,9 @@ class _Chunk:
         other = np.flatnonzero(ids < -1)
         self.words = _Entries(other, _word_key(ids[other]))
         if rounds > 0:
-            self._words(counts)
+            self._words(counts, least)
         if rounds > 1:
-            self._pairs(norm, add)
+            self._pairs(norm)
         if rounds > 2:
             self._triples()
 
@@ -378,38 +397,55 @@ class _Chunk:
     def ask_words(self, buckets: int):
         yield from _ask(self.no, WORD, buckets, self.words.keys, self.words.counted(self.train))
 
-    # -- counts of words known: a hash too rare for an entry leaves the n-grams
-    def _words(self, counts: np.ndarray) -> None:
-        ids, words = self.ids, self.words
+    # -- counts of words known: a word too rare for an entry leaves the n-grams
+    def _words(self, counts: np.ndarray, least: int) -> None:
+        ids, words, self.counts = self.ids, self.words, counts
         bits = len(counts).bit_length()
         self.dense = _U(63 - bits)
         self.count = counts[np.maximum(ids, 0)].astype(np.float64)
+        self.looked = words.places, self.answer(WORD)[words.number]
         if len(words.places):
-            self.count[words.places] = np.abs(self.answer(WORD))[words.number]
-            ids[words.places[self.count[words.places] == 0]] = -1
+            self.count[words.places] = self.looked[1]
+            ids[words.places[self.looked[1] < least]] = -1
+        self.words = None  # read no more
         at = np.flatnonzero((ids[:-1] != 0) & (ids[:-1] != -1) & (ids[1:] != -1))  # nothing follows the end
         self.pair = _Entries(at, _pair_key(ids[at], ids[at + 1], bits))
 
+    def without_number(self) -> tuple[np.ndarray, np.ndarray]:
+        """Of each document, the base logs of the words without a number, and how
+        many of them are known."""
+        at, n = self.looked
+        doc, k = np.searchsorted(np.cumsum(self.sizes), at, side="right"), len(self.sizes)
+        base = np.bincount(doc, np.log10(n + self.add), k).astype(np.float64)  # integers if there are none
+        return base, np.bincount(doc[n > 0], minlength=k)
+
     def ask_pairs(self, buckets: int):
         yield from _ask(self.no, PAIR, buckets, self.pair.keys, self.pair.counted(self.train))
 
     # -- counts of pairs known
-    def _pairs(self, norm: float, add: float) -> None:
+    def _pairs(self, norm: float) -> None:
         ids, pair = self.ids, self.pair
         key = np.zeros(len(ids), _U)
         key[pair.places] = pair.keys[pair.number]
         pair.told(self.answer(PAIR), len(ids))
-        self.root = (self.count + add) / norm
+        self.root = (self.count + self.add) / norm
         self.root2 = self.root[pair.place + 1]
         at = np.flatnonzero((pair.at[:-1] >= 0) & (pair.at[1:] >= 0))
         self.three = _Entries(at, _longer_key(key[at], ids[at + 2]))
-        words = np.flatnonzero((ids != 0) & (ids != -1))
         # numbers are spread evenly over the keys, in their order: sorted, their differences pack well
-        of = np.where(ids[words] > 0, ids[words].view(_U) << self.dense, _word_key(ids[words]))
-        self.key1, place, number = np.unique(of, return_index=True, return_inverse=True)
-        self.total1 = self.count[words[place]]
+        has, coded = np.flatnonzero(ids > 0), np.flatnonzero(ids < -1)
+        numbers = np.flatnonzero(np.bincount(ids[has], minlength=len(self.counts)))
+        codes, place, number = np.unique(ids[coded], return_index=True, return_inverse=True)
+        keys = np.r_[numbers.view(_U) << self.dense, _word_key(codes)]
+        order = np.argsort(keys)
+        rank = np.empty(len(keys), np.int64)
+        rank[order] = np.arange(len(keys))
+        self.key1, self.total1 = keys[order], np.r_[self.counts[numbers], self.count[coded[place]]][order]
         self.one = np.full(len(ids), -1, np.int64)  # one-word context of a place
-        self.one[words] = number
+        context = np.zeros(len(self.counts), np.int64)
+        context[numbers] = rank[:len(numbers)]
+        self.one[has] = context[ids[has]]
+        self.one[coded] = rank[len(numbers) + number]
 
     def _sums(self, n: np.ndarray, q: np.ndarray, context: np.ndarray, k: int) -> list[np.ndarray]:
         x = n + self.weight * q
@@ -440,6 +476,11 @@ class _Chunk:
         yield from _ask(self.no, TWO, buckets, self.pair.keys, np.where(sums[0] > 0, self.pair.n, 0), *sums)
 
     # -- all known
+    def scored(self) -> pa.Table:
+        base, known = self.without_number()
+        return pa.table({"row": pa.array(self.rows), "gain": pa.array(self.gains()),
+                         "other_base": pa.array(base), "other_known": pa.array(known.astype(np.int64))})
+
     def gains(self) -> np.ndarray:
         """Sum over each document's symbols of log10 P(state) - log10 P(root)."""
         pair, three = self.pair, self.three
@@ -458,7 +499,8 @@ class _Chunk:
 
 
 def _gains(texts: DataFrame, parts: int, model: tuple, n_all: int, least: int, divergence: float) -> DataFrame:
-    """(row, gain) of every document."""
+    """(row, gain, other_base, other_known) of every document: the gain, and what
+    ``without_number`` returns."""
     buckets = max(16, -(-n_all // _BUCKET))
     shared = texts.sparkSession.sparkContext.broadcast(model)  # numbered words at most
 
@@ -477,7 +519,7 @@ def _gains(texts: DataFrame, parts: int, model: tuple, n_all: int, least: int, d
             asked = each(known, lambda c, ask=ask: _block_rows(ask(c, buckets)), _BLOCK)
             told = _answered(asked, buckets, parts, f"told{i}", least, model[3], divergence)
             known = known.join(told.hint("merge"), "chunk", "left")  # both lie in buckets of the chunk: no shuffle
-        return staged(each(known, lambda c: pa.table({"row": pa.array(c.rows), "gain": pa.array(c.gains())}), "row long, gain double"))
+        return staged(each(known, _Chunk.scored, "row long, gain double, other_base double, other_known long"))
 
 
 def score(docs: DataFrame, held: Column, doc_id: str = "doc_id", text: str = "text", add: float = ADD,
@@ -486,38 +528,29 @@ def score(docs: DataFrame, held: Column, doc_id: str = "doc_id", text: str = "te
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score).
     ``held``: the condition of rows that are not learned from."""
     spark = docs.sparkSession
-    counts = staged(word_counts(docs, held, text))
-    words, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
+    counts = staged(word_counts(docs, held, text), "zstd")
+    words, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("n") > 0)).first()
     ends = docs.where(~held).count()
     n_all, v_all = words + ends, distinct + (1 if ends else 0)
-    top = counts.where(F.length("word") <= LONGEST).orderBy(F.desc("n"), "word").limit(frequent).toArrow()
-    numbered = top["word"].to_pylist()
-    number_counts = np.r_[np.int64(ends), top["n"].to_numpy().astype(np.int64)]
+    top = counts.where((F.length("word") <= LONGEST) & (F.col("n") > 0)).orderBy(F.desc("n"), "word").limit(frequent).toArrow()
+    numbered = dict(zip(top["word"].to_pylist(), top["n"].to_pylist(), strict=True))
+    same = alike(counts).limit(FREQUENT + 1).collect()
+    if len(same) > FREQUENT:
+        raise ValueError("too many words share their codes")
+    numbered |= {bytes(r["word"]): r["n"] for r in same}
+    number_counts = np.array([ends, *numbered.values()], np.int64)
     part = max(support, floor / n_all) if n_all else 1.0
     least = max(1, math.ceil(part * n_all - 1e-9))
     parts = min(_MOST_PARTS, max(48, -(-n_all // _CHUNK)))
-    chunks = _by_chunk(_encode(docs, doc_id, text, held, (numbered, number_counts), add, least, frequent), parts)
+    chunks = _by_chunk(_encode(docs, doc_id, text, held, (list(numbered), number_counts), add, least), parts)
     norm = n_all + add * (v_all + 1) if n_all else 1.0
-    log_norm = math.log10(norm)
     coded = chunks.select(F.explode("docs").alias("x")).select("x.*")
     carried = coded.select("row", "doc_id", "held_out", "n_numbered", "base", "n_tokens")
-    model = number_counts, norm, add, weight
-    gains = carried.join(_gains(chunks.select("chunk", "data"), parts, model, n_all, least, divergence), "row") if n_all else (
-        carried.withColumn("gain", F.lit(0.0)))
-
-    empty_log = math.log10(add)
-    rare = coded.where(F.size("rare") > 0).select("row", F.explode(F.arrays_zip("rare", "tf")).alias("x")).select(
-        "row", F.col("x.rare").alias("word"), F.col("x.tf").alias("tf"))
-    # every rare word of a text is looked up in the whole count table
-    looked = rare.join(counts, "word", "left").groupBy("row").agg(
-        F.sum(F.col("tf") * F.coalesce(F.log10(F.col("n") + add), F.lit(empty_log))).alias("rare_base"),
-        F.sum(F.when(F.col("n").isNotNull(), F.col("tf")).otherwise(0)).alias("rare_known"))
-    end_known = 1 if ends else 0
-    out = gains.join(looked, "row", "left")
-    base = (F.col("base") + F.coalesce("rare_base", F.lit(0.0)) - F.col("n_tokens") * F.lit(log_norm)
-            if n_all else F.lit(0.0))
+    model = number_counts, norm, add, weight, least
+    out = carried.join(_gains(chunks.select("chunk", "data"), parts, model, n_all, least, divergence), "row") if n_all else (
+        carried.select("*", F.lit(0.0).alias("gain"), F.lit(0.0).alias("other_base"), F.lit(0).alias("other_known")))
+    base = (F.col("base") + F.col("other_base") - F.col("n_tokens") * F.lit(math.log10(norm)) if n_all else F.lit(0.0))
     return out.select(
-        "doc_id", "held_out", "n_tokens",
-        (F.col("n_numbered") - F.lit(1 - end_known) + F.coalesce("rare_known", F.lit(0))).cast("long").alias("n_known"),
+        "doc_id", "held_out", "n_tokens", (F.col("n_numbered") + F.col("other_known")).cast("long").alias("n_known"),
         F.lit(n_all).cast("long").alias("train_tokens"), base.alias("base_score"),
         (base + F.col("gain")).alias("score"))

@@ -237,3 +237,13 @@ def test_pair_keys_are_one_to_one_and_spread():
         assert per_range.max() <= 2 * per_range.mean()
     hashed = _pair_key(np.array([-5, 3, -5], np.int64), np.array([3, -5, -9], np.int64), bits)
     assert (hashed & np.uint64(1)).all() and len(np.unique(hashed)) == 3
+
+
+def test_codes_of_words_and_words_that_share_one(spark):
+    words = [b"", b"a", "größe".encode(), b"x" * 500, bytes(range(200, 256))]
+    rows = spark.createDataFrame([(w, 1) for w in words], "word binary, n long")
+    for r in rows.select("word", pst._raised_code("word").alias("code")).collect():
+        assert r.code - (1 << 63) == pst._code(bytes(r.word)) < -1
+    assert pst.alike(rows).collect() == []
+    twice = rows.unionAll(spark.createDataFrame([(b"a", 7)], rows.schema))  # stands for another word of this code
+    assert sorted((bytes(r.word), r.n) for r in pst.alike(twice).collect()) == [(b"a", 1), (b"a", 7)]
