@@ -11,11 +11,14 @@ Jensen-Shannon distance (root of the divergence in bits, 0 to 1). A text of
 ``min_words`` words or more goes if a distance is above its limit; shorter ones
 are judged by the base alone, since their histograms say little.
 
-References are fitted on a bounded sample of labelled rows that pass the base
-(``per_lang`` rows of each language, a parameter); at most ``LANGS`` languages,
-the ones with most rows, have one of their own. Rows of no or another language
-are compared with the pooled reference. References enter the plan as literals:
-a few dozen numbers a language. Documents are read in one pass, not shuffled.
+References are fitted on every labelled row that passes the base; at most
+``LANGS`` languages, the ones with most rows, have one of their own. Rows of no or
+another language are compared with the pooled reference. References enter the plan
+as literals: a few dozen numbers a language. Documents are measured once, and
+staged with their words, for the references and the distances; texts are not
+shuffled. Words are counted twice: all of them in ``SLOTS`` hash slots, then, by
+themselves, those of a slot that holds enough for a common word. So a task sends
+few counts however many words there are, and none of a common word is missing.
 
 Windows are compared by 64-bit hashes within one text. Texts without equal
 hashes are done; else equal ones stand side by side after a sort. With few
@@ -24,7 +27,8 @@ a hash and the position share a long, sorted longs put equal windows side by
 side, and whole hashes decide among those candidates (never a square of n).
 
 Defined cases: a null text has no words, all counts 0, and fails; repeated rows
-get a row each; with no sample nothing is compared; ids pass through.
+get a row each; with no labelled row that passes the base nothing is compared; ids
+pass through.
 """
 
 from __future__ import annotations
@@ -32,9 +36,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import labelled_sample, quoted, staged
+from .common import quoted, staged
 
-PER_LANG, LANGS, COMMON, COMMON_SHARE = 2000, 64, 12, 0.002
+LANGS, COMMON, COMMON_SHARE, SLOTS = 64, 12, 0.002, 1 << 14
 MIN_WORDS, CLASS_LIMIT, WORD_LIMIT = 100, 0.35, 0.55
 _WS = " \t\n\x0b\f\r"
 CLASSES = ["upper", "digit", "beyond_ascii", "punctuation", "symbol", "space", "other"]
@@ -126,16 +130,13 @@ def js_distance(p: Column, q: Column) -> Column:
     return F.sqrt(F.greatest(F.lit(0.0), F.aggregate(terms, F.lit(0.0), lambda s, x: s + x)))
 
 
-def references(docs: DataFrame, doc_id: str, text: str, lang: str, per_lang: int) -> dict:
-    """lang (None: pooled) -> (class shares, common words, their shares and the rest's)."""
-    sample = labelled_sample(docs, lang, doc_id, per_lang)
-    # written first: a filter on a measured column would be pushed below the
-    # projection, and the text work done again inside each lambda
-    rows = staged(measured(sample, [lang], text)).where(~base_failed())
+def references(rows: DataFrame) -> dict:
+    """lang (None: pooled) -> (class shares, common words, their shares and the
+    rest's), from the staged rows of ``judged``."""
+    rows = rows.where(F.col("lang").isNotNull() & ~base_failed())
     names = ["c%d" % i for i in range(len(CLASSES))]
     c = classes()
-    per_row = rows.select(quoted(lang).cast("string").alias("lang"), "words", "n_words",
-                          *[F.get(c, F.lit(i)).alias(n) for i, n in enumerate(names)])
+    per_row = rows.select("lang", "joined", "n_words", *[F.get(c, F.lit(i)).alias(n) for i, n in enumerate(names)])
     keyed = per_row.select(F.explode(F.array(F.col("lang"), F.lit(None).cast("string"))).alias("lang"),
                            "n_words", *names)
     sums = keyed.groupBy("lang").agg(F.count(F.lit(1)).alias("rows"), F.sum("n_words").alias("n"),
@@ -144,20 +145,26 @@ def references(docs: DataFrame, doc_id: str, text: str, lang: str, per_lang: int
     totals = {r["lang"]: r for r in sums}
     if not totals:
         return {}
-    words = (per_row.select("lang", F.explode("words").alias("word")).groupBy("lang", "word")
-             .agg(F.count(F.lit(1)).alias("n")))
     size = F.create_map(*[x for k, r in totals.items() if k is not None for x in (F.lit(k), F.lit(r["n"]))])
-    # a word with this share of a language: 1 / share of them at most
-    own = (words.where(F.col("n") >= COMMON_SHARE * F.try_element_at(size, F.col("lang"))).collect()
-           if len(totals) > 1 else [])
-    every = (words.groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= COMMON_SHARE * totals[None]["n"]).collect()
-             if None in totals else [])
+    # a word with this share of a language: 1 / share of them at most, as of slots
+    frequent = F.col("n") >= COMMON_SHARE * F.try_element_at(size, F.col("lang"))
+    pooled = F.col("n") >= COMMON_SHARE * totals[None]["n"]
+
+    def counted(words, by):
+        n = words.groupBy("lang", by).agg(F.count(F.lit(1)).alias("n"))
+        own = F.collect_list(F.when(frequent, F.struct("lang", "n"))).alias("own")
+        return n.groupBy(by).agg(F.sum("n").alias("n"), own).where(pooled | (F.size("own") > 0))
+    words = per_row.select("lang", F.explode(F.split("joined", " ")).alias("word"))
+    words = words.withColumn("slot", F.pmod(F.xxhash64("word"), F.lit(SLOTS)).cast("int"))
+    slots = [(r["slot"],) for r in counted(words, "slot").select("slot").collect()]
+    full = rows.sparkSession.createDataFrame(slots, "slot int")
+    common = counted(words.join(F.broadcast(full), "slot", "left_semi"), "word")
     found: dict = {k: [] for k in totals}
-    for r in own:
-        if r["lang"] in found:
-            found[r["lang"]].append((-r["n"], r["word"]))
-    for r in every:
-        found[None].append((-r["n"], r["word"]))
+    for r in common.collect():
+        if r["n"] >= COMMON_SHARE * totals[None]["n"]:
+            found[None].append((-r["n"], r["word"]))
+        for x in r["own"]:
+            found[x["lang"]].append((-x["n"], r["word"]))
     out = {}
     for k, r in totals.items():
         top = sorted(found[k])[:COMMON]
@@ -178,19 +185,23 @@ def _choose(refs: dict, lang: Column, part: int, kind: str) -> Column:
 
 
 def judged(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang",
-           per_lang: int = PER_LANG, min_words: int = MIN_WORDS, class_limit: float = CLASS_LIMIT,
-           word_limit: float = WORD_LIMIT) -> DataFrame:
+           min_words: int = MIN_WORDS, class_limit: float = CLASS_LIMIT, word_limit: float = WORD_LIMIT) -> DataFrame:
     """(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     base_failed, kept, class_distance, word_distance)."""
-    refs = references(docs, doc_id, text, lang, per_lang)
-    rows = measured(docs, [doc_id, lang], text)
+    named = docs.select(quoted(doc_id).alias("doc_id"), quoted(lang).cast("string").alias("lang"),
+                        quoted(text).alias("text"))
+    # written first: the text work is done once for references and distances, and
+    # not pushed into their filters and lambdas
+    rows = measured(named, ["doc_id", "lang"])
+    rows = staged(rows.select(F.array_join("words", " ").alias("joined"), *[c for c in rows.columns if c != "words"]), "zstd")
+    refs = references(rows)
     out = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     if refs:
-        key = quoted(lang).cast("string")
+        key = F.col("lang")
         common = _choose(refs, key, 1, "array<string>")
 
         # two spaces between words, so each word has its own on both sides
-        spaced = F.concat(F.lit(" "), F.array_join("words", "  "), F.lit(" "))
+        spaced = F.concat(F.lit(" "), F.replace("joined", F.lit(" "), F.lit("  ")), F.lit(" "))
 
         def shares_of(c):
             size = F.octet_length
@@ -201,11 +212,11 @@ def judged(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: st
         long = F.col("n_words") >= min_words
         by_class = js_distance(_shares(classes().cast("array<double>")), _choose(refs, key, 0, "array<double>"))
         by_word = js_distance(_shares(_let(common, shares_of)), _choose(refs, key, 2, "array<double>"))
-        rows = rows.select(quoted(doc_id).alias("doc_id"), *out, F.when(long, by_class).alias("class_distance"),
+        rows = rows.select("doc_id", *out, F.when(long, by_class).alias("class_distance"),
                            F.when(long, by_word).alias("word_distance"))
     else:
         none = F.lit(None).cast("double")
-        rows = rows.select(quoted(doc_id).alias("doc_id"), *out, none.alias("class_distance"), none.alias("word_distance"))
+        rows = rows.select("doc_id", *out, none.alias("class_distance"), none.alias("word_distance"))
     fine = (F.coalesce(F.col("class_distance") <= class_limit, F.lit(True))
             & F.coalesce(F.col("word_distance") <= word_limit, F.lit(True)))
     return rows.select("doc_id", *out, base_failed().alias("base_failed"), (~base_failed() & fine).alias("kept"),

@@ -54,6 +54,38 @@ def test_js_distance(spark):
     assert got[0] == pytest.approx(math.sqrt((kl(p) + kl(q)) / 2)) and got[1] == 0 and got[2] == pytest.approx(1)
 
 
+def test_references_come_from_all_labelled_rows(spark):
+    """3,000 rows of a language, none left out of its reference (brute force)."""
+    import math
+    from collections import Counter
+    rng = random.Random(8)
+    texts = [" ".join(rng.choice("abcdefghijklmnopqrst") + (str(i) if i % 7 == 0 else "x") for _ in range(100)) for i in range(3000)]
+    n, common, words = [0] * 7, Counter(), 0
+    shares = []
+    for t in texts:
+        upper, digit, space = 0, sum(c.isdigit() for c in t), t.count(" ")
+        row = [upper, digit, 0, 0, 0, space, len(t) - digit - space]
+        shares.append([x / len(t) for x in row])
+        n = [a + b for a, b in zip(n, row, strict=True)]
+        common.update(t.split())
+        words += 100
+    whole = [x / sum(n) for x in n]
+    top = sorted((-c, w) for w, c in common.items() if c >= quality.COMMON_SHARE * words)[:quality.COMMON]
+    ref = [-c / words for c, _ in top]
+    ref.append(1 - sum(ref))
+
+    def distance(p, q):
+        part = lambda a, b: a * math.log2(2 * a / (a + b)) if a else 0.0
+        return math.sqrt(max(0.0, sum(part(a, b) + part(b, a) for a, b in zip(p, q, strict=True)) / 2))
+    df = spark.createDataFrame([*((i, t, "xx") for i, t in enumerate(texts)), (3000, " ".join("ÄB9" for _ in range(200)), None)],
+                               "doc_id long, text string, lang string")
+    for r in quality.judged(df).where("doc_id < 3000").collect():
+        assert r.class_distance == pytest.approx(distance(shares[r.doc_id], whole), abs=1e-6)
+        own = Counter(texts[r.doc_id].split())
+        mine = [own[w] / 100 for _, w in top]
+        assert r.word_distance == pytest.approx(distance([*mine, 1 - sum(mine)], ref), abs=1e-6)
+
+
 def test_no_python_in_the_quality_plan(docs):
     plan = quality.judged(docs)._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow", "Exchange"))
