@@ -714,13 +714,22 @@ def shipto_options(customers: DataFrame, codes: DataFrame) -> DataFrame:
     """JN-3, FLT-10, AG-6 (on the stored values, before the edits), SCL-S2
     (null name → no option, Q8), SCL-S15, SRT-2 → one row per option,
     ``country, value, label``, ordered by country, stored value descending.
-    However many customers a country has, no task holds them all."""
-    j = filters.status_in(joins.codes_inner(customers, codes, "ship_to_country", "alpha_2code"),
-                          "customer_status", OPTION_STATUSES)
+    However many customers a country has, no task holds them all.
+
+    A customer is listed under every name of its code, so few customers can be
+    many options: equal customers are put together first and dealt over all
+    shuffle partitions, then paired with the names. The options are dealt once, by
+    range; that brings equal ones together and orders them. Both numbers of parts
+    are given, so that no few tasks get what looks small before it is paired."""
+    listed = filters.status_in(customers, "customer_status", OPTION_STATUSES)
     v = strings.plus_concat("ship_to_name", F.lit("-"), "ship_to")
-    opts = (j.select(F.col("country_name").alias("country"), v.alias("stored"))
-            .filter(F.col("stored").isNotNull()).distinct()
-            .orderBy("country", F.desc("stored")))
+    listed = listed.select("ship_to_country", v.alias("stored")).filter(F.col("stored").isNotNull()).distinct()
+    parts = int(listed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    names = codes.select("alpha_2code", "country_name").distinct()
+    j = joins.codes_inner(listed.repartition(parts, "stored"), names, "ship_to_country", "alpha_2code")
+    order = ["country", F.desc("stored")]
+    opts = (j.select(F.col("country_name").alias("country"), "stored")
+            .repartitionByRange(parts, *order).distinct().orderBy(*order))
     text = strings.option_text("stored")
     return opts.select("country", text.alias("value"), text.alias("label"))
 

@@ -160,6 +160,28 @@ def test_options(spark):
     assert ship["UNITED KINGDOM"] == '[{"value":"B-C-2","label":"B-C-2"},{"value":"Acme X-1","label":"Acme X-1"}]'
 
 
+def test_options_are_dealt_before_they_multiply(spark):
+    """Every code of a name counts once, and no task gathers options of its own
+    input: they meet in one exchange, by range."""
+    cust = spark.createDataFrame([(str(i % 40), f"N{i % 20}", "AB"[i % 2], "Active") for i in range(80)],
+                                 "ship_to string, ship_to_name string, ship_to_country string, customer_status string")
+    cust = cust.unionByName(cust.withColumn("ship_to_country", F.lit("B")))
+    codes = spark.createDataFrame([(c, n) for c in "AB" for n in ("X", "Y", f"only {c}", None)] + [("A", "X")],
+                                  "alpha_2code string, country_name string")
+    opts = jobs.shipto_options(cust, codes)
+    got = rows(opts, "country", "value")
+    stored = [(f"N{i % 20}-{i % 40}", {"AB"[i % 2], "B"}) for i in range(40)]
+    want = [(n, v) for v, at in stored for n in ("X", "Y", None, *(f"only {c}" for c in at))]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert [g[0] for g in got] == sorted((g[0] for g in got), key=lambda x: x or "")
+    for n in ("X", "only B"):
+        assert [g[1] for g in got if g[0] == n] == sorted((g[1] for g in got if g[0] == n), reverse=True)
+    plan = opts._jdf.queryExecution().executedPlan().toString().splitlines()
+    dealt = [k for k, line in enumerate(plan) if "rangepartitioning" in line]
+    assert len(dealt) == 1 and "Project" in plan[dealt[0] + 1] and "Join" in plan[dealt[0] + 2]
+    assert sum("REPARTITION_BY_NUM" in line for line in plan) == 2
+
+
 def test_tag_invoices_defaults_and_stamp(spark):
     df = spark.createDataFrame([("A", 0), ("A", 1)], "Sales_Document string, pos long")
     tagged, bad = jobs.tag_invoices(df.unionByName(spark.createDataFrame([(None, 2)], df.schema)),
