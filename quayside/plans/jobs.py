@@ -535,17 +535,19 @@ def file_routing(blobs: DataFrame, invoices: DataFrame, folders: DataFrame, toda
     Output: ``name, route, target``."""
     pdf = blobs.filter(F.lower("name").endswith(".pdf")).select(
         "name", strings.base_name("name").alias("file"), strings.pdf_stem("name").alias("stem"))
-    hits = joins.prefix_join(invoices.select("file_name", "Sales_Document"), "file_name", pdf, "stem")
-    routed = joins.computed_key_left(hits, strings.leading_zero_key("Sales_Document"),
-                                     folders.select("sales_order_number", "folder_path"),
-                                     "sales_order_number")
-    to_folder = (routed.filter(F.col("folder_path").isNotNull())
-                 .select("name", "file", F.lit("folder").alias("route"), F.col("folder_path").alias("target"))
-                 .distinct())
+    # folders are looked up once an invoice, not once a prefix of its name, and
+    # equal targets of a stem are put together before the blobs' names come in
+    routed = joins.computed_key_left(invoices.select("file_name", "Sales_Document"),
+                                     strings.leading_zero_key("Sales_Document"),
+                                     folders.select("sales_order_number", "folder_path"), "sales_order_number")
+    routed = routed.filter(F.col("folder_path").isNotNull()).select("file_name", "folder_path")
+    targets = joins.prefix_join(routed, "file_name", pdf.select("stem").distinct(), "stem").select("stem", "folder_path").distinct()
+    to_folder = pdf.distinct().join(targets, "stem").select(
+        "name", "file", F.lit("folder").alias("route"), F.col("folder_path").alias("target"))
     dated = pdf.select("name", "file", F.lit("dated").alias("route"),
                        strings.dated_folder(F.lit(today).cast("date")).alias("target"))
     route = F.when(F.length("stem") > 0, "unrouted").otherwise("quarantine")
-    unrouted = (pdf.join(to_folder.select("name").distinct(), "name", "left_anti")
+    unrouted = (pdf.join(targets.select("stem").distinct(), "stem", "left_anti")
                 .select("name", "file", route.alias("route"), F.lit(None).cast("string").alias("target")))
     return dated.unionByName(to_folder).unionByName(unrouted)
 
