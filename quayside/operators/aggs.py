@@ -1,10 +1,12 @@
 """Aggregations.
 
-All of them are one hash/object-hash aggregate with a map-side partial
+All but AG-1 are one hash/object-hash aggregate with a map-side partial
 step, so a hot key (even a third of all rows) ships only its partial
-buffers — the distinct values of each map task for AG-1 — across the
-shuffle. The size of each output cell is the semantic bound: AG-1 writes
-every distinct value of a group into one text.
+buffers across the shuffle. AG-1 ships each row as one packed text, which is
+less than the sets of its many columns are; the rows of a hot key stream
+through one task, which keeps their distinct values. The size of each output
+cell is the semantic bound: AG-1 writes every distinct value of a group into
+one text.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quayside.functions.strings import pack_texts, unpack_texts
 from quayside.functions.util import col_of, quote
 from quayside.functions.values import number_text
 
@@ -36,8 +39,11 @@ def distinct_rollup(df: DataFrame, keys: Sequence[str], cols: Sequence[str],
         shown = number_text(c) if kinds.get(c) in ("double", "float") else col_of(c).cast("string")
         return F.coalesce(shown, F.lit(nulls.get(c, ""))).alias(c)
     filled = df.select(*[text(c) for c in (*keys, *cols)])
-    return filled.groupBy(*[quote(k) for k in keys]).agg(
-        *[F.array_join(F.sort_array(F.collect_set(col_of(c))), sep).alias(c) for c in cols])
+    by = [quote(k) for k in keys]
+    dealt = filled.select(*by, pack_texts(cols).alias("__row")).repartition(*by)
+    cells = dealt.select(*by, unpack_texts("__row").alias("__row"))
+    return cells.groupBy(*by).agg(
+        *[F.array_join(F.sort_array(F.collect_set(F.get("__row", F.lit(i)))), sep).alias(c) for i, c in enumerate(cols)])
 
 
 def ordered_concat(df: DataFrame, keys: Sequence[str], value: str,

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quayside.functions.strings import pack_texts, unpack_texts
 from quayside.functions.util import col_of, quote
 
 
@@ -85,16 +86,17 @@ def snapshot_changes(new: DataFrame, old: DataFrame, keys: Sequence[str],
     (null-safe). Keys found on one side only are not reported.
 
     Plan: one equi-join of the two snapshots on the keys (both sides hash
-    partitioned on the keys; bucketed tables avoid the exchange); only the
-    columns that differ are unpivoted."""
-    o = old.select(*[col_of(k) for k in keys],
-                   *[col_of(c).cast("string").alias(f"__old_{i}") for i, c in enumerate(cols)])
-    n = new.select(*[col_of(k) for k in keys],
-                   *[col_of(c).cast("string").alias(f"__new_{i}") for i, c in enumerate(cols)])
-    j = n.join(o, [*keys], "inner")
+    partitioned on the keys; bucketed tables avoid the exchange), each row's
+    columns packed into one text; only rows that differ are unpacked, and only
+    the columns that differ are unpivoted."""
+    def packed(df, name):
+        return df.select(*[col_of(k) for k in keys], pack_texts([col_of(c).cast("string") for c in cols]).alias(name))
+    # Spark takes a packed text for one short cell: a snapshot is not to be broadcast on that
+    j = packed(new, "__new").join(packed(old, "__old").hint("merge"), [*keys], "inner").filter(F.col("__new") != F.col("__old"))
+    j = j.select(*[col_of(k) for k in keys], unpack_texts("__new").alias("__new"), unpack_texts("__old").alias("__old"))
+    n, o = [[F.get(side, F.lit(i)) for i in range(len(cols))] for side in ("__new", "__old")]
     pairs = F.array_compact(F.array(*[
-        F.when(~F.col(f"__old_{i}").eqNullSafe(F.col(f"__new_{i}")),
-               F.struct(F.lit(c).alias("c"), F.col(f"__old_{i}").alias("o"), F.col(f"__new_{i}").alias("n")))
+        F.when(~o[i].eqNullSafe(n[i]), F.struct(F.lit(c).alias("c"), o[i].alias("o"), n[i].alias("n")))
         for i, c in enumerate(cols)]))
     return (j.select(*[col_of(k) for k in keys], F.explode(pairs).alias("__p"))
             .select(*[col_of(k) for k in keys], F.col("__p.c").alias(column_name),

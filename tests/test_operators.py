@@ -231,6 +231,32 @@ def test_prefix_join_without_stems(spark):
     assert joins.prefix_join(kdf, "file_name", sdf, "stem", "left_anti").count() == 1
 
 
+ODD_TEXTS = ["", "a", "a\x01b", "\x02", "\x02a", "\x02n", "\x01", "b;c", None, "\x02b\x01", "n"]
+
+
+def test_rollup_and_changes_ship_one_text_a_row(spark):
+    """Any text comes back from the packed rows, and an exchange carries the keys
+    and one text, however many columns there are."""
+    data = [(str(k % 3), "u", *(ODD_TEXTS[(k * 7 + i) % 11] for i in range(4))) for k in range(40)]
+    schema = "ShiptoID string, UniqueID string, a string, b string, c string, `d.e` string"
+    df, cols = spark.createDataFrame(data, schema), ["a", "b", "c", "d.e"]
+    rolled = aggs.distinct_rollup(df, ["ShiptoID", "UniqueID"], cols)
+    want = {(k, "u", *(";".join(sorted({r[2 + i] or "" for r in data if r[0] == k})) for i in range(4))) for k in "012"}
+    assert {tuple(r) for r in rolled.collect()} == want
+    new = spark.createDataFrame([(str(i), "u", *(ODD_TEXTS[(i + j) % 11] for j in range(4))) for i in range(11)], schema)
+    old = spark.createDataFrame([(str(i), "u", *(ODD_TEXTS[(i * 2 + j * (i % 3)) % 11] for j in range(4))) for i in range(11)], schema)
+    before = {r[0]: r for r in old.collect()}
+    diff = joins.snapshot_changes(new, old, ["ShiptoID", "UniqueID"], cols)
+    assert sorted(map(tuple, diff.collect()), key=str) == sorted(
+        [(r[0], "u", c, before[r[0]][2 + i], r[2 + i]) for r in new.collect() for i, c in enumerate(cols)
+         if before[r[0]][2 + i] != r[2 + i]], key=str)
+    for out in (rolled, joins.snapshot_changes(new, old, ["ShiptoID", "UniqueID"], cols)):
+        plan = out._jdf.queryExecution().executedPlan().toString().splitlines()
+        sent = [plan[k + 1] for k, line in enumerate(plan) if "Exchange hashpartitioning" in line]
+        assert sent and all("Project [" in x or "Filter" in x for x in sent) and not any("Aggregate" in x for x in sent)
+        assert all("'" not in x and x.count(" AS __") == 1 for x in sent if "Project [" in x)
+
+
 def test_snapshot_changes_null_safe_and_one_sided_keys(spark):
     old = spark.createDataFrame([("s", "1", "a", "x"), ("s", "2", "b", None), ("s", "3", "c", "z")],
                                 "ShiptoID string, UniqueID string, A string, B string")
