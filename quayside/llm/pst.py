@@ -314,13 +314,15 @@ def _answered(asked: DataFrame, buckets: int, parts: int, name: str, least: int,
             at = np.flatnonzero(kinds == kind)
             at = at[np.argsort(chunks[at], kind="stable")]  # the same order of sums every time
             blocks = [_unpack_keys(t["data"][int(i)].as_py()) for i in at]
+            ends = np.cumsum([len(k) for k, _ in blocks]).tolist()
             keys = np.concatenate([k for k, _ in blocks])
             values = np.concatenate([v for _, v in blocks], axis=1)
+            blocks = None  # what is read no more goes at once: a worker holds its bucket once
             order = np.argsort(keys, kind="stable")
-            ranked = keys[order]
-            head = np.r_[True, ranked[1:] != ranked[:-1]]
-            starts = np.flatnonzero(head)
-            group = np.empty(len(keys), np.int64)
+            keys = keys[order]
+            head = np.r_[True, keys[1:] != keys[:-1]]
+            keys, starts = None, np.flatnonzero(head)
+            group = np.empty(len(order), np.int64)
             group[order] = np.cumsum(head) - 1
             if kind in _COUNTS:
                 total = np.add.reduceat(values[0, order], starts)
@@ -332,9 +334,10 @@ def _answered(asked: DataFrame, buckets: int, parts: int, name: str, least: int,
             else:  # the owners of a context's entries send its count and their sums
                 sums = np.add.reduceat(values[1:, order], starts, axis=1)
                 answer = _factors(np.maximum.reduceat(values[0, order], starts), sums, weight, divergence)[group]
-            ends = np.cumsum([len(k) for k, _ in blocks])
-            for i, (k, _), end in zip(at.tolist(), blocks, ends.tolist(), strict=True):
-                out.append((int(chunks[i]), kind, bucket, _pack(answer[end - len(k):end])))
+            values = order = group = None
+            for i, begin, end in zip(at.tolist(), [0, *ends[:-1]], ends, strict=True):
+                out.append((int(chunks[i]), kind, bucket, _pack(answer[begin:end])))
+        pa.default_memory_pool().release_unused()
         return _block_rows(out)
     told = asked.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(add_up, _BLOCK)
     told = told.repartition(parts, "chunk").groupBy("chunk").agg(F.collect_list(F.struct("kind", "bucket", "data")).alias(name))
@@ -392,7 +395,8 @@ class _Chunk:
             self._triples()
 
     def answer(self, kind: int) -> np.ndarray:
-        return self.answers.get(kind, np.zeros(0))  # nothing was asked
+        """Each is read once and left."""
+        return self.answers.pop(kind, np.zeros(0))  # nothing was asked
 
     def ask_words(self, buckets: int):
         yield from _ask(self.no, WORD, buckets, self.words.keys, self.words.counted(self.train))
@@ -509,7 +513,11 @@ def _gains(texts: DataFrame, parts: int, model: tuple, n_all: int, least: int, d
             for batch in batches:
                 for i in range(batch.num_rows):
                     no, text, *answers = (c[i].as_py() for c in batch.columns)
-                    yield from do(_Chunk(no, text, answers, shared.value)).to_batches()
+                    chunk = _Chunk(no, text, answers, shared.value)
+                    text = answers = None  # unpacked
+                    out, chunk = do(chunk), None
+                    pa.default_memory_pool().release_unused()
+                    yield from out.to_batches()
         return known.mapInArrow(run, schema)
 
     known = texts

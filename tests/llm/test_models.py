@@ -223,6 +223,13 @@ def test_words_without_a_number_are_in_ngrams(spark):
             assert got[i] == pytest.approx(_brute_score([x.lower() for x in texts], t.lower()), rel=1e-9), (frequent, t)
 
 
+def test_a_chunk_leaves_an_answer_once_read():
+    chunk = object.__new__(pst._Chunk)
+    chunk.answers = {pst.PAIR: np.ones(3)}
+    assert chunk.answer(pst.PAIR).tolist() == [1, 1, 1] and chunk.answers == {}
+    assert len(chunk.answer(pst.TWO)) == 0
+
+
 def test_pair_keys_are_one_to_one_and_spread():
     import numpy as np
 
