@@ -107,3 +107,10 @@ def status_in(df: DataFrame, col, values: Sequence[str]) -> DataFrame:
 def starts_with(df: DataFrame, col, stem: str) -> DataFrame:
     """FLT-11: literal prefix test (``_`` and ``%`` are not wildcards, Q9)."""
     return df.filter(col_of(col).startswith(stem))
+
+
+def pieces(keys: Sequence[str], n: int) -> list[Column]:
+    """``n`` conditions by a hash of ``keys``: each row, null keys included, meets
+    just one, and rows of equal keys meet the same."""
+    own = F.pmod(F.xxhash64(*[col_of(k) for k in keys]), F.lit(n))
+    return [own == i for i in range(n)] if n > 1 else [F.lit(True)]

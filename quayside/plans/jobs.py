@@ -201,19 +201,23 @@ def refresh_report(spark: SparkSession, store: TableStore, table: str, location:
 # alerts
 # ---------------------------------------------------------------------------
 def shipment_alerts(store: TableStore, shipments: DataFrame,
-                    cols: Sequence[str] = ROLLUP_COLUMNS, compat: bool = False) -> DataFrame:
+                    cols: Sequence[str] = ROLLUP_COLUMNS, compat: bool = False, pieces: int = 1) -> DataFrame:
     """Roll up today's shipments into a new all-text D0 version (the old
     one becomes hist, SNK-5), diff D0 against hist (JN-5) and append the
     changes when there are any (SNK-6). Returns the changes. ``compat``: a null
-    in ``Containersloaded`` reads ``nan`` (Q1)."""
+    in ``Containersloaded`` reads ``nan`` (Q1). ``pieces``: the keys are rolled up
+    and compared in so many parts, one after another, so that the exchanges of
+    one part are on disk at a time; each part reads ``shipments`` anew, which
+    suits rows that lie in files (``TableStore.stage``)."""
     nulls = {"Containersloaded": "nan"} if compat else None
+    own = filters.pieces(ROLLUP_KEYS, pieces)
     d0 = filters.non_blank(aggs.distinct_rollup(shipments, ROLLUP_KEYS, cols, null_text=nulls), "UniqueID")
-    d0 = store.replace("alert_D0", projections.all_text(d0))
+    d0 = store.replace("alert_D0", [projections.all_text(d0).filter(p) for p in own])
     hist = store.previous("alert_D0")
     if hist is None:
         return d0.limit(0).select(*ROLLUP_KEYS, *[F.lit(None).cast("string").alias(c) for c in
                                                  ("ChangedColumn", "OldValue", "NewValue")])
-    changes = joins.snapshot_changes(d0, hist, ROLLUP_KEYS, cols)
+    changes = [joins.snapshot_changes(d0.filter(p), hist.filter(p), ROLLUP_KEYS, cols) for p in own]
     return store.append("alert_changes", changes, only_if_rows=True)
 
 

@@ -238,6 +238,58 @@ def test_shipment_alerts_two_days(spark):
     assert rows(ch) == [("s", "u", "v", "a", "a;b")]
 
 
+def test_shipment_alerts_in_pieces(spark):
+    """Pieces change no row, null and blank keys included, and one piece of the
+    keys is dealt at a time."""
+    from quayside.sinks.state import TableStore
+    keys = [None, "", " ", *"abcdefgh"]
+    data = [(keys[i % 11], keys[i * 7 % 11], str(i * 5 % 13), f"v{i % 4}") for i in range(300)]
+    day1 = spark.createDataFrame(data, "ShiptoID string, UniqueID string, v string, w string")
+    day2 = day1.withColumn("w", F.when(F.col("v") != "3", F.col("w")))
+
+    def run(n, given):
+        store, dealt = TableStore(spark), []
+        was = store._counted
+
+        def counted(df, *rest):
+            for frame in df if isinstance(df, list) else [df]:
+                dealt.append(frame.count())
+            return was(df, *rest)
+        store._counted = counted
+        jobs.shipment_alerts(store, day1, ["v", "w"], **given)
+        changes = jobs.shipment_alerts(store, day2, ["v", "w"], **given)
+        return sorted(rows(store.current("alert_D0"))), sorted(rows(changes)), dealt[:n]
+    whole, pieces = run(1, {}), run(4, {"pieces": 4})
+    assert whole[:2] == pieces[:2] and whole[0] and whole[1]
+    assert sum(pieces[2]) == whole[2][0] and max(pieces[2]) < whole[2][0] / 2
+
+
+def test_shipments_in_pieces_are_the_whole_extract(spark, tmp_path, monkeypatch):
+    """Each line item is in one piece, lines without an order and orders without
+    lines in none, and the alert job stages the extract once for both days."""
+    from quayside.plans import analogues
+    ts = dt.datetime(1995, 1, 2)
+    made = {
+        "lineitem": ([(i % 40 if i % 9 else None, i % 7, i % 5, i % 4 + 1, float(i % 50), i % 10 / 100, "RAN"[i % 3], "OF"[i % 2], ts) for i in range(400)],
+                     "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_discount double,"
+                     " l_returnflag string, l_linestatus string, l_shipdate timestamp"),
+        "orders": ([(k, k % 6 or None, "OFP"[k % 3], ["1-URGENT", "4-NOT SPECIFIED", "5-LOW"][k % 3 if k % 5 else 0]) for k in range(5, 50)],
+                   "o_orderkey long, o_custkey long, o_orderstatus string, o_orderpriority string"),
+        "part": ([(k, f"type {k}", k * 3, f"brand {k % 2}") for k in [*range(7), 3]], "p_partkey long, p_type string, p_size int, p_brand string"),
+        "customer": ([(k, k % 3) for k in range(4)], "c_custkey long, c_nationkey int"),
+        "nation": ([(k, f"land {k}", k) for k in range(2)], "n_nationkey int, n_name string, n_regionkey int")}
+    for name, (data, schema) in made.items():
+        spark.createDataFrame(data, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    whole = analogues.src(spark, str(tmp_path), analogues.SHIPMENT_ROWS_SQL)
+    one = sorted(rows(analogues.QUERIES["shipment_alerts"](spark, str(tmp_path))))
+    monkeypatch.setattr(analogues, "PIECE_BYTES", 100)
+    parts = analogues.src_pieces(spark, str(tmp_path), analogues.SHIPMENT_ROWS_SQL, "lineitem", "l_orderkey")
+    assert len(parts) == analogues.MOST_PIECES
+    got = [rows(p) for p in parts]
+    assert sorted(sum(got, []), key=str) == sorted(rows(whole), key=str) and max(map(len, got)) < whole.count()
+    assert one and sorted(rows(analogues.QUERIES["shipment_alerts"](spark, str(tmp_path)))) == one
+
+
 def test_insert_overwrite_replaces_rows(spark):
     import uuid
 

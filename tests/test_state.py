@@ -77,6 +77,46 @@ def test_stage_writes_once(spark):
     assert sorted(rows(derived)) == [(1, 2), (2, 4)]
 
 
+def _exchange_files(spark):
+    disk = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+    names = [f.getName() for f in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(disk.getAllFiles())]
+    return {n for n in names if n.startswith("shuffle_")}
+
+
+def test_frames_become_one_version_and_their_exchanges_go(spark):
+    """A write deletes its exchanges at its end, not when the driver's garbage is
+    collected: else every piece's exchanges are on disk together."""
+    import time
+    store = TableStore(spark)
+    df = spark.range(3000).select((F.col("id") % 700).alias("k")).groupBy("k").count()
+    parts = [df.filter(F.col("k") % 3 == i) for i in range(3)]
+    table = store.replace("t", parts)
+    assert store.versions("t") == [1] and store.rows_of(table) == 700
+    assert sorted(rows(table)) == sorted(rows(df))
+    assert store.rows_of(store.stage("t", parts)) == 700
+    assert sorted(rows(store.append("l", parts))) == sorted(rows(df))
+    assert store.append("l", [p.filter("k < 0") for p in parts], only_if_rows=True).count() == 700
+    assert store.append("none", [p.filter("k < 0") for p in parts], only_if_rows=True).count() == 0
+    had = _exchange_files(spark)
+    store.replace("t", parts)
+    until = time.time() + 10
+    while (left := _exchange_files(spark) - had) and time.time() < until:
+        time.sleep(0.2)
+    assert not left
+
+
+def test_a_failed_piece_leaves_no_rows(spark):
+    store = TableStore(spark)
+    good = spark.createDataFrame([("1",)], "a string").select(F.col("a").cast("int").alias("a"))
+    bad = spark.createDataFrame([("x",)], "a string").select(F.col("a").cast("int").alias("a"))
+    store.append("l", good)
+    store.replace("t", good)
+    for write in (lambda: store.append("l", [good, bad]), lambda: store.replace("t", [good, bad])):
+        with pytest.raises(Exception):
+            write()
+    assert rows(store.read_appended("l")) == [(1,)] and rows(store.current("t")) == [(1,)]
+
+
 def test_run_log(spark):
     store = TableStore(spark)
     now = dt.datetime(2024, 3, 5, 5, 50)
